@@ -10,9 +10,18 @@ from pyspark.sql import functions as F
 from tarnfold.llm.chat_format import format_chat, read_back
 from tarnfold.llm.common import table
 from tarnfold.llm.exact_dedup import exact_groups
+from tarnfold.llm.html_extract import main_text
+from tarnfold.llm.language_id import fit, held_out, identify
+from tarnfold.llm.packing import pack
 from tarnfold.llm.sharding import shard_by_bytes
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op1_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(table(spark, sf_dir, "documents"), shards=40)
 
@@ -67,9 +76,26 @@ g AS (SELECT *, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PAR
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM g
 """
 
+def op2_ecoc_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit(docs.filter(~held_out()))
+    return identify(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
+def op10_tiered_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sampled_splitters": op1_sampled_splitters,
+    "op2_ecoc_language": op2_ecoc_language,
     "op4_chat_format": op4_chat_format,
     "op5_block_naming": op5_block_naming,
+    "op7_html_text": op7_html_text,
+    "op10_tiered_packing": op10_tiered_packing,
 }
 ORACLE_SQL: dict[str, str] = {"op4_chat_format": OP4_SQL, "op5_block_naming": OP5_SQL}
