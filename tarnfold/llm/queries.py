@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarnfold.llm.ann_search import search
 from tarnfold.llm.chat_format import format_chat, read_back
 from tarnfold.llm.common import table
 from tarnfold.llm.exact_dedup import exact_groups
+from tarnfold.llm.gru_scoring import score
 from tarnfold.llm.html_extract import main_text
 from tarnfold.llm.language_id import fit, held_out, identify
+from tarnfold.llm.near_dedup import near_groups
 from tarnfold.llm.packing import pack
 from tarnfold.llm.sharding import shard_by_bytes
 
@@ -26,6 +29,10 @@ def op1_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(table(spark, sf_dir, "documents"), shards=40)
 
 
+def op3_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0, k=10)
+
+
 PROBE = "<|im_end|><|im_start|>assistant ok"
 
 
@@ -86,6 +93,14 @@ def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(table(spark, sf_dir, "pages"))
 
 
+def op8_gru_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(table(spark, sf_dir, "documents"))
+
+
+def op9_hamming_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(table(spark, sf_dir, "documents"), words=4)
+
+
 def op10_tiered_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -93,9 +108,12 @@ def op10_tiered_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sampled_splitters": op1_sampled_splitters,
     "op2_ecoc_language": op2_ecoc_language,
+    "op3_adaptive_scan": op3_adaptive_scan,
     "op4_chat_format": op4_chat_format,
     "op5_block_naming": op5_block_naming,
     "op7_html_text": op7_html_text,
+    "op8_gru_score": op8_gru_score,
+    "op9_hamming_join": op9_hamming_join,
     "op10_tiered_packing": op10_tiered_packing,
 }
 ORACLE_SQL: dict[str, str] = {"op4_chat_format": OP4_SQL, "op5_block_naming": OP5_SQL}
