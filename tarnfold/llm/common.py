@@ -12,15 +12,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise df and cut its lineage in the cluster's shared checkpoint folder.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The cluster's shared folder: the session's ``spark.checkpoint.dir``.
 
-    The folder is the session's ``spark.checkpoint.dir``. Only where neither that setting
-    nor a folder of the context exists (local tests) is one made here.
+    Only where neither that setting nor a folder of the context exists (local tests) is one made.
     """
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-", dir="/tmp"))
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
+        named = tempfile.mkdtemp(prefix="spark-checkpoint-", dir="/tmp")
+        spark.sparkContext.setCheckpointDir(named)
+    return named
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Materialise df and cut its lineage in checkpoint_folder()."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

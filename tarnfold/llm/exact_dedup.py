@@ -113,3 +113,33 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.col("sha").alias("text_sha256"),
         "row",
     )
+
+
+#: Of so many ids at most a broadcast is made.
+BROADCAST_IDS = 2_000_000
+
+
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """docs without the rows of the ids (doc_id). Ids are broadcast if they are few enough, else shuffled."""
+    few = ids.count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_anti").select(docs.columns)
+
+
+def keep_first(docs: DataFrame, groups: DataFrame | None = None) -> DataFrame:
+    """Rows of docs (doc_id, text, further columns), one for each group of equal texts.
+
+    An id all of whose rows are dropped is taken out by id. Rows whose id is null or repeats, some
+    of them kept, are told apart by the text's hash as well; of equal rows one stays.
+    """
+    groups = cut(exact_groups(docs) if groups is None else groups)
+    by_id = groups.groupBy("doc_id").agg(F.max("kept").alias("some"), F.min("kept").alias("every"))
+    gone = by_id.filter("doc_id is not null and not some").select("doc_id")
+    partly = cut(by_id.filter("doc_id is null or (some and not every)").select("doc_id"))
+    if partly.isEmpty():
+        return without(docs, gone)
+    sha = F.sha2(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " "), 256)
+    rest = docs.filter("doc_id is not null")
+    of_some = docs.join(partly.withColumnRenamed("doc_id", "some_id"), F.col("doc_id").eqNullSafe(F.col("some_id")), "left_semi").withColumn("_sha", sha)
+    kept = groups.filter("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha"))
+    one = of_some.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("_sha") == F.col("kept_sha")), "left_semi").dropDuplicates(["doc_id", "_sha"])
+    return without(without(rest, gone), partly.filter("doc_id is not null")).unionByName(one.drop("_sha"))

@@ -151,6 +151,30 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, "doc_id long, lang_pred string, score double, ambiguous boolean")
 
 
+def keep_identified(docs: DataFrame, model: Model | None, text_col: str = "text", judged_from: int = 200) -> DataFrame:
+    """Rows of docs, with all their columns, whose language could be told.
+
+    Texts without a letter go, and so do ambiguous ones of `judged_from` n-grams or more; shorter
+    ones give too little to go by and stay. Without a model every text with a letter stays.
+    """
+    at = docs.columns.index(text_col)
+
+    def good(text: bytes | None) -> bool:
+        if not has_letter(text):
+            return False
+        if model is None:
+            return True
+        counts = features(text)
+        return counts.sum() < judged_from or model.decode(counts)[2] >= model.ambiguous_below
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [good(None if t is None else t.encode("utf-8", "replace")) for t in (x.as_py() for x in batch.column(at))]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(id_col: str = "doc_id"):
     """crc32 of the id as text, modulo 4, is 2: never learned from."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))

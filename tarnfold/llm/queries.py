@@ -16,6 +16,7 @@ from tarnfold.llm.html_extract import main_text
 from tarnfold.llm.language_id import fit, held_out, identify
 from tarnfold.llm.near_dedup import near_groups
 from tarnfold.llm.packing import pack
+from tarnfold.llm.pieces import digest
 from tarnfold.llm.sharding import shard_by_bytes
 
 
@@ -89,6 +90,12 @@ def op2_ecoc_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op6_streaming_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return digest(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(table(spark, sf_dir, "pages"))
 
@@ -111,6 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_adaptive_scan": op3_adaptive_scan,
     "op4_chat_format": op4_chat_format,
     "op5_block_naming": op5_block_naming,
+    "op6_streaming_viterbi": op6_streaming_viterbi,
     "op7_html_text": op7_html_text,
     "op8_gru_score": op8_gru_score,
     "op9_hamming_join": op9_hamming_join,
