@@ -141,6 +141,11 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, "rep long, members binary")
 
 
+def only(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """docs of the ids. 8 bytes an id are broadcast if they are few enough; beyond that texts are shuffled to them."""
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_semi")
+
+
 def _linked(share: int, of: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -163,11 +168,9 @@ def confirmed(pairs: DataFrame, docs: DataFrame, sizes: DataFrame, words: int, s
     a, b = sizes.select(F.col("rep").alias("a"), F.col("n").alias("na")), sizes.select(F.col("rep").alias("b"), F.col("n").alias("nb"))
     fitting = cut(pairs.join(a, "a").join(b, "b").filter(of * F.least("na", "nb") >= share * F.greatest("na", "nb")).select("a", "b").distinct())
     wanted = fitting.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    if (n := wanted.count()) == 0:
+    if fitting.isEmpty():
         return None
-    if n <= BROADCAST_IDS:  # 8 bytes each; beyond that the texts are shuffled to the ids
-        wanted = F.broadcast(wanted)
-    sets = cut(_sets(docs.join(wanted, "doc_id", "left_semi"), words))
+    sets = cut(_sets(only(docs, wanted), words))
     both = fitting.join(sets.select(F.col("rep").alias("a"), F.col("members").alias("ma")), "a").join(sets.select(F.col("rep").alias("b"), F.col("members").alias("mb")), "b")
     return both.select("a", "b", "ma", "mb").mapInArrow(_linked(share, of), "a long, b long")
 
@@ -221,45 +224,101 @@ def _pair(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _rest(scheme: Scheme, floor: float):
-    """Within blocks of a key's rows: pairs of different components that may be linked."""
+def _near(scheme: Scheme, floor: float, left, right) -> Iterator[tuple[int, np.ndarray]]:
+    """For rows of left, the rows of right in other components that signatures don't rule out.
+
+    A pair that several keys share comes up under the first of them alone.
+    """
+    a, b = (np.frombuffer(b"".join(x["sig"]), np.uint16).reshape(len(x), -1) for x in (left, right))
+    key = int(left["key"].iloc[0])
+    ra, rb, ca, cb = left["rep"].to_numpy(), right["rep"].to_numpy(), left["comp"].to_numpy(), right["comp"].to_numpy()
+    for i in range(len(a)):
+        other = np.flatnonzero((cb != ca[i]) & (rb > ra[i]))
+        if not len(other):
+            continue
+        same = b[other] == a[i]
+        near = same.mean(axis=1) >= floor
+        if not near.any():
+            continue
+        other, same = other[near], same[near]
+        first = np.full(len(other), -1)
+        for n, (_, kept) in enumerate(scheme.choices):
+            first[(first < 0) & same[:, list(kept)].all(axis=1)] = n
+        mine = np.array([n >= 0 and scheme.key(a[i][None, list(scheme.choices[n][1])], n)[0] == key for n in range(-1, len(scheme.choices))])
+        told = other[mine[first + 1]]
+        if len(told):
+            yield i, told
+
+
+def _maybe(scheme: Scheme, floor: float):
+    """Of a key's blocks: the rows that are in any pair of _near."""
 
     def run(left, right):
-        if not len(left) or not len(right):
-            return _pairs([], [])
-        a, b = (np.frombuffer(b"".join(x["sig"]), np.uint16).reshape(len(x), -1) for x in (left, right))
-        key = int(left["key"].iloc[0])
-        ra, rb, ca, cb = left["rep"].to_numpy(), right["rep"].to_numpy(), left["comp"].to_numpy(), right["comp"].to_numpy()
-        out_a, out_b = [], []
-        for i in range(len(a)):
-            other = np.flatnonzero((cb != ca[i]) & (rb > ra[i]))
-            if not len(other):
-                continue
-            same = b[other] == a[i]
-            near = same.mean(axis=1) >= floor
-            if not near.any():
-                continue
-            other, same = other[near], same[near]
-            # a pair that several keys share is told by the first of them alone
-            first = np.full(len(other), -1)
-            for n, (_, kept) in enumerate(scheme.choices):
-                first[(first < 0) & same[:, list(kept)].all(axis=1)] = n
-            mine = np.array([scheme.key(a[i][None, list(scheme.choices[n][1])], n)[0] == key if n >= 0 else False for n in range(-1, len(scheme.choices))])
-            told = other[mine[first + 1]]
-            out_a += [ra[i]] * len(told)
-            out_b += rb[told].tolist()
+        import pandas as pd
+
+        found: set[int] = set()
+        if len(left) and len(right):
+            rb = right["rep"].to_numpy()
+            for i, told in _near(scheme, floor, left, right):
+                found.add(int(left["rep"].iloc[i]))
+                found.update(rb[told].tolist())
+        key = int(left["key"].iloc[0]) if found else 0
+        return pd.DataFrame({"key": np.full(len(found), key, np.int64), "rep": np.array(sorted(found), np.int64)})
+
+    return run
+
+
+def _exact(scheme: Scheme, floor: float, share: int, of: int):
+    """Of a key's blocks: links between components, as many as join them up, confirmed on whole sets."""
+
+    def run(left, right):
+        out_a, out_b, top = [], [], {}
+
+        def root(x: int) -> int:
+            while x in top:
+                x = top[x]
+            return x
+
+        if len(left) and len(right):
+            rb, ca, cb = right["rep"].to_numpy(), left["comp"].to_numpy(), right["comp"].to_numpy()
+            for i, told in _near(scheme, floor, left, right):
+                a = np.frombuffer(left["members"].iloc[i], np.uint64)
+                for j in told:
+                    x, y = root(int(ca[i])), root(int(cb[j]))
+                    if x != y:
+                        b = np.frombuffer(right["members"].iloc[j], np.uint64)
+                        both = len(np.intersect1d(a, b, assume_unique=True))
+                        if of * both >= share * (len(a) + len(b) - both):
+                            top[max(x, y)] = min(x, y)
+                            out_a.append(int(left["rep"].iloc[i]))
+                            out_b.append(int(rb[j]))
         return _pairs(out_a, out_b)
 
     return run
 
 
+def _in_blocks(rows: DataFrame, block: int, run, schema: str) -> DataFrame:
+    """Applies run to every two blocks of each key's rows (key, rep, comp, ...).
+
+    Rows of a key are dealt to blocks of about `block` by a hash; every block on the left meets
+    every one on the right, so no task holds more than two blocks at a time, however large a key.
+    """
+    counted = rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("_n"))
+    dealt = rows.join(counted, "key").withColumn("_own", F.pmod(F.xxhash64("rep"), F.col("_n")).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("_n") - 1))
+    # toDF gives new columns: both sides come from one frame
+    left = dealt.select(*rows.columns, F.col("_own").alias("x"), every.alias("y")).toDF(*rows.columns, "x", "y")
+    right = dealt.select(*rows.columns, every.alias("x"), F.col("_own").alias("y")).toDF(*rows.columns, "x", "y")
+    return left.groupBy("key", "x", "y").cogroup(right.groupBy("key", "x", "y")).applyInPandas(run, schema)
+
+
 def _pairs(a: list, b: list):
     import pandas as pd
 
     return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, share: int = 80, of: int = 100, scheme: Scheme | None = None, rounds: int = 2, block: int = 2048) -> DataFrame:
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, share: int = 80, of: int = 100, scheme: Scheme | None = None, rounds: int = 2, block: int = 2048, set_block: int = 512) -> DataFrame:
     """Components of documents whose shingle sets have a Jaccard similarity of share / of or more.
 
     1. One pass makes whole-text shingle sets, b-bit signatures and index keys (see Scheme).
@@ -267,9 +326,10 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     2. Of each key, all members are paired with one hub; pairs are confirmed on whole sets and
        folded into components. `rounds` rounds with other hubs follow, over keys that more than
        one component still shares, so a group of copies costs its size and not its square.
-    3. What is left, members of one key in different components, is compared exhaustively by
-       signatures, in blocks of `block` rows on either side; pairs whose signatures do not rule
-       out the threshold by four standard errors are confirmed on whole sets.
+    3. What is left, members of one key in different components, is compared exhaustively, in
+       blocks of `block` rows on either side by signatures; where those do not rule out the
+       threshold by four standard errors, on whole sets, in blocks of `set_block` rows, which give
+       out the links that join components up and not every pair.
     No pair is dropped for a large key; nothing but counts reaches the driver.
 
     Defined cases: null, empty and white-only texts have no shingles and are linked with nothing;
@@ -304,16 +364,13 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = cut(rows.join(counted, "key").filter("c > 2"))  # of two members the hub was one
     few = rows.filter(F.col("c") <= FEW).select("key", "rep", "comp")
     by_join = few.join(few.toDF("key", "other", "other_comp"), "key").filter("rep < other and comp != other_comp").select(F.col("rep").alias("a"), F.col("other").alias("b"))
-    # blocks of a key by a hash of the member; every block on the left meets every one on the right
-    n = F.ceil(F.col("c") / block).cast("int")
-    dealt = rows.filter(F.col("c") > FEW).join(reps.select("rep", "sig"), "rep").withColumn("own", F.pmod(F.xxhash64("rep"), n).cast("int"))
-    left = dealt.select("key", "rep", "comp", "sig", F.col("own").alias("x"), F.explode(F.sequence(F.lit(0), n - 1)).alias("y"))
-    right = dealt.select("key", "rep", "comp", "sig", F.col("own").alias("y"), F.explode(F.sequence(F.lit(0), n - 1)).alias("x"))
-    # new names for the columns: both sides come from one frame
-    left, right = left.toDF("key", "rep", "comp", "sig", "x", "y"), right.toDF("key", "rep", "comp", "sig", "y", "x")
-    in_blocks = left.groupBy("key", "x", "y").cogroup(right.groupBy("key", "x", "y")).applyInPandas(_rest(scheme, floor), "a long, b long")
-    pairs = cut(by_join.union(in_blocks).distinct().join(asked, ["a", "b"], "left_anti"))
-    comps = _fold(comps, confirmed(pairs, source, sizes, words, share, of))
+    many = rows.filter(F.col("c") > FEW).select("key", "rep", "comp").join(reps.select("rep", "sig"), "rep").select("key", "rep", "comp", "sig")
+    maybe = cut(_in_blocks(many, block, _maybe(scheme, floor), "key long, rep long").distinct())
+    sets = _sets(only(source, maybe.select(F.col("rep").alias("doc_id")).distinct()), words)
+    whole = many.join(maybe, ["key", "rep"], "left_semi").join(sets, "rep").select("key", "rep", "comp", "sig", "members")
+    links = _in_blocks(whole, set_block, _exact(scheme, floor, share, of), "a long, b long")
+    some = confirmed(cut(by_join.distinct().join(asked, ["a", "b"], "left_anti")), source, sizes, words, share, of)
+    comps = _fold(comps, cut(links if some is None else links.union(some)))
 
     known = reps.select("n_shingles", "h1", "h2", "rep").join(comps, "rep").select("n_shingles", "h1", "h2", "comp")
     labelled = signed.select("doc_id", "n_shingles", "h1", "h2").join(known, ["n_shingles", "h1", "h2"], "left")
