@@ -115,6 +115,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
 
 
+#: Names for columns in between, which no table is expected to have.
+SOME, SHA, KEPT, KEPT_SHA = (f"__keep_first_{x}" for x in ("some", "sha", "kept", "kept_sha"))
 #: Of so many ids at most a broadcast is made.
 BROADCAST_IDS = 2_000_000
 
@@ -139,7 +141,7 @@ def keep_first(docs: DataFrame, groups: DataFrame | None = None) -> DataFrame:
         return without(docs, gone)
     sha = F.sha2(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " "), 256)
     rest = docs.filter("doc_id is not null")
-    of_some = docs.join(partly.withColumnRenamed("doc_id", "some_id"), F.col("doc_id").eqNullSafe(F.col("some_id")), "left_semi").withColumn("_sha", sha)
-    kept = groups.filter("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha"))
-    one = of_some.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("_sha") == F.col("kept_sha")), "left_semi").dropDuplicates(["doc_id", "_sha"])
-    return without(without(rest, gone), partly.filter("doc_id is not null")).unionByName(one.drop("_sha"))
+    of_some = docs.join(partly.withColumnRenamed("doc_id", SOME), docs["doc_id"].eqNullSafe(F.col(SOME)), "left_semi").withColumn(SHA, sha)
+    kept = groups.filter("kept").select(F.col("doc_id").alias(KEPT), F.col("text_sha256").alias(KEPT_SHA))
+    one = of_some.join(kept, F.col("doc_id").eqNullSafe(F.col(KEPT)) & (F.col(SHA) == F.col(KEPT_SHA)), "left_semi").dropDuplicates(["doc_id", SHA])
+    return without(without(rest, gone), partly.filter("doc_id is not null")).unionByName(one.drop(SHA))
