@@ -258,3 +258,35 @@ def plays_on_shifts(events: DataFrame, shifts: DataFrame, minutes: int = 1) -> D
     e = events.withColumn("_m", F.floor(F.col("game_seconds") / width))
     s = shifts.withColumn("_m", F.explode(F.sequence(F.floor(F.col("start_seconds") / width), F.floor(F.col("end_seconds") / width))))
     return e.join(s, ["game_id", "_m"]).filter(F.col("game_seconds").between(F.col("start_seconds"), F.col("end_seconds"))).drop("_m")
+
+
+def bronze_merge(target: DataFrame, source: DataFrame, keys: Sequence[str], now: Column, list_name: str | None = None) -> Merged:
+    """Responses into the landing table. One without content never replaces one with content, and isn't a new row."""
+    from tarnfold.sources.envelope import has_content
+
+    full = lambda t, s: F.coalesce(s("http_status") == 200, F.lit(False)) & has_content(s("payload"), list_name)
+    new = {c: (lambda t, s, c=c: s(c)) for c in ("http_status", "payload")} | {"update_ts_utc": lambda t, s: now}
+    return merge(target, source, keys, [Update(new, lambda t, s: full(t, s) & null_safe(t("payload"), s("payload")))], [Insert({"ingest_ts_utc": lambda t, s: now}, full)])
+
+
+def payload_roster(payloads: DataFrame, schema: str, current: DataFrame, players: DataFrame, status: DataFrame, keep: Sequence[str] = ("season", "game_id", "game_date")) -> DataFrame:
+    """Rosters in game payloads and today's rosters, one row for each game's player.
+
+    current: as the result's first columns. players: player_id, full_name, team_id. status: game_id,
+    in_play. A team unlike the player master's makes that one the previous team.
+    """
+    spots = payloads.select(*keep, F.explode(F.from_json("payload", schema).getField("rosterSpots")).alias("_e")).select(*keep, "_e.*")
+    rows = spots.select(*keep, *build_fields(spots, {"playerId": "bigint", "teamId": "bigint", "sweaterNumber": "int"}))
+    both = rows.withColumn("_p", F.lit(0)).unionByName(current.withColumn("_p", F.lit(1)), allowMissingColumns=True)
+    one = best_row(both.filter("player_id is not null"), [*keep[:2], "player_id"], F.col("_p"), F.col("team_id").asc_nulls_last()).drop("_p")
+    named = lookup(one, players, {"player_id": "player_id"}, {"full_name": "full_name", "_team": "team_id"})
+    named = lookup(named, status, {"game_id": "game_id"}, {"game_in_play": "in_play"})
+    moved = F.when(~F.col("team_id").eqNullSafe(F.col("_team")), F.col("_team"))
+    return named.withColumns({"team_id_prev_team": moved, "game_in_play": F.coalesce("game_in_play", F.lit(False))}).drop("_team")
+
+
+def gold_merge(target: DataFrame, silver: DataFrame, keys: Sequence[str], texts: Sequence[str], now: Column) -> Merged:
+    """A narrow projection of silver: texts that differ by more than case and blanks; a null source is no news."""
+    changed = lambda t, s: any_of({c: as_text(t(c), F.coalesce(s(c), t(c))) for c in texts})
+    new = {c: (lambda t, s, c=c: F.coalesce(s(c), t(c))) for c in texts} | {"update_dte": lambda t, s: now}
+    return merge(target, silver.select(*keys, *texts), keys, [Update(new, changed)], [Insert({"insert_dte": lambda t, s: now})])

@@ -847,3 +847,51 @@ def job_event_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = rows.filter("m <> 4").select("season", "game_id", "game_date", "event_id", "event_type", F.lit(True).alias("game_in_play"), F.lit(True).alias("active_row"), F.lit("insert").alias("logic_block"), F.lit(None).cast("string").alias("failed_condition"), now().alias("insert_dte"), F.lit(None).cast("timestamp").alias("update_dte"))
     source = rows.filter("m <> 3").select("season", "game_id", "game_date", "event_id", F.when(F.col("m") == 0, "changed").otherwise(F.col("event_type")).alias("event_type"), (F.col("m") != 1).alias("game_in_play"))
     return J.event_merge(target, source, run_day(), now(), ["event_type"]).table.select("game_id", "event_id", "event_type", "logic_block", "active_row", "failed_condition")
+
+
+@query(
+    f"""WITH t AS (SELECT o_orderkey AS k, '{{"data":[' || o_orderkey || ']}}' AS payload FROM orders WHERE o_orderkey % 2 = 0),
+s AS (SELECT o_orderkey AS k, CASE o_orderkey % 5 WHEN 0 THEN '{{"data":[]}}' WHEN 1 THEN NULL ELSE '{{"data":[' || o_orderkey % 7 || ']}}' END AS payload, CASE WHEN o_orderkey % 11 = 0 THEN 500 ELSE 200 END AS st FROM orders WHERE o_orderkey % 3 = 0)
+SELECT coalesce(t.k, s.k) AS k, CASE WHEN st = 200 AND s.k % 5 > 1 THEN s.payload ELSE t.payload END AS payload, coalesce(t.k IS NOT NULL AND st = 200 AND s.k % 5 > 1 AND t.payload IS DISTINCT FROM s.payload, false) AS updated
+FROM t FULL JOIN s ON t.k = s.k WHERE t.k IS NOT NULL OR (st = 200 AND s.k % 5 > 1)"""
+)
+def job_bronze_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M4, M9: responses with content replace and add, others change nothing."""
+    k = F.col("o_orderkey")
+    o = read(spark, sf_dir, "orders")
+    body = lambda v: F.concat(F.lit('{"data":['), v.cast("string"), F.lit("]}"))
+    stamp = {"ingest_ts_utc": now(), "update_ts_utc": F.lit(None).cast("timestamp")}
+    target = o.filter(k % 2 == 0).select(k.alias("k"), body(k).alias("payload"), F.lit(200).alias("http_status")).withColumns(stamp)
+    source = o.filter(k % 3 == 0).select(k.alias("k"), F.when(k % 5 == 0, '{"data":[]}').when(k % 5 != 1, body(k % 7)).alias("payload"), F.when(k % 11 == 0, 500).otherwise(200).alias("http_status"))
+    return J.bronze_merge(target, source, ["k"], now(), "data").table.select("k", "payload", F.col("update_ts_utc").isNotNull().alias("updated"))
+
+
+@query(
+    f"""WITH {GAMES}, s AS (SELECT DISTINCT season, game_id, l_suppkey AS player_id, CAST(l_suppkey % 30 AS BIGINT) AS team_id, game_date = DATE '{RUN}' AS cur FROM games JOIN lineitem ON l_orderkey = order_id WHERE l_linenumber <= 3),
+c AS (SELECT DISTINCT season, game_id, l_suppkey AS player_id, CAST(99 AS BIGINT) AS team_id FROM games JOIN lineitem ON l_orderkey = order_id WHERE l_linenumber = 5),
+u AS (SELECT season, game_id, player_id, team_id FROM s UNION ALL SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.game_id = c.game_id AND s.player_id = c.player_id))
+SELECT u.game_id, u.player_id, u.team_id, s_name AS full_name, CASE WHEN u.team_id <> s_nationkey THEN CAST(s_nationkey AS BIGINT) END AS team_id_prev_team, g.game_date = DATE '{RUN}' AS game_in_play
+FROM u JOIN games g ON g.game_id = u.game_id LEFT JOIN supplier ON s_suppkey = u.player_id"""
+)
+def job_payload_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rosters of payloads and of the day, with names and previous teams."""
+    g = games(spark, sf_dir)
+    li = read(spark, sf_dir, "lineitem").join(g.select("season", "game_id", "game_date", F.col("order_id").alias("l_orderkey")), "l_orderkey")
+    spot = F.struct(F.col("l_suppkey").alias("playerId"), (F.col("l_suppkey") % 30).alias("teamId"), F.lit(9).alias("sweaterNumber"))
+    p = li.filter("l_linenumber <= 3").groupBy("season", "game_id", "game_date").agg(F.to_json(F.struct(F.collect_list(spot).alias("rosterSpots"))).alias("payload"))
+    current = li.filter("l_linenumber = 5").select("season", "game_id", "game_date", F.col("l_suppkey").alias("player_id"), F.lit(99).cast("bigint").alias("team_id"))
+    players = read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("player_id"), F.col("s_name").alias("full_name"), F.col("s_nationkey").cast("bigint").alias("team_id"))
+    status = g.select("game_id", (F.col("game_date") == run_day()).alias("in_play"))
+    out = J.payload_roster(p, "struct<rosterSpots: array<struct<playerId: bigint, teamId: bigint, sweaterNumber: int>>>", current, players, status)
+    return out.select("game_id", "player_id", "team_id", "full_name", "team_id_prev_team", "game_in_play")
+
+
+@query(
+    """SELECT c_custkey, CASE WHEN c_custkey % 3 = 2 THEN 'new name' ELSE c_name END AS name, c_custkey % 3 = 2 AND c_custkey % 5 <> 0 AS updated FROM customer"""
+)
+def job_player_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts that differ by case and blanks alone are no change."""
+    c, k = read(spark, sf_dir, "customer"), F.col("c_custkey")
+    target = c.filter(k % 5 != 0).select("c_custkey", F.col("c_name").alias("name"), now().alias("insert_dte"), F.lit(None).cast("timestamp").alias("update_dte"))
+    text = F.when(k % 3 == 2, "new name").when((k % 3 == 1) & (k % 5 != 0), F.concat(F.lit(" "), F.upper("c_name"))).when((k % 3 == 0) & (k % 10 == 3), F.lit(None)).otherwise(F.col("c_name"))
+    return J.gold_merge(target, c.select("c_custkey", text.alias("name")), ["c_custkey"], ["name"], now()).table.select("c_custkey", "name", F.col("update_dte").isNotNull().alias("updated"))
