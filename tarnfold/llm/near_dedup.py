@@ -297,13 +297,15 @@ def _exact(scheme: Scheme, floor: float, share: int, of: int):
     return run
 
 
-def _in_blocks(rows: DataFrame, block: int, run, schema: str) -> DataFrame:
+def _in_blocks(rows: DataFrame, block: int, run, schema: str, weight: Column | None = None) -> DataFrame:
     """Applies run to every two blocks of each key's rows (key, rep, comp, ...).
 
-    Rows of a key are dealt to blocks of about `block` by a hash; every block on the left meets
-    every one on the right, so no task holds more than two blocks at a time, however large a key.
+    Rows of a key are dealt to blocks of about `block` rows, or of that weight, by a hash; every
+    block on the left meets every one on the right, so no task holds more than two blocks at a
+    time, however large a key.
     """
-    counted = rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("_n"))
+    weight = F.lit(1) if weight is None else weight
+    counted = rows.groupBy("key").agg(F.ceil(F.sum(weight) / block).cast("int").alias("_n"))
     dealt = rows.join(counted, "key").withColumn("_own", F.pmod(F.xxhash64("rep"), F.col("_n")).cast("int"))
     every = F.explode(F.sequence(F.lit(0), F.col("_n") - 1))
     # toDF gives new columns: both sides come from one frame
@@ -318,7 +320,7 @@ def _pairs(a: list, b: list):
     return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, share: int = 80, of: int = 100, scheme: Scheme | None = None, rounds: int = 2, block: int = 2048, set_block: int = 512) -> DataFrame:
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, share: int = 80, of: int = 100, scheme: Scheme | None = None, rounds: int = 2, block: int = 2048, set_bytes: int = 32 << 20) -> DataFrame:
     """Components of documents whose shingle sets have a Jaccard similarity of share / of or more.
 
     1. One pass makes whole-text shingle sets, b-bit signatures and index keys (see Scheme).
@@ -328,8 +330,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
        one component still shares, so a group of copies costs its size and not its square.
     3. What is left, members of one key in different components, is compared exhaustively, in
        blocks of `block` rows on either side by signatures; where those do not rule out the
-       threshold by four standard errors, on whole sets, in blocks of `set_block` rows, which give
-       out the links that join components up and not every pair.
+       threshold by four standard errors, on whole sets, in blocks of `set_bytes`, which give out
+       the links that join components up and not every pair.
     No pair is dropped for a large key; nothing but counts reaches the driver.
 
     Defined cases: null, empty and white-only texts have no shingles and are linked with nothing;
@@ -368,7 +370,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     maybe = cut(_in_blocks(many, block, _maybe(scheme, floor), "key long, rep long").distinct())
     sets = _sets(only(source, maybe.select(F.col("rep").alias("doc_id")).distinct()), words)
     whole = many.join(maybe, ["key", "rep"], "left_semi").join(sets, "rep").select("key", "rep", "comp", "sig", "members")
-    links = _in_blocks(whole, set_block, _exact(scheme, floor, share, of), "a long, b long")
+    links = _in_blocks(whole, set_bytes, _exact(scheme, floor, share, of), "a long, b long", F.octet_length("members"))
     some = confirmed(cut(by_join.distinct().join(asked, ["a", "b"], "left_anti")), source, sizes, words, share, of)
     comps = _fold(comps, cut(links if some is None else links.union(some)))
 

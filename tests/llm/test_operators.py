@@ -318,7 +318,7 @@ def test_near_groups_match_brute_force(docs, empty, block, monkeypatch):
     if block == 8:
         monkeypatch.setattr(near_dedup, "FEW", 3)
     rows = [(i, t) for i, t in texts() if i is not None]
-    got = near_dedup.near_groups(docs, words=4, block=block, set_block=block).collect()
+    got = near_dedup.near_groups(docs, words=4, block=block, set_bytes=5000 if block == 8 else 32 << 20).collect()
     sets = {(i, t): shingles(t, 4) for i, t in rows}
     comp = {i: i for i, _ in rows}
 
