@@ -23,8 +23,10 @@ UNLIKELY = re.compile(
     re.I,
 )
 
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+#: What a layout lacks or has beside it says nothing of the element itself.
+BESIDE = re.compile(r"\b(?:no|has|with|without)[-_][\w-]+", re.I)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=/]|$)|display\s*:\s*none", re.I)
 SPACE = re.compile(r"\s+")
 
@@ -82,7 +84,7 @@ def parse(source: str) -> Node:
         elif tag == "tr":
             close(("tr",), ("table",))
         named = " ".join(x for g in NAMED.findall(m[3]) for x in g if x) if "=" in m[3] else ""
-        skip = node.skip or tag in NEVER or bool(named and tag not in ("html", "body", "article", "main") and UNLIKELY.search(named)) or bool(m[3] and HIDDEN.search(m[3]))
+        skip = node.skip or tag in NEVER or bool(named and tag not in ("html", "body", "article", "main") and UNLIKELY.search(BESIDE.sub("", named))) or bool(m[3] and HIDDEN.search(m[3]))
         if tag == "header" and not skip:
             up = node
             while up is not None and up.tag not in ("article", "main"):

@@ -227,7 +227,7 @@ def test_viterbi_is_the_best_segmentation_and_streams(piece_set):
 # ---------------------------------------------------------------- 7
 
 PAGE = """<html><head><title>T</title></head><body><header><a href=x>Home</a></header><div class="cookie-notice"><p>We use cookies, really, a lot of them, on this page.</p></div>
-<nav><ul><li>a<li>b</ul></nav><aside><p>aside text, long enough to score, is not wanted here</p></aside><div id="content"><article><h1>Head &amp; line</h1><p>First,   one
+<nav><ul><li>a<li>b</ul></nav><aside><p>aside text, long enough to score, is not wanted here</p></aside><div id="content" class="no-sidebar"><article><h1>Head &amp; line</h1><p>First,   one
 para.<script>var a="</p>";</script><p>Second <b>bold<br>text</b>, with&nbsp;more, and a <a href=y>link</a>.</p><ul><li>item one<li>item two</ul><form><p>Send, this, form</p></form></article>
 <div class="comments"><p>A reader, says, something, long and winding, that nobody asked for at all.</p></div></div><footer>&copy; x</footer></body></html>"""
 
