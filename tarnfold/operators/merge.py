@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,6 +60,10 @@ class Merged:
     untouched: DataFrame | None
     columns: list[str]
 
+    def stored(self) -> Merged:
+        """The same with its classified rows on the executors' disks, for more than one reader of the join."""
+        return replace(self, rows=self.rows.persist(StorageLevel.DISK_ONLY))
+
     @property
     def table(self) -> DataFrame:
         new = self.rows.filter("_new is not null").select("_new.*")

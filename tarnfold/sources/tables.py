@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tarnfold.operators.merge import Merged
+
 AUDIT = [T.StructField("insert_dte", T.TimestampType()), T.StructField("update_dte", T.TimestampType()), T.StructField("py_source", T.StringType())]
 
 
@@ -60,7 +62,9 @@ class Registry:
         return sorted(t.name for t in self.tables.values() if t.layer in layers and column in t.schema.fieldNames())
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.schema(self.tables[name].schema).parquet(f"{self.path(name)}/v{self.versions(name)[-1]}")
+        schema = self.tables[name].schema
+        # partition columns come last from the files
+        return self.spark.read.schema(schema).parquet(f"{self.path(name)}/v{self.versions(name)[-1]}").select(schema.fieldNames())
 
     def overwrite(self, name: str, df: DataFrame) -> None:
         """A new snapshot with the declared types and order. Null checks are made here: parquet makes none."""
@@ -75,6 +79,25 @@ class Registry:
             df = df.withColumn(must[0], check.cast(table.schema[must[0]].dataType))
         self._write(table, df, (self.versions(name) or [-1])[-1] + 1)
 
+    def commit(self, name: str, merged: Merged) -> dict[tuple[str, str], int]:
+        """A merge's result as the next snapshot, its change feed beside it, and its counts by change and clause.
+
+        The feed is written first: a snapshot without its feed never shows.
+        """
+        merged = merged.stored()
+        version = (self.versions(name) or [-1])[-1] + 1
+        try:
+            merged.changes.write.mode("overwrite").parquet(f"{self.path(name)}_changes/v{version}")
+            counts = {(r["change"], r["logic_block"]): r["n_rows"] for r in merged.metrics.collect()}  # a row a clause
+            self.overwrite(name, merged.table)
+        finally:
+            merged.rows.unpersist()
+        return counts
+
+    def changes(self, name: str, version: int) -> DataFrame:
+        """The change feed that led to a snapshot."""
+        return self.spark.read.parquet(f"{self.path(name)}_changes/v{version}")
+
     def _write(self, table: Table, df: DataFrame, version: int) -> None:
         df = laid_out(df, table.cluster_by)
         df.write.mode("overwrite").partitionBy(*table.partition_by).parquet(f"{self.path(table.name)}/v{version}")

@@ -174,6 +174,18 @@ def test_registry_snapshots_and_null_checks(spark, tmp_path):
     assert registry.read("things").count() == 2
 
 
+def test_commit_writes_snapshot_feed_and_counts(spark, tmp_path):
+    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("v", T.StringType())])
+    registry = Registry(spark, str(tmp_path))
+    registry.declare(Table("gold", "g", schema, ("k",), partition_by=("k",)))
+    registry.overwrite("g", table(spark, "k int, v string", (1, "a"), (2, "b")))
+    merged = M.merge(registry.read("g"), table(spark, "k int, v string", (1, "x"), (3, "c")), ["k"], [M.Update({"v": lambda t, s: s("v")})], [M.Insert()], [M.Delete()])
+    assert registry.commit("g", merged) == {("updated", "update"): 1, ("inserted", "insert"): 1, ("deleted", "delete"): 1}
+    assert as_set(registry.read("g")) == {(1, "x"), (3, "c")}
+    feed = {(r._change_type, r.k, r.v) for r in registry.changes("g", registry.versions("g")[-1]).collect()}
+    assert feed == {("update_preimage", 1, "a"), ("update_postimage", 1, "x"), ("insert", 3, "c"), ("delete", 2, "b")}
+
+
 def test_stream_merges_and_replays_change_nothing(spark, tmp_path):
     schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("v", T.StringType()), T.StructField("at", T.IntegerType())])
     registry = Registry(spark, str(tmp_path / "tables"))
