@@ -1,6 +1,8 @@
 """Registered queries: each applies operators of the library to whole tables, with its SQL beside it.
 
-Games are orders, teams customers, events line items; payloads are made of them with to_json.
+Games are orders, teams customers, events line items; payloads are made of them with to_json. A
+merge needs a stored and an incoming side that differ: remainders of ids decide which rows of the
+table are on which side, changed, or gone. They thin nothing out; every row of a table takes part.
 """
 
 from __future__ import annotations
