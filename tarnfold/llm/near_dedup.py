@@ -159,19 +159,15 @@ def _linked(share: int, of: int):
     return run
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, sizes: DataFrame, words: int, share: int = 80, of: int = 100) -> DataFrame | None:
+def confirmed(pairs: DataFrame, docs: DataFrame, words: int, share: int = 80, of: int = 100) -> DataFrame | None:
     """The pairs (a, b) of document ids whose whole sets have of * intersection >= share * union.
 
-    Only pairs whose set sizes allow it fetch their sets; only the documents in such pairs are read
-    again. sizes: rep, n. None if there is no such pair.
+    Only the documents in pairs are read again. None if there is no pair.
     """
-    a, b = sizes.select(F.col("rep").alias("a"), F.col("n").alias("na")), sizes.select(F.col("rep").alias("b"), F.col("n").alias("nb"))
-    fitting = cut(pairs.join(a, "a").join(b, "b").filter(of * F.least("na", "nb") >= share * F.greatest("na", "nb")).select("a", "b").distinct())
-    wanted = fitting.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    if fitting.isEmpty():
+    if pairs.isEmpty():
         return None
-    sets = cut(_sets(only(docs, wanted), words))
-    both = fitting.join(sets.select(F.col("rep").alias("a"), F.col("members").alias("ma")), "a").join(sets.select(F.col("rep").alias("b"), F.col("members").alias("mb")), "b")
+    sets = cut(_sets(only(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()), words))
+    both = pairs.join(sets.select(F.col("rep").alias("a"), F.col("members").alias("ma")), "a").join(sets.select(F.col("rep").alias("b"), F.col("members").alias("mb")), "b")
     return both.select("a", "b", "ma", "mb").mapInArrow(_linked(share, of), "a long, b long")
 
 
@@ -188,7 +184,7 @@ def components(edges: DataFrame) -> DataFrame:
         before = state
         ways = edges.union(edges.select(F.col("hi").alias("lo"), F.col("lo").alias("hi"))).toDF("u", "v")
         least = ways.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = ways.filter("v > u").join(least, "u").select(F.col("m").alias("lo"), F.col("v").alias("hi")).filter("lo < hi").distinct()
+        large = ways.filter("v > u").join(least, "u").select(F.col("m").alias("lo"), F.col("v").alias("hi")).filter("lo < hi")
         down = large.toDF("v", "u")
         least = down.groupBy("u").agg(F.min("v").alias("m"))
         small = down.join(least, "u").select("m", F.explode(F.array("u", "v")).alias("x")).filter("m < x").distinct()
@@ -197,31 +193,28 @@ def components(edges: DataFrame) -> DataFrame:
     return found.union(found.select(F.col("comp"), F.col("comp")).distinct())
 
 
-def _fold(comps: DataFrame, links: DataFrame | None) -> DataFrame:
-    """comps (rep, comp) after links (a, b) between reps."""
+def _fold(comps: DataFrame, links: DataFrame | None, single: bool = False) -> DataFrame:
+    """comps (rep, comp) after links (a, b) between reps. single: each rep is its own component so far."""
     if links is None:
         return comps
+    if single:
+        return cut(comps.select("rep").join(components(links).toDF("rep", "to"), "rep", "left").select("rep", F.coalesce("to", "rep").alias("comp")))
     a, b = comps.select(F.col("rep").alias("a"), F.col("comp").alias("ca")), comps.select(F.col("rep").alias("b"), F.col("comp").alias("cb"))
     between = links.join(a, "a").join(b, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")).filter("a != b")
     merged = components(between).select(F.col("node").alias("comp"), F.col("comp").alias("to"))
     return cut(comps.join(merged, "comp", "left").select("rep", F.coalesce("to", "comp").alias("comp")))
 
 
-def _spread(keys: DataFrame, comps: DataFrame) -> DataFrame:
-    """Rows (key, rep, comp) of the keys that more than one component shares."""
-    rows = keys.join(comps, "rep")
-    mixed = rows.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x != y").select("key")
-    return rows.join(mixed, "key", "left_semi")
-
+def _hubs(rows: DataFrame, hubs: int) -> DataFrame:
+    """For each row (key, rep, n) of keys that are shared: `hubs` members of its key, chosen by hashes."""
+    order = lambda salt: F.min(F.struct(F.xxhash64("rep", "key", F.lit(salt)).alias("o"), F.col("rep").alias("hub"), F.col("n").alias("hub_n")))
+    chosen = rows.groupBy("key").agg(F.array(*[order(i) for i in range(hubs)]).alias("h"))
+    return rows.join(chosen, "key").select("rep", "n", F.explode("h").alias("h")).select("rep", "n", "h.hub", "h.hub_n")
 
-def _hubs(rows: DataFrame, salt: int) -> DataFrame:
-    """One member of each key, chosen by a hash."""
-    order = F.struct(F.xxhash64("rep", "key", F.lit(salt)).alias("o"), F.col("rep").alias("hub"), F.col("comp").alias("hub_comp"))
-    return rows.groupBy("key").agg(F.min(order).alias("h")).select("key", "h.hub", "h.hub_comp")
 
-
-def _pair(a: Column, b: Column) -> list[Column]:
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+def _fit(a: str, b: str, share: int, of: int) -> Column:
+    """Whether sets of these sizes can be similar enough."""
+    return of * F.least(a, b) >= share * F.greatest(a, b)
 
 
 def _near(scheme: Scheme, floor: float, left, right) -> Iterator[tuple[int, np.ndarray]]:
@@ -320,14 +313,13 @@ def _pairs(a: list, b: list):
     return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, share: int = 80, of: int = 100, scheme: Scheme | None = None, rounds: int = 2, block: int = 2048, set_bytes: int = 32 << 20) -> DataFrame:
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, share: int = 80, of: int = 100, scheme: Scheme | None = None, hubs: int = 2, block: int = 2048, set_bytes: int = 32 << 20) -> DataFrame:
     """Components of documents whose shingle sets have a Jaccard similarity of share / of or more.
 
     1. One pass makes whole-text shingle sets, b-bit signatures and index keys (see Scheme).
        Documents with the same set fall into one class; only its smallest doc_id goes on.
-    2. Of each key, all members are paired with one hub; pairs are confirmed on whole sets and
-       folded into components. `rounds` rounds with other hubs follow, over keys that more than
-       one component still shares, so a group of copies costs its size and not its square.
+    2. Of each key, all members are paired with `hubs` hubs; pairs are confirmed on whole sets and
+       folded into components, so a group of copies costs its size and not its square.
     3. What is left, members of one key in different components, is compared exhaustively, in
        blocks of `block` rows on either side by signatures; where those do not rule out the
        threshold by four standard errors, on whole sets, in blocks of `set_bytes`, which give out
@@ -346,32 +338,29 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     some = signed.filter("keys is not null and doc_id is not null")
     classes = some.groupBy("n_shingles", "h1", "h2").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("keys").alias("keys"))
     reps = cut(classes)
-    sizes = reps.select("rep", F.col("n_shingles").alias("n"))
-    exploded = reps.select("rep", F.explode("keys").alias("key"))
+    exploded = reps.select("rep", F.col("n_shingles").alias("n"), F.explode("keys").alias("key"))
     shared = exploded.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key")
     keys = cut(exploded.join(shared, "key", "left_semi"))
 
-    comps, asked = reps.select("rep", F.col("rep").alias("comp")).distinct(), None
-    for salt in range(rounds):
-        rows = _spread(keys, comps) if salt else keys.withColumn("comp", F.col("rep"))
-        pairs = rows.join(_hubs(rows, salt), "key").filter("comp != hub_comp").select(*_pair(F.col("rep"), F.col("hub"))).distinct()
-        pairs = cut(pairs if asked is None else pairs.join(asked, ["a", "b"], "left_anti"))
-        asked = pairs if asked is None else asked.union(pairs)
-        comps = _fold(comps, confirmed(pairs, source, sizes, words, share, of))
+    pairs = _hubs(keys, hubs).filter((F.col("rep") != F.col("hub")) & _fit("n", "hub_n", share, of))
+    asked = cut(pairs.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct())
+    comps = _fold(reps.select("rep", F.col("rep").alias("comp")).distinct(), confirmed(asked, source, words, share, of), single=True)
 
     jaccard = share / of
     floor = jaccard - 4 * (jaccard * (1 - jaccard) / scheme.symbols) ** 0.5
-    rows = _spread(keys, comps)
-    counted = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c"))
-    rows = cut(rows.join(counted, "key").filter("c > 2"))  # of two members the hub was one
-    few = rows.filter(F.col("c") <= FEW).select("key", "rep", "comp")
-    by_join = few.join(few.toDF("key", "other", "other_comp"), "key").filter("rep < other and comp != other_comp").select(F.col("rep").alias("a"), F.col("other").alias("b"))
+    rows = keys.join(comps, "rep")
+    # of two members the hub was one
+    mixed = rows.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("c")).filter("x != y and c > 2").select("key", "c")
+    rows = cut(rows.join(mixed, "key").select("key", "rep", "n", "comp", "c"))
+    few = rows.filter(F.col("c") <= FEW).drop("c")
+    by_join = few.join(few.toDF("key", "other", "other_n", "other_comp"), "key").filter((F.col("rep") < F.col("other")) & (F.col("comp") != F.col("other_comp")) & _fit("n", "other_n", share, of))
+    by_join = by_join.select(F.col("rep").alias("a"), F.col("other").alias("b")).distinct()
     many = rows.filter(F.col("c") > FEW).select("key", "rep", "comp").join(reps.select("rep", "sig"), "rep").select("key", "rep", "comp", "sig")
     maybe = cut(_in_blocks(many, block, _maybe(scheme, floor), "key long, rep long").distinct())
     sets = _sets(only(source, maybe.select(F.col("rep").alias("doc_id")).distinct()), words)
     whole = many.join(maybe, ["key", "rep"], "left_semi").join(sets, "rep").select("key", "rep", "comp", "sig", "members")
     links = _in_blocks(whole, set_bytes, _exact(scheme, floor, share, of), "a long, b long", F.octet_length("members"))
-    some = confirmed(cut(by_join.distinct().join(asked, ["a", "b"], "left_anti")), source, sizes, words, share, of)
+    some = confirmed(cut(by_join.join(asked, ["a", "b"], "left_anti")), source, words, share, of)
     comps = _fold(comps, cut(links if some is None else links.union(some)))
 
     known = reps.select("n_shingles", "h1", "h2", "rep").join(comps, "rep").select("n_shingles", "h1", "h2", "comp")
