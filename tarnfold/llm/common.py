@@ -30,6 +30,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Documents that go to a Python worker at a time. At Spark's default of 10,000 a batch of whole
+#: documents takes some hundred MB in the JVM and the worker.
+BATCH_ROWS = 1000
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """df, after the session's Arrow batches have been limited to BATCH_ROWS rows (lower settings stay)."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return df
+
+
 def first_row_key() -> int:
     """Start of this task's own range of row keys: no two tasks of a stage share one."""
     context = TaskContext.get()

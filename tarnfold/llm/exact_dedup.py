@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarnfold.llm.common import cut, first_row_key
+from tarnfold.llm.common import cut, first_row_key, in_small_batches
 
 #: Naming buckets. A name is a bucket's number and a rank in it, so names need no global sort.
 BUCKETS = 1 << 16
@@ -80,7 +80,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     table gives an empty result; further columns are dropped.
     Returns doc_id, keep_id, group_size, kept, text_sha256, and row, a key of the input row.
     """
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    source = in_small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     places = source.mapInArrow(_blocks(block_bytes), "block binary, row array<long>, doc_id array<long>, pos array<int>, n array<int>, sha array<string>")
     named = _named(places, "block").select("name", F.inline(F.arrays_zip("row", "doc_id", "pos", "n", "sha")))
     blocks = cut(named)

@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarnfold.llm.common import in_small_batches
+
 # Element names by their part in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
@@ -220,4 +222,4 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     columns = [F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")]
-    return pages.select(*columns).mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return in_small_batches(pages).select(*columns).mapInArrow(run, "page_id long, url string, text string, n_chars long")

@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarnfold.llm.common import in_small_batches
+
 #: Hashed n-grams of 1 to 3 bytes of the lower-cased text.
 FEATURES = 1 << 13
 ASCII_LETTER = re.compile(rb"[A-Za-z]")
@@ -96,7 +98,7 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", smo
     alike however many rows they have. None if there is no labelled text.
     """
     rows = (
-        labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+        in_small_batches(labelled).filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
         .select(F.col(lang_col).alias("lang"), F.col(text_col).cast("binary").alias("text"))
         .mapInArrow(_count, "lang string, counts array<long>")
         .select("lang", F.posexplode("counts").alias("k", "c"))
@@ -148,7 +150,7 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
                 names=["doc_id", "lang_pred", "score", "ambiguous"],
             )
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, "doc_id long, lang_pred string, score double, ambiguous boolean")
+    return in_small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, "doc_id long, lang_pred string, score double, ambiguous boolean")
 
 
 def keep_identified(docs: DataFrame, model: Model | None, text_col: str = "text", judged_from: int = 200) -> DataFrame:
@@ -172,7 +174,7 @@ def keep_identified(docs: DataFrame, model: Model | None, text_col: str = "text"
             keep = [good(None if t is None else t.encode("utf-8", "replace")) for t in (x.as_py() for x in batch.column(at))]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return in_small_batches(docs).mapInArrow(run, docs.schema)
 
 
 def held_out(id_col: str = "doc_id"):

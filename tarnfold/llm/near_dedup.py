@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarnfold.llm.common import cut
+from tarnfold.llm.common import cut, in_small_batches
 
 _RNG = np.random.default_rng(20)
 #: A random number for each byte, and an odd multiplier with its inverse (modulo 2**64).
@@ -332,7 +332,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Returns doc_id, n_shingles, component_id, kept.
     """
     scheme = scheme or Scheme()
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    source = in_small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     signed = cut(signatures(source, words, scheme))
 
     some = signed.filter("keys is not null and doc_id is not null")

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarnfold.llm.common import first_row_key
+from tarnfold.llm.common import first_row_key, in_small_batches
 
 TIERS = (1024, 512, 256, 128)
 SPECIAL = "<|endoftext|>"
@@ -25,7 +25,7 @@ WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[0-9]+| ?[^\s{_L}0-9]+
 class WordEncoder:
     """Ids of texts as little-endian unsigned 32-bit bytes; words that come again are looked up."""
 
-    def __init__(self, path: str, remember: int = 600_000):
+    def __init__(self, path: str, remember: int = 300_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -135,7 +135,7 @@ def pack_block(pieces: list[Piece], tiers: tuple[int, ...] = TIERS) -> Iterator[
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, tier int, step long"
 
 
-def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", block_tokens: int = 2_000_000, step_tokens: int = 1 << 16, tiers: tuple[int, ...] = TIERS) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", block_tokens: int = 1_000_000, step_tokens: int = 1 << 16, tiers: tuple[int, ...] = TIERS) -> DataFrame:
     """Pieces of all documents, each at its place in a sequence of at most tiers[0] ids.
 
     A document's ids are those of the tokenizer at `tokenizer_path` and then 0. Each task packs its
@@ -180,4 +180,4 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
         if block:
             yield out()
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, SCHEMA)
+    return in_small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, SCHEMA)

@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarnfold.llm.common import in_small_batches
+
 BLANK = "▁"
 
 
@@ -172,7 +174,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
                 ids = [None if t.as_py() is None else encoder(t.as_py()) for t in part.column(1)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, ids array<int>")
+    return in_small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, model_path: str) -> DataFrame:
@@ -207,4 +209,4 @@ def digest(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]], names=["doc_id", "n_ids", "ids_crc32", "decoded_sha256", "round_trip"])
 
     schema = "doc_id long, n_ids long, ids_crc32 long, decoded_sha256 string, round_trip boolean"
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    return in_small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
