@@ -38,10 +38,8 @@ class Pieces:
                 self.score[i] = model.get_score(i)
                 self.text[i] = piece.replace(BLANK, " ").encode()
         self.longest = max(map(len, self.id_of), default=1)
-        #: Longest piece that begins with two given characters, so that no longer one is tried.
-        self.reach: dict[str, int] = {}
-        for p in self.id_of:
-            self.reach[p[:2]] = max(self.reach.get(p[:2], 1), len(p))
+        #: Id of each beginning of a piece, -1 if it isn't one itself: no text is tried beyond the last of these.
+        self.prefix: dict[str, int] = {p[:n]: -1 for p in self.id_of for n in range(1, len(p))} | self.id_of
         #: Cost of a byte: dearer than any piece.
         self.byte_score = min([s for s in self.score if s] or [-1.0]) * 2 - 10
         #: Whether text may be cut in front of each run of blanks that follows something else.
@@ -65,7 +63,7 @@ def viterbi_stream(pieces: Pieces, chars: str, keep: int = 64) -> Iterator[list[
     followed; where all of them meet in one boundary, the ids before it are given out and
     forgotten. Equal scores go to the piece that starts earlier, that is, the longer one.
     """
-    n, reach, id_of, score = len(chars), pieces.reach, pieces.id_of, pieces.score
+    n, prefix, id_of, score = len(chars), pieces.prefix.get, pieces.id_of, pieces.score
     best: dict[int, float] = {0: 0.0}
     back: dict[int, tuple[int, int]] = {}  # boundary: where its last piece starts, its id (-1: bytes)
     done = 0
@@ -84,12 +82,14 @@ def viterbi_stream(pieces: Pieces, chars: str, keep: int = 64) -> Iterator[list[
         value, i = (here + score[single], single) if single is not None else (here + pieces.byte_score * len(chars[at].encode("utf-8", "replace")), -1)
         if value > best.get(at + 1, -np.inf):
             best[at + 1], back[at + 1] = value, (at, i)
-        for size in range(2, min(reach.get(chars[at : at + 2], 1), n - at) + 1):
-            i = id_of.get(chars[at : at + size])
-            if i is not None:
+        for end in range(at + 2, n + 1):
+            i = prefix(chars[at:end])
+            if i is None:
+                break
+            if i >= 0:
                 value = here + score[i]
-                if value > best.get(at + size, -np.inf):
-                    best[at + size], back[at + size] = value, (at, i)
+                if value > best.get(end, -np.inf):
+                    best[end], back[end] = value, (at, i)
         del best[at]
         if (at + 1) % keep == 0 and at + 1 < n:
             alive = set(best)
@@ -113,28 +113,35 @@ class Encoder:
     def __init__(self, pieces: Pieces, remember: int = 400_000):
         self.pieces, self.remember, self.known = pieces, remember, {}
 
-    def _word(self, word: str) -> np.ndarray:
-        return np.array([i for part in viterbi_stream(self.pieces, word) for i in part], np.int32)
+    def _word(self, word: str) -> bytes:
+        return np.array([i for part in viterbi_stream(self.pieces, word) for i in part], "<i4").tobytes()
+
+    def _of(self, words: list[str]) -> list[bytes]:
+        known = self.known
+        try:
+            return [known[w] for w in words]
+        except KeyError:
+            pass
+        out = []
+        for word in words:
+            ids = known.get(word)
+            if ids is None:
+                ids = self._word(word.replace(" ", BLANK))
+                if len(word) <= 64:
+                    if len(known) >= self.remember:
+                        known.clear()
+                    known[word] = ids
+            out.append(ids)
+        return out
 
     def __call__(self, text: str) -> np.ndarray:
-        out: list[np.ndarray] = []
+        out: list[bytes] = []
         # the blank mark itself must not read as a space
         for k, part in enumerate((" " + text).split(BLANK)):
             if k:
-                out.append(np.array(self.pieces.fallback(BLANK), np.int32))
-            if not self.pieces.cuts_at_blanks:
-                out.append(self._word(part.replace(" ", BLANK)))
-                continue
-            for word in _words(part):
-                ids = self.known.get(word)
-                if ids is None:
-                    ids = self._word(word.replace(" ", BLANK))
-                    if len(word) <= 64:
-                        if len(self.known) >= self.remember:
-                            self.known.clear()
-                        self.known[word] = ids
-                out.append(ids)
-        return np.concatenate(out) if out else np.empty(0, np.int32)
+                out.append(np.array(self.pieces.fallback(BLANK), "<i4").tobytes())
+            out += self._of(_words(part)) if self.pieces.cuts_at_blanks else [self._word(part.replace(" ", BLANK))]
+        return np.frombuffer(b"".join(out), "<i4")
 
 
 def _words(text: str) -> list[str]:
