@@ -178,26 +178,30 @@ class Gru:
             grads["ww"], grads["bw"] = np.zeros_like(self.p["ww"]), np.zeros_like(self.p["bw"])
             back = d @ self.p["wc"].T
         order = np.argsort(cls, kind="stable")
-        stops = np.cumsum(np.bincount(cls, minlength=WORD_CLASSES + SHAPES))
-        for k in range(WORD_CLASSES):
-            at = order[(stops[k - 1] if k else 0) : stops[k]]
-            if not len(at):
-                continue
-            s, word = states[at], targets[at] % CLASS_WORDS
-            l = s @ self.p["ww"][k] + self.p["bw"][k]
-            l -= l.max(axis=1, keepdims=True)
-            e = np.exp(l)
-            total = e.sum(axis=1)
-            one = np.arange(len(at))
-            inside = l[one, word] - np.log(total)
-            if grads is None:
-                inside = np.log(0.9 * np.exp(inside) + 0.1 * self.word_share[targets[at]])
-            out[at] += inside
-            if grads is not None:
-                d = e / total[:, None]
-                d[one, word] -= 1
-                grads["ww"][k], grads["bw"][k] = s.T @ d, d.sum(axis=0)
-                back[at] += d @ self.p["ww"][k].T
+        stops = np.cumsum(np.bincount(cls, minlength=WORD_CLASSES + SHAPES)).tolist()
+        order = order[: stops[WORD_CLASSES - 1]]  # those of the model's own words, class by class
+        runs = [(k, i, j) for k, i, j in zip(range(WORD_CLASSES), [0, *stops], stops) if i < j]
+        s, word, one = states[order], targets[order] % CLASS_WORDS, np.arange(len(order))
+        l = self.p["bw"][cls[order]]
+        for k, i, j in runs:
+            l[i:j] += s[i:j] @ self.p["ww"][k]
+        l -= l.max(axis=1, keepdims=True)
+        inside = l[one, word]
+        e = np.exp(l, out=l)
+        total = e.sum(axis=1)
+        inside = inside - np.log(total)
+        if grads is None:
+            inside = np.log(0.9 * np.exp(inside) + 0.1 * self.word_share[targets[order]])
+        out[order] += inside
+        if grads is not None:
+            e /= total[:, None]
+            e[one, word] -= 1
+            flow = np.empty_like(s)
+            for k, i, j in runs:
+                d = e[i:j]
+                grads["ww"][k], grads["bw"][k] = s[i:j].T @ d, d.sum(axis=0)
+                flow[i:j] = d @ self.p["ww"][k].T
+            back[order] += flow
         return out, back
 
     def train(self, stream: np.ndarray, end: int, streams: int = 128, window: int = 16, rate: float = 0.05, least_updates: int = 200, most_epochs: int = 10) -> int:
@@ -240,10 +244,10 @@ class Gru:
                     row_grads.append(np.concatenate([dz, dr, dc], axis=1))
                     dh = (dh * z + pre @ self.p["u"].T) * (s != end)[:, None]
                 scale = 1.0 / targets.size
-                used, where = np.unique(np.concatenate(rows), return_inverse=True)
-                gx = np.zeros((len(used), 3 * HIDDEN), np.float32)
-                np.add.at(gx, where, np.concatenate(row_grads))
-                gx *= scale
+                row = np.concatenate(rows)
+                by_symbol = np.argsort(row, kind="stable")
+                used, first = np.unique(row[by_symbol], return_index=True)
+                gx = np.add.reduceat(np.concatenate(row_grads)[by_symbol], first, axis=0) * np.float32(scale)
                 square["x"][used] += gx * gx
                 self.p["x"][used] -= rate * gx / np.sqrt(square["x"][used])
                 for k in ("u", "wc", "bc", "ww", "bw"):
@@ -291,17 +295,16 @@ def _symbols(vocabulary: Vocabulary, words: list[bytes]) -> tuple[np.ndarray, np
     return at, symbols
 
 
-def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = 2, share: int = 12, task_tokens: int = 4_000_000, fan_in: int = 64) -> Gru:
+def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = 2, task_tokens: int = 4_000_000, fan_in: int = 64) -> Gru:
     """The model after `rounds` rounds of local training and averaging.
 
-    Gradient steps use one training document in `share`, by a hash of its id: a fixed part of the
-    corpus, so what is learned from grows with it; counts and the vocabulary come from all
-    documents. In a round each task trains a copy on its own documents, in pieces of `task_tokens`;
-    copies are averaged by their tokens, `fan_in` at a time, so neither a task nor the driver ever
-    holds more than one copy beside its sum, or the driver more than `fan_in`.
+    Gradient steps use all documents of docs, as the vocabulary does. In a round each task trains a
+    copy on its own documents, in pieces of `task_tokens`; copies are averaged by their tokens,
+    `fan_in` at a time, so neither a task nor the driver ever holds more than one copy beside its
+    sum, or the driver more than `fan_in`.
     """
     model = Gru(vocabulary)
-    part = docs.filter(F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(share)) == 0).select("text")
+    part = docs.select("text")
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(vocabulary)  # bounded by HEAD_WORDS and LONGEST_HEAD_WORD
     for _ in range(rounds):

@@ -270,6 +270,20 @@ def test_scores_match_brute_force_and_model_learns(spark, sf_dir):
     assert sum(r.score for r in got if r.held_out) > sum(r.base_score for r in got if r.held_out)
 
 
+def test_model_learns_from_every_training_document(spark):
+    # alike in all counts; one document's words stand in another order
+    def weights(turned):
+        rows = [(i, " ".join(("a b c d e f " * 4).split()[:: -1 if i == turned else 1])) for i in ids]
+        docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).select("doc_id", F.col("text").cast("binary").alias("text"))
+        return gru_scoring.train(docs, gru_scoring.vocabulary(gru_scoring.token_counts(docs))).flat()
+
+    ids = [1, 2, 3, 4, None]
+    plain = weights("none")
+    assert (weights("none") == plain).all()
+    for i in ids:
+        assert (weights(i) != plain).any(), i
+
+
 def test_model_gives_probabilities_that_sum_to_one():
     v = gru_scoring.Vocabulary({b"a": 0, b"b": 1, gru_scoring.END: 2}, np.array([5.0, 3.0, 2.0]), np.full(gru_scoring.SHAPES, 0.1), 10, 3)
     model = gru_scoring.Gru(v)
