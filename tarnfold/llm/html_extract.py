@@ -26,10 +26,14 @@ UNLIKELY = re.compile(
 )
 
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
-NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+#: An attribute: its name, and its value if there is one.
+ATTRIBUTE = re.compile(r"([^\s\"'=/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?|\"[^\"]*\"|'[^']*'")
 #: What a layout lacks or has beside it says nothing of the element itself.
 BESIDE = re.compile(r"\b(?:no|has|with|without)[-_][\w-]+", re.I)
-HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=/]|$)|display\s*:\s*none", re.I)
+UNSEEN = re.compile(r"display\s*:\s*none", re.I)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Containers that are left out beside the best one if they hold little but links.
+LISTS = frozenset("ul ol dl table div section center".split())
 SPACE = re.compile(r"\s+")
 
 
@@ -85,8 +89,9 @@ def parse(source: str) -> Node:
             close(("td", "th"), ("tr", "table"))
         elif tag == "tr":
             close(("tr",), ("table",))
-        named = " ".join(x for g in NAMED.findall(m[3]) for x in g if x) if "=" in m[3] else ""
-        skip = node.skip or tag in NEVER or bool(named and tag not in ("html", "body", "article", "main") and UNLIKELY.search(BESIDE.sub("", named))) or bool(m[3] and HIDDEN.search(m[3]))
+        attributes = {g[1].lower(): g[2] or g[3] or g[4] or "" for g in ATTRIBUTE.finditer(m[3]) if g[1]} if m[3] else {}
+        named = " ".join(attributes[x] for x in ("class", "id", "role") if attributes.get(x))
+        skip = node.skip or tag in NEVER or bool(named and tag not in ("html", "body", "article", "main") and UNLIKELY.search(BESIDE.sub("", named))) or "hidden" in attributes or bool(UNSEEN.search(attributes.get("style", "")))
         if tag == "header" and not skip:
             up = node
             while up is not None and up.tag not in ("article", "main"):
@@ -127,6 +132,20 @@ def _density(n: Node) -> float:
     return n.links / n.text if n.text else 0.0
 
 
+def _menu(n: Node) -> bool:
+    """A list or box of two links or more, mostly links and without a heading."""
+    if n.tag not in LISTS or _density(n) <= 0.5:
+        return False
+    links, stack = 0, [n]
+    while stack:
+        x = stack.pop()
+        if x.tag in HEADINGS:
+            return False
+        links += x.tag == "a"
+        stack.extend(y for y in x.parts if isinstance(y, Node) and not y.skip)
+    return links > 1
+
+
 def _flow(n: Node) -> str:
     """The text that lies in n itself or in inline elements of it."""
     out, stack = [], [n]
@@ -173,8 +192,10 @@ def extract(source: str | None) -> str:
     Each paragraph that is no menu, header, footer, form, advert, comment or the like (told by its
     element, or its class, id or role) gives a point, one for each comma, and up to three for its
     length to its parent, half of them to the grandparent, and a third of that further up. Points
-    shrink with the share of a container's text in links. The best container is kept, and with it
-    its siblings that have a fifth of its score or are paragraphs with few links.
+    shrink with the share of a container's text in links. The best container is kept whole, and with
+    it all else of the outermost article or main around it but lists of links, and the siblings of
+    that which hold an article, have a fifth of the best score or are paragraphs with few links.
+    Without an article or main around the best container, the whole page is kept in this way.
     """
     if not source:
         return ""
@@ -198,12 +219,35 @@ def extract(source: str | None) -> str:
     best = max(order, key=lambda n: n.score, default=None)
     if best is None or best.score <= 0:
         return "\n\n".join(_blocks([root]))
-    kept = [best]
-    if best.parent is not None:
+    around, up = None, best
+    while up is not None:
+        around, up = up if up.tag in ("article", "main") else around, up.parent
+    inside, stack = set(), [best]
+    while stack:
+        x = stack.pop()
+        inside.add(x)
+        stack.extend(y for y in x.parts if isinstance(y, Node) and not y.skip)
+    holders = set()
+    for n in order:
+        if n.tag in ("article", "main"):
+            while n is not None and n not in holders:
+                holders.add(n)
+                n = n.parent
+    up = best
+    above = set()
+    while up is not None:
+        above.add(up)
+        up = up.parent
+    for n in order:
+        if n not in inside and n not in above and _menu(n):
+            n.skip = True
+    if around is None:
+        kept = [root]
+    else:
         kept = [
             x
-            for x in best.parent.parts
-            if isinstance(x, Node) and not x.skip and (x is best or x.score >= max(10.0, 0.2 * best.score) or (x.tag == "p" and x.text > 80 and _density(x) < 0.25))
+            for x in around.parent.parts
+            if isinstance(x, Node) and not x.skip and (x is around or x in holders or x.score >= max(10.0, 0.2 * best.score) or (x.tag == "p" and x.text > 80 and _density(x) < 0.25))
         ]
     return "\n\n".join(_blocks(kept))
 

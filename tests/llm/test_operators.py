@@ -236,6 +236,23 @@ def test_main_text():
     assert html_extract.extract(PAGE) == "Head & line\n\nFirst, one para.\n\nSecond bold text, with more, and a link.\n\nitem one\n\nitem two"
 
 
+LONG = "".join(f"<p>Body {i}, with words, and more of them, so that this part scores best of all on the page.</p>" for i in range(12))
+BESIDE_BODY = f"<h1>Title</h1><div class=lead><p>A short lead</p></div><div class=body>{LONG}</div><ul><li>an item</ul><table><tr><td>cell</table><pre>code</pre><h2>End</h2><p>bye</p>"
+
+
+@pytest.mark.parametrize("around", ["<article>{}</article>", "<main><article>{}</article></main>", "<body><div>{}</div></body>", "<body>{}</body>"])
+def test_main_text_keeps_what_lies_beside_the_best_part(around):
+    menu = "<div><a href=1>one</a> <a href=2>two</a> <a href=3>three</a></div>"
+    got = html_extract.extract(around.format(BESIDE_BODY + menu)).split("\n\n")
+    assert got[:3] == ["Title", "A short lead", "Body 0, with words, and more of them, so that this part scores best of all on the page."]
+    assert got[14:] == ["an item", "cell", "code", "End", "bye"]
+
+
+def test_hidden_is_an_attribute():
+    page = "<article><p title='no hidden costs' data-id=menu>Shown, all</p><p data-x='display: none'>Also, this</p><p hidden>no</p><p style='display:none'>no</p></article>"
+    assert html_extract.extract(page) == "Shown, all\n\nAlso, this"
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<p", "<nav>x</nav>", "<!-- <p>x</p>", "<script>x", "<div><a href=x>only a link</a></div>"])
 def test_main_text_of_odd_pages(page):
     assert isinstance(html_extract.extract(page), str)
