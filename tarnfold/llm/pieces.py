@@ -37,6 +37,8 @@ class Pieces:
                 self.id_of[piece] = i
                 self.score[i] = model.get_score(i)
                 self.text[i] = piece.replace(BLANK, " ").encode()
+        #: Whether scores are minus the ranks of a BPE model's merges and not log probabilities.
+        self.by_rank = all(self.score[i] == int(self.score[i]) for i in self.id_of.values())
         self.longest = max(map(len, self.id_of), default=1)
         #: Id of each beginning of a piece, -1 if it isn't one itself: no text is tried beyond the last of these.
         self.prefix: dict[str, int] = {p[:n]: -1 for p in self.id_of for n in range(1, len(p))} | self.id_of
@@ -107,14 +109,98 @@ def viterbi_stream(pieces: Pieces, chars: str, keep: int = 64) -> Iterator[list[
         yield ids(n)
 
 
+class Merges:
+    """Which pieces may stand side by side in the encoding of a BPE model: merging their joint text gives back the two."""
+
+    def __init__(self, pieces: Pieces, remember: int = 1_000_000):
+        self.pieces, self.remember, self.known = pieces, remember, {}
+
+    def merge(self, chars: str) -> list[str]:
+        """The best-scoring piece that two neighbours make is merged, the leftmost of equal ones, until none is left."""
+        id_of, score, parts = self.pieces.id_of.get, self.pieces.score, list(chars)
+        while len(parts) > 1:
+            best, where = -np.inf, -1
+            for k in range(len(parts) - 1):
+                i = id_of(parts[k] + parts[k + 1])
+                if i is not None and score[i] > best:
+                    best, where = score[i], k
+            if where < 0:
+                break
+            parts[where : where + 2] = [parts[where] + parts[where + 1]]
+        return parts
+
+    def beside(self, left: str, right: str) -> bool:
+        pair = (left, right)
+        found = self.known.get(pair)
+        if found is None:
+            if len(self.known) >= self.remember:
+                self.known.clear()
+            found = self.known[pair] = self.merge(left + right) == [left, right]
+        return found
+
+
+def merged_stream(pieces: Pieces, merges: Merges, chars: str, keep: int = 64) -> Iterator[list[int]]:
+    """Ids that merging by rank gives chars, in parts, as soon as they are certain.
+
+    viterbi_stream with a cost of 0 for a piece that may follow the last one of the text before it,
+    and none that is finite for others: one last piece at each boundary remains, as each beginning
+    of a text has one encoding. The window and the early ends are those of viterbi_stream.
+    """
+    n, prefix, beside = len(chars), pieces.prefix.get, merges.beside
+    last: dict[int, str] = {0: ""}  # boundary: the last piece before it
+    back: dict[int, tuple[int, int]] = {}  # boundary: where its last piece starts, its id (-1: bytes)
+    done = 0
+
+    def ids(stop: int) -> list[int]:
+        out: list[list[int]] = []
+        while stop > done:
+            start, i = back[stop]
+            out.append(pieces.fallback(chars[start]) if i < 0 else [i])
+            stop = start
+        return [i for part in reversed(out) for i in part]
+
+    for at in range(n):
+        left = last.pop(at, None)
+        if left is not None:
+            for end in range(at + 1, n + 1):
+                piece = chars[at:end]
+                i = prefix(piece)
+                if end == at + 1 and (i is None or i < 0):
+                    ok, i = True, -1 if i is None else i
+                elif i is None:
+                    break
+                else:
+                    ok = i >= 0
+                if ok and (not left or beside(left, piece)):
+                    last[end], back[end] = piece, (at, i)
+                if end == at + 1 and prefix(piece) is None:
+                    break
+        if (at + 1) % keep == 0 and at + 1 < n:
+            alive = set(last)
+            while len(alive) > 1:
+                end = max(alive)
+                alive.remove(end)
+                alive.add(max(back[end][0], done))
+            meet = alive.pop()
+            if meet > done:
+                yield ids(meet)
+                for b in range(done + 1, meet + 1):
+                    back.pop(b, None)
+                done = meet
+    if n > done:
+        yield ids(n)
+
+
 class Encoder:
     """Ids of whole texts. A blank opens each text; a literal blank mark goes as bytes."""
 
     def __init__(self, pieces: Pieces, remember: int = 400_000):
         self.pieces, self.remember, self.known = pieces, remember, {}
+        self.merges = Merges(pieces) if pieces.by_rank else None
 
     def _word(self, word: str) -> bytes:
-        return np.array([i for part in viterbi_stream(self.pieces, word) for i in part], "<i4").tobytes()
+        stream = viterbi_stream(self.pieces, word) if self.merges is None else merged_stream(self.pieces, self.merges, word)
+        return np.array([i for part in stream for i in part], "<i4").tobytes()
 
     def _of(self, words: list[str]) -> list[bytes]:
         known = self.known
@@ -166,8 +252,8 @@ def _encoder(path: str) -> Encoder:
 def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and ids of every whole text, one narrow pass.
 
-    The best-scoring segmentation under the pieces' scores is found by viterbi_stream; where no
-    piece runs across the end of a word the stream is cut there, and words that come again are
+    A BPE model's merges are followed by merged_stream; of other models the best-scoring
+    segmentation under the pieces' scores is found by viterbi_stream. Where no piece runs across the end of a word the stream is cut there, and words that come again are
     looked up. Defined cases: a null text has null ids; an empty one has the blank's id alone;
     characters without a piece go as bytes; repeated rows give repeated rows; an empty table gives
     an empty result; further columns are dropped.

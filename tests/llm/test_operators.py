@@ -224,6 +224,20 @@ def test_viterbi_is_the_best_segmentation_and_streams(piece_set):
         assert ids == [i for p in pieces.viterbi_stream(piece_set, text, keep=5) for i in p]
 
 
+def test_ids_are_the_models(piece_set, spark, sf_dir):
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    encode, rng = pieces.Encoder(piece_set), random.Random(4)
+    odd = ["a des des", "the" * 200, "".join(rng.choice("abcdefghei") for _ in range(3000)), "e" * 1000, "中文🙂 ü", "x  y   z", "can't\n\nstop"]
+    for text in odd + [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").limit(150).collect() if r.text]:
+        assert encode(text).tolist() == model.encode(text), text[:80]
+    merges = pieces.Merges(piece_set)
+    text = "".join(rng.choice("abcdefgh▁ei") for _ in range(3000))
+    parts = list(pieces.merged_stream(piece_set, merges, text))
+    assert len(parts) > 10 and [i for p in parts for i in p] == [i for p in pieces.merged_stream(piece_set, merges, text, keep=5) for i in p]
+
+
 # ---------------------------------------------------------------- 7
 
 PAGE = """<html><head><title>T</title></head><body><header><a href=x>Home</a></header><div class="cookie-notice"><p>We use cookies, really, a lot of them, on this page.</p></div>
