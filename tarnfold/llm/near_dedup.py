@@ -23,8 +23,12 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 #: Of so many document ids at most a broadcast is made.
 BROADCAST_IDS = 2_000_000
-#: Keys with so many members at most are compared by a join, larger ones in blocks.
-FEW = 16
+#: Rows of ids that one task takes in the steps between (they hold no texts).
+TASK_ROWS = 250_000
+#: Bits of the sketch that bounds how many shingles two sets can share.
+SKETCH_BITS = 4096
+#: Whole sets leave a Python worker in batches of about so many bytes.
+BATCH_BYTES = 8 << 20
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -74,22 +78,25 @@ class Shingler:
 
 
 class Scheme:
-    """A signature of `chunks` x `chunk` index symbols, then further ones, of 16 bits each.
-
-    The b-bit symbols are MinHash minima's low bits. The index symbols are split into chunks. By
-    the pigeonhole principle two signatures that differ in at most chunks * (errors + 1) - 1 index
-    symbols agree in all but `errors` symbols of some chunk, so keys made of a chunk's symbols
-    without each choice of `errors` of them bring every such pair together. With 5 chunks of 4 and
-    one error that is any distance up to 9 of 20; documents with a similarity of 0.8 miss each
-    other in all five chunks with a probability of 0.0002.
+    """A signature of `chunks` chunks, each a 64-bit number that holds four b-bit symbols (b = 16).
+
+    The symbols are low bits of MinHash minima. By the pigeonhole principle two signatures that
+    differ in at most chunks * (errors + 1) - 1 symbols have a chunk in which at most `errors` of
+    the four differ. The index enumerates the choices of `errors` symbols of a chunk; a chunk with
+    the chosen ones blanked out is a key, so every such pair meets under one. With 5 chunks and one
+    error that is any distance up to 9 of 20; documents with a similarity of 0.8 miss each other in
+    all five chunks with a probability of 0.0002.
     """
 
-    def __init__(self, chunks: int = 5, chunk: int = 4, errors: int = 1, symbols: int = 64):
-        self.chunks, self.chunk, self.errors, self.symbols = chunks, chunk, errors, symbols
+    SYMBOLS = 4
+
+    def __init__(self, chunks: int = 5, errors: int = 1):
+        self.chunks, self.symbols = chunks, chunks * self.SYMBOLS
         rng = np.random.default_rng(4)
-        self.xor = rng.integers(0, 1 << 32, symbols, dtype=np.uint32)
-        self.by = rng.integers(0, 1 << 32, symbols, dtype=np.uint32) | np.uint32(1)
-        self.choices = [(c, tuple(c * chunk + i for i in kept)) for c in range(chunks) for kept in combinations(range(chunk), chunk - errors)]
+        self.xor = rng.integers(0, 1 << 32, self.symbols, dtype=np.uint32)
+        self.by = rng.integers(0, 1 << 32, self.symbols, dtype=np.uint32) | np.uint32(1)
+        #: (chunk, mask of the symbols that count) of each choice.
+        self.choices = [(c, sum(0xFFFF << (16 * i) for i in kept)) for c in range(chunks) for kept in combinations(range(self.SYMBOLS), self.SYMBOLS - errors)]
 
     def signature(self, shingles: np.ndarray) -> np.ndarray:
         h = (shingles >> np.uint64(16)).astype(np.uint32)
@@ -98,52 +105,86 @@ class Scheme:
             x = (h ^ self.xor[i]) * self.by[i]
             out[i] = (x ^ (x >> np.uint32(15))).min()
         # the minima are small numbers: their bits are mixed before the low 16 are kept
-        return ((out * np.uint32(0x85EBCA6B)) >> np.uint32(16)).astype(np.uint16)
+        return ((out * np.uint32(0x85EBCA6B)) >> np.uint32(16)).astype("<u2").view(np.int64)
+
+    def columns(self) -> list[str]:
+        return [f"s{c}" for c in range(self.chunks)]
+
+    def keys(self) -> Column:
+        """SQL: an array of (choice, key) of a row with the signature's columns."""
+        signed = lambda mask: mask - (1 << 64) if mask >> 63 else mask
+        return F.array(*[F.struct(F.lit(n).alias("choice"), F.col(f"s{c}").bitwiseAND(F.lit(signed(mask)).cast("long")).alias("key")) for n, (c, mask) in enumerate(self.choices)])
+
+    def first_shared(self, difference: np.ndarray) -> np.ndarray:
+        """Of rows of chunk-wise differences (XOR): the first choice under which a pair meets, or -1."""
+        out = np.full(len(difference), -1)
+        for n in range(len(self.choices) - 1, -1, -1):
+            c, mask = self.choices[n]
+            out[(difference[:, c] & np.uint64(mask)) == 0] = n
+        return out
 
-    @staticmethod
-    def key(symbols: np.ndarray, n: int) -> np.ndarray:
-        out = np.full(len(symbols), n + 1, np.uint64)
-        for i in range(symbols.shape[1]):
-            out = _mix(out * np.uint64(ODD) + symbols[:, i])
-        return out.view(np.int64)
+
+def sketch(shingles: np.ndarray) -> bytes:
+    """A bit for each shingle, by its hash. A union has at least as many shingles as both sketches have bits together."""
+    bits = np.zeros(SKETCH_BITS, bool)
+    bits[shingles & np.uint64(SKETCH_BITS - 1)] = True
+    return np.packbits(bits).tobytes()
 
 
 def signatures(docs: DataFrame, words: int, scheme: Scheme) -> DataFrame:
-    """doc_id, n_shingles, h1, h2 (128 bits that identify the set), sig, keys (null without shingles)."""
+    """doc_id, n_shingles, h1, h2 (128 bits that identify the set) and the signature's chunks (null without shingles)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
         for batch in batches:
-            n, h1, h2, sig, sigs = [], [], [], [], []
-            for text in batch.column(1):
+            n, h1, h2 = (np.zeros(batch.num_rows, np.int64) for _ in range(3))
+            chunks = np.zeros((batch.num_rows, scheme.chunks), np.int64)
+            for i, text in enumerate(batch.column(1)):
                 s = shingler(text.as_py())
-                n.append(len(s))
-                h1.append(int(np.bitwise_xor.reduce(_mix(s + np.uint64(1))).view(np.int64)) if len(s) else 0)
-                h2.append(int(np.add.reduce(_mix(s ^ np.uint64(ODD))).view(np.int64)) if len(s) else 0)
-                sigs.append(scheme.signature(s) if len(s) else np.zeros(scheme.symbols, np.uint16))
-                sig.append(sigs[-1].tobytes() if len(s) else None)
-            m = np.array(sigs) if sigs else np.zeros((0, scheme.symbols), np.uint16)
-            keys = np.stack([scheme.key(m[:, list(kept)], i) for i, (_, kept) in enumerate(scheme.choices)], axis=1)
-            columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(sig, pa.binary()), pa.array([k.tolist() if c else None for k, c in zip(keys, n, strict=True)], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "h1", "h2", "sig", "keys"])
+                if len(s):
+                    n[i], chunks[i] = len(s), scheme.signature(s)
+                    h1[i] = np.bitwise_xor.reduce(_mix(s + np.uint64(1))).view(np.int64)
+                    h2[i] = np.add.reduce(_mix(s ^ np.uint64(ODD))).view(np.int64)
+            columns = [batch.column(0), *map(pa.array, (n, h1, h2)), *[pa.array(np.ascontiguousarray(c), mask=n == 0) for c in chunks.T]]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "h1", "h2", *scheme.columns()])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long, sig binary, keys array<long>")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long, " + ", ".join(f"{c} long" for c in scheme.columns()))
 
 
-def _sets(docs: DataFrame, words: int) -> DataFrame:
-    """rep and its whole sorted set as bytes."""
+def _sets(docs: DataFrame, words: int, scheme: Scheme) -> DataFrame:
+    """rep with the size, signature and sketch of its set, and the whole sorted set as bytes."""
+    names = ["rep", "n", "sig", "sketch", "members"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(words)
+        shingler, rows, size = Shingler(words), [], 0
+
+        def out() -> pa.RecordBatch:
+            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingler(t.as_py()).tobytes() for t in batch.column(1)], pa.binary())], names=["rep", "members"])
+            for rep, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                s = shingler(text.as_py())
+                if len(s):
+                    rows.append((rep, len(s), scheme.signature(s).tobytes(), sketch(s), s.tobytes()))
+                    size += 8 * len(s)
+                if size > BATCH_BYTES:
+                    yield out()
+                    rows, size = [], 0
+        if rows:
+            yield out()
+
+    return docs.mapInArrow(run, "rep long, n long, sig binary, sketch binary, members binary")
 
-    return docs.mapInArrow(run, "rep long, members binary")
 
+def only(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
+    """docs of the n ids. 8 bytes an id are broadcast if they are few enough; beyond that texts are shuffled to them."""
+    return docs.join(F.broadcast(ids) if n <= BROADCAST_IDS else ids, "doc_id", "left_semi")
 
-def only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """docs of the ids. 8 bytes an id are broadcast if they are few enough; beyond that texts are shuffled to them."""
-    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_semi")
+
+def tasks_for(rows: int) -> int:
+    """Tasks for so many rows of ids: few for few, and more as they grow."""
+    return max(8, -(-rows // TASK_ROWS))
 
 
 def _linked(share: int, of: int):
@@ -152,22 +193,19 @@ def _linked(share: int, of: int):
             keep = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
                 a, b = (np.frombuffer(v.as_py(), np.uint64) for v in (x, y))
-                both = len(np.intersect1d(a, b, assume_unique=True))
+                both = 0
+                if of * min(len(a), len(b)) >= share * max(len(a), len(b)):
+                    both = len(np.intersect1d(a, b, assume_unique=True))
                 keep.append(of * both >= share * (len(a) + len(b) - both))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, words: int, share: int = 80, of: int = 100) -> DataFrame | None:
-    """The pairs (a, b) of document ids whose whole sets have of * intersection >= share * union.
-
-    Only the documents in pairs are read again. None if there is no pair.
-    """
-    if pairs.isEmpty():
-        return None
-    sets = cut(_sets(only(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()), words))
-    both = pairs.join(sets.select(F.col("rep").alias("a"), F.col("members").alias("ma")), "a").join(sets.select(F.col("rep").alias("b"), F.col("members").alias("mb")), "b")
+def confirmed(pairs: DataFrame, sets: DataFrame, share: int = 80, of: int = 100) -> DataFrame:
+    """The pairs (a, b) whose whole sets have of * intersection >= share * union."""
+    one = sets.select("rep", "members")
+    both = pairs.join(one.toDF("a", "ma"), "a").join(one.toDF("b", "mb"), "b")
     return both.select("a", "b", "ma", "mb").mapInArrow(_linked(share, of), "a long, b long")
 
 
@@ -181,189 +219,199 @@ def components(edges: DataFrame) -> DataFrame:
     edges = cut(edges.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).filter("lo < hi").distinct())
     before = (0, None)
     while (state := edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("lo", "hi").cast("decimal(38,0)"))).first()) != before:
-        before = state
+        before, tasks = state, tasks_for(2 * state[0])
+        edges = edges.coalesce(tasks)
         ways = edges.union(edges.select(F.col("hi").alias("lo"), F.col("lo").alias("hi"))).toDF("u", "v")
         least = ways.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = ways.filter("v > u").join(least, "u").select(F.col("m").alias("lo"), F.col("v").alias("hi")).filter("lo < hi")
-        down = large.toDF("v", "u")
+        down = large.coalesce(tasks).toDF("v", "u")
         least = down.groupBy("u").agg(F.min("v").alias("m"))
-        small = down.join(least, "u").select("m", F.explode(F.array("u", "v")).alias("x")).filter("m < x").distinct()
-        edges = cut(small.toDF("lo", "hi"))
+        small = down.join(least, "u").select("m", F.explode(F.array("u", "v")).alias("x")).filter("m < x").coalesce(tasks).distinct()
+        edges = cut(small.toDF("lo", "hi").coalesce(tasks))
     found = edges.groupBy("hi").agg(F.min("lo").alias("comp")).withColumnRenamed("hi", "node")
     return found.union(found.select(F.col("comp"), F.col("comp")).distinct())
 
 
-def _fold(comps: DataFrame, links: DataFrame | None, single: bool = False) -> DataFrame:
-    """comps (rep, comp) after links (a, b) between reps. single: each rep is its own component so far."""
-    if links is None:
-        return comps
-    if single:
-        return cut(comps.select("rep").join(components(links).toDF("rep", "to"), "rep", "left").select("rep", F.coalesce("to", "rep").alias("comp")))
-    a, b = comps.select(F.col("rep").alias("a"), F.col("comp").alias("ca")), comps.select(F.col("rep").alias("b"), F.col("comp").alias("cb"))
-    between = links.join(a, "a").join(b, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")).filter("a != b")
-    merged = components(between).select(F.col("node").alias("comp"), F.col("comp").alias("to"))
-    return cut(comps.join(merged, "comp", "left").select("rep", F.coalesce("to", "comp").alias("comp")))
 
 
-def _hubs(rows: DataFrame, hubs: int) -> DataFrame:
-    """For each row (key, rep, n) of keys that are shared: `hubs` members of its key, chosen by hashes."""
-    order = lambda salt: F.min(F.struct(F.xxhash64("rep", "key", F.lit(salt)).alias("o"), F.col("rep").alias("hub"), F.col("n").alias("hub_n")))
-    chosen = rows.groupBy("key").agg(F.array(*[order(i) for i in range(hubs)]).alias("h"))
-    return rows.join(chosen, "key").select("rep", "n", F.explode("h").alias("h")).select("rep", "n", "h.hub", "h.hub_n")
+def _in_blocks(rows: DataFrame, weight: Column, size: int) -> DataFrame:
+    """rows (choice, key, rep, comp, minor, n) with the numbers of blocks of their key: n_left of its minor rows, n_right of all.
 
-
-def _fit(a: str, b: str, share: int, of: int) -> Column:
-    """Whether sets of these sizes can be similar enough."""
-    return of * F.least(a, b) >= share * F.greatest(a, b)
-
-
-def _near(scheme: Scheme, floor: float, left, right) -> Iterator[tuple[int, np.ndarray]]:
-    """For rows of left, the rows of right in other components that signatures don't rule out.
-
-    A pair that several keys share comes up under the first of them alone.
+    A block holds rows of about the weight `size`, whatever the key's size. Keys without minor rows go.
     """
-    a, b = (np.frombuffer(b"".join(x["sig"]), np.uint16).reshape(len(x), -1) for x in (left, right))
-    key = int(left["key"].iloc[0])
-    ra, rb, ca, cb = left["rep"].to_numpy(), right["rep"].to_numpy(), left["comp"].to_numpy(), right["comp"].to_numpy()
-    for i in range(len(a)):
-        other = np.flatnonzero((cb != ca[i]) & (rb > ra[i]))
-        if not len(other):
-            continue
-        same = b[other] == a[i]
-        near = same.mean(axis=1) >= floor
-        if not near.any():
+    sums = rows.groupBy("choice", "key").agg(
+        F.ceil(F.sum(F.when(F.col("minor"), weight)) / size).cast("int").alias("n_left"),
+        F.ceil(F.sum(weight) / size).cast("int").alias("n_right"),
+    )
+    return rows.join(sums.filter("n_left > 0"), ["choice", "key"])
+
+
+def _meetings(rows: DataFrame) -> DataFrame:
+    """Every block of a key's minor rows brought together with every block of its rows, sorted by meeting."""
+    spots = F.expr("""concat(
+        transform(sequence(0, n_left - 1), i -> struct(i as x, right as y, minor and i = left as is_left, true as is_right)),
+        if(minor, transform(filter(sequence(0, n_right - 1), j -> j != right), j -> struct(left as x, j as y, true as is_left, false as is_right)), array()))""")
+    dealt = rows.withColumn("left", F.pmod(F.xxhash64("rep"), F.col("n_left")).cast("int")).withColumn("right", F.pmod(F.xxhash64("rep", F.lit(1)), F.col("n_right")).cast("int"))
+    rest = [c for c in rows.columns if c not in ("n_left", "n_right")]
+    met = dealt.select(*rest, F.inline(spots))
+    order = ["choice", "key", "x", "y"]
+    names = [*order, "is_left", "is_right", "rep", "comp", "minor", "n", "sig", "sketch", *(["members"] if "members" in rest else [])]
+    return met.select(*names).repartition(*order).sortWithinPartitions(*order)
+
+
+class Meeting:
+    """The rows of one meeting as arrays."""
+
+    def __init__(self, parts: list[pa.RecordBatch], scheme: Scheme):
+        numbers = lambda name: np.concatenate([p.column(name).to_numpy(zero_copy_only=False) for p in parts])
+        whole = lambda name: [v for p in parts for v in p.column(name).to_pylist()]
+        self.scheme = scheme
+        self.choice, self.key = (int(parts[0].column(c)[0].as_py()) for c in ("choice", "key"))
+        self.left, self.right = (np.flatnonzero(numbers(c)) for c in ("is_left", "is_right"))
+        self.rep, self.comp, self.minor, self.n = (numbers(c) for c in ("rep", "comp", "minor", "n"))
+        self.sig = np.frombuffer(b"".join(whole("sig")), np.uint64).reshape(-1, scheme.chunks)
+        self.sketch = np.frombuffer(b"".join(whole("sketch")), np.uint64).reshape(-1, SKETCH_BITS // 64)
+        self.members = [np.frombuffer(v, np.uint64) for v in whole("members")] if "members" in parts[0].schema.names else []
+
+    def partners(self, i: int, share: int, of: int) -> np.ndarray:
+        """The rows that row i may be linked with, in other components.
+
+        Left out is only what cannot be: by the sets' sizes, or as the bits of both sketches bound
+        the union from below. A pair that several keys share comes up under the first of them.
+        """
+        j = self.right
+        j = j[(self.comp[j] != self.comp[i]) & ((self.rep[j] > self.rep[i]) | ~self.minor[j])]
+        n, own = self.n[j], self.n[i]
+        j = j[of * np.minimum(n, own) >= share * np.maximum(n, own)]
+        j = j[self.scheme.first_shared(self.sig[j] ^ self.sig[i]) == self.choice]
+        if not len(j):
+            return j
+        union = np.bitwise_count(self.sketch[j] | self.sketch[i]).sum(axis=1, dtype=np.int64)
+        return j[of * (self.n[j] + own - union) >= share * union]
+
+
+def _by_meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    """The slices of each meeting from batches sorted by it: no more than two blocks are held."""
+    held, last = [], None
+    for batch in batches:
+        if not batch.num_rows:
             continue
-        other, same = other[near], same[near]
-        first = np.full(len(other), -1)
-        for n, (_, kept) in enumerate(scheme.choices):
-            first[(first < 0) & same[:, list(kept)].all(axis=1)] = n
-        mine = np.array([n >= 0 and scheme.key(a[i][None, list(scheme.choices[n][1])], n)[0] == key for n in range(-1, len(scheme.choices))])
-        told = other[mine[first + 1]]
-        if len(told):
-            yield i, told
-
-
-def _maybe(scheme: Scheme, floor: float):
-    """Of a key's blocks: the rows that are in any pair of _near."""
-
-    def run(left, right):
-        import pandas as pd
-
-        found: set[int] = set()
-        if len(left) and len(right):
-            rb = right["rep"].to_numpy()
-            for i, told in _near(scheme, floor, left, right):
-                found.add(int(left["rep"].iloc[i]))
-                found.update(rb[told].tolist())
-        key = int(left["key"].iloc[0]) if found else 0
-        return pd.DataFrame({"key": np.full(len(found), key, np.int64), "rep": np.array(sorted(found), np.int64)})
+        at = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)], axis=1)
+        edges = [0, *(np.flatnonzero((at[1:] != at[:-1]).any(axis=1)) + 1).tolist(), len(at)]
+        for start, stop in zip(edges, edges[1:]):
+            if held and last != at[start].tolist():
+                yield held
+                held = []
+            held.append(batch.slice(start, stop - start))
+            last = at[start].tolist()
+    if held:
+        yield held
 
-    return run
 
+def _maybe(scheme: Scheme, share: int, of: int):
+    """The rows that have a partner in any meeting, with their key."""
 
-def _exact(scheme: Scheme, floor: float, share: int, of: int):
-    """Of a key's blocks: links between components, as many as join them up, confirmed on whole sets."""
-
-    def run(left, right):
-        out_a, out_b, top = [], [], {}
-
-        def root(x: int) -> int:
-            while x in top:
-                x = top[x]
-            return x
-
-        if len(left) and len(right):
-            rb, ca, cb = right["rep"].to_numpy(), left["comp"].to_numpy(), right["comp"].to_numpy()
-            for i, told in _near(scheme, floor, left, right):
-                a = np.frombuffer(left["members"].iloc[i], np.uint64)
-                for j in told:
-                    x, y = root(int(ca[i])), root(int(cb[j]))
-                    if x != y:
-                        b = np.frombuffer(right["members"].iloc[j], np.uint64)
-                        both = len(np.intersect1d(a, b, assume_unique=True))
-                        if of * both >= share * (len(a) + len(b) - both):
-                            top[max(x, y)] = min(x, y)
-                            out_a.append(int(left["rep"].iloc[i]))
-                            out_b.append(int(rb[j]))
-        return _pairs(out_a, out_b)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for parts in _by_meeting(batches):
+            m, found = Meeting(parts, scheme), set()
+            for i in m.left:
+                j = m.partners(i, share, of)
+                if len(j):
+                    found.update([int(i), *j.tolist()])
+            if found:
+                at = np.array(sorted(found))
+                columns = [np.full(len(at), m.choice, np.int32), np.full(len(at), m.key, np.int64), m.rep[at], m.comp[at], m.minor[at], m.n[at]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["choice", "key", "rep", "comp", "minor", "n"])
 
     return run
 
 
-def _in_blocks(rows: DataFrame, block: int, run, schema: str, weight: Column | None = None) -> DataFrame:
-    """Applies run to every two blocks of each key's rows (key, rep, comp, ...).
-
-    Rows of a key are dealt to blocks of about `block` rows, or of that weight, by a hash; every
-    block on the left meets every one on the right, so no task holds more than two blocks at a
-    time, however large a key.
-    """
-    weight = F.lit(1) if weight is None else weight
-    counted = rows.groupBy("key").agg(F.ceil(F.sum(weight) / block).cast("int").alias("_n"))
-    dealt = rows.join(counted, "key").withColumn("_own", F.pmod(F.xxhash64("rep"), F.col("_n")).cast("int"))
-    every = F.explode(F.sequence(F.lit(0), F.col("_n") - 1))
-    # toDF gives new columns: both sides come from one frame
-    left = dealt.select(*rows.columns, F.col("_own").alias("x"), every.alias("y")).toDF(*rows.columns, "x", "y")
-    right = dealt.select(*rows.columns, every.alias("x"), F.col("_own").alias("y")).toDF(*rows.columns, "x", "y")
-    return left.groupBy("key", "x", "y").cogroup(right.groupBy("key", "x", "y")).applyInPandas(run, schema)
-
+def _exact(scheme: Scheme, share: int, of: int):
+    """Links between components, as many as join those of a meeting up, confirmed on whole sets."""
 
-def _pairs(a: list, b: list):
-    import pandas as pd
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for parts in _by_meeting(batches):
+            m, out = Meeting(parts, scheme), []
+            for i in m.left:
+                j = m.partners(i, share, of)
+                if not len(j):
+                    continue
+                own, sizes = m.members[i], m.n[j]
+                every = np.concatenate([m.members[k] for k in j])
+                spot = np.minimum(own.searchsorted(every), len(own) - 1)
+                both = np.add.reduceat((own[spot] == every).astype(np.int64), np.concatenate([[0], np.cumsum(sizes)[:-1]]))
+                for k in j[of * both >= share * (len(own) + sizes - both)]:
+                    if m.comp[k] != m.comp[i]:
+                        out.append((int(m.rep[i]), int(m.rep[k])))
+                        m.comp[m.comp == m.comp[k]] = m.comp[i]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["a", "b"])
 
-    return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+    return run
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, share: int = 80, of: int = 100, scheme: Scheme | None = None, hubs: int = 2, block: int = 2048, set_bytes: int = 32 << 20) -> DataFrame:
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, share: int = 80, of: int = 100, scheme: Scheme | None = None, block: int = 2048, set_bytes: int = 16 << 20) -> DataFrame:
     """Components of documents whose shingle sets have a Jaccard similarity of share / of or more.
 
-    1. One pass makes whole-text shingle sets, b-bit signatures and index keys (see Scheme).
-       Documents with the same set fall into one class; only its smallest doc_id goes on.
-    2. Of each key, all members are paired with `hubs` hubs; pairs are confirmed on whole sets and
-       folded into components, so a group of copies costs its size and not its square.
-    3. What is left, members of one key in different components, is compared exhaustively, in
-       blocks of `block` rows on either side by signatures; where those do not rule out the
-       threshold by four standard errors, on whole sets, in blocks of `set_bytes`, which give out
-       the links that join components up and not every pair.
-    No pair is dropped for a large key; nothing but counts reaches the driver.
+    1. One pass over the texts makes shingle sets and b-bit signatures. Documents with the same set
+       fall into one class; only its smallest doc_id goes on. Spark makes the index keys (see
+       Scheme) from the signatures.
+    2. A second pass writes the whole sets of those documents that share a key with others, once.
+    3. Of each key, all members are paired with its smallest document, the hub; pairs are confirmed
+       on whole sets and folded into components, so a group of copies costs its size and not its
+       square.
+    4. What a key still holds outside the hub's component is compared with all of the key's rows in
+       other components, in blocks: first by sizes and sketches, which leave out only pairs that
+       cannot be similar enough, then on whole sets. Only links that join components up are given
+       out, not every pair.
+    No pair is dropped for a large key or by an estimate; nothing but counts reaches the driver.
 
     Defined cases: null, empty and white-only texts have no shingles and are linked with nothing;
-    rows with one doc_id count as one document, linked if any of its texts is, and each row is returned; rows without doc_id are returned with their n_shingles,
-    no component, and kept; an empty table gives an empty result; further columns are dropped.
+    rows with one doc_id count as one document, linked if any of its texts is, and each row is
+    returned; rows without doc_id are returned with their n_shingles, no component, and kept; equal
+    sets are linked; an empty table gives an empty result; further columns, whatever their names,
+    are dropped.
     Returns doc_id, n_shingles, component_id, kept.
     """
     scheme = scheme or Scheme()
+    same = ["n_shingles", "h1", "h2"]
     source = in_small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     signed = cut(signatures(source, words, scheme))
 
-    some = signed.filter("keys is not null and doc_id is not null")
-    classes = some.groupBy("n_shingles", "h1", "h2").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("keys").alias("keys"))
-    reps = cut(classes)
-    exploded = reps.select("rep", F.col("n_shingles").alias("n"), F.explode("keys").alias("key"))
-    shared = exploded.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key")
-    keys = cut(exploded.join(shared, "key", "left_semi"))
-
-    pairs = _hubs(keys, hubs).filter((F.col("rep") != F.col("hub")) & _fit("n", "hub_n", share, of))
-    asked = cut(pairs.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct())
-    comps = _fold(reps.select("rep", F.col("rep").alias("comp")).distinct(), confirmed(asked, source, words, share, of), single=True)
-
-    jaccard = share / of
-    floor = jaccard - 4 * (jaccard * (1 - jaccard) / scheme.symbols) ** 0.5
-    rows = keys.join(comps, "rep")
-    # of two members the hub was one
-    mixed = rows.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("c")).filter("x != y and c > 2").select("key", "c")
-    rows = cut(rows.join(mixed, "key").select("key", "rep", "n", "comp", "c"))
-    few = rows.filter(F.col("c") <= FEW).drop("c")
-    by_join = few.join(few.toDF("key", "other", "other_n", "other_comp"), "key").filter((F.col("rep") < F.col("other")) & (F.col("comp") != F.col("other_comp")) & _fit("n", "other_n", share, of))
-    by_join = by_join.select(F.col("rep").alias("a"), F.col("other").alias("b")).distinct()
-    many = rows.filter(F.col("c") > FEW).select("key", "rep", "comp").join(reps.select("rep", "sig"), "rep").select("key", "rep", "comp", "sig")
-    maybe = cut(_in_blocks(many, block, _maybe(scheme, floor), "key long, rep long").distinct())
-    sets = _sets(only(source, maybe.select(F.col("rep").alias("doc_id")).distinct()), words)
-    whole = many.join(maybe, ["key", "rep"], "left_semi").join(sets, "rep").select("key", "rep", "comp", "sig", "members")
-    links = _in_blocks(whole, set_bytes, _exact(scheme, floor, share, of), "a long, b long", F.octet_length("members"))
-    some = confirmed(cut(by_join.join(asked, ["a", "b"], "left_anti")), source, words, share, of)
-    comps = _fold(comps, cut(links if some is None else links.union(some)))
-
-    known = reps.select("n_shingles", "h1", "h2", "rep").join(comps, "rep").select("n_shingles", "h1", "h2", "comp")
-    labelled = signed.select("doc_id", "n_shingles", "h1", "h2").join(known, ["n_shingles", "h1", "h2"], "left")
+    some = signed.filter("n_shingles > 0 and doc_id is not null")
+    reps = cut(some.groupBy(*same).agg(F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in scheme.columns()]))
+    every = reps.select("rep", F.inline(scheme.keys()))
+    shared = every.groupBy("choice", "key").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("c")).filter("c > 1")
+    keys = cut(every.join(shared, ["choice", "key"]))
+    keys = keys.coalesce(tasks_for(keys.count()))
+
+    ids = cut(keys.select(F.col("rep").alias("doc_id")).distinct())
+    n_ids = ids.count()
+    sets = cut(_sets(only(source, ids.coalesce(tasks_for(n_ids)), n_ids), words, scheme))
+    asked = keys.filter("rep != hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
+    # an id that comes with several texts is one document
+    again = some.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("doc_id")
+    again = some.join(again, "doc_id", "left_semi").join(reps, same).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    comps = components(cut(confirmed(asked, sets, share, of)).union(again))
+
+    # a key of two rows has been asked for all there is
+    known = comps.toDF("rep", "comp")
+    rows = (
+        keys.filter("c > 2").join(known, "rep", "left").join(known.toDF("hub", "hub_comp"), "hub", "left")
+        .select("choice", "key", "rep", F.coalesce("comp", "rep").alias("comp"), (F.coalesce("comp", "rep") != F.coalesce("hub_comp", "hub")).alias("minor"))
+    )
+    rows = cut(rows.coalesce(tasks_for(n_ids)))
+    met = cut(_in_blocks(rows, F.lit(1), block).coalesce(tasks_for(n_ids)))
+    if not met.isEmpty():
+        described = _meetings(met.join(sets.drop("members"), "rep"))
+        maybe = cut(described.mapInArrow(_maybe(scheme, share, of), "choice int, key long, rep long, comp long, minor boolean, n long").distinct())
+        maybe = maybe.coalesce(tasks_for(maybe.count()))
+        whole = _meetings(_in_blocks(maybe, 8 * F.col("n"), set_bytes).join(sets, ["rep", "n"]))
+        links = cut(whole.mapInArrow(_exact(scheme, share, of), "a long, b long"))
+        if not links.isEmpty():
+            comps = components(comps.toDF("a", "b").union(links))
+
+    classes = reps.select(*same, "rep").join(comps.toDF("rep", "comp"), "rep", "left").select(*same, F.coalesce("comp", "rep").alias("comp"))
+    labelled = signed.select("doc_id", *same).join(classes, same, "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id"))
     return labelled.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

@@ -359,9 +359,7 @@ def shingles(t: str | None, n: int) -> frozenset:
 
 
 @pytest.mark.parametrize("block", [8, 2048])
-def test_near_groups_match_brute_force(docs, empty, block, monkeypatch):
-    if block == 8:
-        monkeypatch.setattr(near_dedup, "FEW", 3)
+def test_near_groups_match_brute_force(docs, empty, block):
     rows = [(i, t) for i, t in texts() if i is not None]
     got = near_dedup.near_groups(docs, words=4, block=block, set_bytes=5000 if block == 8 else 32 << 20).collect()
     sets = {(i, t): shingles(t, 4) for i, t in rows}
