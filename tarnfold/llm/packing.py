@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections import deque
 from collections.abc import Iterator
+from functools import cache
+from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,57 +18,62 @@ from pyspark.sql import functions as F
 from tarnfold.llm.common import first_row_key, in_small_batches
 
 TIERS = (1024, 512, 256, 128)
-SPECIAL = "<|endoftext|>"
-#: Texts of these characters only can be cut into words by WORDS; others go to the tokenizer whole.
-PLAIN = re.compile(r"[\x00-\x1b\x20-\x7eÀ-ÖØ-öø-ɏ]*")
-_L = "A-Za-zÀ-ÖØ-öø-ɏ"
-#: The words that the byte-level vocabulary is applied to, one at a time.
-WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[0-9]+| ?[^\s{_L}0-9]+|\s+(?!\S)|\s+")
+#: Fixed value: how a byte-level vocabulary of this kind cuts texts before it merges bytes.
+CUTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Texts with a run of so many characters without a cut go to the library whose time does not grow with its square.
+LONG_RUN = 20_000
 
 
-class WordEncoder:
-    """Ids of texts as little-endian unsigned 32-bit bytes; words that come again are looked up."""
+def _byte_letters() -> dict[str, int]:
+    """The byte that each letter of a byte-level vocabulary stands for: printable ones themselves, the others in turn from 256 on."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or (161 <= b and b != 173)]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + n): b for n, b in enumerate(rest)}
 
-    def __init__(self, path: str, remember: int = 300_000):
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.remember, self.known = remember, {}
+class Encoder:
+    """Ids of whole texts as little-endian unsigned 32-bit bytes, those of the tokenizer file at `path`.
 
-    def _bytes(self, ids: list[int]) -> bytes:
-        return b"".join(i.to_bytes(4, "little") for i in ids)
+    If the file's merges come in the order of their ids, merging by id gives the same ids as the
+    file's own library and is done by one that is faster at it; else, and for texts with a run
+    of LONG_RUN, by that library.
+    """
+
+    def __init__(self, path: str):
+        self.path, self.slow = path, None
+        file = json.loads(Path(path).read_text(encoding="utf-8"))
+        vocabulary, letters = file["model"]["vocab"], _byte_letters()
+        merged = [vocabulary["".join(m if isinstance(m, list) else m.split(" "))] for m in file["model"]["merges"]]
+        self.special = {t["content"]: t["id"] for t in file["added_tokens"]}
+        plain = file["pre_tokenizer"] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True} and not file["normalizer"]
+        self.fast = None
+        if plain and all(x < y for x, y in zip(merged, merged[1:])) and len(merged) + 256 == len(vocabulary):
+            import tiktoken
+
+            ranks = {bytes(letters[c] for c in token): i for token, i in vocabulary.items()}
+            self.fast = tiktoken.Encoding("of the file", pat_str=CUTS, mergeable_ranks=ranks, special_tokens=self.special)
 
     def __call__(self, text: str) -> bytes:
-        if SPECIAL in text or not PLAIN.fullmatch(text):
-            return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        words = WORDS.findall(text)
-        known = self.known
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            new = list({w for w in words if w not in known})
-        if len(known) + len(new) > self.remember:
-            self.known = known = {}
-            new = list(set(words))
-        letters = [w for w in new if w.lstrip(" ").isalpha() and not w[1:].startswith(" ")]
-        # one call for all of them: a space or a line break opens each word, as in a running text
-        whole = self.tokenizer.encode("".join([w if w[0] == " " else "\n" + w for w in letters]), add_special_tokens=False)
-        parts: list[list[int]] = []
-        last = -1
-        for i, at in zip(whole.ids, whole.word_ids, strict=True):
-            if at != last:
-                parts.append([])
-                last = at
-            parts[-1].append(i)
-        at = 0
-        for w in letters:
-            at += w[0] != " "
-            known[w] = self._bytes(parts[at])
-            at += 1
-        for w in new:
-            if w not in known:
-                known[w] = self._bytes(self.tokenizer.encode(w, add_special_tokens=False).ids)
-        return b"".join([known[w] for w in words])
+        if self.fast is None or (len(text) >= LONG_RUN and self._long_run(text)):
+            if self.slow is None:
+                from tokenizers import Tokenizer
+
+                self.slow = Tokenizer.from_file(self.path)
+            ids = self.slow.encode(text, add_special_tokens=False).ids
+        elif any(x in text for x in self.special):
+            ids = self.fast.encode(text, allowed_special="all")
+        else:
+            ids = self.fast.encode_ordinary(text)
+        return np.array(ids, "<u4").tobytes()
+
+    @staticmethod
+    def _long_run(text: str) -> bool:
+        return max(map(len, text.split()), default=0) >= LONG_RUN or re.search(rf"\s{{{LONG_RUN}}}", text) is not None
+
+
+@cache
+def _encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 class Piece:
@@ -153,7 +162,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     schema = pa.schema([(n, kinds[k]) for n, k in columns])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, sequence, block, tokens = WordEncoder(tokenizer_path), first_row_key(), [], 0
+        encode, sequence, block, tokens = _encoder(tokenizer_path), first_row_key(), [], 0
         filled = dict.fromkeys(tiers, 0)
         base = sequence
 

@@ -236,6 +236,18 @@ def test_ids_are_the_models(piece_set, spark, sf_dir):
     text = "".join(rng.choice("abcdefgh▁ei") for _ in range(3000))
     parts = list(pieces.merged_stream(piece_set, merges, text))
     assert len(parts) > 10 and [i for p in parts for i in p] == [i for p in pieces.merged_stream(piece_set, merges, text, keep=5) for i in p]
+    words = ["".join(rng.choice("abcdefgh▁ei中t") for _ in range(rng.randint(1, 40))) for _ in range(3000)]
+    assert merges.encode(words) == [np.array([i for p in pieces.merged_stream(piece_set, merges, w) for i in p], "<i4").tobytes() for w in words]
+
+
+def test_whole_documents_stream_with_early_ends(piece_set, spark, sf_dir):
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    merges = pieces.Merges(piece_set)
+    for r in spark.read.parquet(f"{sf_dir}/documents.parquet").filter("length(text) > 1000").limit(10).collect():
+        parts = list(pieces.merged_stream(piece_set, merges, "▁" + r.text.replace(" ", "▁")))
+        assert len(parts) > len(r.text) // 100 and [i for p in parts for i in p] == model.encode(r.text)
 
 
 # ---------------------------------------------------------------- 7
@@ -426,11 +438,34 @@ def test_packing_holds_every_id_once(docs, empty):
     assert packing.pack(empty, path).count() == 0
 
 
-def test_word_by_word_ids_are_the_tokenizers(docs):
+def test_ids_are_the_tokenizers(docs):
+    from tokenizers import Tokenizer
+
     path = public_tokenizers.path("byte_bpe_50k.json")
-    encode = packing.WordEncoder(path, remember=50)
+    encode, tokenizer = packing.Encoder(path), Tokenizer.from_file(path)
+    assert encode.fast is not None
     rng = random.Random(5)
-    odd = ["  a\n\n  b\t c's  ", "x<|endoftext|>y", "\x85 a\x1c b", "a  \n", " 's'll ' s 12ab_c__ ", "ÀÖ ×÷ ß", "don't DON'T", "\r\n\r\n x"]
-    odd += ["".join(rng.choice("ab Zé'\n\t 1,_<|>s") for _ in range(60)) for _ in range(300)]
+    odd = ["", "  a\n\n  b\t c's  ", "x<|endoftext|>y", "\x85 a\x1c b", "a  \n", " 's'll ' s 12ab_c__ ", "ÀÖ ×÷ ß", "don't DON'T", "\r\n\r\n x", "中文 🙂\u3000x\u2028y ½²", "a" * 30_000, " " * 30_000 + "x", "é" * 25_000]
+    odd += ["".join(rng.choice("ab Zé'\n\t 1,_<|>s中\x1f\xa0") for _ in range(60)) for _ in range(300)]
     for t in odd + [t for _, t in texts() if t]:
-        assert np.frombuffer(encode(t), "<u4").tolist() == encode.tokenizer.encode(t, add_special_tokens=False).ids
+        assert np.frombuffer(encode(t), "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids, t[:50]
+
+
+@pytest.mark.parametrize("rows", [0, 1, 7])
+def test_packing_of_repeated_rows_and_clashing_names(spark, rows):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    given = [(3, "a b c " * 50), (3, "a b c " * 50), (None, None), (4, ""), (5, "z" * 3000)] * rows
+    df = spark.createDataFrame(given, "doc_id long, text string").withColumns({n: F.lit("x") for n in ("start", "length", "tier", "step", "offset", "sequence_id", "ids")})
+    got = packing.pack(df, path).collect()
+    tokenizer = Tokenizer.from_file(path)
+    want = Counter()
+    for i, t in given:
+        want[i] += len(tokenizer.encode(t or "", add_special_tokens=False).ids) + 1
+    held = Counter()
+    for r in got:
+        held[r.doc_id] += r.length
+    assert held == want
+    firsts = Counter(r.doc_id for r in got if r.start == 0)
+    assert firsts == Counter(i for i, _ in given)
