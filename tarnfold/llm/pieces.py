@@ -110,15 +110,53 @@ def viterbi_stream(pieces: Pieces, chars: str, keep: int = 64) -> Iterator[list[
 
 
 class Merges:
-    """Which pieces may stand side by side in the encoding of a BPE model: merging their joint text gives back the two."""
+    """Which pieces stand side by side in the encoding of a BPE model, told from ranks and splits.
+
+    Merging goes by rank, the leftmost of equal ones first. Two pieces stand side by side if merging
+    their joint text gives the two back. Undone in reverse order, the later of the merges on either
+    side of the border first, each step bares the parts that met at the border before it; the two
+    pieces stand if no such pair would have been merged across the border earlier than that.
+    """
+
+    NEVER = 1 << 40
 
     def __init__(self, pieces: Pieces, remember: int = 1_000_000):
         self.pieces, self.remember, self.known = pieces, remember, {}
-
-    def merge(self, chars: str) -> list[str]:
-        """The best-scoring piece that two neighbours make is merged, the leftmost of equal ones, until none is left."""
+        names, n = list(pieces.id_of), len(pieces.id_of)
+        at = {name: i for i, name in enumerate(names)}
+        self.of = at
+        #: By number of a piece, the last number standing for any character without one: id, length, rank of the merge that makes it (-1: none), its two parts.
+        self.ids = np.array([*pieces.id_of.values(), -1], np.int32)
+        self.length = np.array([*map(len, names), 1], np.int16)
+        self.rank, self.left, self.right = np.full(n + 1, -1), np.full(n + 1, -1), np.full(n + 1, -1)
+        self.stands = np.ones(n + 1, bool)
+        pairs: dict[int, int] = {}
+        for i, name in enumerate(names):
+            if len(name) > 1:
+                self.rank[i] = -int(pieces.score[pieces.id_of[name]])
+                parts = self.merge(name, stop=2)
+                self.stands[i] = len(parts) == 2
+                if self.stands[i]:
+                    self.left[i], self.right[i] = at.get(parts[0], n), at.get(parts[1], n)
+                for cut in range(1, len(name)):
+                    x, y = at.get(name[:cut]), at.get(name[cut:])
+                    if x is not None and y is not None:
+                        pairs[x * (n + 1) + y] = int(self.rank[i])
+        keys = np.array(sorted(pairs), np.int64)
+        self.pair_keys, self.pair_ranks, self.pairs = np.append(keys, np.int64(1) << 62), np.array([pairs[k] for k in keys.tolist()] + [self.NEVER]), pairs
+        self.lists = [x.tolist() for x in (self.rank, self.left, self.right)]
+        # the beginnings of pieces as a tree: keys (node << 21 | character), the nodes they lead to, the pieces there
+        node = {"": 0} | {p: k + 1 for k, p in enumerate(pieces.prefix)}
+        steps = sorted((node[p[:-1]] << 21 | ord(p[-1]), node[p]) for p in pieces.prefix)
+        self.step_keys, self.step_nodes = np.array([k for k, _ in steps] + [1 << 62], np.int64), np.array([v for _, v in steps] + [-1], np.int32)
+        self.piece_at = np.full(len(node), -1, np.int32)
+        for name, i in at.items():
+            self.piece_at[node[name]] = i
+
+    def merge(self, chars: str, stop: int = 1) -> list[str]:
+        """The best-scoring piece that two neighbours make is merged, the leftmost of equal ones, until none or `stop` parts are left."""
         id_of, score, parts = self.pieces.id_of.get, self.pieces.score, list(chars)
-        while len(parts) > 1:
+        while len(parts) > stop:
             best, where = -np.inf, -1
             for k in range(len(parts) - 1):
                 i = id_of(parts[k] + parts[k + 1])
@@ -135,9 +173,108 @@ class Merges:
         if found is None:
             if len(self.known) >= self.remember:
                 self.known.clear()
-            found = self.known[pair] = self.merge(left + right) == [left, right]
+            found = self.known[pair] = self._beside(self.of.get(left), self.of.get(right))
         return found
 
+    def _beside(self, a: int | None, b: int | None) -> bool:
+        if a is None or b is None:
+            return True
+        rank, lefts, rights = self.lists
+        n, limit = len(rank), self.NEVER
+        while True:
+            if self.pairs.get(a * n + b, self.NEVER) < limit:
+                return False
+            if rank[a] < 0 and rank[b] < 0:
+                return True
+            if rank[a] > rank[b]:
+                limit, a = rank[a], rights[a]
+            else:
+                limit, b = rank[b] + 1, lefts[b]
+
+    def all_beside(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """_beside for arrays of numbers of pieces."""
+        ok, where, n = np.ones(len(a), bool), np.arange(len(a)), len(self.rank)
+        limit = np.full(len(a), self.NEVER)
+        while len(where):
+            key = a.astype(np.int64) * n + b
+            spot = self.pair_keys.searchsorted(key)
+            bad = (self.pair_keys[spot] == key) & (self.pair_ranks[spot] < limit)
+            ok[where[bad]] = False
+            ra, rb = self.rank[a], self.rank[b]
+            on = ~bad & ((ra >= 0) | (rb >= 0))
+            where, a, b, ra, rb = where[on], a[on], b[on], ra[on], rb[on]
+            first = ra > rb
+            limit = np.where(first, ra, rb + 1)
+            a, b = np.where(first, self.right[a], a), np.where(first, b, self.left[b])
+        return ok
+
+    def encode(self, words: list[str]) -> list[bytes]:
+        """Ids of words, all at once: merged_stream's steps, each for all words that reach its position.
+
+        The boundaries of a word lie in one row; its end is where all ways that are left meet.
+        """
+        sizes = np.array([len(w) for w in words])
+        order = np.argsort(-sizes, kind="stable")
+        sizes = sizes[order]
+        chars = np.frombuffer("".join([words[k] for k in order]).encode("utf-32-le"), np.int32)
+        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        none = len(self.rank) - 1
+        last = np.full((len(words), int(sizes[0]) + 1), -1, np.int32)
+        for at in range(int(sizes[0])):
+            rows = np.arange(np.searchsorted(-sizes, -at, side="left"))
+            node = np.zeros(len(rows), np.int64)
+            for k in range(1, self.pieces.longest + 1):
+                fits = np.searchsorted(-sizes[rows], -(at + k), side="right")
+                if not fits:
+                    break
+                rows, node = rows[:fits], node[:fits]
+                key = node << 21 | chars[starts[rows] + at + k - 1]
+                spot = self.step_keys.searchsorted(key)
+                node = np.where(self.step_keys[spot] == key, self.step_nodes[spot], -1).astype(np.int64)
+                piece = np.where(node >= 0, self.piece_at[node], -1)
+                if k == 1:
+                    piece[piece < 0] = none
+                some = np.flatnonzero(piece >= 0)
+                some = some[self.stands[piece[some]]]
+                r, p = rows[some], piece[some]
+                if at:
+                    left = last[r, at]
+                    ok = left >= 0
+                    ok[ok] = self.all_beside(left[ok], p[ok])
+                    r, p = r[ok], p[ok]
+                last[r, at + k] = p
+                on = node >= 0
+                rows, node = rows[on], node[on]
+        return self._followed(words, order, sizes, last)
+
+    def _followed(self, words: list[str], order: np.ndarray, sizes: np.ndarray, last: np.ndarray) -> list[bytes]:
+        """Ids along the backpointers from each word's end."""
+        none = len(self.rank) - 1
+        at, rows = sizes.copy(), np.arange(len(words))
+        found = np.full(last.shape, -1, np.int32)  # filled from the right
+        column = last.shape[1] - 1
+        while len(rows):
+            p = last[rows, at[rows]]
+            found[rows, column] = p
+            column -= 1
+            at[rows] -= self.length[p]
+            rows = rows[at[rows] > 0]
+        out: list[bytes] = [b""] * len(words)
+        held = found >= 0
+        flat, counts = self.ids[found[held]].astype("<i4").tobytes(), held.sum(axis=1)
+        stops = 4 * np.cumsum(counts)
+        plain = (found != none).all(axis=1)
+        for k, (stop, n, o) in enumerate(zip(stops.tolist(), counts.tolist(), order.tolist(), strict=True)):
+            if plain[k]:
+                out[o] = flat[stop - 4 * n : stop]
+            else:
+                ids, spot = [], 0
+                for p in found[k][held[k]].tolist():
+                    ids += self.pieces.fallback(words[o][spot]) if p == none else [int(self.ids[p])]
+                    spot += int(self.length[p])
+                out[o] = np.array(ids, "<i4").tobytes()
+        return out
+
 
 def merged_stream(pieces: Pieces, merges: Merges, chars: str, keep: int = 64) -> Iterator[list[int]]:
     """Ids that merging by rank gives chars, in parts, as soon as they are certain.
@@ -192,7 +329,15 @@ def merged_stream(pieces: Pieces, merges: Merges, chars: str, keep: int = 64) ->
 
 
 class Encoder:
-    """Ids of whole texts. A blank opens each text; a literal blank mark goes as bytes."""
+    """Ids of whole texts. A blank opens each text; a literal blank mark goes as bytes.
+
+    Where no piece runs across the end of a word, all ways through a text meet in front of each run
+    of blanks, so what lies before is final there: the text is cut at them, and words that come
+    again are looked up. Words of a BPE model are encoded many at a time (Merges.encode); those
+    longer than LONG_WORD go through the stream by themselves.
+    """
+
+    LONG_WORD, AT_ONCE = 64, 20_000
 
     def __init__(self, pieces: Pieces, remember: int = 400_000):
         self.pieces, self.remember, self.known = pieces, remember, {}
@@ -202,32 +347,34 @@ class Encoder:
         stream = viterbi_stream(self.pieces, word) if self.merges is None else merged_stream(self.pieces, self.merges, word)
         return np.array([i for part in stream for i in part], "<i4").tobytes()
 
-    def _of(self, words: list[str]) -> list[bytes]:
-        known = self.known
-        try:
-            return [known[w] for w in words]
-        except KeyError:
-            pass
-        out = []
-        for word in words:
-            ids = known.get(word)
-            if ids is None:
-                ids = self._word(word.replace(" ", BLANK))
-                if len(word) <= 64:
-                    if len(known) >= self.remember:
-                        known.clear()
-                    known[word] = ids
-            out.append(ids)
+    def _learn(self, words: set[str]) -> None:
+        """Adds words to those known; all of them are known after it."""
+        new = [w for w in words if w not in self.known]
+        if len(self.known) + len(new) > self.remember:
+            self.known.clear()
+            new = list(words)
+        short = [w for w in new if len(w) <= self.LONG_WORD] if self.merges else []
+        for at in range(0, len(short), self.AT_ONCE):
+            part = short[at : at + self.AT_ONCE]
+            self.known.update(zip(part, self.merges.encode([w.replace(" ", BLANK) for w in part]), strict=True))
+        for w in new:
+            if w not in self.known:
+                self.known[w] = self._word(w.replace(" ", BLANK))
+
+    def many(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text."""
+        # the blank mark itself must not read as a space
+        parts = [(" " + text).split(BLANK) for text in texts]
+        cut = _words if self.pieces.cuts_at_blanks else lambda part: [part] if part else []
+        words = [[cut(part) for part in of] for of in parts]
+        self._learn({w for of in words for part in of for w in part})
+        known, mark, out = self.known, np.array(self.pieces.fallback(BLANK), "<i4").tobytes(), []
+        for of in words:
+            out.append(np.frombuffer(mark.join([b"".join([known[w] for w in part]) for part in of]), "<i4"))
         return out
 
     def __call__(self, text: str) -> np.ndarray:
-        out: list[bytes] = []
-        # the blank mark itself must not read as a space
-        for k, part in enumerate((" " + text).split(BLANK)):
-            if k:
-                out.append(np.array(self.pieces.fallback(BLANK), "<i4").tobytes())
-            out += self._of(_words(part)) if self.pieces.cuts_at_blanks else [self._word(part.replace(" ", BLANK))]
-        return np.frombuffer(b"".join(out), "<i4")
+        return self.many([text])[0]
 
 
 def _words(text: str) -> list[str]:
@@ -262,9 +409,10 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(model_path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                ids = [None if t.as_py() is None else encoder(t.as_py()) for t in part.column(1)]
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                texts = part.column(1).to_pylist()
+                ids = [None if t is None else i for t, i in zip(texts, encoder.many([t or "" for t in texts]), strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     return in_small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, ids array<int>")
@@ -292,11 +440,11 @@ def digest(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
         encoder = _encoder(model_path)
         for batch in batches:
             rows = []
-            for value in batch.column(1):
-                text = value.as_py() or ""
-                ids = encoder(text)
-                back = encoder.pieces.decode(ids.tolist())
-                rows.append((len(ids), zlib.crc32(ids.astype("<u4").tobytes()), hashlib.sha256(back.encode()).hexdigest(), back == text))
+            for at in range(0, batch.num_rows, 256):
+                texts = [t or "" for t in batch.column(1).slice(at, 256).to_pylist()]
+                for text, ids in zip(texts, encoder.many(texts), strict=True):
+                    back = encoder.pieces.decode(ids.tolist())
+                    rows.append((len(ids), zlib.crc32(ids.astype("<u4").tobytes()), hashlib.sha256(back.encode()).hexdigest(), back == text))
             columns = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
             kinds = (pa.int64(), pa.int64(), pa.string(), pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]], names=["doc_id", "n_ids", "ids_crc32", "decoded_sha256", "round_trip"])
