@@ -20,8 +20,7 @@ WORD_CLASSES, CLASS_WORDS = 63, 64
 #: Kinds of words outside the model's classes: by ASCII or not, and up to 4, up to 8, or more bytes.
 SHAPES = 6
 MODEL_WORDS = WORD_CLASSES * CLASS_WORDS
-HEAD_WORDS = 1 << 16
-LONGEST_HEAD_WORD = 64
+HEAD_WORDS, HEAD_BYTES = 1 << 16, 8 << 20
 HIDDEN = 16
 
 
@@ -70,7 +69,7 @@ def token_counts(docs: DataFrame, flush: int = 200_000) -> DataFrame:
 
 @dataclass
 class Vocabulary:
-    """The most frequent words, bounded: HEAD_WORDS words of LONGEST_HEAD_WORD bytes at most.
+    """The most frequent words, bounded: about HEAD_WORDS words and HEAD_BYTES bytes.
 
     The first MODEL_WORDS are the model's own, CLASS_WORDS of them to a class by frequency. All
     others belong to a class for their shape; shape_mass is the sum of count + 0.1 over a shape's
@@ -92,21 +91,22 @@ class Vocabulary:
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
-    """The head is all words from a count on, so that there are HEAD_WORDS at most, and the end.
+    """The head is all words from a count on, as far as HEAD_WORDS and HEAD_BYTES go, and the end.
 
     That count comes from a histogram of a few hundred steps: no task or driver sorts words that
-    don't make it into the head.
+    don't make it into the head. Of the step that has room in part, a hash chooses.
     """
     n, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    step = F.floor(F.log2("c") * 8)
-    short = (F.octet_length("word") <= LONGEST_HEAD_WORD) & (F.col("word") != END)
-    room, least = HEAD_WORDS - 1, None
-    for r in sorted(counts.filter(short).groupBy(step.alias("s")).agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True):
-        room -= r["n"]
-        if room < 0:
+    step, size = F.floor(F.log2("c") * 8), F.octet_length("word")
+    steps = counts.groupBy(step.alias("s")).agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("bytes")).collect()  # a few hundred
+    words, room, least, share = HEAD_WORDS - 1, HEAD_BYTES, 1 << 30, 1.0
+    for r in sorted(steps, reverse=True):
+        least, share = r["s"], min(1.0, words / r["n"], room / max(1, r["bytes"]))
+        words, room = words - r["n"], room - r["bytes"]
+        if share < 1:
             break
-        least = r["s"]
-    head = counts.filter((F.col("word") == END) | (short & (step >= (1 << 30 if least is None else least)))).collect()  # at most HEAD_WORDS
+    chosen = F.pmod(F.xxhash64("word"), F.lit(1 << 20)) < int(share * (1 << 20))
+    head = counts.filter((F.col("word") == END) | (step > least) | ((step == least) & chosen)).collect()  # about HEAD_WORDS at most
     # the end is a word of the model whatever its count
     top = sorted(((bytes(r["word"]), r["c"]) for r in head), key=lambda x: (x[0] != END, -x[1], x[0]))
     mass = np.full(SHAPES, 0.1)
@@ -147,12 +147,19 @@ class Gru:
             self.p[k] = flat[at : at + v.size].reshape(v.shape).astype(np.float32)
             at += v.size
 
-    def step(self, h: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, tuple]:
-        g, a = self.p["x"][symbols], h @ self.p["u"]
-        gates = 0.5 * np.tanh(0.5 * (g[:, : 2 * HIDDEN] + a[:, : 2 * HIDDEN])) + 0.5
-        z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
-        c = np.tanh(g[:, 2 * HIDDEN :] + r * a[:, 2 * HIDDEN :])
-        return c + z * (h - c), (h, symbols, z, r, c, a[:, 2 * HIDDEN :])
+    def step(self, h: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        """The states (HIDDEN x streams) after these symbols."""
+        g, a = self.p["x"][symbols].T, self.p["u"].T @ h
+        gates = a[: 2 * HIDDEN]
+        gates += g[: 2 * HIDDEN]
+        gates *= 0.5
+        np.tanh(gates, out=gates)
+        gates *= 0.5
+        gates += 0.5
+        c = gates[HIDDEN:] * a[2 * HIDDEN :]
+        c += g[2 * HIDDEN :]
+        np.tanh(c, out=c)
+        return c + gates[:HIDDEN] * (h - c)
 
     def outputs(self, states: np.ndarray, targets: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log probabilities of the targets; with grads also what flows back to the states.
@@ -160,103 +167,134 @@ class Gru:
         Without grads a tenth of each softmax is the share by count, so that a text unlike those
         learned from loses little against counts alone.
         """
-        m = len(targets)
+        with_one = np.append(states, np.ones((len(states), 1), states.dtype), axis=1)
         cls = np.where(targets < MODEL_WORDS, targets // CLASS_WORDS, targets - MODEL_WORDS + WORD_CLASSES)
-        logits = states @ self.p["wc"] + self.p["bc"]
-        logits -= logits.max(axis=1, keepdims=True)
-        e = np.exp(logits)
-        total = e.sum(axis=1)
-        rows = np.arange(m)
-        out = logits[rows, cls] - np.log(total)
+        rows = np.arange(len(targets))
+
+        def softmax(logits: np.ndarray, at: np.ndarray, of: np.ndarray) -> np.ndarray:
+            """Log probabilities of the columns `of`; logits become the probabilities' numerators, or what flows back."""
+            np.minimum(logits, 80, out=logits)  # within what exp() of 32 bits can hold
+            told = logits[at, of]
+            np.exp(logits, out=logits)
+            total = np.maximum(logits @ np.ones(logits.shape[1], logits.dtype), 1e-37)
+            if grads is not None:
+                logits *= (1 / total)[:, None]
+                logits[at, of] -= 1
+            return told - np.log(total)
+
+        d = with_one @ np.append(self.p["wc"], self.p["bc"][None], axis=0)
+        out = softmax(d, rows, cls)
         if grads is None:
             out = np.log(0.9 * np.exp(out) + 0.1 * self.class_share[cls])
-        back = None
-        if grads is not None:
-            d = e / total[:, None]
-            d[rows, cls] -= 1
-            grads["wc"], grads["bc"] = states.T @ d, d.sum(axis=0)
-            grads["ww"], grads["bw"] = np.zeros_like(self.p["ww"]), np.zeros_like(self.p["bw"])
-            back = d @ self.p["wc"].T
         order = np.argsort(cls, kind="stable")
         stops = np.cumsum(np.bincount(cls, minlength=WORD_CLASSES + SHAPES)).tolist()
         order = order[: stops[WORD_CLASSES - 1]]  # those of the model's own words, class by class
         runs = [(k, i, j) for k, i, j in zip(range(WORD_CLASSES), [0, *stops], stops) if i < j]
-        s, word, one = states[order], targets[order] % CLASS_WORDS, np.arange(len(order))
-        l = self.p["bw"][cls[order]]
+        s, weights = with_one[order], np.append(self.p["ww"], self.p["bw"][:, None], axis=1)
+        l = np.empty((len(order), CLASS_WORDS), s.dtype)
         for k, i, j in runs:
-            l[i:j] += s[i:j] @ self.p["ww"][k]
-        l -= l.max(axis=1, keepdims=True)
-        inside = l[one, word]
-        e = np.exp(l, out=l)
-        total = e.sum(axis=1)
-        inside = inside - np.log(total)
+            np.matmul(s[i:j], weights[k], out=l[i:j])
+        inside = softmax(l, rows[: len(order)], targets[order] % CLASS_WORDS)
         if grads is None:
             inside = np.log(0.9 * np.exp(inside) + 0.1 * self.word_share[targets[order]])
         out[order] += inside
-        if grads is not None:
-            e /= total[:, None]
-            e[one, word] -= 1
-            flow = np.empty_like(s)
-            for k, i, j in runs:
-                d = e[i:j]
-                grads["ww"][k], grads["bw"][k] = s[i:j].T @ d, d.sum(axis=0)
-                flow[i:j] = d @ self.p["ww"][k].T
-            back[order] += flow
+        if grads is None:
+            return out, None
+        by_class = with_one.T @ d
+        grads["wc"], grads["bc"] = by_class[:-1], by_class[-1]
+        back, flow, by_word = d @ self.p["wc"].T, np.empty((len(order), HIDDEN), s.dtype), np.zeros_like(weights)
+        for k, i, j in runs:
+            np.matmul(s[i:j].T, l[i:j], out=by_word[k])
+            np.matmul(l[i:j], self.p["ww"][k].T, out=flow[i:j])
+        grads["ww"], grads["bw"] = by_word[:, :-1], by_word[:, -1]
+        back[order] += flow
         return out, back
 
-    def train(self, stream: np.ndarray, end: int, streams: int = 128, window: int = 16, rate: float = 0.05, least_updates: int = 200, most_epochs: int = 10) -> int:
-        """Truncated backpropagation over one long row of symbols in which `end` ends each text.
+    def gradients(self, inputs: np.ndarray, targets: np.ndarray, h: np.ndarray, end: int, real: np.ndarray | None = None) -> tuple[float, dict, np.ndarray, np.ndarray]:
+        """Of the sum of -log probabilities over a window (time x streams): value, gradients, symbols read, state after it.
 
-        The row is laid out in parallel streams; the state is carried from window to window and
-        cleared where a text begins. Returns the number of symbols.
+        The gradient of "x" has a row for each symbol read. A stream's state is cleared where it
+        reads `end`, as a new text starts from nothing but the end before it. Targets outside `real`
+        don't count.
         """
-        streams = max(1, min(streams, len(stream) // (4 * window)))
-        length = len(stream) // streams
-        if length < 2:
+        steps, width = inputs.shape
+        u = self.p["u"]
+        goes_on = (inputs != end).astype(h.dtype)
+        # gates and candidates take the place of what the table brings to them
+        table = np.ascontiguousarray(self.p["x"][inputs].transpose(0, 2, 1))
+        zs, rs, cs = (table[:, k * HIDDEN : (k + 1) * HIDDEN] for k in range(3))
+        states, before, turns = (np.empty((steps, HIDDEN, width), h.dtype) for _ in range(3))
+        for t in range(steps):
+            before[t] = h = h * goes_on[t]
+            a = u.T @ h
+            gates = table[t, : 2 * HIDDEN]
+            gates += a[: 2 * HIDDEN]
+            gates *= 0.5
+            np.tanh(gates, out=gates)
+            gates *= 0.5
+            gates += 0.5
+            turns[t] = a[2 * HIDDEN :]
+            cs[t] += rs[t] * turns[t]
+            np.tanh(cs[t], out=cs[t])
+            states[t] = h = cs[t] + zs[t] * (h - cs[t])
+        grads: dict = {}
+        flat, want = np.ascontiguousarray(states.transpose(0, 2, 1)).reshape(-1, HIDDEN), targets.ravel()
+        if real is None or real.all():
+            logs, back = self.outputs(flat, want, grads)
+        else:
+            some = np.flatnonzero(real.ravel())
+            logs, part = self.outputs(flat[some], want[some], grads)
+            back = np.zeros_like(flat)
+            back[some] = part
+        back = np.ascontiguousarray(back.reshape(steps, width, HIDDEN).transpose(0, 2, 1))
+        by_c, by_z, by_r = (1 - zs) * (1 - cs * cs), (before - cs) * zs * (1 - zs), turns * rs * (1 - rs)
+        pre, last = np.empty_like(table), np.empty_like(states)
+        dh, grads["u"] = np.zeros_like(h), np.zeros_like(u)
+        for t in range(steps - 1, -1, -1):
+            dh = dh + back[t]
+            dc = np.multiply(dh, by_c[t], out=last[t])
+            np.multiply(dh, by_z[t], out=pre[t, :HIDDEN])
+            np.multiply(dc, by_r[t], out=pre[t, HIDDEN : 2 * HIDDEN])
+            np.multiply(dc, rs[t], out=pre[t, 2 * HIDDEN :])
+            grads["u"] += before[t] @ pre[t].T
+            dh = (dh * zs[t] + u @ pre[t]) * goes_on[t]
+        pre[:, 2 * HIDDEN :] = last  # what flows to the table does not pass the gate
+        order = np.argsort(inputs.ravel(), kind="stable")
+        used, first = np.unique(inputs.ravel()[order], return_index=True)
+        grads["x"] = np.add.reduceat(pre.transpose(0, 2, 1).reshape(-1, 3 * HIDDEN)[order], first, axis=0)
+        return float(-logs.sum()), grads, used, h
+
+    def train(self, stream: np.ndarray, end: int, streams: int = 512, window: int = 16, rate: float = 0.05) -> int:
+        """Truncated backpropagation, once over a long row of symbols in which `end` ends each text.
+
+        The row is laid out in parallel streams, the last of which may end early; the state is
+        carried from window to window and cleared where a text begins. Every symbol is a target
+        once. Returns the number of symbols.
+        """
+        if not len(stream):
             return 0
-        x = stream[: streams * length].reshape(streams, length).T
+        streams = max(1, min(streams, len(stream) // (4 * window)))
+        length = -(-len(stream) // streams)
+        lay = lambda row: np.append(row, np.full(streams * length - len(row), end, row.dtype)).reshape(streams, length).T
+        targets, inputs = lay(stream), lay(np.append(np.array([end], stream.dtype), stream[:-1]))
+        real = (np.arange(streams * length) < len(stream)).reshape(streams, length).T
         square = {k: np.full_like(v, 1e-6) for k, v in self.p.items()}
-        updates = -(-(length - 1) // window)
-        for _ in range(max(1, min(most_epochs, -(-least_updates // updates)))):
-            h = np.zeros((streams, HIDDEN), np.float32)
-            for begin in range(0, length - 1, window):
-                inputs, targets = x[begin : min(begin + window, length - 1)], x[begin + 1 : begin + window + 1]
-                states, kept = [], []
-                for s in inputs:
-                    h = h * (s != end)[:, None]  # a new text starts from nothing but the end before it
-                    h, memory = self.step(h, s)
-                    states.append(h)
-                    kept.append(memory)
-                grads: dict = {}
-                _, back = self.outputs(np.concatenate(states), targets.ravel(), grads)
-                back = back.reshape(len(states), streams, HIDDEN)
-                grads["u"] = np.zeros_like(self.p["u"])
-                rows, row_grads, dh = [], [], np.zeros((streams, HIDDEN), np.float32)
-                for t in range(len(states) - 1, -1, -1):
-                    before, s, z, r, c, a = kept[t]
-                    dh = dh + back[t]
-                    dc = dh * (1 - z) * (1 - c * c)
-                    dz = dh * (before - c) * z * (1 - z)
-                    dr = dc * a * r * (1 - r)
-                    pre = np.concatenate([dz, dr, dc * r], axis=1)
-                    grads["u"] += before.T @ pre
-                    rows.append(s)
-                    row_grads.append(np.concatenate([dz, dr, dc], axis=1))
-                    dh = (dh * z + pre @ self.p["u"].T) * (s != end)[:, None]
-                scale = 1.0 / targets.size
-                row = np.concatenate(rows)
-                by_symbol = np.argsort(row, kind="stable")
-                used, first = np.unique(row[by_symbol], return_index=True)
-                gx = np.add.reduceat(np.concatenate(row_grads)[by_symbol], first, axis=0) * np.float32(scale)
-                square["x"][used] += gx * gx
-                self.p["x"][used] -= rate * gx / np.sqrt(square["x"][used])
-                for k in ("u", "wc", "bc", "ww", "bw"):
-                    g = grads[k] * scale
+        h = np.zeros((HIDDEN, streams), np.float32)
+        for begin in range(0, length, window):
+            at = slice(begin, begin + window)
+            _, grads, used, h = self.gradients(inputs[at], targets[at], h, end, real[at])
+            scale = np.float32(1.0 / real[at].sum())
+            for k, g in grads.items():
+                g = g * scale
+                if k == "x":
+                    square[k][used] += g * g
+                    self.p[k][used] -= np.float32(rate) * g / np.sqrt(square[k][used])
+                else:
                     square[k] += g * g
-                    self.p[k] -= (rate * g / np.sqrt(square[k])).astype(np.float32)
-        return int(x.size)
+                    self.p[k] -= np.float32(rate) * g / np.sqrt(square[k])
+        return len(stream)
 
-    def score(self, texts: list[np.ndarray], end: int, rows: int = 1 << 16) -> np.ndarray:
+    def score(self, texts: list[np.ndarray], end: int, rows: int = 1 << 13) -> np.ndarray:
         """Natural log probability of each text's symbols and its end; the state lasts a whole text."""
         lengths = np.array([len(t) + 1 for t in texts])
         order = np.argsort(-lengths, kind="stable")
@@ -264,7 +302,7 @@ class Gru:
         starts = np.concatenate([[0], np.cumsum(lengths[order])])[:-1]
         line = np.concatenate([x for i in order for x in (texts[i], [end])]).astype(np.int32) if len(texts) else np.empty(0, np.int32)
         sorted_lengths = lengths[order]
-        h = np.zeros((len(texts), HIDDEN), np.float32)
+        h = np.zeros((HIDDEN, len(texts)), np.float32)
         at = 0
         while at < (sorted_lengths[0] if len(texts) else 0):
             active = int(np.searchsorted(-sorted_lengths, -at, side="left"))
@@ -273,8 +311,8 @@ class Gru:
             for t in range(at, stop):
                 active = int(np.searchsorted(-sorted_lengths, -t, side="left"))
                 before = np.full(active, end, np.int32) if t == 0 else line[starts[:active] + t - 1]
-                h, _ = self.step(h[:active], before)
-                states.append(h)
+                h = self.step(h[:, :active], before)
+                states.append(h.T)
                 targets.append(line[starts[:active] + t])
                 owners.append(np.arange(active))
             logs, _ = self.outputs(np.concatenate(states), np.concatenate(targets))
@@ -285,45 +323,52 @@ class Gru:
         return out
 
 
-def _symbols(vocabulary: Vocabulary, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Head index (-1: none) and symbol of each word."""
-    get = vocabulary.head.get
-    at = np.array([get(w, -1) for w in words], np.int32)
-    symbols = vocabulary.symbol[at] if len(vocabulary.symbol) else np.zeros(len(at), np.int32)
-    for i in np.flatnonzero(at < 0):
-        symbols[i] = MODEL_WORDS + _shape(words[i])
-    return at, symbols
+class Places(dict):
+    """Place of each word in the vocabulary's head; of others -1 less their shape."""
 
+    def __init__(self, vocabulary: Vocabulary):
+        super().__init__(vocabulary.head)
+        self.symbol = vocabulary.symbol if len(vocabulary.symbol) else np.zeros(1, np.int32)
 
-def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = 2, task_tokens: int = 4_000_000, fan_in: int = 64) -> Gru:
+    def __missing__(self, word: bytes) -> int:
+        return -1 - _shape(word)
+
+    def of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Places and symbols."""
+        at = np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+        return at, np.where(at >= 0, self.symbol[np.maximum(at, 0)], MODEL_WORDS - 1 - at).astype(np.int32)
+
+
+def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = 2, task_tokens: int = 4_000_000, fan_in: int = 8) -> Gru:
     """The model after `rounds` rounds of local training and averaging.
 
-    Gradient steps use all documents of docs, as the vocabulary does. In a round each task trains a
-    copy on its own documents, in pieces of `task_tokens`; copies are averaged by their tokens,
-    `fan_in` at a time, so neither a task nor the driver ever holds more than one copy beside its
-    sum, or the driver more than `fan_in`.
+    Gradient steps use all documents of docs, as the vocabulary does, each document in one of the
+    rounds (a hash deals them out). In a round each task trains a copy on its own documents, in
+    pieces of `task_tokens`, from where the last round's average stands; copies are averaged by
+    their tokens, `fan_in` at a time, so neither a task nor the driver ever holds more than one copy
+    beside its sum, or the driver more than `fan_in`.
     """
     model = Gru(vocabulary)
-    part = docs.select("text")
+    turn = F.pmod(F.xxhash64("text", "doc_id"), F.lit(rounds))
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(vocabulary)  # bounded by HEAD_WORDS and LONGEST_HEAD_WORD
-    for _ in range(rounds):
-        weights = model.flat()
+    shared = spark.sparkContext.broadcast(vocabulary)  # bounded by HEAD_WORDS and HEAD_BYTES
+    for k in range(rounds):
+        part, weights = docs.filter(turn == k).select("text"), model.flat()
 
         def run(batches: Iterator[pa.RecordBatch], weights: np.ndarray = weights) -> Iterator[pa.RecordBatch]:
             own = Gru(shared.value)
             own.load(weights)
-            held, n, seen, end = [], 0, 0, shared.value.end
+            held, n, seen, end, places = [], 0, 0, shared.value.end, Places(shared.value)
 
             for batch in batches:
                 for text in batch.column(0):
-                    held += [np.append(_symbols(shared.value, tokens(text.as_py()))[1], end)]
+                    held += [np.append(places.of(tokens(text.as_py()))[1], np.int32(end))]
                     n += len(held[-1])
                     if n > task_tokens:
-                        seen += own.train(np.concatenate(held).astype(np.int32), end)
+                        seen += own.train(np.concatenate(held), end)
                         held, n = [], 0
             if held:
-                seen += own.train(np.concatenate(held).astype(np.int32), end)
+                seen += own.train(np.concatenate(held), end)
             if seen:
                 yield pa.RecordBatch.from_arrays([pa.array([float(seen)]), pa.array([own.flat().tobytes()], pa.binary())], names=["w", "p"])
 
@@ -379,31 +424,45 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block
         row, held, n = first_row_key(), [], 0
         end_log = float(logs[vocab.end]) if END in vocab.head else -1.0
 
+        places = Places(vocab)
+
         def out() -> Iterator[pa.RecordBatch]:
-            by_model = own.score([h[1] for h in held], vocab.end) / np.log(10)
-            keys, ids, word, tf, n_tokens, n_known, base, score = [], [], [], [], [], [], [], []
-            for (key, doc_id, symbols, sums, rare), log_p in zip(((h[0], h[2], h[1], h[3], h[4]) for h in held), by_model, strict=True):
-                # the document's own row: its word is one that no text can hold
-                keys.append(key), ids.append(doc_id), word.append(b" %d" % key), tf.append(0)
-                n_tokens.append(len(symbols) + 1), n_known.append(sums[0]), base.append(sums[1]), score.append(float(log_p) + sums[2])
-                for w, c in rare.items():
-                    keys.append(key), ids.append(doc_id), word.append(w), tf.append(c)
-                    n_tokens.append(0), n_known.append(0), base.append(0.0), score.append(0.0)
-            columns = [pa.array(keys, pa.int64()), pa.array(ids, pa.int64()), pa.array(word, pa.binary()), pa.array(tf, pa.int64()), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base, pa.float64()), pa.array(score, pa.float64())]
+            by_model = own.score([h[2] for h in held], vocab.end) / np.log(10)
+            keys, ids, symbols, sums, rare = zip(*held, strict=True)
+            # a document's own row is followed by those of its rare words; its word is one that no text can hold
+            counts = np.array([1 + len(r) for r in rare])
+            own_rows = np.concatenate([[0], np.cumsum(counts)[:-1]])
+
+            def at_own(values: list, kind: type) -> pa.Array:
+                column = np.zeros(counts.sum(), kind)
+                column[own_rows] = values
+                return pa.array(column)
+
+            words = [w for key, r in zip(keys, rare, strict=True) for w in (b" %d" % key, *r)]
+            columns = [
+                pa.array(np.repeat(keys, counts)),
+                pa.array(ids, pa.int64()).take(pa.array(np.repeat(np.arange(len(ids)), counts))),
+                pa.array(words, pa.binary()),
+                pa.array([c for r in rare for c in (0, *r.values())], pa.int64()),
+                at_own([len(s) + 1 for s in symbols], np.int64),
+                at_own([s[0] for s in sums], np.int64),
+                at_own([s[1] for s in sums], np.float64),
+                at_own([float(log_p) + s[2] for log_p, s in zip(by_model, sums, strict=True)], np.float64),
+            ]
             whole = pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "word", "tf", "n_tokens", "n_known", "base", "score"])
-            for i in range(0, len(keys), 100_000):
+            for i in range(0, whole.num_rows, 100_000):
                 yield whole.slice(i, 100_000)
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 w = tokens(text.as_py())
-                at, symbols = _symbols(vocab, w)
+                at, symbols = places.of(w)
                 known = at >= 0
                 outside = symbols >= MODEL_WORDS
-                rare = Counter(w[i] for i in np.flatnonzero(~known))
+                rare = Counter([w[i] for i in np.flatnonzero(~known).tolist()])
                 # of words in the head; of the others the join adds the logs of their counts to both scores
                 sums = (int(known.sum()) + (END in vocab.head), float(logs[at[known]].sum()) + end_log, float(logs[at[known & outside]].sum()) - float(log_mass[symbols[outside] - MODEL_WORDS].sum()))
-                held.append((row, symbols.astype(np.int32), doc_id, sums, rare))
+                held.append((row, doc_id, symbols, sums, rare))
                 row, n = row + 1, n + len(w) + 1
                 if n >= block_tokens:
                     yield from out()

@@ -353,6 +353,85 @@ def test_gradients_are_right():
         assert abs((up - down) / 2e-5 - grad[at]) < 1e-5
 
 
+def small_model(seed=0):
+    v = gru_scoring.Vocabulary({b"a": 0, b"b": 1, gru_scoring.END: 2}, np.array([5.0, 3.0, 2.0]), np.full(gru_scoring.SHAPES, 0.1), 10, 3)
+    model, rng = gru_scoring.Gru(v), np.random.default_rng(seed)
+    model.p = {k: (x + rng.normal(0, 0.3, x.shape)).astype(np.float64) for k, x in model.p.items()}
+    return model, rng
+
+
+def test_gradients_through_time_are_right():
+    model, rng = small_model()
+    end, symbols = 2, [0, 1, 2, gru_scoring.MODEL_WORDS + 1, 70]
+    inputs, targets = rng.choice(symbols, (7, 3)), rng.choice(symbols, (7, 3))
+    h, real = rng.normal(size=(gru_scoring.HIDDEN, 3)), rng.random((7, 3)) < 0.8
+    _, grads, used, _ = model.gradients(inputs, targets, h, end, real)
+    row = {int(x): k for k, x in enumerate(used)}
+    loss = lambda: model.gradients(inputs, targets, h, end, real)[0]
+    at = [("u", (2, 5)), ("u", (0, 20)), ("u", (7, 40)), ("wc", (3, 0)), ("bc", (1,)), ("ww", (0, 3, 1)), ("bw", (1, 6))]
+    at += [("x", (x, k)) for x in row for k in (1, 17, 40)]
+    for name, i in at:
+        p = model.p[name]
+        old, p[i] = p[i], p[i] + 1e-5
+        up, p[i] = loss(), old - 1e-5
+        down, p[i] = loss(), old
+        told = grads[name][(row[i[0]], i[1]) if name == "x" else i]
+        assert abs((up - down) / 2e-5 - told) < 1e-5 * max(1, abs(told)), (name, i)
+
+
+def test_the_state_is_carried_and_cleared():
+    model, rng = small_model(1)
+    inputs, targets = rng.choice([0, 1, 2, 65], (12, 4)), rng.choice([0, 1, 2, 65], (12, 4))
+    zero = np.zeros((gru_scoring.HIDDEN, 4))
+    whole, _, _, last = model.gradients(inputs, targets, zero, 2)
+    one, _, _, h = model.gradients(inputs[:5], targets[:5], zero, 2)
+    two, _, _, h = model.gradients(inputs[5:], targets[5:], h, 2)
+    assert abs(whole - one - two) < 1e-9 and np.allclose(h, last)
+    fresh = np.full((1, 4), 2)
+    assert np.allclose(model.gradients(fresh, fresh, h, 2)[3], model.gradients(fresh, fresh, zero, 2)[3])
+
+
+def test_scores_match_a_plain_loop():
+    model, rng = small_model(2)
+    h_, end = gru_scoring.HIDDEN, 2
+    lines = [rng.choice([0, 1, 65, gru_scoring.MODEL_WORDS + 2], n) for n in (0, 1, 5, 40, 200)]
+    got = model.score(lines, end, rows=16)
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    for line, found in zip(lines, got, strict=True):
+        h, before, total = np.zeros(h_), end, 0.0
+        for y in [*line, end]:
+            g, a = model.p["x"][before], h @ model.p["u"]
+            z, r = sigmoid(g[:h_] + a[:h_]), sigmoid(g[h_ : 2 * h_] + a[h_ : 2 * h_])
+            c = np.tanh(g[2 * h_ :] + r * a[2 * h_ :])
+            h = (1 - z) * c + z * h
+            k = y // gru_scoring.CLASS_WORDS if y < gru_scoring.MODEL_WORDS else y - gru_scoring.MODEL_WORDS + gru_scoring.WORD_CLASSES
+            e = np.exp(h @ model.p["wc"] + model.p["bc"])
+            total += np.log(0.9 * e[k] / e.sum() + 0.1 * model.class_share[k])
+            if y < gru_scoring.MODEL_WORDS:
+                e = np.exp(h @ model.p["ww"][k] + model.p["bw"][k])
+                total += np.log(0.9 * e[y % gru_scoring.CLASS_WORDS] / e.sum() + 0.1 * model.word_share[y])
+            before = y
+        assert abs(found - total) < 1e-3 * len(line) + 1e-4
+
+
+def test_every_symbol_is_a_target_once():
+    model, _ = small_model(3)
+    model.p = {k: x.astype(np.float32) for k, x in model.p.items()}
+    seen, plain = [], model.outputs
+    model.outputs = lambda states, targets, grads=None: (seen.extend(targets.tolist()), plain(states, targets, grads))[1]
+    stream = np.random.default_rng(4).choice([0, 1, 2, 65, 130], 1003).astype(np.int32)
+    assert model.train(stream, 2, streams=8) == 1003 and Counter(seen) == Counter(stream.tolist())
+    assert model.train(stream[:0], 2) == 0 and model.train(stream[:1], 2) == 1
+
+
+def test_the_head_is_bounded_and_full(spark, monkeypatch):
+    monkeypatch.setattr(gru_scoring, "HEAD_WORDS", 100)
+    rows = [(b" ", 5)] + [(b"w%d" % i, 1) for i in range(5000)] + [(b"often%d" % i, 1000) for i in range(20)] + [(b"x" * 300, 4000)]
+    v = gru_scoring.vocabulary(spark.createDataFrame(rows, "word binary, c long"))
+    assert 60 <= len(v.head) <= 140 and {b" ", b"x" * 300, *(b"often%d" % i for i in range(20))} <= set(v.head)
+    assert v.tokens == sum(c for _, c in rows) and v.distinct == len(rows)
+
+
 def test_scores_of_odd_tables(docs, empty):
     got = gru_scoring.score(docs).collect()
     assert len(got) == len(texts()) and all(np.isfinite(r.score) and r.score < 0 for r in got)
