@@ -5,6 +5,7 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -15,21 +16,27 @@ from tarnfold.llm.common import in_small_batches
 # Element names by their part in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
-NEVER = frozenset("script style textarea title noscript iframe xmp noembed noframes head nav footer aside form button select option template svg canvas object menu dialog".split())
+NEVER = frozenset("script style textarea title noscript iframe xmp noembed noframes head nav footer aside button select option template svg canvas object menu dialog".split())
 BLOCK = frozenset(
     "html body address article aside blockquote caption center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 PARAGRAPH = frozenset("p pre td blockquote li dd h1 h2 h3 h4 h5 h6 div section article main body figcaption".split())
-UNLIKELY = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|banner|promo\w*|sidebar|side|menu|nav\w*|breadcrumbs?|header|masthead|footer|comments?|disqus|replies|cookies?|consent|notice|popup|modal|overlay|newsletter|subscribe|signup|login|share|sharing|social|related|recommended|widget|toolbar|pagination|pager|skip)(?:$|[\s_-])",
-    re.I,
+#: Names (class, id, role) that say by themselves what is no article, and words that may stand beside one in such a name.
+UNLIKELY = frozenset(
+    """ad ads advert adverts advertisement advertising sponsor sponsors sponsored banner promo promos promotion sidebar side menu nav navbar navigation
+    breadcrumb breadcrumbs header masthead footer comment comments disqus replies cookie cookies consent notice popup modal overlay newsletter subscribe
+    signup login share sharing social related recommended widget toolbar pagination pager skip""".split()
 )
+BESIDE_UNLIKELY = frozenset(
+    """bar box list item items wrap wrapper container block section area panel slot unit left right top bottom main site page global primary secondary
+    inner outer link links post posts article articles story stories button buttons icon icons row col column content contents text title group form
+    mobile desktop sticky fixed my the user reader gdpr privacy email mail inline body dialog""".split()
+)
+WORD_IN_NAME = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
 #: An attribute: its name, and its value if there is one.
 ATTRIBUTE = re.compile(r"([^\s\"'=/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?|\"[^\"]*\"|'[^']*'")
-#: What a layout lacks or has beside it says nothing of the element itself.
-BESIDE = re.compile(r"\b(?:no|has|with|without)[-_][\w-]+", re.I)
 UNSEEN = re.compile(r"display\s*:\s*none", re.I)
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Containers that are left out beside the best one if they hold little but links.
@@ -37,6 +44,13 @@ LISTS = frozenset("ul ol dl table div section center".split())
 SPACE = re.compile(r"\s+")
 
 
+@lru_cache(4096)
+def _unlikely(name: str) -> bool:
+    """Whether all words of a name are about layout, and one of them about what is no article: cookie-notice, but not notice-period."""
+    words = [w.lower() for w in WORD_IN_NAME.findall(name)]
+    return any(w in UNLIKELY for w in words) and all(w in UNLIKELY or w in BESIDE_UNLIKELY for w in words)
+
+
 class Node:
     __slots__ = ("tag", "parent", "parts", "skip", "score", "text", "links")
 
@@ -91,7 +105,7 @@ def parse(source: str) -> Node:
             close(("tr",), ("table",))
         attributes = {g[1].lower(): g[2] or g[3] or g[4] or "" for g in ATTRIBUTE.finditer(m[3]) if g[1]} if m[3] else {}
         named = " ".join(attributes[x] for x in ("class", "id", "role") if attributes.get(x))
-        skip = node.skip or tag in NEVER or bool(named and tag not in ("html", "body", "article", "main") and UNLIKELY.search(BESIDE.sub("", named))) or "hidden" in attributes or bool(UNSEEN.search(attributes.get("style", "")))
+        skip = node.skip or tag in NEVER or (bool(named) and tag not in ("html", "body", "article", "main") and any(map(_unlikely, named.split()))) or "hidden" in attributes or bool(UNSEEN.search(attributes.get("style", "")))
         if tag == "header" and not skip:
             up = node
             while up is not None and up.tag not in ("article", "main"):
@@ -117,6 +131,7 @@ def _measure(root: Node) -> list[Node]:
         order.append(n)
         stack.extend(x for x in reversed(n.parts) if isinstance(x, Node) and not x.skip)
     for n in reversed(order):
+        n.text = n.links = 0
         for x in n.parts:
             if isinstance(x, str):
                 n.text += len(x.strip())
@@ -132,6 +147,18 @@ def _density(n: Node) -> float:
     return n.links / n.text if n.text else 0.0
 
 
+def _skip_forms(root: Node) -> None:
+    """Leaves out forms, but not those that a page or its article is wrapped in."""
+    order = _measure(root)
+    for form in [n for n in order if n.tag == "form"]:
+        inside, stack = False, [form]
+        while stack and not inside:
+            x = stack.pop()
+            inside = x.tag in ("article", "main", "h1")
+            stack.extend(y for y in x.parts if isinstance(y, Node) and not y.skip)
+        form.skip = not inside and 2 * form.text <= root.text
+
+
 def _menu(n: Node) -> bool:
     """A list or box of two links or more, mostly links and without a heading."""
     if n.tag not in LISTS or _density(n) <= 0.5:
@@ -195,11 +222,13 @@ def extract(source: str | None) -> str:
     shrink with the share of a container's text in links. The best container is kept whole, and with
     it all else of the outermost article or main around it but lists of links, and the siblings of
     that which hold an article, have a fifth of the best score or are paragraphs with few links.
-    Without an article or main around the best container, the whole page is kept in this way.
+    Without an article or main around the best container, the whole page is kept in this way. A page
+    of links and little else has no main text.
     """
     if not source:
         return ""
     root = parse(source)
+    _skip_forms(root)
     order = _measure(root)
     for n in order:
         if n.tag not in PARAGRAPH or n.tag == "#root":
@@ -218,7 +247,7 @@ def extract(source: str | None) -> str:
         n.score *= 1 - _density(n)
     best = max(order, key=lambda n: n.score, default=None)
     if best is None or best.score <= 0:
-        return "\n\n".join(_blocks([root]))
+        return "" if _density(root) > 0.5 else "\n\n".join(_blocks([root]))
     around, up = None, best
     while up is not None:
         around, up = up if up.tag in ("article", "main") else around, up.parent

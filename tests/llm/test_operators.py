@@ -103,6 +103,62 @@ def test_language_edges(docs, empty):
     assert language_id.keep_identified(docs, None).count() == docs.count() - 4
 
 
+def plain_features(text: str) -> np.ndarray:
+    """Counted gram by gram."""
+    kept = "".join(chr(b) if b >= 128 or 97 <= b <= 122 else " " for b in text.lower().encode())
+    while "  " in (kept := f" {kept} " if kept[:1] != " " or kept[-1:] != " " else kept):
+        kept = kept.replace("  ", " ")
+    b, out = kept.encode("latin-1"), np.zeros(language_id.FEATURES, np.int64)
+    for i in range(len(b)):
+        hashes = [b[i] * 7919]
+        if i + 1 < len(b):
+            hashes.append(b[i] * 104729 + b[i + 1] * 1299709 + 1)
+        if i + 2 < len(b):
+            hashes.append(b[i] * 15485863 + b[i + 1] * 32452843 + b[i + 2] * 49979687 + 2)
+        for h in hashes:
+            out[(h ^ (h >> 11)) & (language_id.FEATURES - 1)] += 1
+    return out
+
+
+LINES = {"en": "the thing that they think of when the other one has gone there with them", "fr": "le jour que nous avons été dans la maison où il était une fois", "de": "der Mann hat sich nicht über das Haus und die Straße gefreut"}
+
+
+def test_language_matches_brute_force_decoding(spark):
+    rng = random.Random(2)
+    rows = [(k, " ".join(rng.choice(LINES[lang].split()) for _ in range(n)), lang) for k, (lang, n) in enumerate((lang, n) for lang in LINES for n in (5, 30, 200) for _ in range(4))]
+    mixed = [(1000 + k, " ".join(rng.choice((LINES["en"] + " " + LINES["fr"]).split()) for _ in range(400)), None) for k in range(6)]
+    df = spark.createDataFrame(rows + mixed + [(2000, "été " * 3, None), (2001, "12 34", "en")], "doc_id long, text string, lang string")
+    model = language_id.fit(df)
+    counts = {lang: sum(plain_features(t) for _, t, x in rows if x == lang) + 0.5 for lang in LINES}
+    share = {lang: c / c.sum() for lang, c in counts.items()}
+    names, code = sorted(LINES), language_id.codebook(3)
+    weights = np.array([np.log(sum(share[x] for x, s in zip(names, bit, strict=True) if s > 0) / (bit > 0).sum() / (sum(share[x] for x, s in zip(names, bit, strict=True) if s < 0) / (bit < 0).sum())) for bit in code.T])
+    own = np.mean([np.abs(weights @ share[x]) for x in names], axis=0)
+    ambiguous = set()
+    for r in language_id.identify(df, model).collect():
+        text = df.filter(F.col("doc_id") == r.doc_id).first().text
+        if r.doc_id == 2001:
+            assert r.lang_pred == "und"
+            continue
+        f = plain_features(text)
+        margin = weights @ f / f.sum() / own
+        loss = [sum(o / own.sum() * np.log1p(np.exp(-2 * s * m)) for o, s, m in zip(own, word, margin, strict=True)) for word in code]
+        assert r.lang_pred == names[int(np.argmin(loss))]
+        gap = sorted(loss)[1] - min(loss)
+        assert r.ambiguous == (gap < 0.05 * f.sum() / (f.sum() + 200))
+        ambiguous |= {r.doc_id} if r.ambiguous else set()
+    assert ambiguous and ambiguous <= {i for i, _, _ in mixed}
+    assert {r.doc_id for r in language_id.keep_identified(df, model).collect()} == {r.doc_id for r in df.collect()} - ambiguous - {2001}
+
+
+def test_features_in_parts():
+    for text in ("", "a", "ab", "Été, 12 x" * 50, "a  b\n" * 7):
+        whole = language_id.features(text.encode())
+        assert (whole == plain_features(text)).all()
+        for part in (1, 2, 5, 64):
+            assert (language_id.features(text.encode(), part) == whole).all()
+
+
 @pytest.mark.parametrize("n", [1, 2, 4, 6, 7, 20])
 def test_codewords_lie_apart(n):
     code = language_id.codebook(n)
@@ -274,6 +330,53 @@ def test_main_text_keeps_what_lies_beside_the_best_part(around):
     assert got[14:] == ["an item", "cell", "code", "End", "bye"]
 
 
+def test_names_forms_and_pages_of_links():
+    kept = f"<article>{LONG}<div class='notice-period'><p>Notice of a month</p></div><p class='side-effects'>Side effects, rare</p><p class=sharecropper>Shared, too</p></article>"
+    assert html_extract.extract(kept).split("\n\n")[12:] == ["Notice of a month", "Side effects, rare", "Shared, too"]
+    for name in ("cookie-notice", "site-notice-bar", "navMenu", "ad-slot-3", "related_posts", "newsletter-signup", "share"):
+        assert html_extract.extract(f"<article>{LONG}<div class='x {name}'><p>Not, this</p></div></article>").count("\n\n") == 11, name
+    wrapped = f"<body><form action=x id=aspnetForm><article>{LONG}<p>inside</p></article><input type=hidden><button>Go</button></form><form><p>Send, this, please</p></form></body>"
+    assert html_extract.extract(wrapped).split("\n\n")[12:] == ["inside"]
+    assert html_extract.extract("<body><nav><a href=x>a</a></nav><div><a href=x>one</a> <a href=y>two</a></div></body>") == ""
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_main_text_of_generated_pages_is_their_truth(seed):
+    """Pages put together from article blocks, whose texts are the truth, and from other parts around and among them."""
+    rng, truth, n = random.Random(seed), [], 0
+
+    def sentence(size: int) -> str:
+        nonlocal n
+        n += 1
+        return f"Text {n} " + ", ".join(rng.choice("alpha beta gamma delta".split()) for _ in range(size)) + "."
+
+    def block() -> str:
+        text = sentence(rng.choice([1, 4, 30, 60]))
+        truth.append(text)
+        body = text.replace(" ", rng.choice([" ", "\n  "]), 1)
+        tag = rng.choice(["p", "p", "p", "h2", "blockquote", "pre", "li", "td"])
+        body = f"<{tag}>{body}</{tag}>"
+        return {"li": f"<ul>{body}</ul>", "td": f"<table><tr>{body}</tr></table>"}.get(tag, body)
+
+    def noise() -> str:
+        text = sentence(rng.choice([2, 10, 30]))
+        return rng.choice([f"<nav><ul><li>{text}</ul></nav>", f"<aside><p>{text}</p></aside>", f"<div class='x comments'><p>{text}</p></div>", f"<footer>{text}</footer>", f"<div id=cookie-banner><p>{text}</p></div>", f"<form><p>{text}</p><input></form>", f"<script>var x='{text}'</script>", f"<div class=ad>{text}</div>"])
+
+    parts = [block() for _ in range(3)]
+    for _ in range(rng.randint(2, 10)):
+        group = "".join(block() for _ in range(rng.randint(1, 3)))
+        parts.append(rng.choice(["{}", "<div>{}</div>", "<section>{}</section>"]).format(group))
+        if rng.random() < 0.4:
+            parts.append(noise())
+    page = noise() + "<article>" + "".join(parts) + "</article>" + noise() + noise()
+    page = rng.choice(["{}", "<form id=all>{}</form>", "<div class=has-sidebar><main>{}</main></div>"]).format(page)
+    assert html_extract.extract(f"<html><body>{page}</body></html>").split("\n\n") == truth
+
+
+def test_main_text_of_an_empty_table(spark):
+    assert html_extract.main_text(spark.createDataFrame([], "page_id long, url string, html string, text int")).count() == 0
+
+
 def test_hidden_is_an_attribute():
     page = "<article><p title='no hidden costs' data-id=menu>Shown, all</p><p data-x='display: none'>Also, this</p><p hidden>no</p><p style='display:none'>no</p></article>"
     assert html_extract.extract(page) == "Shown, all\n\nAlso, this"
