@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark import TaskContext
@@ -15,10 +16,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def checkpoint_folder(spark: SparkSession) -> str:
     """The cluster's shared folder: the session's ``spark.checkpoint.dir``.
 
-    Only where neither that setting nor a folder of the context exists (local tests) is one made.
+    Where neither that setting nor a folder of the context exists, one is made for a local master
+    (tests); a cluster has to name one that all its machines share.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         named = tempfile.mkdtemp(prefix="spark-checkpoint-", dir="/tmp")
         spark.sparkContext.setCheckpointDir(named)
     return named

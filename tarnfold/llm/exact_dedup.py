@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -12,7 +13,9 @@ from pyspark.sql import functions as F
 from tarnfold.llm.common import cut, first_row_key, in_small_batches
 
 #: Naming buckets. A name is a bucket's number and a rank in it, so names need no global sort.
-BUCKETS = 1 << 16
+BUCKETS = 1 << 20
+#: Groups of more than this share of all rows, fewer than 1000, are joined by broadcast, so that none of them fills a task.
+HOT_SHARE = 1000
 SPACE = frozenset(b" \t\n\x0b\x0c\r")
 
 
@@ -23,16 +26,25 @@ def normalised(text: bytes | None) -> bytes:
     return (b" " if text[0] in SPACE else b"") + b" ".join(text.split()) + (b" " if text[-1] in SPACE and text.strip() else b"")
 
 
-def _blocks(block_bytes: int, flush_bytes: int = 32 << 20):
-    schema = pa.schema([("block", pa.binary()), ("row", pa.list_(pa.int64())), ("doc_id", pa.list_(pa.int64())), ("pos", pa.list_(pa.int32())), ("n", pa.list_(pa.int32())), ("sha", pa.list_(pa.string()))])
+PLACES = "id long, hash long, row array<long>, doc_id array<long>, pos array<int>, n array<int>, sha array<string>"
+
+
+def _blocks(block_bytes: int, contents: bool, flush_bytes: int = 32 << 20):
+    """A task's equal blocks leave it as one row: its own id with the block, or with a hash of it and its places.
+
+    Both come from the same steps over the same rows, so the ids agree.
+    """
+    kinds = [pa.int64(), pa.binary()] if contents else [pa.int64(), pa.int64(), *[pa.list_(k) for k in (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string())]]
+    names = ["id", "block"] if contents else [c.split()[0] for c in PLACES.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A task's equal blocks leave it as one row with their places."""
-        row, held, size = first_row_key(), {}, 0
+        first, held, size = first_row_key(), {}, 0
+        row = given = first
 
         def out() -> pa.RecordBatch:
-            columns = [pa.array(list(held), pa.binary())] + [pa.array([v[k] for v in held.values()], schema.field(k + 1).type) for k in range(5)]
-            return pa.RecordBatch.from_arrays(columns, schema=schema)
+            ids = range(given, given + len(held))
+            rest = [list(held)] if contents else [[zlib.crc32(b) for b in held], *[[v[k] for v in held.values()] for k in range(5)]]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip([list(ids), *rest], kinds, strict=True)], names=names)
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -44,12 +56,14 @@ def _blocks(block_bytes: int, flush_bytes: int = 32 << 20):
                     if places is None:
                         places = held[block] = ([], [], [], [], [])
                         size += len(block) + 64
-                    for at, value in enumerate((row, doc_id, k, n, hashlib.sha256(whole).hexdigest() if k == 0 else None)):
-                        places[at].append(value)
+                    if not contents:
+                        for at, value in enumerate((row, doc_id, k, n, hashlib.sha256(whole).hexdigest() if k == 0 else None)):
+                            places[at].append(value)
                     size += 32
                 row += 1
                 if size > flush_bytes:
                     yield out()
+                    given += len(held)
                     held, size = {}, 0
         if held:
             yield out()
@@ -71,19 +85,26 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     adjacent pairs of names get names, level by level, until a document has one. Names come from
     comparing contents, never from a hash alone (a hash only deals out the work), so the pair
     (number of blocks, last name) identifies a text without collisions. Blocks that repeat within
-    a task are merged before the shuffle, pairs are made distinct with map-side combining, and
-    joins back are plain equi-joins that adaptive execution splits: no copy group fills a task.
+    a task are merged before the shuffle and reach the ranking as one row without their places, so
+    a block of a third of all texts brings a row a task; places are joined back by the ids of
+    those rows, which are unique. Pairs are made distinct with map-side combining. Groups of more
+    than a thousandth of all rows are joined back by broadcast (there are fewer than a thousand).
     Rows shuffled: the text once, then 8-byte names that halve with each level.
 
+    The documents are gone over twice, so rows must come in one order, as files do; a text that
+    comes at another place the second time ends the job.
+
     Defined cases: null is empty, and all empty texts are one group; repeated rows are rows of their
     own, of which one is kept; of equal texts the smallest doc_id stays (null ids last); an empty
     table gives an empty result; further columns are dropped.
     Returns doc_id, keep_id, group_size, kept, text_sha256, and row, a key of the input row.
     """
     source = in_small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    places = source.mapInArrow(_blocks(block_bytes), "block binary, row array<long>, doc_id array<long>, pos array<int>, n array<int>, sha array<string>")
-    named = _named(places, "block").select("name", F.inline(F.arrays_zip("row", "doc_id", "pos", "n", "sha")))
-    blocks = cut(named)
+    ranked = _named(source.mapInArrow(_blocks(block_bytes, True), "id long, block binary"), "block").select("id", "name", F.crc32("block").alias("ranked_hash"))
+    places = source.mapInArrow(_blocks(block_bytes, False), PLACES).join(ranked, "id", "left")
+    same = F.coalesce(F.col("hash") == F.col("ranked_hash"), F.lit(False))
+    name = F.when(same, F.col("name")).otherwise(F.raise_error(F.lit("the documents came in another order")).cast("long"))
+    blocks = cut(places.select(name.alias("name"), F.inline(F.arrays_zip("row", "doc_id", "pos", "n", "sha"))))
 
     widest = blocks.agg(F.max("n")).first()[0] or 1
     active, done, level = blocks.select("row", "pos", "n", "name"), [], 0
@@ -102,10 +123,12 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     for x in done[1:]:
         identity = identity.unionByName(x)
 
-    whole = blocks.filter("pos = 0").select("row", "doc_id", "sha").join(identity.select("row", "n", "name"), "row")
+    whole = cut(blocks.filter("pos = 0").select("row", "doc_id", "sha").join(identity.select("row", "n", "name"), "row"))
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
-    groups = whole.groupBy("n", "name").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size"))
-    return whole.join(groups, ["n", "name"]).select(
+    groups = cut(whole.groupBy("n", "name").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size")))
+    hot = F.broadcast(groups.filter(F.col("group_size") * HOT_SHARE > whole.count()))
+    rest = whole.join(hot, ["n", "name"], "left_anti").join(groups, ["n", "name"])
+    return whole.join(hot, ["n", "name"]).unionByName(rest).select(
         "doc_id",
         F.col("best.doc_id").alias("keep_id"),
         "group_size",
@@ -122,7 +145,10 @@ BROADCAST_IDS = 2_000_000
 
 
 def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """docs without the rows of the ids (doc_id). Ids are broadcast if they are few enough, else shuffled."""
+    """docs without the rows of the ids (doc_id, no nulls). Ids are broadcast if they are few enough, else shuffled.
+
+    Rows with a null doc_id stay, all rows of an id go, an empty table gives an empty result.
+    """
     few = ids.count() <= BROADCAST_IDS
     return docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_anti").select(docs.columns)
 
@@ -131,7 +157,8 @@ def keep_first(docs: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """Rows of docs (doc_id, text, further columns), one for each group of equal texts.
 
     An id all of whose rows are dropped is taken out by id. Rows whose id is null or repeats, some
-    of them kept, are told apart by the text's hash as well; of equal rows one stays.
+    of them kept, are told apart by the text's hash as well; of equal rows one stays. A null text is
+    an empty one; an empty table gives an empty result; columns may have any names but KEPT's and such.
     """
     groups = cut(exact_groups(docs) if groups is None else groups)
     by_id = groups.groupBy("doc_id").agg(F.max("kept").alias("some"), F.min("kept").alias("every"))

@@ -20,7 +20,7 @@ WORD_CLASSES, CLASS_WORDS = 63, 64
 #: Kinds of words outside the model's classes: by ASCII or not, and up to 4, up to 8, or more bytes.
 SHAPES = 6
 MODEL_WORDS = WORD_CLASSES * CLASS_WORDS
-HEAD_WORDS, HEAD_BYTES = 1 << 16, 8 << 20
+HEAD_WORDS, HEAD_BYTES = 1 << 18, 8 << 20
 HIDDEN = 16
 
 
@@ -186,7 +186,7 @@ class Gru:
         out = softmax(d, rows, cls)
         if grads is None:
             out = np.log(0.9 * np.exp(out) + 0.1 * self.class_share[cls])
-        order = np.argsort(cls, kind="stable")
+        order = np.argsort(cls.astype(np.int16), kind="stable")
         stops = np.cumsum(np.bincount(cls, minlength=WORD_CLASSES + SHAPES)).tolist()
         order = order[: stops[WORD_CLASSES - 1]]  # those of the model's own words, class by class
         runs = [(k, i, j) for k, i, j in zip(range(WORD_CLASSES), [0, *stops], stops) if i < j]
@@ -259,7 +259,7 @@ class Gru:
             grads["u"] += before[t] @ pre[t].T
             dh = (dh * zs[t] + u @ pre[t]) * goes_on[t]
         pre[:, 2 * HIDDEN :] = last  # what flows to the table does not pass the gate
-        order = np.argsort(inputs.ravel(), kind="stable")
+        order = np.argsort(inputs.ravel().astype(np.int16), kind="stable")
         used, first = np.unique(inputs.ravel()[order], return_index=True)
         grads["x"] = np.add.reduceat(pre.transpose(0, 2, 1).reshape(-1, 3 * HIDDEN)[order], first, axis=0)
         return float(-logs.sum()), grads, used, h

@@ -24,19 +24,26 @@ def has_letter(text: bytes | None) -> bool:
     return bool(ASCII_LETTER.search(text)) or any(map(str.isalpha, text.decode("utf-8", "replace")))
 
 
-def features(text: bytes) -> np.ndarray:
-    """Counts of hashed n-grams. Digits and marks count as spaces, runs of which count once."""
+def features(text: bytes, part: int = 1 << 20) -> np.ndarray:
+    """Counts of hashed n-grams. Digits and marks count as spaces, runs of which count once.
+
+    Counted in parts of about `part` bytes, so that a long text takes little more than itself.
+    """
     lower = text.decode("utf-8", "replace").lower().encode("utf-8", "replace")
-    a = np.frombuffer(b" " + lower + b" ", np.uint8).astype(np.int64)
+    a = np.frombuffer(b" " + lower + b" ", np.uint8).copy()
     a[(a < 97) | ((a > 122) & (a < 128))] = 32
-    a = a[(a != 32) | (np.roll(a, 1) != 32)]
-    grams = [a * 7919]
-    if len(a) > 1:
-        grams.append(a[:-1] * 104729 + a[1:] * 1299709 + 1)
-    if len(a) > 2:
-        grams.append(a[:-2] * 15485863 + a[1:-1] * 32452843 + a[2:] * 49979687 + 2)
-    h = np.concatenate(grams)
-    return np.bincount((h ^ (h >> 11)) & (FEATURES - 1), minlength=FEATURES)
+    space = a == 32
+    a = a[np.append(True, ~(space[1:] & space[:-1]))]
+    out = np.zeros(FEATURES, np.int64)
+    for start in range(0, len(a), part):
+        s = a[start : start + part + 2].astype(np.int64)
+        one, two, three = s[:part], min(len(s) - 1, part), min(len(s) - 2, part)
+        grams = [one * 7919, s[:two] * 104729 + s[1 : two + 1] * 1299709 + 1]
+        if three > 0:
+            grams.append(s[:three] * 15485863 + s[1 : three + 1] * 32452843 + s[2 : three + 2] * 49979687 + 2)
+        for h in grams:
+            out += np.bincount((h ^ (h >> 11)) & (FEATURES - 1), minlength=FEATURES)
+    return out
 
 
 def codebook(n: int, seed: int = 11) -> np.ndarray:
@@ -65,15 +72,21 @@ class Model:
     scale: np.ndarray  # by bit: brings the mean margin of its own sides to 1
     sharpness: float = 12.0
     ambiguous_below: float = 0.05
+    settled_grams: int = 200
+
+    def decode(self, counts: np.ndarray) -> tuple[str, float, bool]:
+        """Language, score, and whether two codewords lie equally near.
 
-    def decode(self, counts: np.ndarray) -> tuple[str, float, float]:
-        """Language, score, gap to the next nearest codeword."""
+        They do if their losses differ by less than ambiguous_below. A short text has little to tell
+        languages apart by, so less is asked of it: the limit grows with n / (n + settled_grams).
+        """
         margin = (counts @ self.weights) / max(1, counts.sum()) * self.scale
         loss = (self.trust * np.log1p(np.exp(np.clip(-2 * self.code * margin, -50, 50)))).sum(axis=1)
         p = np.exp(-self.sharpness * (loss - loss.min()))
         order = np.argsort(loss, kind="stable")
         gap = float(loss[order[1]] - loss[order[0]]) if len(loss) > 1 else 1.0
-        return self.languages[order[0]], float(p[order[0]] / p.sum()), gap
+        n = counts.sum()
+        return self.languages[order[0]], float(p[order[0]] / p.sum()), gap < self.ambiguous_below * n / (n + self.settled_grams)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,8 +144,8 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
     The weights travel in the task closure: FEATURES x bits numbers.
     Defined cases: a text that is null or has no letter, and every text where nothing was learned,
     is 'und' with score 0 and not ambiguous; repeated rows are judged alike; an empty table gives
-    an empty result; `ambiguous` marks texts whose two nearest codewords lie closer than the
-    model's ambiguous_below.
+    an empty result; `ambiguous` marks texts whose two nearest codewords lie equally near
+    (see Model.decode).
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,8 +156,7 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
                 if model is None or not has_letter(value):
                     out.append(("und", 0.0, False))
                 else:
-                    lang, score, gap = model.decode(features(value))
-                    out.append((lang, score, gap < model.ambiguous_below))
+                    out.append(model.decode(features(value)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.float64()), pa.array([x[2] for x in out], pa.bool_())],
                 names=["doc_id", "lang_pred", "score", "ambiguous"],
@@ -153,21 +165,17 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
     return in_small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, "doc_id long, lang_pred string, score double, ambiguous boolean")
 
 
-def keep_identified(docs: DataFrame, model: Model | None, text_col: str = "text", judged_from: int = 200) -> DataFrame:
-    """Rows of docs, with all their columns, whose language could be told.
+def keep_identified(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
+    """Rows of docs, with all their columns, whose language could be told: not 'und' and not ambiguous.
 
-    Texts without a letter go, and so do ambiguous ones of `judged_from` n-grams or more; shorter
-    ones give too little to go by and stay. Without a model every text with a letter stays.
+    Defined cases: texts that are null or have no letter go; without a model every text with a
+    letter stays; repeated rows are judged alike; an empty table gives an empty result; other
+    columns, whatever their names, are carried along.
     """
     at = docs.columns.index(text_col)
 
     def good(text: bytes | None) -> bool:
-        if not has_letter(text):
-            return False
-        if model is None:
-            return True
-        counts = features(text)
-        return counts.sum() < judged_from or model.decode(counts)[2] >= model.ambiguous_below
+        return has_letter(text) and (model is None or not model.decode(features(text))[2])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
