@@ -80,13 +80,13 @@ def test_pipeline_of_ambiguous_texts_and_of_none(spark, tmp_path):
     en, fr = "the thing that they think of when the other one has gone there", "le jour que nous avons dans la maison ou il etait une fois"
     clean = [(k, pick(line, n), lang) for k, (line, lang, n) in enumerate([(en, "en", 60), (fr, "fr", 60), (en, "en", 4), (fr, "fr", 4)] * 6)]
     # from mostly French to mostly English: some of them lie between the two
-    mixed = [(300 + k, " ".join(pick(en if rng.random() < 0.2 + k / 100 else fr, 1) for _ in range(500)), None) for k in range(60)]
+    mixed = [(300 + k, " ".join(pick(en if rng.random() < k / 400 else fr, 1) for _ in range(800)), None) for k in range(401)]
     docs = spark.createDataFrame([*clean, *mixed, (200, "1 2 3", "en"), (201, None, None)], "doc_id long, text string, lang string")
     (tmp_path / "some").mkdir(), (tmp_path / "none").mkdir()
     docs.write.parquet(f"{tmp_path}/some/documents.parquet")
     docs.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
     kept = {r.doc_id for r in corpus_pipeline.language(spark, docs, "").collect()}
-    assert {i for i, _, _ in clean} <= kept and not kept & {200, 201} and len(kept & {i for i, _, _ in mixed}) < 60
+    assert {i for i, _, _ in clean} <= kept and not kept & {200, 201} and len(kept & {i for i, _, _ in mixed}) < 401
     assert {r.doc_id for r in corpus_pipeline.run(spark, f"{tmp_path}/some").collect()} <= kept
     assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
 
