@@ -9,9 +9,16 @@ from pyspark.sql import functions as F
 
 
 def snake_case(name: str) -> str:
-    """camelCase and UPPERWord names in lower case with underscores."""
-    name = re.sub(r"([A-Z]+)([A-Z][a-z])", r"\1_\2", name)
-    return re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", name).lower()
+    """camelCase and UPPERWord names in lower case with underscores.
+
+    A capital opens a word after a small letter or digit, and as the last of a row of capitals if
+    a small letter follows it.
+    """
+    out = []
+    for before, here, after in zip(" " + name, name, name[1:] + " "):
+        opens = here.isupper() and (before.islower() or before.isdigit() or (before.isupper() and after.islower()))
+        out.append(f"_{here}" if opens else here)
+    return "".join(out).lower()
 
 
 def snake_columns(df: DataFrame) -> DataFrame:
@@ -93,7 +100,9 @@ def game_clock(period: Column, elapsed: Column, playoff: Column) -> Column:
 
 
 def position_category(code: Column) -> Column:
-    return F.when(code.isin("C", "L", "R"), "F").when(code == "D", "D").when(code == "G", "G")
+    """F, D or G for a position code in either case."""
+    c = F.lower(F.trim(code))
+    return F.when(c.isin("c", "l", "r"), "F").when(c == "d", "D").when(c == "g", "G")
 
 
 def completeness(*required: str) -> Column:

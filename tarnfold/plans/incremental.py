@@ -72,30 +72,39 @@ def date_grid(plan: DataFrame, start: str = "start_date", end: str = "end_date",
     return plan.withColumn("d", F.explode(F.sequence(F.col(start), F.greatest(start, end), F.expr(f"interval {days} days"))))
 
 
+#: The first day of the first load, and days after the playoffs until the next schedule is looked for.
+FIRST_DAY, GAP_DAYS = "2008-10-01", 30
+
+
 def scrape_plan(seasons: DataFrame, run: Column, *keep: str) -> DataFrame:
-    """The plan of each row of season dates: start_date, end_date, plan.
+    """The plan of each row of season dates: start_date, end_date, scrape_plan.
 
-    seasons: preseason_start, regular_start, regular_end, playoff_end, last_loaded (dates), has_games.
-    Ten branches, the first that holds: no schedule at all; nothing loaded; season over and not
-    caught up, over for a month, over; before the preseason; preseason; behind by more than a week;
-    regular season; playoffs.
+    seasons: ps_start_date, rs_start_date, rs_end_date, rs_last_game_date, playoff_end_date (dates),
+    sched_fully_loaded. The first branch that holds: nothing loaded yet, before or after the end of
+    June; up to the regular season's last game; later in the regular season (nothing to fetch);
+    looking for playoff dates on certain days; in the playoffs; an early part of a schedule
+    released; GAP_DAYS after the playoffs; sooner after them (nothing to fetch); none of these.
     """
-    c = F.col
+    c, day = F.col, lambda year, month, d: F.make_date(year, F.lit(month), F.lit(d))
+    started, no_date = c("rs_start_date") <= run, F.lit(None).cast("date")
+    ended = c("playoff_end_date")
+    first, early = F.lit(FIRST_DAY).cast("date"), F.month(run) <= 6
     branches = [
-        ("no schedule", ~c("has_games"), F.date_sub(run, 7), F.date_add(run, 7)),
-        ("cold start", c("last_loaded").isNull(), c("preseason_start"), c("playoff_end")),
-        ("season over, catch up", (run > c("playoff_end")) & (c("last_loaded") < c("playoff_end")), c("last_loaded"), c("playoff_end")),
-        ("off season", run > F.date_add(c("playoff_end"), 30), run, run),
-        ("season over", run > c("playoff_end"), F.date_sub(run, 7), run),
-        ("before the season", run < c("preseason_start"), c("preseason_start"), F.date_add(c("preseason_start"), 7)),
-        ("preseason", run < c("regular_start"), F.date_sub(run, 7), c("regular_start")),
-        ("behind", F.datediff(run, c("last_loaded")) > 7, c("last_loaded"), F.date_add(run, 7)),
-        ("regular season", run <= c("regular_end"), F.date_sub(run, 7), F.date_add(run, 7)),
-        ("playoffs", F.lit(True), F.date_sub(run, 2), c("playoff_end")),
+        ("init_scrape_within_season", c("rs_end_date").isNull() & early, first, day(F.year(run), 6, 30)),
+        ("init_scrape_outside_season", c("rs_end_date").isNull(), first, day(F.year(run) + 1, 6, 30)),
+        ("sec_scrape_rs_last_game", started & (run <= c("rs_last_game_date")), c("rs_end_date"), ended),
+        (None, started & (run < c("rs_end_date")), no_date, no_date),
+        ("sec_scrape_playoff_check_within_rs", c("rs_start_date").isNotNull() & ended.isNull() & F.month(run).between(1, 3) & F.dayofmonth(run).isin(1, 15, 28), c("rs_start_date"), c("rs_end_date")),
+        ("sec_scrape_playoffs_after_rs_end", run.between(c("rs_end_date"), ended), c("rs_end_date"), ended),
+        ("sec_scrape_after_initial_schedule_release", (run < c("rs_start_date")) & (F.year("ps_start_date") < F.year("rs_start_date")) & ~c("sched_fully_loaded"), c("rs_start_date"), ended),
+        (f"sec_scrape_at_least_{GAP_DAYS}_days_after_playoffs_ended", F.datediff(run, ended) >= GAP_DAYS, day(F.year(ended), 9, 1), day(F.year(ended), 10, 15)),
+        (f"sec_scrape_within_{GAP_DAYS}_days_after_playoffs", ended.isNotNull(), no_date, no_date),
+        ("issue_found", F.lit(True), no_date, no_date),
     ]
-    pick = F.lit(None).cast("struct<start_date:date,end_date:date,plan:string>")
-    for name, when, start, end in reversed(branches):
-        pick = F.when(F.coalesce(when, F.lit(False)), F.struct(start.cast("date").alias("start_date"), end.cast("date").alias("end_date"), F.lit(name).alias("plan"))).otherwise(pick)
+    plan = lambda name, start, end: F.struct(start.alias("start_date"), end.alias("end_date"), F.lit(name).cast("string").alias("scrape_plan"))
+    pick = plan(*[branches[-1][k] for k in (0, 2, 3)])
+    for name, when, start, end in reversed(branches[:-1]):
+        pick = F.when(F.coalesce(when, F.lit(False)), plan(name, start, end)).otherwise(pick)
     return seasons.select(*keep, pick.alias("p")).select(*keep, "p.*")
 
 
@@ -137,9 +146,12 @@ def readiness(tables: Sequence[DataFrame], schedule: DataFrame, run: Column, day
 
 
 def high_water_scope(source: DataFrame, target: DataFrame, run: Column, date: str = "game_date", days: int = 2) -> DataFrame:
-    """Source rows from the earlier of the target's last date and some days before the run."""
-    mark = target.agg(F.coalesce(F.max(date), F.lit("1900-01-01").cast("date")).alias("_m"))
-    return source.join(F.broadcast(mark), F.col(date).between(F.least("_m", F.date_sub(run, days)), run), "left_semi")
+    """Source rows from the earlier of the target's last date and some days before the run.
+
+    The one date is looked up first, so the scan of the source can leave out files before it.
+    """
+    low = target.agg(F.least(F.coalesce(F.max(date), F.lit("1900-01-01").cast("date")), F.date_sub(run, days))).first()[0]
+    return source.filter(F.col(date).between(F.lit(low), run))
 
 
 def recent_inserts(rows: DataFrame, run: Column, days: int = 2) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarnfold.functions import values as V
-from tarnfold.functions.compare import any_of, as_text, failed_conditions, null_as, null_safe, plain, unless_sentinel, unless_source_null
+from tarnfold.functions.compare import any_of, as_text, failed_conditions, null_as, null_safe, plain, skip_null, unless_sentinel, unless_source_null
 from tarnfold.operators.merge import Delete, Insert, Merged, Update, merge
 from tarnfold.operators.rows import best_row, lookup, one_each
 from tarnfold.operators.shred import build_fields, sides, unpack_list
@@ -53,52 +53,84 @@ def schedule_merge(target: DataFrame, source: DataFrame, run: Column, now: Colum
     return merge(target, source, ["season", "game_id", "home_road"], [Update(new, changed, "update")], [Insert({"insert_dte": lambda t, s: now})], [Delete(gone, "cancelled")], scope=recent)
 
 
+def _text(target: str, **how: bool) -> dict[str, object]:
+    return {"target": target, "type": "string", "trim": True, **how}
+
+
 EVENT_RULES: dict[str, object] = {
-    # Source field of a play, type of its column.
+    # Source field of a play, name and type of its column.
+    "periodDescriptor.number": {"target": "period", "type": "tinyint"},
+    "periodDescriptor.periodType": _text("period_type", upper=True),
+    "periodDescriptor.maxRegulationPeriods": "tinyint",
+    "clock.inIntermission": {"target": "intermission_active", "type": "boolean"},
+    "clock.running": {"target": "game_in_play", "type": "boolean"},
     "eventId": {"target": "event_id", "type": "bigint"},
     "sortOrder": "int",
-    "typeDescKey": {"target": "event_type", "type": "string", "trim": True},
-    "situationCode": {"type": "string", "trim": True},
-    "timeInPeriod": {"type": "string", "trim": True},
-    "timeRemaining": {"type": "string", "trim": True},
-    "periodDescriptor.number": {"target": "period", "type": "tinyint"},
-    "details.zoneCode": "string",
-    "details.eventOwnerTeamId": {"target": "team_id", "type": "bigint"},
+    "typeCode": {"target": "event_type_code", "type": "int"},
+    "typeDescKey": _text("event_type", lower=True),
+    "situationCode": _text("situation_code"),
+    "timeInPeriod": _text("time_in_period"),
+    "timeRemaining": _text("time_remaining"),
+    "homeTeamDefendingSide": _text("home_team_defending_side", lower=True),
+    "details.zoneCode": _text("zone_code", lower=True),
+    "details.eventOwnerTeamId": {"target": "event_team_id", "type": "bigint"},
+    "details.awayScore": "tinyint",
+    "details.awaySOG": {"target": "away_sog", "type": "int"},
+    "details.homeScore": "tinyint",
+    "details.homeSOG": {"target": "home_sog", "type": "int"},
+    "details.scoringPlayerId": "bigint",
+    "details.scoringPlayerTotal": "tinyint",
+    "details.assist1PlayerId": "bigint",
+    "details.assist1PlayerTotal": "tinyint",
+    "details.assist2PlayerId": "bigint",
+    "details.assist2PlayerTotal": "tinyint",
     "details.xCoord": "int",
     "details.yCoord": "int",
-    "details.scoringPlayerId": "bigint",
-    "details.shootingPlayerId": "bigint",
-    "details.playerId": "bigint",
-    "details.winningPlayerId": "bigint",
-    "details.losingPlayerId": "bigint",
-    "details.hittingPlayerId": "bigint",
-    "details.hitteePlayerId": "bigint",
-    "details.committedByPlayerId": "bigint",
-    "details.drawnByPlayerId": "bigint",
     "details.blockingPlayerId": "bigint",
+    "details.committedByPlayerId": {"target": "penalty_committed_by_player_id", "type": "bigint"},
+    "details.drawnByPlayerId": {"target": "penalty_drawn_by_player_id", "type": "bigint"},
+    "details.descKey": _text("penalty_desc", lower=True),
+    "details.typeCode": _text("penalty_type_desc", lower=True),
+    "details.duration": {"target": "penalty_duration", "type": "int"},
+    "details.hitteePlayerId": {"target": "hit_taken_by_player_id", "type": "bigint"},
+    "details.hittingPlayerId": {"target": "hit_given_by_player_id", "type": "bigint"},
+    "details.playerId": "bigint",
+    "details.reason": _text("missed_shot_desc", lower=True),
+    "details.secondaryReason": _text("play_stopped_reason", lower=True),
+    "details.shootingPlayerId": "bigint",
+    "details.shotType": _text("shot_type", lower=True),
     "details.goalieInNetId": "bigint",
-    "details.assist1PlayerId": "bigint",
-    "details.assist2PlayerId": "bigint",
-    "details.reason": "string",
-    "details.shotType": "string",
+    "details.winningPlayerId": {"target": "faceoff_winning_player_id", "type": "bigint"},
+    "details.losingPlayerId": {"target": "faceoff_losing_player_id", "type": "bigint"},
 }
-PLAYER_ONE = ("scoring_player_id", "shooting_player_id", "player_id", "winning_player_id", "hitting_player_id", "committed_by_player_id", "blocking_player_id")
-PLAYER_TWO = ("losing_player_id", "hittee_player_id", "drawn_by_player_id", "goalie_in_net_id", "assist1_player_id")
+# The first of these that is there is an event's first, or second, player.
+PLAYER_ONE = ("player_id", "scoring_player_id", "shooting_player_id", "blocking_player_id", "faceoff_winning_player_id", "penalty_committed_by_player_id", "hit_given_by_player_id")
+PLAYER_TWO = ("assist1_player_id", "faceoff_losing_player_id", "penalty_drawn_by_player_id", "hit_taken_by_player_id", "goalie_in_net_id")
 
 
 def event_rows(payloads: DataFrame, schema: str, keep: Sequence[str] = ("season", "game_id", "game_date")) -> DataFrame:
-    """One row for each play, with typed columns; blank texts are null."""
-    plays = payloads.select(*keep, F.explode_outer(F.from_json("payload", schema).getField("plays")).alias("_p")).select(*keep, "_p.*")
-    rows = plays.select(*keep, *build_fields(plays, EVENT_RULES))
-    texts = ("event_type", "situation_code", "time_in_period", "time_remaining")
-    return rows.withColumns({c: V.blank_to_null(F.col(c)) for c in texts})
+    """One row for each distinct play with a period, with typed columns; blank texts are null.
 
+    Plays are dealt out by game before repeats go, so that what orders a game's events afterwards
+    needs no other shuffle.
+    """
+    parsed = payloads.select(*keep, F.from_json("payload", schema).alias("_j"))
+    clock = [F.col("_j.clock").alias("_c")] if "clock" in parsed.schema["_j"].dataType.fieldNames() else []
+    plays = parsed.select(*keep, *clock, F.explode_outer("_j.plays").alias("_p")).select(*keep, *[F.col("_c").alias("clock")] * len(clock), "_p.*")
+    rows = plays.select(*keep, *build_fields(plays, EVENT_RULES)).filter("period is not null").repartition("game_id").distinct()
+    return rows.withColumns({str(r["target"]): V.blank_to_null(F.col(str(r["target"]))) for r in EVENT_RULES.values() if isinstance(r, dict) and r["type"] == "string"})
 
-def timed_events(events: DataFrame) -> DataFrame:
+
+def timed_events(events: DataFrame, run: Column | None = None, over_through: int = 20092010, days: int = 2) -> DataFrame:
     """Game clock, order within the game, the opening situation, and whether the game is still in play.
 
-    One window partition by game serves the order and the end flag, so there is one shuffle.
+    A game is over by an end event, if its season is `over_through` or before, or by its date more
+    than `days` before the run. One window partition by game serves the order and the end flag, so
+    there is one shuffle.
     """
+    late = F.col("season") <= over_through
+    if run is not None:
+        late = late | (F.col("game_date") < F.date_sub(run, days))
     playoff = V.game_type(F.col("game_id")) == 3
     period = F.col("period").cast("int")
     game = Window.partitionBy("game_id")
@@ -110,7 +142,7 @@ def timed_events(events: DataFrame) -> DataFrame:
     ).withColumns(
         {
             "event_idx": F.row_number().over(game.orderBy("game_seconds", "sort_order", "event_id")) - 1,
-            "game_in_play": ~F.max(F.coalesce(F.col("event_type") == "game-end", F.lit(False))).over(game),
+            "game_in_play": ~(F.max(F.coalesce(F.col("event_type") == "game-end", F.lit(False))).over(game) | F.coalesce(late, F.lit(False))),
         }
     )
 
@@ -124,27 +156,58 @@ def participants(events: DataFrame, players: DataFrame) -> DataFrame:
     return out
 
 
-def event_merge(target: DataFrame, source: DataFrame, run: Column, now: Column, attrs: Sequence[str]) -> Merged:
-    """Events of the last two days: changed attributes, else the in-play flag; vanished ones become inactive."""
-    conditions = lambda t, s: {c: null_safe(t(c), s(c)) for c in attrs}
-    new = {c: (lambda t, s, c=c: s(c)) for c in attrs} | {"game_in_play": lambda t, s: s("game_in_play"), "active_row": lambda t, s: F.lit(True), "update_dte": lambda t, s: now}
-    off = {"active_row": lambda t, s: F.lit(False), "update_dte": lambda t, s: now, "game_in_play": lambda t, s: F.lit(False)}
-    today = lambda t, s: (t("game_date") == run) & t("active_row")
-    before = lambda t, s: (t("game_date") < run) & t("active_row")
+def _two_day_merge(target: DataFrame, source: DataFrame, keys: Sequence[str], run: Column, now: Column, conditions, new: Mapping, reasons: Mapping, off: Mapping, gone_today, gone_before) -> Merged:
+    """Rows of the last two days: changed ones that are active, else the in-play flag; vanished ones become inactive."""
+    block = lambda name: {"logic_block": lambda t, s: F.lit(name), "update_dte": lambda t, s: now}
+    live = {"game_in_play": lambda t, s: s("game_in_play")}
     return merge(
         target,
         source,
-        ["season", "game_id", "event_id"],
+        keys,
         matched=[
-            Update(new | {"failed_condition": lambda t, s: failed_conditions(conditions(t, s)), "logic_block": lambda t, s: F.lit("match one")}, lambda t, s: any_of(conditions(t, s)), "match one"),
-            Update({"game_in_play": lambda t, s: s("game_in_play"), "update_dte": lambda t, s: now, "logic_block": lambda t, s: F.lit("match two")}, lambda t, s: null_safe(t("game_in_play"), s("game_in_play")), "match two"),
+            Update(new | live | reasons | {"active_row": lambda t, s: F.lit(True)} | block("match one"), lambda t, s: t("active_row") & any_of(conditions(t, s)), "match one"),
+            Update(live | block("match two"), lambda t, s: null_safe(t("game_in_play"), s("game_in_play")), "match two"),
         ],
         not_matched=[Insert({"active_row": lambda t, s: F.lit(True), "insert_dte": lambda t, s: now, "logic_block": lambda t, s: F.lit("insert")})],
-        not_matched_by_source=[Update(off | {"logic_block": lambda t, s: F.lit("no match update one")}, today, "no match update one"), Update(off | {"logic_block": lambda t, s: F.lit("no match update two")}, before, "no match update two")],
+        not_matched_by_source=[
+            Update(off | block("no match update one"), lambda t, s: (t("game_date") == run) & t("active_row") & gone_today(t), "no match update one"),
+            Update(off | block("no match update two"), lambda t, s: (t("game_date") < run) & t("active_row") & gone_before(t), "no match update two"),
+        ],
         scope=lambda t: t("game_date").between(F.date_sub(run, 2), run),
     )
 
 
+def event_merge(target: DataFrame, source: DataFrame, run: Column, now: Column, attrs: Sequence[str], kept: Sequence[str] = ()) -> Merged:
+    """Events by their place in the game. A null source of `kept` attributes, such as coordinates, is no change of theirs."""
+    conditions = lambda t, s: {c: null_safe(t(c), s(c)) for c in attrs} | {c: skip_null(t(c), s(c)) for c in kept}
+    new = {c: (lambda t, s, c=c: s(c)) for c in (*attrs, *kept)}
+    reasons = {"failed_condition": lambda t, s: failed_conditions(conditions(t, s))}
+    off = {"active_row": lambda t, s: F.lit(False), "game_in_play": lambda t, s: F.lit(False)}
+    always = lambda t: F.lit(True)
+    return _two_day_merge(target, source, ["season", "game_id", "game_date", "event_idx"], run, now, conditions, new, reasons, off, always, always)
+
+
+def shift_merge(target: DataFrame, source: DataFrame, run: Column, now: Column, attrs: Sequence[str]) -> Merged:
+    """Shifts by game, team and number. Of vanished ones those in play go today, and those no longer in play on the days before."""
+    conditions = lambda t, s: {c: null_safe(t(c), s(c)) for c in attrs}
+    new = {c: (lambda t, s, c=c: s(c)) for c in attrs}
+    off = {"active_row": lambda t, s: F.lit(False)}
+    return _two_day_merge(target, source, ["game_id", "game_date", "team_id", "shift_id"], run, now, conditions, new, {}, off, lambda t: t("game_in_play"), lambda t: ~t("game_in_play"))
+
+
+def roster_inserts(target: DataFrame, source: DataFrame, now: Column) -> Merged:
+    """Players of games that the roster lacks; those it has stay as they are."""
+    return merge(target, source, ["season", "game_id", "player_id"], [], [Insert({"insert_dte": lambda t, s: now})])
+
+
+def current_roster_merge(target: DataFrame, source: DataFrame, now: Column, attrs: Sequence[str]) -> Merged:
+    """Today's rosters: changed players, new ones, and those who are on none any more, who become inactive."""
+    changed = lambda t, s: ~t("is_active") | any_of({c: unless_source_null(t(c).cast("string"), s(c).cast("string"), "") for c in attrs})
+    new = {c: (lambda t, s, c=c: F.coalesce(s(c), t(c))) for c in attrs} | {"is_active": lambda t, s: F.lit(True), "update_dte": lambda t, s: now}
+    gone = Update({"is_active": lambda t, s: F.lit(False), "update_dte": lambda t, s: now}, lambda t, s: t("is_active"), "inactive")
+    return merge(target, source, ["team_id", "player_id"], [Update(new, changed)], [Insert({"is_active": lambda t, s: F.lit(True), "insert_dte": lambda t, s: now})], [gone])
+
+
 SHIFT_RULES: dict[str, object] = {
     # Source field of a shift, type of its column.
     "id": {"target": "shift_id", "type": "bigint"},
@@ -160,6 +223,12 @@ SHIFT_RULES: dict[str, object] = {
     "duration": {"type": "string", "trim": True},
     "shiftNumber": "int",
     "typeCode": "int",
+    "teamName": _text("team_name"),
+    "detailCode": "int",
+    "eventDescription": _text("event_description"),
+    "eventDetails": _text("event_details"),
+    "eventNumber": "int",
+    "hexValue": _text("hex_value"),
 }
 
 
@@ -176,11 +245,16 @@ def shift_roster(shifts: DataFrame) -> DataFrame:
     return one_each(shifts.filter("player_id is not null").select("season", "player_id", "game_id"), ["season", "player_id", "game_id"])
 
 
-def special_rows(payloads: DataFrame, loaded: DataFrame, schema: str, renamed: Mapping[str, str], topic: str) -> DataFrame:
-    """One topic's team rows of games that aren't loaded: game ids are read from the raw text before parsing."""
+def special_rows(payloads: DataFrame, loaded: DataFrame, schema: str, renamed: Mapping[str, str], topic: str, but_not: str | None = None) -> DataFrame:
+    """One topic's team rows of games that aren't loaded: game ids are read from the raw text before parsing.
+
+    A topic is a part of the endpoint's name; `but_not` is one that another topic has and it lacks.
+    """
     from tarnfold.operators.shred import harvest_ids
 
     of_topic = payloads.filter(F.col("endpoint").ilike(f"%{topic}%"))
+    if but_not:
+        of_topic = of_topic.filter(~F.col("endpoint").ilike(f"%{but_not}%"))
     fresh = of_topic.withColumn("_g", F.explode(harvest_ids(F.col("payload"), "gameId"))).join(loaded.select(F.col("game_id").alias("_g")), "_g", "left_anti")
     keys = fresh.select("request_key").distinct()
     rows = V.snake_columns(unpack_list(of_topic.join(keys, "request_key", "left_semi"), "data", schema)).withColumnsRenamed(dict(renamed))
@@ -196,7 +270,7 @@ def special_merge(target: DataFrame, source: DataFrame, now: Column, attrs: Sequ
 
 def player_master(players: DataFrame, summaries: DataFrame) -> DataFrame:
     """The best row for each player: active ones first, then the most complete. summaries: player_id, shoots_catches."""
-    required = ("player_id", "full_name", "position_code", "team_id")
+    required = ("player_id", "full_name", "team_id", "team_abbrev", "last_active_season", "is_active")
     rows = lookup(players, one_each(summaries, ["player_id"]), {"player_id": "player_id"}, {"shoots_catches": "shoots_catches"})
     rows = rows.withColumns({"position_category": V.position_category(F.col("position_code")), "empty_rate": V.completeness(*required)})
     return best_row(rows, ["player_id"], F.col("is_active").desc_nulls_last(), F.col("empty_rate"), F.col("team_id").asc_nulls_last())

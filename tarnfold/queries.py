@@ -488,17 +488,29 @@ def plan_date_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-WITH s AS (SELECT o_custkey, CAST(min(o_orderdate) AS DATE) AS a, CAST(max(o_orderdate) AS DATE) AS z FROM orders GROUP BY o_custkey), r AS (SELECT *, DATE '2000-01-15' AS run FROM s)
-SELECT o_custkey, CASE WHEN run > z AND o_custkey % 3 = 1 THEN 'season over, catch up' WHEN o_custkey % 3 = 0 THEN 'cold start' WHEN run > z + 30 THEN 'off season' WHEN run > z THEN 'season over'
-  WHEN run < a THEN 'before the season' WHEN run < a + 20 THEN 'preseason' WHEN run - (CASE WHEN o_custkey % 3 = 1 THEN a ELSE z END) > 7 THEN 'behind' WHEN run <= z - 30 THEN 'regular season' ELSE 'playoffs' END AS plan
-FROM r"""
+WITH o AS (SELECT o_custkey, CAST(year(o_orderdate) AS INT) AS y, CAST(min(o_orderdate) AS DATE) AS a, CAST(max(o_orderdate) AS DATE) AS z FROM orders GROUP BY 1, 2),
+r AS (SELECT o_custkey, y, DATE '2000-01-15' AS run, a - 200 AS ps, CASE WHEN o_custkey % 11 <> 0 THEN a END AS rs, CASE WHEN o_custkey % 7 <> 0 THEN z END AS re, z - 40 AS lg, CASE WHEN o_custkey % 5 <> 0 THEN z + 60 END AS pe, o_custkey % 2 = 0 AS loaded FROM o),
+b AS (SELECT *, CASE
+    WHEN re IS NULL THEN 1 WHEN rs IS NOT NULL AND rs <= run AND run <= lg THEN 2 WHEN rs IS NOT NULL AND rs <= run AND run < re THEN 3
+    WHEN rs IS NOT NULL AND pe IS NULL AND month(run) BETWEEN 1 AND 3 AND day(run) IN (1, 15, 28) THEN 4 WHEN pe IS NOT NULL AND re <= run AND run <= pe THEN 5
+    WHEN rs IS NOT NULL AND run < rs AND year(ps) < year(rs) AND NOT loaded THEN 6 WHEN pe IS NOT NULL AND run - pe >= 30 THEN 7 WHEN pe IS NOT NULL AND run - pe < 30 THEN 8 ELSE 9 END AS k FROM r)
+SELECT o_custkey, y, CASE k WHEN 1 THEN DATE '2008-10-01' WHEN 2 THEN re WHEN 4 THEN rs WHEN 5 THEN re WHEN 6 THEN rs WHEN 7 THEN make_date(year(pe), 9, 1) END AS start_date,
+  CASE k WHEN 1 THEN DATE '2000-06-30' WHEN 2 THEN pe WHEN 4 THEN re WHEN 5 THEN pe WHEN 6 THEN pe WHEN 7 THEN make_date(year(pe), 10, 15) END AS end_date,
+  CASE k WHEN 1 THEN 'init_scrape_within_season' WHEN 2 THEN 'sec_scrape_rs_last_game' WHEN 4 THEN 'sec_scrape_playoff_check_within_rs' WHEN 5 THEN 'sec_scrape_playoffs_after_rs_end'
+    WHEN 6 THEN 'sec_scrape_after_initial_schedule_release' WHEN 7 THEN 'sec_scrape_at_least_30_days_after_playoffs_ended' WHEN 8 THEN 'sec_scrape_within_30_days_after_playoffs' WHEN 9 THEN 'issue_found' END AS scrape_plan
+FROM b""",
+    "start_date",
+    "end_date",
 )
 def plan_scrape(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The plan of each season's dates."""
-    s = read(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.to_date(F.min("o_orderdate")).alias("a"), F.to_date(F.max("o_orderdate")).alias("z"))
-    last = F.when(F.col("o_custkey") % 3 == 0, None).when(F.col("o_custkey") % 3 == 1, F.col("a")).otherwise(F.col("z"))
-    seasons = s.select("o_custkey", F.col("a").alias("preseason_start"), F.date_add("a", 20).alias("regular_start"), F.date_sub("z", 30).alias("regular_end"), F.col("z").alias("playoff_end"), last.alias("last_loaded"), F.lit(True).alias("has_games"))
-    return P.scrape_plan(seasons, F.lit("2000-01-15").cast("date"), "o_custkey").select("o_custkey", "plan")
+    """The plan of each season's dates; a customer's orders of a year are a season."""
+    s = read(spark, sf_dir, "orders").groupBy("o_custkey", F.year("o_orderdate").alias("y")).agg(F.to_date(F.min("o_orderdate")).alias("a"), F.to_date(F.max("o_orderdate")).alias("z"))
+    k = F.col("o_custkey")
+    seasons = s.select(
+        "o_custkey", "y", F.date_sub("a", 200).alias("ps_start_date"), F.when(k % 11 != 0, F.col("a")).alias("rs_start_date"), F.when(k % 7 != 0, F.col("z")).alias("rs_end_date"),
+        F.date_sub("z", 40).alias("rs_last_game_date"), F.when(k % 5 != 0, F.date_add("z", 60)).alias("playoff_end_date"), (k % 2 == 0).alias("sched_fully_loaded"),
+    )
+    return P.scrape_plan(seasons, F.lit("2000-01-15").cast("date"), "o_custkey", "y")
 
 
 @query(
@@ -620,19 +632,25 @@ def job_schedule_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _play_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct lines of an order as plays of a game."""
     li = read(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("part"), F.min("l_suppkey").alias("supp"), F.max("l_returnflag").alias("flag"))
-    kind = F.when(F.col("flag") == "R", "game-end").when(F.col("flag") == "A", "goal").otherwise(" period-start ")
+    kind = F.when(F.col("flag") == "R", "Game-End").when(F.col("flag") == "A", "GOAL").otherwise(" period-start ")
+    goal, odd = F.col("flag") == "A", F.col("l_linenumber") % 2 == 1
     play = F.struct(
         F.col("l_linenumber").alias("eventId"), (F.col("l_linenumber") * 10).alias("sortOrder"), kind.alias("typeDescKey"), F.lit("1441").alias("situationCode"),
         F.format_string("%02d:%02d", F.col("part") % 20, F.col("part") % 60).alias("timeInPeriod"), F.lit(" ").alias("timeRemaining"),
-        F.struct((F.col("l_linenumber") % 6 + 1).alias("number")).alias("periodDescriptor"),
-        F.struct(F.when(F.col("flag") == "A", F.col("part")).alias("scoringPlayerId"), F.col("supp").alias("playerId"), F.col("supp").alias("assist1PlayerId"), (F.col("part") + 1).alias("assist2PlayerId")).alias("details"),
-    )
-    plays = li.groupBy("l_orderkey").agg(F.collect_list(play).alias("plays"))
+        F.struct((F.col("l_linenumber") % 6 + 1).alias("number"), F.lit("reg").alias("periodType"), F.lit(3).alias("maxRegulationPeriods")).alias("periodDescriptor"), F.lit("LEFT ").alias("homeTeamDefendingSide"), F.lit(505).alias("typeCode"),
+        F.struct(
+            F.when(goal, F.col("part")).alias("scoringPlayerId"), F.when(~goal, F.col("supp")).alias("playerId"), F.when(goal & odd, F.col("supp")).alias("assist1PlayerId"), (F.col("part") + 1).alias("assist2PlayerId"), F.when(goal, F.col("part") + 2).alias("goalieInNetId"),
+            F.lit("O").alias("zoneCode"), F.lit(" Wrist").alias("shotType"), (F.col("part") % 9).alias("homeScore"), (F.col("supp") % 30).alias("homeSOG"), F.lit("x").alias("awaySOG"), F.lit("MIN").alias("typeCode"), F.lit(" Hooking").alias("descKey"), (F.col("part") % 5).alias("duration"), F.lit(" ").alias("secondaryReason"),
+        ).alias("details"),
+    )
+    # the first of a game's plays comes twice
+    once = F.sort_array(F.collect_list(play))
+    plays = li.groupBy("l_orderkey").agg(F.concat(once, F.slice(once, 1, 1)).alias("plays"))
     g = games(spark, sf_dir).join(plays, F.col("order_id") == F.col("l_orderkey"), "left")
     return g.select("season", "game_id", "game_date", F.to_json(F.struct(F.coalesce("plays", F.array().cast(plays.schema["plays"].dataType)).alias("plays"))).alias("payload"))
 
 
-PLAYS_DDL = "struct<plays: array<struct<eventId: bigint, sortOrder: int, typeDescKey: string, situationCode: string, timeInPeriod: string, timeRemaining: string, periodDescriptor: struct<number: int>, details: struct<scoringPlayerId: bigint, playerId: bigint, assist1PlayerId: bigint, assist2PlayerId: bigint>>>>"
+PLAYS_DDL = "struct<plays: array<struct<eventId: bigint, sortOrder: int, typeDescKey: string, situationCode: string, timeInPeriod: string, timeRemaining: string, periodDescriptor: struct<number: int, periodType: string, maxRegulationPeriods: int>, homeTeamDefendingSide: string, typeCode: int, details: struct<scoringPlayerId: bigint, playerId: bigint, assist1PlayerId: bigint, assist2PlayerId: bigint, goalieInNetId: bigint, zoneCode: string, shotType: string, homeScore: int, homeSOG: int, awaySOG: string, typeCode: string, descKey: string, duration: int, secondaryReason: string>>>>"
 
 _PLAYS = f"""
 WITH {GAMES}, li AS (SELECT l_orderkey, l_linenumber, min(l_partkey) AS part, min(l_suppkey) AS supp, max(l_returnflag) AS flag FROM lineitem GROUP BY ALL),
@@ -645,12 +663,26 @@ c AS (SELECT *, CAST(CASE WHEN period <= 3 THEN (period - 1) * 1200 + secs WHEN
     _PLAYS
     + """
 SELECT game_id, CAST(event_id AS BIGINT) AS event_id, event_type, game_seconds, CASE WHEN period = 1 AND event_type = 'period-start' THEN '1551' ELSE '1441' END AS situation_code,
-  row_number() OVER (PARTITION BY game_id ORDER BY game_seconds NULLS FIRST, event_id) - 1 AS event_idx, NOT bool_or(event_type = 'game-end') OVER (PARTITION BY game_id) AS game_in_play FROM c"""
+  row_number() OVER (PARTITION BY game_id ORDER BY game_seconds NULLS FIRST, event_id) - 1 AS event_idx,
+  NOT (bool_or(event_type = 'game-end') OVER (PARTITION BY game_id) OR season <= 19961997 OR game_date < DATE '1999-01-01' - 2) AS game_in_play FROM c"""
 )
 def job_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Play-by-play payloads to ordered, timed events."""
     rows = J.event_rows(_play_payloads(spark, sf_dir), PLAYS_DDL).filter("event_id is not null")
-    return J.timed_events(rows).select("game_id", "event_id", "event_type", "game_seconds", "situation_code", F.col("event_idx").cast("long").alias("event_idx"), "game_in_play")
+    return J.timed_events(rows, F.lit("1999-01-01").cast("date"), 19961997).select("game_id", "event_id", "event_type", "game_seconds", "situation_code", F.col("event_idx").cast("long").alias("event_idx"), "game_in_play")
+
+
+@query(
+    _PLAYS
+    + """
+SELECT game_id, CAST(event_id AS BIGINT) AS event_id, 'REG' AS period_type, 'left' AS home_team_defending_side, 505 AS event_type_code, 'o' AS zone_code, 'wrist' AS shot_type, CAST(part % 9 AS INT) AS home_score,
+  CAST(supp % 30 AS INT) AS home_sog, CAST(NULL AS INT) AS away_sog, 'min' AS penalty_type_desc, 'hooking' AS penalty_desc, CAST(part % 5 AS INT) AS penalty_duration, CAST(NULL AS VARCHAR) AS play_stopped_reason, CASE WHEN flag = 'A' THEN part + 2 END AS goalie_in_net_id FROM c"""
+)
+def job_event_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of plays with their names, case and types; a text that is no number is null."""
+    rows = J.event_rows(_play_payloads(spark, sf_dir), PLAYS_DDL).filter("event_id is not null")
+    names = "game_id event_id period_type home_team_defending_side event_type_code zone_code shot_type home_score home_sog away_sog penalty_type_desc penalty_desc penalty_duration play_stopped_reason goalie_in_net_id".split()
+    return rows.withColumn("home_score", F.col("home_score").cast("int")).select(*names)
 
 
 @query(_PLAYS + " SELECT CASE WHEN event_type IS NULL THEN 'x' ELSE 'time_remaining is null' END AS quarantine_reason, count(*) AS n_rows FROM c GROUP BY ALL")
@@ -663,7 +695,7 @@ def job_event_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     _PLAYS
     + """
-SELECT game_id, CAST(event_id AS BIGINT) AS event_id, CASE WHEN flag = 'A' THEN part ELSE supp END AS player_1_id, supp AS player_2_id, part + 1 AS player_3_id, a.p_name AS player_1_name, b.p_name AS player_3_name
+SELECT game_id, CAST(event_id AS BIGINT) AS event_id, CASE WHEN flag = 'A' THEN part ELSE supp END AS player_1_id, CASE WHEN flag = 'A' AND event_id % 2 = 1 THEN supp WHEN flag = 'A' THEN part + 2 END AS player_2_id, part + 1 AS player_3_id, a.p_name AS player_1_name, b.p_name AS player_3_name
 FROM c LEFT JOIN part a ON a.p_partkey = CASE WHEN flag = 'A' THEN c.part ELSE supp END LEFT JOIN part b ON b.p_partkey = c.part + 1"""
 )
 def job_participants(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -675,14 +707,14 @@ def job_participants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     _PLAYS
-    + """, r AS (SELECT season, game_id, event_type, part AS player_id FROM c WHERE flag = 'A' UNION ALL SELECT season, game_id, event_type, supp FROM c UNION ALL SELECT season, game_id, event_type, part + 1 FROM c),
+    + """, r AS (SELECT season, game_id, event_type, part AS player_id FROM c WHERE flag = 'A' UNION ALL SELECT season, game_id, event_type, supp FROM c WHERE flag <> 'A' OR event_id % 2 = 1 UNION ALL SELECT season, game_id, event_type, part + 1 FROM c),
 n AS (SELECT DISTINCT season, game_id, player_id FROM r WHERE event_type <> 'game-end')
-SELECT n.* FROM n WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.game_id = n.game_id AND c.supp = n.player_id)"""
+SELECT n.* FROM n WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.game_id = n.game_id AND c.supp = n.player_id AND c.flag <> 'A')"""
 )
 def job_roster_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Players that events name and the roster lacks."""
     rows = J.event_rows(_play_payloads(spark, sf_dir), PLAYS_DDL).filter("event_id is not null")
-    roles = R.unpivot_roles(rows, ["season", "game_id", "event_type"], ["scoring_player_id", "player_id", "assist1_player_id", "assist2_player_id", "losing_player_id"], dropped=["losing_player_id"])
+    roles = R.unpivot_roles(rows, ["season", "game_id", "event_type"], ["scoring_player_id", "player_id", "assist1_player_id", "assist2_player_id", "faceoff_losing_player_id"], dropped=["faceoff_losing_player_id"])
     return J.roster_gaps(roles, rows.select("season", "game_id", "player_id"), ["game-end"])
 
 
@@ -757,8 +789,9 @@ def job_special_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = games(spark, sf_dir)
     row = F.struct(F.col("game_id").alias("gameId"), F.col("team_id").alias("teamId"), (F.col("order_id") % 7).alias("ppGoals"), F.col("price").alias("ppTimeOnIce"))
     p = g.groupBy("game_date").agg(F.collect_list(row).alias("data")).select("game_date", F.to_json(F.struct("data")).alias("payload"))
-    p = envelope(p, "game_date", F.col("payload"), "PowerPlay-stats")
-    rows = J.special_rows(p, g.filter("order_id % 4 = 0").select("game_id"), "struct<data: array<struct<gameId: bigint, teamId: bigint, ppGoals: bigint, ppTimeOnIce: double>>>", {"pp_time_on_ice": "pp_toi"}, "powerplay")
+    other = envelope(p, "game_date", F.regexp_replace("payload", '"ppGoals":[0-9]+', '"ppGoals":99'), "PowerPlayTime-stats")
+    p = envelope(p, "game_date", F.col("payload"), "PowerPlay-stats").unionByName(other)
+    rows = J.special_rows(p, g.filter("order_id % 4 = 0").select("game_id"), "struct<data: array<struct<gameId: bigint, teamId: bigint, ppGoals: bigint, ppTimeOnIce: double>>>", {"pp_time_on_ice": "pp_toi"}, "powerplay", but_not="time")
     return rows.select("game_id", "team_id", F.col("season").cast("int").alias("season"), "pp_goals", "pp_toi")
 
 
@@ -773,14 +806,14 @@ def job_special_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """WITH p AS (SELECT o_custkey AS player_id, o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_clerk END AS full_name, CASE o_orderstatus WHEN 'F' THEN 'C' WHEN 'O' THEN 'D' ELSE 'G' END AS position_code, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderkey END AS team_id, o_orderkey % 2 = 0 AS is_active FROM (SELECT *, o_orderpriority AS o_clerk FROM orders)),
-r AS (SELECT *, round(((full_name IS NULL)::INT + (team_id IS NULL)::INT) / 4.0, 2) AS empty_rate FROM p), n AS (SELECT *, row_number() OVER (PARTITION BY player_id ORDER BY is_active DESC, empty_rate, team_id NULLS LAST) AS rn FROM r)
+r AS (SELECT *, round(((full_name IS NULL)::INT + (team_id IS NULL)::INT + (o_orderkey % 5 = 0)::INT) / 6.0, 2) AS empty_rate FROM p), n AS (SELECT *, row_number() OVER (PARTITION BY player_id ORDER BY is_active DESC, empty_rate, team_id NULLS LAST) AS rn FROM r)
 SELECT player_id, is_active, CAST(empty_rate AS DOUBLE) AS empty_rate, team_id, CASE position_code WHEN 'C' THEN 'F' ELSE position_code END AS position_category, c_mktsegment AS shoots_catches FROM n LEFT JOIN customer ON c_custkey = player_id WHERE rn = 1 AND team_id IS NOT NULL"""
 )
 def job_player_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best row of each player."""
     o = read(spark, sf_dir, "orders")
     k, st = F.col("o_orderkey"), F.col("o_orderstatus")
-    p = o.select(F.col("o_custkey").alias("player_id"), F.when(k % 4 != 0, F.col("o_orderpriority")).alias("full_name"), F.when(st == "F", "C").when(st == "O", "D").otherwise("G").alias("position_code"), F.when(k % 3 != 0, k).alias("team_id"), (k % 2 == 0).alias("is_active"))
+    p = o.select(F.col("o_custkey").alias("player_id"), F.when(k % 4 != 0, F.col("o_orderpriority")).alias("full_name"), F.when(st == "F", "c").when(st == "O", "D").otherwise("g").alias("position_code"), F.when(k % 5 != 0, "ABC").alias("team_abbrev"), F.lit(19992000).alias("last_active_season"), F.when(k % 3 != 0, k).alias("team_id"), (k % 2 == 0).alias("is_active"))
     extra = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("player_id"), F.col("c_mktsegment").alias("shoots_catches"))
     return J.player_master(p, extra).filter("team_id is not null").select("player_id", "is_active", "empty_rate", "team_id", "position_category", "shoots_catches")
 
@@ -837,18 +870,18 @@ def job_team_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     _PLAYS
-    + f""", e AS (SELECT *, hash_m AS m FROM (SELECT *, (order_id + event_id) % 6 AS hash_m FROM c)), s AS (SELECT *, game_date BETWEEN DATE '{RUN}' - 2 AND DATE '{RUN}' AS inside FROM e)
+    + f""", e AS (SELECT *, hash_m AS m FROM (SELECT *, (order_id + event_id) % 7 AS hash_m FROM c)), s AS (SELECT *, game_date BETWEEN DATE '{RUN}' - 2 AND DATE '{RUN}' AS inside FROM e)
 SELECT game_id, CAST(event_id AS BIGINT) AS event_id, CASE WHEN m = 0 AND inside THEN 'changed' ELSE event_type END AS event_type,
   CASE WHEN m = 4 THEN 'insert' WHEN NOT inside THEN 'insert' WHEN m = 0 THEN 'match one' WHEN m = 1 THEN 'match two' WHEN m = 3 AND game_date = DATE '{RUN}' THEN 'no match update one' WHEN m = 3 THEN 'no match update two' ELSE 'insert' END AS logic_block,
-  NOT (inside AND m = 3) AS active_row, CASE WHEN inside AND m = 0 THEN 'event_type' END AS failed_condition FROM s"""
+  NOT (inside AND m = 3 OR m = 5) AS active_row, CASE WHEN inside AND m = 0 THEN 'event_type, x_coord' END AS failed_condition FROM s"""
 )
 def job_event_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M2, M6, M10, M11 for events: two update clauses and two soft deletes over two days."""
+    """M2, M6, M10, M11 for events: two update clauses and two soft deletes over two days; what is inactive stays as it is."""
     rows = J.event_rows(_play_payloads(spark, sf_dir), PLAYS_DDL).filter("event_id is not null")
-    rows = rows.select("season", "game_id", "game_date", "event_id", "event_type", ((F.col("game_id") % 100000000 + F.col("event_id")) % 6).alias("m"))
-    target = rows.filter("m <> 4").select("season", "game_id", "game_date", "event_id", "event_type", F.lit(True).alias("game_in_play"), F.lit(True).alias("active_row"), F.lit("insert").alias("logic_block"), F.lit(None).cast("string").alias("failed_condition"), now().alias("insert_dte"), F.lit(None).cast("timestamp").alias("update_dte"))
-    source = rows.filter("m <> 3").select("season", "game_id", "game_date", "event_id", F.when(F.col("m") == 0, "changed").otherwise(F.col("event_type")).alias("event_type"), (F.col("m") != 1).alias("game_in_play"))
-    return J.event_merge(target, source, run_day(), now(), ["event_type"]).table.select("game_id", "event_id", "event_type", "logic_block", "active_row", "failed_condition")
+    rows = rows.select("season", "game_id", "game_date", "event_id", "event_type", F.col("event_id").alias("event_idx"), ((F.col("game_id") % 100000000 + F.col("event_id")) % 7).alias("m"))
+    target = rows.filter("m <> 4").select("season", "game_id", "game_date", "event_idx", "event_id", "event_type", F.lit(1).alias("x_coord"), F.lit(True).alias("game_in_play"), (F.col("m") != 5).alias("active_row"), F.lit("insert").alias("logic_block"), F.lit(None).cast("string").alias("failed_condition"), now().alias("insert_dte"), F.lit(None).cast("timestamp").alias("update_dte"))
+    source = rows.filter("m <> 3").select("season", "game_id", "game_date", "event_idx", "event_id", F.when(F.col("m").isin(0, 5), "changed").otherwise(F.col("event_type")).alias("event_type"), F.when(F.col("m") == 0, 2).alias("x_coord"), (F.col("m") != 1).alias("game_in_play"))
+    return J.event_merge(target, source, run_day(), now(), ["event_type", "event_id"], kept=["x_coord"]).table.select("game_id", "event_id", "event_type", "logic_block", "active_row", "failed_condition")
 
 
 @query(
@@ -897,3 +930,43 @@ def job_player_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = c.filter(k % 5 != 0).select("c_custkey", F.col("c_name").alias("name"), now().alias("insert_dte"), F.lit(None).cast("timestamp").alias("update_dte"))
     text = F.when(k % 3 == 2, "new name").when((k % 3 == 1) & (k % 5 != 0), F.concat(F.lit(" "), F.upper("c_name"))).when((k % 3 == 0) & (k % 10 == 3), F.lit(None)).otherwise(F.col("c_name"))
     return J.gold_merge(target, c.select("c_custkey", text.alias("name")), ["c_custkey"], ["name"], now()).table.select("c_custkey", "name", F.col("update_dte").isNotNull().alias("updated"))
+
+
+@query(
+    _SHIFTS
+    + f""", e AS (SELECT sh.*, games.game_date, (sh.game_id % 100000000 + shift_id) % 7 AS m, games.game_date BETWEEN DATE '{RUN}' - 2 AND DATE '{RUN}' AS inside, sh.shift_id % 2 = 0 AS live FROM sh JOIN games ON games.game_id = sh.game_id)
+SELECT game_id, team_id, shift_id, CAST(CASE WHEN inside AND m = 0 THEN -1 ELSE player_id END AS BIGINT) AS player_id,
+  CASE WHEN m = 4 OR NOT inside THEN 'insert' WHEN m = 0 THEN 'match one' WHEN m = 1 THEN 'match two' WHEN m = 3 AND game_date = DATE '{RUN}' AND live THEN 'no match update one' WHEN m = 3 AND game_date < DATE '{RUN}' AND NOT live THEN 'no match update two' ELSE 'insert' END AS logic_block,
+  NOT (m = 5 OR (inside AND m = 3 AND (game_date = DATE '{RUN}') = live)) AS active_row FROM e"""
+)
+def job_shift_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D13, M2, M11 for shifts: two update clauses and two soft deletes by day and by whether the game is in play."""
+    dates = games(spark, sf_dir).select("game_id", "game_date")
+    rows = J.shift_rows(S.valid_payloads(_shift_payloads(spark, sf_dir)), SHIFT_DDL).join(dates, "game_id")
+    rows = rows.select("game_id", "game_date", "team_id", "shift_id", "player_id", (F.col("shift_id") % 2 == 0).alias("live"), ((F.col("game_id") % 100000000 + F.col("shift_id")) % 7).alias("m"))
+    keys = ["game_id", "game_date", "team_id", "shift_id"]
+    target = rows.filter("m <> 4").select(*keys, "player_id", F.col("live").alias("game_in_play"), (F.col("m") != 5).alias("active_row"), F.lit("insert").alias("logic_block"), now().alias("insert_dte"), F.lit(None).cast("timestamp").alias("update_dte"))
+    source = rows.filter("m <> 3").select(*keys, F.when(F.col("m").isin(0, 5), F.lit(-1)).otherwise(F.col("player_id")).alias("player_id"), F.when(F.col("m") == 1, ~F.col("live")).otherwise(F.col("live")).alias("game_in_play"))
+    return J.shift_merge(target, source, run_day(), now(), ["player_id"]).table.select("game_id", "team_id", "shift_id", "player_id", "logic_block", "active_row")
+
+
+@query(
+    """WITH r AS (SELECT DISTINCT l_orderkey, l_suppkey, l_suppkey % 3 AS m FROM lineitem)
+SELECT l_orderkey AS game_id, l_suppkey AS player_id, CASE WHEN m = 0 THEN 'new' ELSE 'old' END AS made FROM r"""
+)
+def job_roster_inserts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Players whom shifts or events show and the game's roster lacks."""
+    r = read(spark, sf_dir, "lineitem").select(F.lit(1).alias("season"), F.col("l_orderkey").alias("game_id"), F.col("l_suppkey").alias("player_id")).distinct()
+    target = r.filter("player_id % 3 <> 0").withColumns({"made": F.lit("old"), "insert_dte": now()})
+    return J.roster_inserts(target, r.withColumn("made", F.lit("new")), now()).table.select("game_id", "player_id", "made")
+
+
+@query(
+    """SELECT s_nationkey AS team_id, s_suppkey AS player_id, CASE WHEN s_suppkey % 5 = 0 OR s_suppkey % 5 = 2 THEN 'new' ELSE 'old' END AS jersey, s_suppkey % 5 <> 1 AS is_active, s_suppkey % 5 IN (0, 1, 3) AS updated FROM supplier"""
+)
+def job_current_roster_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """today's rosters; players who left become inactive, and active again if they return."""
+    s = read(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("team_id"), F.col("s_suppkey").alias("player_id"), (F.col("s_suppkey") % 5).alias("m"))
+    target = s.filter("m <> 2").select("team_id", "player_id", F.lit("old").alias("jersey"), (F.col("m") != 3).alias("is_active"), now().alias("insert_dte"), F.lit(None).cast("timestamp").alias("update_dte"))
+    source = s.filter("m <> 1").select("team_id", "player_id", F.when(F.col("m").isin(0, 2), "new").when(F.col("m") == 3, None).otherwise("old").alias("jersey"))
+    return J.current_roster_merge(target, source, now(), ["jersey"]).table.select("team_id", "player_id", "jersey", "is_active", F.col("update_dte").isNotNull().alias("updated"))

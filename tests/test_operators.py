@@ -28,7 +28,7 @@ def as_set(df):
     return {tuple(r) for r in df.collect()}
 
 
-@pytest.mark.parametrize(("camel", "snake"), [("easternUTCOffset", "eastern_utc_offset"), ("gameId", "game_id"), ("id", "id"), ("URL", "url"), ("sweaterNumber2Old", "sweater_number2_old")])
+@pytest.mark.parametrize(("camel", "snake"), [("easternUTCOffset", "eastern_utc_offset"), ("gameId", "game_id"), ("id", "id"), ("URL", "url"), ("sweaterNumber2Old", "sweater_number2_old"), ("HTTPServerURL", "http_server_url"), ("aB", "a_b"), ("A", "a"), ("AB", "ab"), ("ABc", "a_bc"), ("x9Y", "x9_y"), ("gameID2", "game_id2"), ("", "")])
 def test_snake_case(camel, snake):
     assert V.snake_case(camel) == snake
 
