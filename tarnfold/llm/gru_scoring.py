@@ -147,9 +147,9 @@ class Gru:
             self.p[k] = flat[at : at + v.size].reshape(v.shape).astype(np.float32)
             at += v.size
 
-    def step(self, h: np.ndarray, symbols: np.ndarray) -> np.ndarray:
-        """The states (HIDDEN x streams) after these symbols."""
-        g, a = self.p["x"][symbols].T, self.p["u"].T @ h
+    def step(self, h: np.ndarray, symbols: np.ndarray, by_symbol: np.ndarray) -> np.ndarray:
+        """The states (HIDDEN x streams) after these symbols; by_symbol: the table with a column for each symbol."""
+        g, a = by_symbol.take(symbols, axis=1), self.p["u"].T @ h
         gates = a[: 2 * HIDDEN]
         gates += g[: 2 * HIDDEN]
         gates *= 0.5
@@ -221,7 +221,9 @@ class Gru:
         u = self.p["u"]
         goes_on = (inputs != end).astype(h.dtype)
         # gates and candidates take the place of what the table brings to them
-        table = np.ascontiguousarray(self.p["x"][inputs].transpose(0, 2, 1))
+        by_symbol, table = np.ascontiguousarray(self.p["x"].T), np.empty((steps, 3 * HIDDEN, width), h.dtype)
+        for t in range(steps):
+            by_symbol.take(inputs[t], axis=1, out=table[t], mode="clip")
         zs, rs, cs = (table[:, k * HIDDEN : (k + 1) * HIDDEN] for k in range(3))
         states, before, turns = (np.empty((steps, HIDDEN, width), h.dtype) for _ in range(3))
         for t in range(steps):
@@ -302,7 +304,7 @@ class Gru:
         starts = np.concatenate([[0], np.cumsum(lengths[order])])[:-1]
         line = np.concatenate([x for i in order for x in (texts[i], [end])]).astype(np.int32) if len(texts) else np.empty(0, np.int32)
         sorted_lengths = lengths[order]
-        h = np.zeros((HIDDEN, len(texts)), np.float32)
+        h, by_symbol = np.zeros((HIDDEN, len(texts)), np.float32), np.ascontiguousarray(self.p["x"].T)
         at = 0
         while at < (sorted_lengths[0] if len(texts) else 0):
             active = int(np.searchsorted(-sorted_lengths, -at, side="left"))
@@ -311,11 +313,11 @@ class Gru:
             for t in range(at, stop):
                 active = int(np.searchsorted(-sorted_lengths, -t, side="left"))
                 before = np.full(active, end, np.int32) if t == 0 else line[starts[:active] + t - 1]
-                h = self.step(h[:, :active], before)
-                states.append(h.T)
+                h = self.step(h[:, :active], before, by_symbol)
+                states.append(h)
                 targets.append(line[starts[:active] + t])
                 owners.append(np.arange(active))
-            logs, _ = self.outputs(np.concatenate(states), np.concatenate(targets))
+            logs, _ = self.outputs(np.concatenate(states, axis=1).T, np.concatenate(targets))
             result += np.bincount(np.concatenate(owners), weights=logs, minlength=len(texts))
             at = stop
         out = np.empty(len(texts))
