@@ -19,6 +19,22 @@ def _plain(x: str) -> str:
     return rf"regexp_replace({x}, r'<\\(\\*)\|', r'<$1|')"
 
 
+def _with_starts(df: DataFrame, lengths: str, part: int = 256) -> DataFrame:
+    """Adds starts: for each of an array's lengths the sum of those before it.
+
+    Sums run inside parts of the array and over the parts' sums, so the time grows with the array's
+    length and not with its square.
+    """
+    total = "0L, (a, x) -> a + x"
+    return (
+        df.withColumn("chunks", F.expr(f"transform(sequence(0, greatest(size({lengths}) - 1, 0) div {part}), c -> slice({lengths}, cast(c * {part} + 1 as int), {part}))"))
+        .withColumn("sums", F.expr(f"transform(chunks, c -> aggregate(c, {total}))"))
+        .withColumn("bases", F.expr(f"transform(sequence(1, size(sums)), c -> aggregate(slice(sums, 1, c - 1), {total}))"))
+        .withColumn("starts", F.expr(f"flatten(transform(arrays_zip(chunks, bases), z -> transform(z.chunks, (y, i) -> z.bases + aggregate(slice(z.chunks, 1, i), {total}))))"))
+        .drop("chunks", "sums", "bases")
+    )
+
+
 def format_chat(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     r"""One row for each conversation: conv_id, formatted, loss_spans.
 
@@ -41,7 +57,7 @@ def format_chat(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "tu
         ).alias("t"),
     )
     sorted_turns = one.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("ts"))
-    return (
+    pieces = (
         sorted_turns.withColumn("firsts", F.expr("filter(sequence(0, size(ts) - 1), i -> i = 0 or ts[i].role != ts[greatest(i - 1, 0)].role)"))
         .withColumn(
             "blocks",
@@ -58,33 +74,39 @@ def format_chat(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "tu
                     array(struct('{END}\\n' as s, false as loss)))))"""
             ),
         )
-        .withColumn(
-            "walk",
-            F.expr(
-                """aggregate(pieces,
-                    struct(0L as at, cast(array() as array<struct<start:bigint,length:bigint>>) as spans),
-                    (a, p) -> struct(a.at + char_length(p.s) as at,
-                        if(p.loss, concat(a.spans, array(struct(a.at as start, cast(char_length(p.s) as bigint) as length))), a.spans) as spans))"""
-            ),
-        )
-        .select("conv_id", F.expr("array_join(transform(pieces, p -> p.s), '')").alias("formatted"), F.col("walk.spans").alias("loss_spans"))
+        .withColumn("lengths", F.expr("transform(pieces, p -> cast(char_length(p.s) as bigint))"))
     )
+    spans = "transform(filter(arrays_zip(pieces, starts, lengths), z -> z.pieces.loss), z -> struct(z.starts as start, z.lengths as length))"
+    return _with_starts(pieces, "lengths").select("conv_id", F.expr("array_join(transform(pieces, p -> p.s), '')").alias("formatted"), F.expr(spans).alias("loss_spans"))
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """conv_id, formatted, turns (role, text) and loss_text, all from formatted and its spans."""
-    head = len(START) + 1
-    return (
+    """conv_id, formatted, turns (role, text) and loss_text, all from formatted and its spans.
+
+    The text is split at its control strings once. Where the spans are those of the assistant's
+    parts, as format_chat makes them, their texts are taken from there; other spans are cut out of
+    the text one by one.
+    """
+    head, tail = len(START) + 1, len(END) + 1
+    cut = f"array_join(transform(loss_spans, s -> {_plain('substring(formatted, cast(s.start + 1 as int), cast(s.length as int))')}), '')"
+    parts = (
         formatted.withColumn("blocks", F.expr(r"split(formatted, r'<\|im_end\|>\n', -1)"))
         .withColumn("blocks", F.expr(f"transform(slice(blocks, 1, size(blocks) - 1), b -> substring(b, {head}))"))
         .withColumn(
-            "turns",
+            "parts",
             F.expr(
-                rf"""flatten(transform(blocks, b -> transform(
+                rf"""flatten(transform(blocks, (b, i) -> transform(
                     split(substring(b, locate('\n', b) + 1), r'<\|im_sep\|>', -1),
-                    p -> struct({_plain(f"replace(substring_index(b, '\n', 1), '{BREAK}', '\n')")} as role, {_plain('p')} as text))))"""
+                    (p, j) -> struct(substring_index(b, '\n', 1) as role, p as raw,
+                        cast(if(j > 0, {len(JOIN)}, if(i > 0, {tail}, 0) + {head} + char_length(substring_index(b, '\n', 1))) as bigint) as gap))))"""
             ),
         )
-        .withColumn("loss_text", F.expr(f"array_join(transform(loss_spans, s -> {_plain('substring(formatted, cast(s.start + 1 as int), cast(s.length as int))')}), '')"))
-        .drop("blocks")
+        .withColumn("lengths", F.expr("transform(parts, p -> p.gap + char_length(p.raw))"))
+    )
+    told = _with_starts(parts, "lengths").withColumn("told", F.expr("filter(arrays_zip(parts, starts), z -> z.parts.role = 'assistant')"))
+    same = "transform(told, z -> struct(z.starts + z.parts.gap as start, cast(char_length(z.parts.raw) as bigint) as length)) = loss_spans"
+    return told.select(
+        *formatted.columns,
+        F.expr(rf"transform(parts, p -> struct({_plain(f"replace(p.role, '{BREAK}', '\n')")} as role, {_plain('p.raw')} as text))").alias("turns"),
+        F.expr(f"if({same}, array_join(transform(told, z -> {_plain('z.parts.raw')}), ''), {cut})").alias("loss_text"),
     )

@@ -218,6 +218,16 @@ def test_chat_round_trip(spark):
     assert chat_format.read_back(chat_format.format_chat(df.limit(0))).count() == 0
 
 
+def test_chat_of_many_turns_and_of_other_spans(spark):
+    turns = [(1, k, ("user", "assistant", "assistant")[k % 3], f"t{k}ü<|im_sep|>" * (k % 4)) for k in range(3000)]
+    formatted = chat_format.format_chat(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))
+    got = chat_format.read_back(formatted).first()
+    assert [(t.role, t.text) for t in got.turns] == [t[2:] for t in turns] and got.loss_text == "".join(t[3] for t in turns if t[2] == "assistant")
+    assert [got.formatted[s.start : s.start + s.length] for s in got.loss_spans] == [t[3].replace("<|", "<\\|") for t in turns if t[2] == "assistant"]
+    other = formatted.withColumn("loss_spans", F.expr("slice(loss_spans, 2, 5)"))
+    assert chat_format.read_back(other).first().loss_text == "".join([t[3] for t in turns if t[2] == "assistant"][1:6])
+
+
 # ---------------------------------------------------------------- 5
 
 
