@@ -108,6 +108,22 @@ def op9_hamming_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"), words=4)
 
 
+OP9_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS shingle FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM w WHERE len(w) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 80 * (a.n + b.n - c)),
+both_ways AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reach AS (SELECT x, y FROM both_ways UNION SELECT reach.x, both_ways.y FROM reach JOIN both_ways ON reach.y = both_ways.x),
+least_of AS (SELECT x, min(y) AS y FROM reach GROUP BY x)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(r.y, d.doc_id)) AS component_id, d.doc_id <= coalesce(r.y, d.doc_id) AS kept
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN least_of r ON r.x = d.doc_id
+"""
+
+
 def op10_tiered_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -124,4 +140,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_hamming_join": op9_hamming_join,
     "op10_tiered_packing": op10_tiered_packing,
 }
-ORACLE_SQL: dict[str, str] = {"op4_chat_format": OP4_SQL, "op5_block_naming": OP5_SQL}
+ORACLE_SQL: dict[str, str] = {"op4_chat_format": OP4_SQL, "op5_block_naming": OP5_SQL, "op9_hamming_join": OP9_SQL}
