@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -199,6 +200,49 @@ def test_search_few_and_none(spark):
     assert ann_search.search(few.limit(0), lambda v: v == 0).count() == 0
 
 
+def test_search_takes_every_row_of_a_repeated_id(spark):
+    rows = [(0, [1.0, 0.0]), (1, [0.0, 2.0]), (1, [5.0, 5.0]), (2, [1.0, 1.0]), (2, [1.0, 1.0]), (100, [3.0, 3.0]), (100, [4.0, 4.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in ann_search.search(df, lambda v: v % 100 == 0).collect())
+    truth = []
+    for i, (q, v) in enumerate(rows):
+        if q % 100 == 0:
+            others = sorted((float(np.sqrt(((np.array(v) - np.array(w)) ** 2).sum())), c) for j, (c, w) in enumerate(rows) if j != i)
+            truth += [(q, n, c, d) for n, (d, c) in enumerate(others, 1)]
+    assert got == sorted(truth)
+
+
+def test_search_of_clusters_probes_few_lists(spark):
+    rng = np.random.default_rng(1)
+    hearts = rng.normal(size=(40, 32)) * 4
+    x = hearts[rng.integers(0, 40, 12_000)] + rng.normal(size=(12_000, 32)) * 0.5
+    x[:4000] = x[0] + rng.normal(size=(4000, 32)) * 0.01  # a third of all rows in one place
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(len(x)), "embedding": x.tolist()}), "vec_id long, embedding array<double>")
+    keyed = ann_search.usable(df, "vec_id", "embedding")
+    index = ann_search.fit(keyed, len(x), 32)
+    assert len(index.centroids) == 23 and index.probes < len(index.centroids) / 2
+    got = defaultdict(set)
+    for r in ann_search.search(df, lambda v: v % 100 == 0, block=512).collect():
+        got[r.query_id].add(r.vec_id)
+    hit = 0
+    for q in range(0, len(x), 100):
+        d = ((x - x[q]) ** 2).sum(axis=1)
+        d[q] = np.inf
+        hit += len(got[q] & set(np.argsort(d)[:10].tolist()))
+    assert hit / (10 * len(got)) >= 0.95 and len(got) == 120
+
+
+def test_a_carried_bound_leaves_only_what_may_be_nearer():
+    rng = np.random.default_rng(2)
+    x, q = rng.normal(size=(500, 32)), rng.normal(size=(3, 32))
+    index = ann_search.Index(32, np.linalg.qr(rng.normal(size=(32, 32)))[0], np.zeros((1, 32)))
+    d = np.sqrt(((x[None] - q[:, None]) ** 2).sum(axis=2))
+    bounds = np.sort(d, axis=1)[:, 4]
+    i, j, found = ann_search.scan_block(index, q, bounds, np.array([-1, -2, -3]), x, np.arange(500), np.arange(500), 10)
+    assert np.allclose(found, d[i, j]) and (found <= bounds[i] * (1 + 1e-9)).all()
+    assert len(found) >= 14
+
+
 # ---------------------------------------------------------------- 4
 
 
