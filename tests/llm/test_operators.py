@@ -83,6 +83,33 @@ def test_shards_split_a_hot_text_and_keep_small_groups(spark):
     assert max(map(len, of.values())) > 1 and sum(len(s) > 1 for s in of.values()) == 1
 
 
+@pytest.mark.parametrize("part_rows", [1_000_000, 25])
+def test_shards_are_those_of_one_sorted_list(spark, part_rows):
+    # 300 null texts are few bytes and many rows: one shard, many parts
+    texts_of = [None] * 300 + ["hot text " * 30] * 300 + [f"text {i // 3} " * (i % 40) for i in range(900)]
+    rows = [(i if i % 50 else None, t) for i, t in enumerate(texts_of)] + [(7, None)] * 30
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).withColumns({"part": F.lit(1), "key": F.lit("x")})
+    got = sharding.shard_by_bytes(df, shards=8, part_rows=part_rows).collect()
+    keys = {t: k for t, k in spark.createDataFrame([(t or "",) for t in set(texts_of)], "t string").select("t", F.xxhash64("t")).collect()}
+    order = sorted(((keys[t or ""], -(2**63) if i is None else i, i, len(t or "") + 16) for i, t in rows), key=lambda r: r[:2])
+    group, total = Counter(), sum(r[3] for r in order)
+    for k, _, _, n in order:
+        group[k] += n
+    expect, run, starts = [], 0, {}
+    for k, _, i, n in order:
+        starts.setdefault(k, run)
+        middle = starts[k] + group[k] / 2 if group[k] <= total / 8 * 0.1 else run + n / 2
+        expect.append((i, n, min(int(middle * 8 // total), 7)))
+        run += n
+    seen = Counter()
+    slots = []
+    for i, n, shard in expect:
+        slots.append((i, n, shard, seen[shard]))
+        seen[shard] += 1
+    none = lambda r: tuple(-1 if x is None else x for x in r)
+    assert sorted(map(none, ((r.doc_id, r["size"], r.shard, r.slot) for r in got))) == sorted(map(none, slots))
+
+
 # ---------------------------------------------------------------- 2
 
 
