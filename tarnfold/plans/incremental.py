@@ -154,5 +154,26 @@ def high_water_scope(source: DataFrame, target: DataFrame, run: Column, date: st
     return source.filter(F.col(date).between(F.lit(low), run))
 
 
-def recent_inserts(rows: DataFrame, run: Column, days: int = 2) -> DataFrame:
-    return rows.filter(within_days(F.to_date("insert_dte"), run, days)).limit(1).agg((F.count(F.lit(1)) > 0).alias("ready"))
+def recent_inserts(rows: DataFrame, run: Column, days: int = 2, by: Sequence[str] = ()) -> DataFrame:
+    """ready: whether any row, of each `by` if given, was inserted in the last days."""
+    recent = within_days(F.to_date("insert_dte"), run, days)
+    return rows.groupBy(*by).agg(F.coalesce(F.bool_or(recent), F.lit(False)).alias("ready"))
+
+
+def schedule_summary(schedule: DataFrame, run: Column, days: int = 365) -> DataFrame:
+    """One row: the bounds of the season that the last `days` of the schedule reach, and whether all its regular games are there."""
+    recent = schedule.filter(F.col("game_type").between(1, 3) & (F.col("game_date") >= F.date_sub(run, days)))
+    last = F.max(F.when(F.col("game_type") == 2, F.col("game_date")))
+    return recent.agg(
+        F.max("season").cast("int").alias("season"),
+        F.max("pre_season_start_date").alias("ps_start_date"),
+        F.max("regular_season_start_date").alias("rs_start_date"),
+        F.max("regular_season_end_date").alias("rs_end_date"),
+        last.alias("rs_last_game_date"),
+        F.max("playoff_end_date").alias("playoff_end_date"),
+    ).withColumn("sched_fully_loaded", F.col("rs_end_date") >= F.date_sub("rs_last_game_date", 1))
+
+
+def dates_to_ask(planned: DataFrame, missing: DataFrame, date: str = "d") -> DataFrame:
+    """Each date that is planned or missing, once."""
+    return planned.select(date).unionByName(missing.select(date)).distinct()

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarnfold.functions import compare as C
 from tarnfold.functions import values as V
@@ -337,7 +338,7 @@ def event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT event_id, event_type AS type_desc_key, user_id AS owner_id, value AS amount, CAST(NULL AS INTEGER) AS not_there FROM events")
 def shred_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Payloads by their inferred schema to declared columns; a missing field is null."""
+    """Payloads by their inferred schema to declared columns; a missing field is null."""
     rows = S.unpack_list(event_payloads(spark, sf_dir), "plays", outer=True)
     fields = {"eventId": "bigint", "typeDescKey": {"type": "string", "trim": True}, "details.ownerId": "bigint", "details.amount": "double", "details.notThere": "int"}
     return rows.select(*S.build_fields(rows, fields))
@@ -345,15 +346,15 @@ def shred_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT event_id AS plays_eventId, user_id AS plays_details_ownerId FROM events")
 def flattened_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested values to columns and rows, by the schema."""
+    """Nested values to columns and rows, by the schema of all payloads."""
     p = event_payloads(spark, sf_dir)
-    flat = S.flatten(S.parsed(p, I.infer_one(p)).select("json.plays"))
+    flat = S.flatten(S.parsed(p, I.infer(p)).select("json.plays"))
     return flat.select(F.col("plays_eventId").cast("long").alias("plays_eventId"), F.col("plays_details_ownerId").cast("long").alias("plays_details_ownerId"))
 
 
 @query("SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS cust, o_orderstatus AS status FROM orders")
 def wide_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A column for each key of free-form maps."""
+    """A column for each key of free-form maps."""
     o = read(spark, sf_dir, "orders").select("o_orderkey", F.array(F.create_map(F.lit("cust"), F.col("o_custkey").cast("string"), F.lit("status"), F.col("o_orderstatus"))).alias("m"))
     return S.map_to_wide(o, "m", ["o_orderkey"])
 
@@ -418,9 +419,77 @@ def request_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("event_id", F.round("rate_429", 6).alias("rate_429"), F.round("rate_error", 6).alias("rate_error"), "advice")
 
 
+@query("SELECT o_orderkey AS id, o_custkey AS cust, o_orderstatus AS status, o_totalprice AS price FROM orders UNION ALL SELECT o_orderkey, o_custkey, 'copy', NULL FROM orders")
+def flattened_bare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested values to columns and rows by their own names, which may not fall together."""
+    line = lambda status, price: F.struct(status.alias("status"), price.alias("price"))
+    lines = F.array(line(F.col("o_orderstatus"), F.col("o_totalprice")), line(F.lit("copy"), F.lit(None).cast("double")))
+    o = read(spark, sf_dir, "orders").select(F.struct(F.col("o_orderkey").alias("id"), F.struct(F.col("o_custkey").alias("cust")).alias("who"), lines.alias("lines")).alias("order"))
+    return S.flatten(o, prefix=False)
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN c_name WHEN c_custkey % 3 = 1 THEN c_mktsegment END AS contact, c_name AS team_name, c_mktsegment AS fr FROM customer")
+def named_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first of several keys of a map, and a struct's fields in its place under other names."""
+    phone = F.when(F.col("c_custkey") % 3 == 0, F.col("c_name"))
+    segment = F.when(F.col("c_custkey") % 3 != 2, F.col("c_mktsegment"))
+    m = F.create_map(F.lit("phone"), phone, F.lit("segment"), segment)
+    c = read(spark, sf_dir, "customer").select("c_custkey", S.first_of(m, "mobile", "phone", "segment").alias("contact"), F.struct(F.col("c_name").alias("default"), F.col("c_mktsegment").alias("fr")).alias("name"))
+    return S.expand(c, "name", {"default": "team_name"})
+
+
+@query("SELECT o_orderkey AS id, CAST(o_custkey AS VARCHAR) AS cust, CAST(o_orderdate AS DATE) AS d, o_totalprice AS price, '2001-07-30 18:00' AS inserted, true AS untouched, 'orders_job' AS py_source FROM orders", "d")
+def typed_and_stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns by a declared schema in its order, and the audit columns of new rows."""
+    o = read(spark, sf_dir, "orders").select(F.col("o_totalprice").alias("price"), F.col("o_orderdate").alias("d"), F.col("o_custkey").alias("cust"), F.col("o_orderkey").cast("string").alias("id"))
+    typed = S.apply_schema(o, T.StructType.fromDDL("id bigint, cust string, d date, price double"))
+    return M.stamped(typed, now(), "orders_job").select("id", "cust", "d", "price", F.date_format("insert_dte", "yyyy-MM-dd HH:mm").alias("inserted"), F.col("update_dte").isNull().alias("untouched"), "py_source")
+
+
+@query("SELECT s_suppkey, n_name, n_regionkey FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_regionkey < 3")
+def dimension_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: rows that a dimension has, with its values."""
+    n = read(spark, sf_dir, "nation").filter("n_regionkey < 3")
+    return R.lookup(read(spark, sf_dir, "supplier"), n, {"s_nationkey": "n_nationkey"}, {"n_name": "n_name", "n_regionkey": "n_regionkey"}, how="inner").select("s_suppkey", "n_name", "n_regionkey")
+
+
 # ---------------------------------------------------------------- planning
 
 
+@query(
+    f"""
+WITH {GAMES}, s AS (SELECT *, CAST(game_id // 10000000000 AS INT) AS y FROM games),
+x AS (SELECT max(season) AS season, max(make_date(y, 9, 20)) AS ps_start_date, max(make_date(y, 10, 5)) AS rs_start_date, max(make_date(y + 1, 4, 10)) AS rs_end_date,
+  max(game_date) FILTER (WHERE game_type = 2) AS rs_last_game_date, max(make_date(y + 1, 6, 15)) AS playoff_end_date FROM s WHERE game_type BETWEEN 1 AND 3 AND game_date >= DATE '{RUN}' - 365)
+SELECT *, rs_end_date >= rs_last_game_date - 1 AS sched_fully_loaded FROM x""", "ps_start_date", "rs_start_date", "rs_end_date", "rs_last_game_date", "playoff_end_date"
+)
+def plan_schedule_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5: a season's bounds, its last regular game, and whether the schedule is all there."""
+    y = F.floor(F.col("season") / 10000).cast("int")
+    bounds = {"pre_season_start_date": F.make_date(y, F.lit(9), F.lit(20)), "regular_season_start_date": F.make_date(y, F.lit(10), F.lit(5)), "regular_season_end_date": F.make_date(y + 1, F.lit(4), F.lit(10)), "playoff_end_date": F.make_date(y + 1, F.lit(6), F.lit(15))}
+    return P.schedule_summary(games(spark, sf_dir).withColumns(bounds), run_day())
+
+
+@query(
+    """
+WITH g AS (SELECT CAST(unnest(generate_series(CAST(min(o_orderdate) AS TIMESTAMP), CAST(max(o_orderdate) AS TIMESTAMP), INTERVAL 7 DAY)) AS DATE) AS d FROM orders),
+m AS (SELECT CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderstatus = 'P')
+SELECT 'https://example.org/schedule/' || CAST(d AS VARCHAR) || '/now' AS api_url FROM (SELECT d FROM g UNION SELECT d FROM m)"""
+)
+def plan_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The addresses of planned and of missing dates, each once, by name and not by position."""
+    o = read(spark, sf_dir, "orders").withColumn("d", F.to_date("o_orderdate"))
+    grid = P.date_grid(o.agg(F.min("d").alias("start_date"), F.max("d").alias("end_date")))
+    return P.dates_to_ask(grid, o.filter("o_orderstatus = 'P'")).select(E.api_url("https://example.org/schedule/", F.col("d"), "/now").alias("api_url"))
+
+
+@query(f"SELECT o_orderpriority AS table_name, count(*) FILTER (WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '{RUN}' - 2 AND DATE '{RUN}') > 0 AS ready FROM orders GROUP BY 1")
+def gate_recent_inserts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which tables got rows in the last two days; priorities stand for tables."""
+    o = read(spark, sf_dir, "orders").withColumn("insert_dte", F.to_timestamp("o_orderdate"))
+    return P.recent_inserts(o, run_day(), by=["o_orderpriority"]).withColumnRenamed("o_orderpriority", "table_name")
+
+
 def _planning(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     g = games(spark, sf_dir).withColumns({"start_ts": F.timestamp_seconds(F.unix_date("game_date").cast("long") * 86400 + 64000 + F.col("order_id") % 900), "ended": F.col("status") == "F"})
     loaded = g.filter("order_id % 4 <> 0").select("game_id")
@@ -610,7 +679,7 @@ SELECT season, game_id, game_type, home_road, side || team_id AS team_abbrev, 'U
 FROM (SELECT *, CAST(game_date AS TIMESTAMP) + INTERVAL 3 HOUR + CASE WHEN order_id % 3 = 0 THEN INTERVAL (-5) HOUR ELSE INTERVAL 1 HOUR END AS local FROM games WHERE order_id % 50 <> 0),
   (VALUES ('AWAY', 'A'), ('HOME', 'H')) v(home_road, side)""", "game_date")
 def job_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Weekly payloads to two local-time rows a game."""
+    """Weekly payloads to two local-time rows a game."""
     silver = J.schedule_rows(_schedule_payloads(spark, sf_dir), SCHEDULE_DDL)
     return J.schedule_gold(silver).select("season", "game_id", "game_type", "home_road", "team_abbrev", "team_name", "game_date", "start_time")
 
