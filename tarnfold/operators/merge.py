@@ -9,6 +9,11 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarnfold.functions.compare import any_of
+
+#: When a row was made and last changed: the table's own, never a source's.
+AUDIT = ("insert_dte", "update_dte")
+
 #: An expression over accessors of the stored row t and the incoming row s.
 Expr = Callable[[Callable[[str], Column], Callable[[str], Column]], Column]
 
@@ -132,6 +137,27 @@ def merge(
     return Merged(joined.select("_old", new.alias("_new"), tag.alias("_tag")), untouched, columns)
 
 
+def upsert(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    differs: Callable[[Callable[[str], Column], Callable[[str], Column]], Mapping[str, Column]],
+    now: Column,
+    scope: Callable[[Callable[[str], Column]], Column] | None = None,
+    made: Mapping[str, Expr] | None = None,
+    changed: Mapping[str, Expr] | None = None,
+) -> Merged:
+    """Stored rows of which one of the `differs` conditions holds take the source's columns; other source rows are new.
+
+    `made` and `changed` set further columns, or the same in another way, of new and of changed rows.
+    """
+    attrs = [c for c in target.columns if c in source.columns and c not in (*keys, *AUDIT)]
+    new: dict[str, Expr] = {c: (lambda t, s, c=c: s(c)) for c in attrs}
+    new |= {"update_dte": lambda t, s: now, **(changed or {})}
+    update = Update(new, lambda t, s: any_of(differs(t, s)))
+    return merge(target, source.select(*keys, *attrs), keys, [update], [Insert({"insert_dte": lambda t, s: now, **(made or {})})], scope=scope)
+
+
 def insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Appends source rows whose key the target lacks: one anti join, the target isn't shuffled into a join."""
     return target.unionByName(source.join(target.select(*keys), list(keys), "left_anti").select(*target.columns))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarnfold.functions.values import within_days
+from tarnfold.functions.values import touched, within_days
 from tarnfold.operators.rows import top
 
 
@@ -145,13 +145,15 @@ def readiness(tables: Sequence[DataFrame], schedule: DataFrame, run: Column, day
     return counts.agg((F.min("n") == 0).alias("cold_start")).crossJoin(F.broadcast(games)).withColumn("ready", F.col("cold_start") | F.col("recent_game"))  # one row each
 
 
-def high_water_scope(source: DataFrame, target: DataFrame, run: Column, date: str = "game_date", days: int = 2) -> DataFrame:
+def high_water_scope(source: DataFrame, target: DataFrame, run: Column, date: str = "game_date", days: int = 2, or_touched: Sequence[str] = ()) -> DataFrame:
     """Source rows from the earlier of the target's last date and some days before the run.
 
-    The one date is looked up first, so the scan of the source can leave out files before it.
+    The one date is looked up first, so the scan of the source can leave out files before it. Rows
+    of which an `or_touched` date (as when it was inserted) lies in the last days count as well.
     """
     low = target.agg(F.least(F.coalesce(F.max(date), F.lit("1900-01-01").cast("date")), F.date_sub(run, days))).first()[0]
-    return source.filter(F.col(date).between(F.lit(low), run))
+    recent = F.col(date).between(F.lit(low), run)
+    return source.filter(recent | touched(run, days, *map(F.col, or_touched)) if or_touched else recent)
 
 
 def recent_inserts(rows: DataFrame, run: Column, days: int = 2, by: Sequence[str] = ()) -> DataFrame:

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarnfold.functions import values as V
-from tarnfold.functions.compare import any_of, as_text, failed_conditions, null_as, null_safe, plain, skip_null, unless_sentinel, unless_source_null
+from tarnfold.functions.compare import any_of, as_text, failed_conditions, null_safe, plain, skip_null, unless_source_null
 from tarnfold.operators.merge import Delete, Insert, Merged, Update, merge
-from tarnfold.operators.rows import best_row, lookup, one_each
+from tarnfold.operators.rows import best_row, lookup, one_each, unpivot_roles
 from tarnfold.operators.shred import build_fields, sides, unpack_list
 
 
@@ -245,49 +245,30 @@ def shift_roster(shifts: DataFrame) -> DataFrame:
     return one_each(shifts.filter("player_id is not null").select("season", "player_id", "game_id"), ["season", "player_id", "game_id"])
 
 
-def special_rows(payloads: DataFrame, loaded: DataFrame, schema: str, renamed: Mapping[str, str], topic: str, but_not: str | None = None) -> DataFrame:
-    """One topic's team rows of games that aren't loaded: game ids are read from the raw text before parsing.
-
-    A topic is a part of the endpoint's name; `but_not` is one that another topic has and it lacks.
-    """
-    from tarnfold.operators.shred import harvest_ids
-
-    of_topic = payloads.filter(F.col("endpoint").ilike(f"%{topic}%"))
-    if but_not:
-        of_topic = of_topic.filter(~F.col("endpoint").ilike(f"%{but_not}%"))
-    fresh = of_topic.withColumn("_g", F.explode(harvest_ids(F.col("payload"), "gameId"))).join(loaded.select(F.col("game_id").alias("_g")), "_g", "left_anti")
-    keys = fresh.select("request_key").distinct()
-    rows = V.snake_columns(unpack_list(of_topic.join(keys, "request_key", "left_semi"), "data", schema)).withColumnsRenamed(dict(renamed))
-    return rows.withColumn("season", V.season_of_game(F.col("game_id"))).join(loaded.select("game_id"), "game_id", "left_anti").distinct()
-
-
-def special_merge(target: DataFrame, source: DataFrame, now: Column, attrs: Sequence[str]) -> Merged:
-    """Gold of one topic: rows whose numbers changed, null counting as zero."""
-    changed = lambda t, s: any_of({c: null_as(t(c), s(c), 0) for c in attrs})
-    new = {c: (lambda t, s, c=c: s(c)) for c in attrs} | {"update_dte": lambda t, s: now}
-    return merge(target, source, ["season", "game_id", "team_id"], [Update(new, changed)], [Insert({"insert_dte": lambda t, s: now})])
-
-
-def player_master(players: DataFrame, summaries: DataFrame) -> DataFrame:
-    """The best row for each player: active ones first, then the most complete. summaries: player_id, shoots_catches."""
-    required = ("player_id", "full_name", "team_id", "team_abbrev", "last_active_season", "is_active")
-    rows = lookup(players, one_each(summaries, ["player_id"]), {"player_id": "player_id"}, {"shoots_catches": "shoots_catches"})
-    rows = rows.withColumns({"position_category": V.position_category(F.col("position_code")), "empty_rate": V.completeness(*required)})
-    return best_row(rows, ["player_id"], F.col("is_active").desc_nulls_last(), F.col("empty_rate"), F.col("team_id").asc_nulls_last())
-
-
-def player_refresh(target: DataFrame, rosters: DataFrame, now: Column) -> Merged:
-    """Players from their latest roster rows: sentinels are no news, null is no news, and a team moves to the previous one."""
-    news = lambda t, s: {"team_id": unless_sentinel(t("team_id"), F.coalesce(s("team_id"), t("team_id")), 999), "position_code": as_text(t("position_code"), F.coalesce(F.nullif(s("position_code"), F.lit("u")), t("position_code")))}
-    team = lambda t, s: F.coalesce(F.nullif(s("team_id"), F.lit(999)), t("team_id"))
-    new = {
-        "team_id_prev_team": lambda t, s: V.previous_on_change(t("team_id"), team(t, s), t("team_id_prev_team")),
-        "team_id": team,
-        "position_code": lambda t, s: F.coalesce(F.nullif(s("position_code"), F.lit("u")), t("position_code")),
-        "last_season": lambda t, s: F.greatest(t("last_season"), s("last_season")),
-        "update_dte": lambda t, s: now,
-    }
-    return merge(target, rosters, ["player_id"], [Update(new, lambda t, s: any_of(news(t, s)))], [Insert({"insert_dte": lambda t, s: now})])
+EVENT_ROLES = (
+    # Columns of an event that name a player who took part in it.
+    "player_id",
+    "shooting_player_id",
+    "scoring_player_id",
+    "assist1_player_id",
+    "assist2_player_id",
+    "goalie_in_net_id",
+    "penalty_committed_by_player_id",
+    "penalty_drawn_by_player_id",
+    "hit_given_by_player_id",
+    "hit_taken_by_player_id",
+    "faceoff_winning_player_id",
+    "faceoff_losing_player_id",
+)
+# Roles whose team is not the event's, and events that nobody has a part in.
+OTHER_TEAM_ROLES = ("faceoff_losing_player_id", "hit_taken_by_player_id")
+TEAMLESS_EVENTS = ("period-start", "period-end", "stoppage", "game-start", "game-end")
+
+
+def event_players(events: DataFrame, run: Column, keep: Sequence[str] = ("season", "game_id", "game_date")) -> DataFrame:
+    """Players of the event's team in any of its roles, up to the run's day, each once a game and team: player_id, team_id."""
+    named = events.filter(F.col("event_team_id").isNotNull() & ~F.col("event_type").isin(*TEAMLESS_EVENTS) & (F.col("game_date") <= run))
+    return unpivot_roles(named.withColumnRenamed("event_team_id", "team_id"), [*keep, "team_id"], EVENT_ROLES, OTHER_TEAM_ROLES).drop("role").distinct()
 
 
 def roster_gaps(roles: DataFrame, roster: DataFrame, skipped_types: Sequence[str]) -> DataFrame:
@@ -303,15 +284,6 @@ def roster_union(payload_rows: DataFrame, gap_rows: DataFrame, bios: DataFrame)
     return best_row(both, ["season", "game_id", "player_id"], F.col("_p"), F.col("team_id").asc_nulls_last()).drop("_p")
 
 
-def team_details(schedule: DataFrame, franchises: DataFrame, historical: DataFrame, latest_season: int) -> DataFrame:
-    """First and last date and season of each team, whether it is active, and teams known from history alone."""
-    bounds = schedule.groupBy("team_id").agg(F.min("game_date").alias("active_from"), F.max("game_date").alias("active_to"), F.max("season").alias("last_active_season"))
-    out = lookup(bounds, franchises, {"team_id": "team_id"}, {"team_name": "full_name"})
-    out = out.withColumn("is_active", F.col("last_active_season") >= latest_season)
-    old = historical.join(bounds.select("team_id"), "team_id", "left_anti")
-    return out.unionByName(old.withColumn("is_active", F.lit(False)), allowMissingColumns=True)
-
-
 def season_gated_merge(target: DataFrame, source: DataFrame, keys: Sequence[str], attrs: Sequence[str], latest_season: int, now: Column) -> Merged:
     """Updates only rows whose season isn't the latest, where attributes differ and neither is null."""
     changed = lambda t, s: (t("season") != latest_season) & any_of({c: plain(t(c), s(c)) for c in attrs})

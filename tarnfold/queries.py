@@ -18,8 +18,10 @@ from tarnfold.functions import values as V
 from tarnfold.operators import merge as M
 from tarnfold.operators import rows as R
 from tarnfold.operators import shred as S
+from tarnfold.plans import gold as G
 from tarnfold.plans import incremental as P
 from tarnfold.plans import jobs as J
+from tarnfold.plans import masters as H
 from tarnfold.sources import envelope as E
 from tarnfold.sources import schemas as I
 
@@ -860,17 +862,85 @@ def job_special_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = g.groupBy("game_date").agg(F.collect_list(row).alias("data")).select("game_date", F.to_json(F.struct("data")).alias("payload"))
     other = envelope(p, "game_date", F.regexp_replace("payload", '"ppGoals":[0-9]+', '"ppGoals":99'), "PowerPlayTime-stats")
     p = envelope(p, "game_date", F.col("payload"), "PowerPlay-stats").unionByName(other)
-    rows = J.special_rows(p, g.filter("order_id % 4 = 0").select("game_id"), "struct<data: array<struct<gameId: bigint, teamId: bigint, ppGoals: bigint, ppTimeOnIce: double>>>", {"pp_time_on_ice": "pp_toi"}, "powerplay", but_not="time")
-    return rows.select("game_id", "team_id", F.col("season").cast("int").alias("season"), "pp_goals", "pp_toi")
+    rows = G.special_rows(p, g.filter("order_id % 4 = 0").select("game_id"), "struct<data: array<struct<gameId: bigint, teamId: bigint, ppGoals: bigint, ppTimeOnIce: double>>>", G.TOPICS["pp_stats"])
+    return rows.select("game_id", "team_id", F.col("season").cast("int").alias("season"), "pp_goals", F.col("pp_time_on_ice").alias("pp_toi"))
 
 
-@query(f"WITH {GAMES} SELECT game_id, CASE WHEN order_id % 6 = 0 THEN 9 WHEN order_id % 2 = 0 AND order_id % 3 <> 0 THEN NULL ELSE 0 END AS goals, order_id % 6 = 0 AS updated FROM games WHERE order_id % 2 = 0 OR order_id % 3 = 0")
+def _each_topic(one: Callable[[str, G.Topic], DataFrame]) -> DataFrame:
+    out = None
+    for name, topic in G.TOPICS.items():
+        rows = one(name, topic).withColumn("topic", F.lit(name))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+_ENDPOINTS = {"pp_stats": "powerplay", "pk_stats": "penaltykill", "pp_toi": "powerplaytime", "pk_toi": "penaltykilltime"}
+_TOPICS = "(VALUES ('pp_stats', 0), ('pk_stats', 1), ('pp_toi', 2), ('pk_toi', 3)) topics(topic, nr)"
+
+
+@query(f"WITH {GAMES} SELECT topic, game_id, team_id, CAST(order_id % 7 + nr AS BIGINT) AS pp_goals, 'Stars' AS team_name, 'T' || team_id AS opp_team_abbrev, 'HOME' AS home_road FROM games, {_TOPICS} WHERE order_id % 4 <> 0")
+def job_special_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four topics' team rows, each of its own endpoint, with tidy texts."""
+    g = games(spark, sf_dir)
+    loaded = g.filter("order_id % 4 = 0").select("game_id")
+    text = lambda c: F.concat(F.lit(" "), c, F.lit(" "))
+    payloads = None
+    for nr, endpoint in enumerate(_ENDPOINTS.values()):
+        row = F.struct(F.col("game_id").alias("gameId"), F.col("team_id").alias("teamId"), (F.col("order_id") % 7 + nr).alias("ppGoals"), text(F.lit("Stars")).alias("teamFullName"), text(F.concat(F.lit("t"), F.col("team_id").cast("string"))).alias("opponentTeamAbbrev"), text(F.lit("home")).alias("homeRoad"))
+        part = envelope(g.groupBy("game_date").agg(F.to_json(F.struct(F.collect_list(row).alias("data"))).alias("payload")), "game_date", F.col("payload"), endpoint)
+        payloads = part if payloads is None else payloads.unionByName(part)
+    schema = "struct<data: array<struct<gameId: bigint, teamId: bigint, ppGoals: bigint, teamFullName: string, opponentTeamAbbrev: string, homeRoad: string>>>"
+    return _each_topic(lambda _, topic: G.special_rows(payloads, loaded, schema, topic)).select("topic", "game_id", "team_id", "pp_goals", "team_name", "opp_team_abbrev", "home_road")
+
+
+def _special_sides(g: DataFrame, topic: G.Topic) -> tuple[DataFrame, DataFrame]:
+    """Stored and incoming rows of a topic: the last of its numbers is what differs, or the other team's name."""
+    *same, last = topic.watched
+    keys = [*G.SPECIAL_KEYS, F.lit("HOME").alias("home_road")]
+    stamps = [now().alias("insert_dte"), F.lit(None).cast("timestamp").alias("update_dte")]
+    m = F.col("order_id") % 6
+    stored = g.filter(m != 5).select(*keys, F.when(m == 4, None).otherwise("AAA").alias("opp_team_abbrev"), *[F.lit(1).alias(c) for c in same], F.lit(None).cast("int").alias(last), *stamps)
+    incoming = g.filter(m != 3).select(*keys, F.when(m.isin(1, 4), "BBB").otherwise("AAA").alias("opp_team_abbrev"), *[F.lit(1).alias(c) for c in same], F.when(m == 0, 9).otherwise(0).alias(last), *stamps)
+    return stored, incoming
+
+
+_SPECIAL = """ SELECT topic, game_id, CASE WHEN m = 5 THEN 0 WHEN NOT hit THEN NULL WHEN m = 0 THEN 9 ELSE 0 END AS number, CASE WHEN m = 4 THEN NULL WHEN m = 1 AND hit THEN 'BBB' ELSE 'AAA' END AS opp_team_abbrev, hit AS updated"""
+
+
+@query(f"WITH {GAMES}, k AS (SELECT *, order_id % 6 AS m, order_id % 6 < 2 AND game_date BETWEEN DATE '{RUN}' - 2 AND DATE '{RUN}' AS hit FROM games)" + _SPECIAL + f" FROM k, {_TOPICS}")
+def job_special_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each topic's silver merge over two days, null being zero; a text without a stored value is no change."""
+    g = games(spark, sf_dir)
+
+    def one(_: str, topic: G.Topic) -> DataFrame:
+        stored, incoming = _special_sides(g, topic)
+        out = G.special_merge(stored, incoming, run_day(), now(), topic).table
+        return out.select("game_id", F.col(topic.watched[-1]).alias("number"), "opp_team_abbrev", F.col("update_dte").isNotNull().alias("updated"))
+
+    return _each_topic(one)
+
+
+@query(
+    f"""WITH {GAMES}, last AS (SELECT least(max(game_date), DATE '{RUN}' - 2) AS low FROM games WHERE order_id % 6 <> 5 AND game_date < DATE '2001-06-01'),
+k AS (SELECT games.*, order_id % 6 AS m, order_id % 6 < 2 AND game_date < DATE '2001-06-01' AND late AS hit, game_date < DATE '2001-06-01' AND order_id % 6 <> 5 AS there, order_id % 6 <> 3 AND team_id % 3 > 0 AND late AS given
+  FROM (SELECT *, (game_date BETWEEN (SELECT low FROM last) AND DATE '{RUN}') OR order_id % 11 = 0 AS late FROM games) games)
+SELECT topic, game_id, CASE WHEN NOT there AND m = 0 THEN 9 WHEN NOT there THEN 0 WHEN NOT given OR m > 1 THEN NULL WHEN m = 0 THEN 9 ELSE 0 END AS number,
+  CASE WHEN there AND given AND m < 2 OR NOT there THEN 'T' || team_id ELSE 'old' END AS team_abbrev, there AND given AND m < 2 AS updated FROM k, {_TOPICS} WHERE there OR given"""
+)
 def job_special_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numbers that changed, null being zero."""
+    """Each topic's gold from rows since its last date or touched of late, with their teams' names."""
     g = games(spark, sf_dir)
-    target = g.filter("order_id % 2 = 0").select("season", "game_id", "team_id", F.lit(None).cast("int").alias("goals"), now().alias("insert_dte"), F.lit(None).cast("timestamp").alias("update_dte"))
-    source = g.filter("order_id % 3 = 0").select("season", "game_id", "team_id", F.when(F.col("order_id") % 2 == 0, 9).otherwise(0).alias("goals"))
-    return J.special_merge(target, source, now(), ["goals"]).table.select("game_id", "goals", F.col("update_dte").isNotNull().alias("updated"))
+    teams = read(spark, sf_dir, "customer").filter("c_custkey % 3 > 0").select(F.col("c_custkey").alias("team_id"), F.concat(F.lit("T"), F.col("c_custkey").cast("string")).alias("team_abbrev"))
+    touched = g.filter("order_id % 11 = 0").select("game_id", F.lit(True).alias("_t"))
+
+    def one(_: str, topic: G.Topic) -> DataFrame:
+        stored, incoming = _special_sides(g, topic)
+        silver = incoming.join(touched, "game_id", "left").withColumn("insert_dte", F.when(F.col("_t"), now()).otherwise(F.lit("1990-01-01").cast("timestamp")))
+        gold = stored.filter("game_date < '2001-06-01'").withColumn("team_abbrev", F.lit("old"))
+        out = G.special_gold(gold, silver, teams, run_day(), now(), topic).table
+        return out.select("game_id", F.col(topic.watched[-1]).alias("number"), "team_abbrev", F.col("update_dte").isNotNull().alias("updated"))
+
+    return _each_topic(one)
 
 
 @query(
@@ -883,47 +953,103 @@ def job_player_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read(spark, sf_dir, "orders")
     k, st = F.col("o_orderkey"), F.col("o_orderstatus")
     p = o.select(F.col("o_custkey").alias("player_id"), F.when(k % 4 != 0, F.col("o_orderpriority")).alias("full_name"), F.when(st == "F", "c").when(st == "O", "D").otherwise("g").alias("position_code"), F.when(k % 5 != 0, "ABC").alias("team_abbrev"), F.lit(19992000).alias("last_active_season"), F.when(k % 3 != 0, k).alias("team_id"), (k % 2 == 0).alias("is_active"))
-    extra = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("player_id"), F.col("c_mktsegment").alias("shoots_catches"))
-    return J.player_master(p, extra).filter("team_id is not null").select("player_id", "is_active", "empty_rate", "team_id", "position_category", "shoots_catches")
+    c = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("player_id"), F.col("c_mktsegment").alias("shoots_catches"))
+    return H.player_master(p, H.catching_sides(c.filter("player_id % 2 = 0"), c.filter("player_id % 2 = 1"))).filter("team_id is not null").select("player_id", "is_active", "empty_rate", "team_id", "position_category", "shoots_catches")
 
 
 @query(
     """WITH s AS (SELECT o_custkey AS player_id, arg_max(CASE WHEN o_orderkey % 5 = 0 THEN 999 ELSE o_orderkey % 30 END, o_orderkey) AS team, max(CAST(year(o_orderdate) AS INT)) AS season FROM orders GROUP BY 1),
 j AS (SELECT c_custkey, CAST(c_nationkey AS BIGINT) AS old, s.*, CASE WHEN team = 999 OR team IS NULL THEN c_nationkey ELSE team END AS new FROM customer LEFT JOIN s ON player_id = c_custkey)
-SELECT c_custkey AS player_id, CAST(new AS BIGINT) AS team_id, CASE WHEN new <> old THEN old END AS team_id_prev_team, CAST(CASE WHEN new <> old THEN greatest(season, 1990) ELSE 1990 END AS INT) AS last_season FROM j"""
+SELECT c_custkey AS player_id, CAST(new AS BIGINT) AS team_id, CASE WHEN new <> old THEN old END AS team_id_prev_team, CAST(CASE WHEN new <> old OR shirt THEN greatest(season, 1990) ELSE 1990 END AS INT) AS last_season,
+  CASE WHEN shirt OR c_custkey % 3 = 0 THEN 8 ELSE 7 END AS jersey_num, nullif(concat_ws(', ', CASE WHEN new <> old THEN 'team_id' END, CASE WHEN shirt THEN 'jersey_num' END), '') AS failed_condition
+FROM (SELECT *, player_id IS NOT NULL AND c_custkey % 2 = 1 AND c_custkey % 3 > 0 AS shirt FROM j)"""
 )
 def job_player_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Players from their latest roster rows; a team that changes moves to the previous one."""
     c = read(spark, sf_dir, "customer")
-    target = c.select(F.col("c_custkey").alias("player_id"), F.col("c_nationkey").cast("bigint").alias("team_id"), F.lit(None).cast("bigint").alias("team_id_prev_team"), F.lit("C").alias("position_code"), F.lit(1990).alias("last_season"), now().alias("insert_dte"), F.lit(None).cast("timestamp").alias("update_dte"))
+    target = c.select(F.col("c_custkey").alias("player_id"), F.col("c_nationkey").cast("bigint").alias("team_id"), F.lit(None).cast("bigint").alias("team_id_prev_team"), F.lit("C").alias("position_code"), F.when(F.col("c_custkey") % 3 == 0, 8).otherwise(7).alias("jersey_num"), F.lit(None).cast("string").alias("failed_condition"), F.lit(1990).alias("last_season"), now().alias("insert_dte"), F.lit(None).cast("timestamp").alias("update_dte"))
     o = read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("player_id"), "o_orderkey", F.when(F.col("o_orderkey") % 5 == 0, 999).otherwise(F.col("o_orderkey") % 30).alias("team_id"), F.year("o_orderdate").alias("y"))
     seasons = o.groupBy("player_id").agg(F.max("y").alias("last_season"))
-    source = R.latest(o, ["player_id"], "o_orderkey").join(seasons, "player_id").select("player_id", "team_id", F.lit("u").alias("position_code"), "last_season")
+    source = R.latest(o, ["player_id"], "o_orderkey").join(seasons, "player_id").select("player_id", "team_id", F.lit("u").alias("position_code"), F.when(F.col("player_id") % 2 == 0, 999).otherwise(8).alias("jersey_num"), "last_season")
     known = source.join(target.select("player_id"), "player_id", "left_semi")
-    return J.player_refresh(target, known, now()).table.select("player_id", "team_id", "team_id_prev_team", "last_season")
+    return H.player_refresh(target, known, now()).table.select("player_id", "team_id", "team_id_prev_team", "last_season", "jersey_num", "failed_condition")
 
 
-@query("SELECT c_custkey AS team_id, c_name AS full_name, CAST(c_nationkey AS INT) AS franchise_id FROM customer")
+@query(
+    """SELECT player_id, CASE WHEN given AND (m <> 2 OR NOT there) THEN 'new' ELSE 'old' END AS full_name, CASE WHEN NOT there THEN CAST(nk AS INT) WHEN given AND m = 1 THEN 77 WHEN m = 3 AND NOT given THEN NULL WHEN m = 3 THEN 88 ELSE CAST(nk AS INT) END AS team_id,
+  CASE WHEN NOT there THEN CASE WHEN m = 4 THEN CAST(nk AS INT) END WHEN NOT given THEN 5 WHEN m = 1 THEN CAST(nk AS INT) WHEN m = 5 THEN CASE WHEN nk <> 5 THEN 5 END WHEN m = 3 THEN 5 ELSE CASE WHEN nk <> 5 THEN 5 END END AS team_id_prev_team,
+  CASE WHEN there AND given THEN nullif(concat_ws(', ', CASE WHEN m <> 2 THEN 'full_name' END, CASE WHEN m IN (1, 3) THEN 'team_id' END, CASE WHEN m = 5 THEN 'jersey_num' END, CASE WHEN m = 2 THEN 'position_code' END, CASE WHEN m = 4 THEN 'is_active' END), '') END AS failed_condition
+FROM (SELECT c_custkey AS player_id, c_nationkey AS nk, c_custkey % 6 AS m, c_custkey % 5 > 0 AS there, c_custkey % 7 > 0 AS given FROM customer) WHERE (there OR given) AND NOT (there AND given AND m = 2)
+UNION ALL SELECT c_custkey, 'old', CAST(c_nationkey AS INT), 5, NULL FROM customer WHERE c_custkey % 6 = 2 AND c_custkey % 5 > 0 AND c_custkey % 7 > 0"""
+)
+def job_player_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Players into their master, with previous teams and the names of what differed."""
+    c = read(spark, sf_dir, "customer").withColumn("m", F.col("c_custkey") % 6)
+    m, nation = F.col("m"), F.col("c_nationkey").cast("int")
+    none = lambda kind: F.lit(None).cast(kind)
+    target = c.filter("c_custkey % 5 > 0").select(
+        F.col("c_custkey").alias("player_id"), F.lit("old").alias("full_name"), F.lit("C").alias("position_code"), F.when(m != 3, nation).alias("team_id"), F.lit("AAA").alias("team_abbrev"), F.lit(5).alias("team_id_prev_team"), F.lit("EEE").alias("team_abbrev_prev_team"),
+        F.lit(20002001).alias("last_active_season"), F.lit(9).alias("jersey_num"), F.lit("L").alias("shoots_catches"), F.lit(True).alias("is_active"), F.lit(0.0).alias("empty_rate"), none("string").alias("failed_condition"), now().alias("insert_dte"), none("timestamp").alias("update_dte"),
+    )
+    source = c.filter("c_custkey % 7 > 0").select(
+        F.col("c_custkey").alias("player_id"), F.when((m != 2) | (F.col("c_custkey") % 5 == 0), "new").otherwise(none("string")).alias("full_name"), F.when(m != 2, "C").alias("position_code"),
+        F.when(m == 1, F.when(F.col("c_custkey") % 5 > 0, 77).otherwise(nation)).when(m == 3, F.when(F.col("c_custkey") % 5 > 0, 88).otherwise(nation)).otherwise(nation).alias("team_id"),
+        F.lit("BBB").alias("team_abbrev"), none("int").alias("team_id_prev_team"), none("string").alias("team_abbrev_prev_team"), F.lit(20012002).alias("last_active_season"), F.when(m != 5, 9).alias("jersey_num"), F.lit("L").alias("shoots_catches"), (m != 4).alias("is_active"), F.lit(0.0).alias("empty_rate"),
+    )
+    return H.player_merge(target, source, now()).table.select("player_id", "full_name", "team_id", "team_id_prev_team", "failed_condition")
+
+
+@query("SELECT 20012002 AS season, CAST(c_custkey AS INT) AS team_id, c_name AS team_name, CAST(c_nationkey AS INT) AS franchise_id, 'T' || c_custkey AS team_abbrev, CAST(NULL AS INT) AS league_id FROM customer")
 def job_team_master(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A payload that is a list, two levels deep."""
+    """A payload that is a list, two levels deep, to the teams' declared columns."""
     c = read(spark, sf_dir, "customer")
-    team = F.struct(F.col("c_custkey").alias("id"), F.concat(F.lit(" "), "c_name").alias("fullName"), F.col("c_nationkey").alias("franchiseId"))
+    team = F.struct(F.col("c_custkey").alias("id"), F.concat(F.lit(" "), "c_name").alias("fullName"), F.col("c_nationkey").alias("franchiseId"), F.concat(F.lit(" t"), F.col("c_custkey").cast("string")).alias("rawTricode"))
     p = c.groupBy("c_mktsegment").agg(F.collect_list(team).alias("data")).select("c_mktsegment", F.to_json(F.array(F.struct(F.size("data").alias("total"), "data"))).alias("payload"))
-    rows = E.as_envelope(envelope(p, "c_mktsegment", F.col("payload"), "teams"))
-    lists = S.unpack_list(rows, "data", "struct<data: array<struct<total: int, data: array<struct<id: bigint, fullName: string, franchiseId: int>>>>>")
-    teams = lists.select(F.explode("data").alias("e")).select("e.*")
-    return teams.select(*S.build_fields(teams, {"id": {"target": "team_id", "type": "bigint"}, "fullName": {"type": "string", "trim": True}, "franchiseId": "int"}))
+    rows = E.as_envelope(envelope(p, "c_mktsegment", F.col("payload"), "teams")).withColumn("season", F.lit(20012002))
+    return H.team_rows(rows, "struct<data: array<struct<total: int, data: array<struct<id: bigint, fullName: string, franchiseId: int, rawTricode: string>>>>>")
 
 
-@query(
-    f"""WITH {GAMES}, b AS (SELECT team_id, min(game_date) AS active_from, max(game_date) AS active_to, max(season) AS last_active_season FROM games GROUP BY team_id)
-SELECT team_id, active_from, active_to, last_active_season, last_active_season >= 20002001 AS is_active, c_name AS team_name FROM b LEFT JOIN customer ON c_custkey = team_id
-UNION ALL SELECT c_custkey, NULL, NULL, NULL, false, c_name FROM customer WHERE c_custkey NOT IN (SELECT team_id FROM b)""", "active_from", "active_to")
+@query("SELECT c_custkey AS team_id, CASE WHEN c_custkey % 4 = 0 OR c_custkey % 5 IN (1, 2) THEN 'new' ELSE 'old' END AS team_name, c_custkey % 4 > 0 AND c_custkey % 5 IN (1, 2) AS updated FROM customer WHERE c_custkey % 4 > 0 OR c_custkey % 7 > 0")
+def job_team_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Teams into their master; a franchise that is null is one of its own, other nulls are no change."""
+    c, m = read(spark, sf_dir, "customer"), F.col("c_custkey") % 5
+    target = c.filter("c_custkey % 4 > 0").select(F.lit(20002001).alias("season"), F.when(m != 2, 7).alias("franchise_id"), F.lit("old").alias("team_name"), F.col("c_custkey").alias("team_id"), F.when(m != 3, 133).alias("league_id"), F.lit("AAA").alias("team_abbrev"), now().alias("insert_dte"), F.lit(None).cast("timestamp").alias("update_dte"))
+    name = F.when(m.isin(1, 2) | (F.col("c_custkey") % 4 == 0), "new").otherwise("old")
+    source = c.filter("c_custkey % 4 > 0 or c_custkey % 7 > 0").select(F.lit(20002001).alias("season"), F.lit(7).alias("franchise_id"), name.alias("team_name"), F.col("c_custkey").alias("team_id"), F.lit(133).alias("league_id"), F.when((m != 4) | (F.col("c_custkey") % 4 == 0), "AAA").alias("team_abbrev"))
+    return H.team_merge(target, source, now()).table.select("team_id", "team_name", F.col("update_dte").isNotNull().alias("updated"))
+
+
+def _team_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = games(spark, sf_dir)
+    name = F.concat(F.lit("name "), F.col("season").cast("string"))
+    schedule = g.select("season", "team_id", F.lit("ABC").alias("team_abbrev"), name.alias("team_name"), F.lit("Town").alias("team_city"), F.date_sub("game_date", 9).alias("pre_season_start_date"), F.date_add("game_date", 9).alias("playoff_end_date"), F.lit("1999-01-01").cast("timestamp").alias("insert_dte"))
+    masters = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("team_id"), F.lit("OLD").alias("team_abbrev"), F.col("c_name").alias("team_name"), F.col("c_nationkey").alias("franchise_id"))
+    franchises = read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("franchise_id"), F.when(F.col("n_nationkey") % 5 == 0, 19981999).alias("last_active_season"))
+    return H.team_details(schedule, masters, franchises, run_day())
+
+
+_DETAILS = f"""
+WITH {GAMES}, cur AS (SELECT max(season) AS cur FROM games), b AS (SELECT team_id, arg_max('name ' || season, season) AS team_name, min(game_date) - 9 AS active_from, max(game_date) + 9 AS active_to FROM games GROUP BY team_id),
+r AS (SELECT c_custkey AS team_id, c_nationkey % 5 = 0 AS ended, b.team_id IS NOT NULL AS played, coalesce(b.team_name, c_name) AS team_name, active_from, active_to, cur, coalesce(year(active_to) < cur // 10000, false) AS past FROM customer LEFT JOIN b ON b.team_id = c_custkey, cur),
+d AS (SELECT team_id, CASE WHEN played THEN 'ABC' ELSE 'OLD' END AS team_abbrev, team_name, CASE WHEN played THEN 'Town' END AS team_city, played AND NOT past AND NOT ended AS is_active, active_from, active_to,
+  CAST(CASE WHEN NOT played THEN CASE WHEN ended THEN 19981999 END WHEN past THEN (year(active_to) - 1) * 10000 + year(active_to) ELSE cur END AS INT) AS last_active_season FROM r)"""
+
+
+@query(_DETAILS + " SELECT * FROM d", "active_from", "active_to")
 def job_team_details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dates and state of each team, and teams of old."""
-    c = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("team_id"), F.col("c_name").alias("full_name"))
-    out = J.team_details(games(spark, sf_dir), c, c.withColumnRenamed("full_name", "team_name"), 20002001)
-    return out.select("team_id", "active_from", "active_to", "last_active_season", "is_active", "team_name")
+    """Names, dates, last season and state of each team, and teams of old."""
+    return _team_details(spark, sf_dir)
+
+
+@query(_DETAILS + " SELECT team_id, CASE WHEN team_id % 3 = 0 AND team_city IS NOT NULL THEN 'Else' ELSE team_city END AS team_city, team_id % 3 = 1 AS updated FROM d")
+def job_details_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Details into their table; a null of the source is no change."""
+    rows = _team_details(spark, sf_dir)
+    m = F.col("team_id") % 3
+    city = F.when((m == 0) & F.col("team_city").isNotNull(), "Else").otherwise(F.col("team_city"))
+    stored = rows.withColumns({"team_abbrev": F.when(m == 1, "XXX").otherwise(F.col("team_abbrev")), "team_city": city, "insert_dte": now(), "update_dte": F.lit(None).cast("timestamp")})
+    out = H.details_merge(stored, rows.withColumn("team_city", F.when(m != 0, F.col("team_city"))), now()).table
+    return out.select("team_id", "team_city", F.col("update_dte").isNotNull().alias("updated"))
 
 
 @query(
@@ -1039,3 +1165,98 @@ def job_current_roster_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = s.filter("m <> 2").select("team_id", "player_id", F.lit("old").alias("jersey"), (F.col("m") != 3).alias("is_active"), now().alias("insert_dte"), F.lit(None).cast("timestamp").alias("update_dte"))
     source = s.filter("m <> 1").select("team_id", "player_id", F.when(F.col("m").isin(0, 2), "new").when(F.col("m") == 3, None).otherwise("old").alias("jersey"))
     return J.current_roster_merge(target, source, now(), ["jersey"]).table.select("team_id", "player_id", "jersey", "is_active", F.col("update_dte").isNotNull().alias("updated"))
+
+
+def _stamps(inserted: str = NOW) -> dict:
+    return {"insert_dte": F.lit(inserted).cast("timestamp"), "update_dte": F.lit(None).cast("timestamp")}
+
+
+@query(
+    f"""WITH {GAMES}, r AS (SELECT *, order_id % 5 AS m, game_date BETWEEN DATE '{RUN}' - 7 AND DATE '{RUN}' OR order_id % 13 = 0 AS late FROM games WHERE order_id % 4 < 3)
+SELECT game_id, CASE WHEN m = 3 OR (late AND m = 1) THEN 'later' ELSE 'then' END AS start_time, late AND m = 1 AS updated FROM r WHERE m <> 3 OR team_id > 0"""
+)
+def job_schedule_gold_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold of schedules over seven days; sides without a team stay out."""
+    g = games(spark, sf_dir)
+    m = F.col("order_id") % 5
+    row = lambda time, team: [F.col("season"), F.col("game_id"), F.col("game_date"), F.col("game_type"), time.alias("start_time"), F.lit("ABC").alias("team_abbrev"), team.alias("team_id"), F.lit("HOME").alias("home_road")]
+    stored = g.filter((m != 3) & (F.col("order_id") % 4 < 3)).select(*row(F.lit("then"), F.col("team_id")), F.when(F.col("order_id") % 13 == 0, now()).otherwise(F.lit("1990-01-01").cast("timestamp")).alias("insert_dte"), F.lit(None).cast("timestamp").alias("update_dte"))
+    incoming = g.select(*row(F.when(m.isin(1, 3), "later").when(m == 0, "then"), F.when(F.col("order_id") % 4 < 3, F.col("team_id"))))
+    return G.schedule_gold_merge(stored, incoming, run_day(), now()).table.select("game_id", "start_time", F.col("update_dte").isNotNull().alias("updated"))
+
+
+@query(
+    _PLAYS
+    + f""", e AS (SELECT *, (order_id + event_id) % 7 AS m, game_date BETWEEN DATE '{RUN}' - 2 AND DATE '{RUN}' AS inside, game_date >= DATE '{RUN}' - 2 AS late, CASE WHEN flag = 'A' THEN part ELSE supp END AS one FROM c),
+k AS (SELECT *, m <> 4 AS there, m <> 5 AND late AS given, inside AND m = 0 AS hit FROM e)
+SELECT game_id, CAST(event_id AS BIGINT) AS event_id, CASE WHEN there AND NOT hit THEN -1 ELSE one END AS player_1_id, CASE WHEN there AND NOT hit THEN 'none' ELSE p_name END AS player_1_name, hit AS updated
+FROM k LEFT JOIN part ON p_partkey = one WHERE there OR given"""
+)
+def job_event_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold of active events over two days, with their players' names."""
+    rows = J.event_rows(_play_payloads(spark, sf_dir), PLAYS_DDL).filter("event_id is not null").withColumn("event_idx", F.col("event_id"))
+    m = (F.col("game_id") % 100000000 + F.col("event_id")) % 7
+    players = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("player_id"), F.col("p_name").alias("full_name"))
+    ids = ["season", "game_id", "game_date", "event_idx", "event_id"]
+    stored = rows.filter(m != 4).select(*ids, F.when(m == 0, "other").otherwise(F.col("event_type")).alias("event_type"), F.lit(-1).cast("bigint").alias("player_1_id"), F.lit("none").alias("player_1_name")).withColumns(_stamps())
+    stored = stored.withColumn("event_type", F.coalesce("event_type", F.lit("unknown")))
+    silver = rows.withColumns({"event_type": F.coalesce("event_type", F.lit("unknown")), "active_row": m != 5} | _stamps("1990-01-01"))
+    changed = silver.withColumn("player_id", F.when(m.isin(0, 4), F.col("player_id")).otherwise(F.lit(-1)))
+    out = G.event_gold_merge(stored, changed, players, run_day(), now()).table
+    return out.select("game_id", "event_id", "player_1_id", "player_1_name", F.col("update_dte").isNotNull().alias("updated"))
+
+
+@query(
+    _SHIFTS
+    + f""", e AS (SELECT sh.*, games.game_date, (sh.game_id % 100000000 + shift_id) % 7 AS m, games.game_date BETWEEN DATE '{RUN}' - 2 AND DATE '{RUN}' AS inside, games.game_date >= DATE '{RUN}' - 2 AS late FROM sh JOIN games ON games.game_id = sh.game_id)
+SELECT game_id, team_id, shift_id, player_id, CASE WHEN m <> 4 AND NOT (inside AND m = 0) THEN '00:10' ELSE '00:00' END AS duration, inside AND m = 0 AS updated FROM e WHERE m <> 4 OR late"""
+)
+def job_shift_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold of active shifts over two days; a shift without a duration has none."""
+    dates = games(spark, sf_dir).select("game_id", "game_date")
+    rows = J.shift_rows(S.valid_payloads(_shift_payloads(spark, sf_dir)), SHIFT_DDL).join(dates, "game_id").withColumn("game_in_play", F.lit(False))
+    m = (F.col("game_id") % 100000000 + F.col("shift_id")) % 7
+    keys = ["season", "game_id", "game_date", "team_id", "player_id", "shift_id"]
+    stored = rows.filter(m != 4).select(*keys, "period", "start_time", "end_time", F.lit("00:10").alias("duration"), "shift_number", "game_in_play").withColumns(_stamps())
+    silver = rows.withColumns({"duration": F.when(~m.isin(0, 4), "00:10"), "active_row": ~m.isin(1, 2, 3, 5, 6)} | _stamps("1990-01-01"))
+    out = G.shift_gold_merge(stored, silver, run_day(), now()).table
+    return out.select("game_id", "team_id", "shift_id", "player_id", "duration", F.col("update_dte").isNotNull().alias("updated"))
+
+
+@query(
+    f"""WITH {GAMES}, r AS (SELECT DISTINCT game_id, game_date, l_suppkey AS player_id FROM games JOIN lineitem ON l_orderkey = order_id),
+k AS (SELECT *, player_id % 5 AS m, game_date BETWEEN DATE '{RUN}' - 1 AND DATE '{RUN}' OR player_id % 3 = 0 AS late FROM r)
+SELECT game_id, player_id, CASE WHEN m = 4 THEN 'New ' WHEN m = 1 AND late THEN 'New ' ELSE 'old' END AS player_name, CAST(CASE WHEN m = 2 AND late THEN NULL ELSE 1 END AS INT) AS team_id, m IN (1, 2) AND late AS updated FROM k WHERE m <> 4 OR late"""
+)
+def job_roster_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold of rosters that lie, were made or changed of late; case and blanks of names are no change."""
+    g = games(spark, sf_dir).select("season", "game_id", "game_date", "order_id")
+    r = read(spark, sf_dir, "lineitem").join(g, F.col("l_orderkey") == F.col("order_id")).select("season", "game_id", "game_date", F.col("l_suppkey").alias("player_id")).distinct()
+    m = F.col("player_id") % 5
+    stored = r.filter(m != 4).withColumns({"player_name": F.lit("old"), "team_id": F.lit(1), "player_pos": F.lit("C"), "is_active": F.lit(True)} | _stamps())
+    silver = r.withColumns({"player_name": F.when(m.isin(1, 4), "New ").otherwise(" OLD"), "team_id": F.when(m != 2, 1), "player_pos": F.lit("C"), "insert_dte": F.lit("1990-01-01").cast("timestamp"), "update_dte": F.when(F.col("player_id") % 3 == 0, now())})
+    out = G.roster_gold_merge(stored, silver, run_day(), now()).table
+    return out.select("game_id", "player_id", "player_name", "team_id", F.col("update_dte").isNotNull().alias("updated"))
+
+
+@query(
+    f"""WITH {GAMES}, e AS (SELECT game_id, l_linenumber % 2 AS team, l_partkey AS p, l_suppkey AS s, l_linenumber AS n FROM games JOIN lineitem ON l_orderkey = order_id WHERE game_date <= DATE '{RUN}' AND l_linenumber % 4 <> 3),
+r AS (SELECT game_id, team, p + i AS player_id FROM e, range(12) x(i) WHERE i NOT IN (9, 11))
+SELECT DISTINCT game_id, CAST(team AS BIGINT) AS team_id, player_id FROM r"""
+)
+def job_event_players(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Players in ten of an event's twelve roles, of events that have a team."""
+    g = games(spark, sf_dir).select("season", "game_id", "game_date", "order_id")
+    e = read(spark, sf_dir, "lineitem").join(g, F.col("l_orderkey") == F.col("order_id"))
+    kind = F.when(F.col("l_linenumber") % 4 == 3, "stoppage").otherwise("shot")
+    rows = e.select("season", "game_id", "game_date", (F.col("l_linenumber") % 2).cast("bigint").alias("event_team_id"), kind.alias("event_type"), *[(F.col("l_partkey") + i).alias(c) for i, c in enumerate(J.EVENT_ROLES)])
+    return J.event_players(rows, run_day()).select("game_id", "team_id", "player_id")
+
+
+@query("SELECT 'STRUCT<k: BIGINT>' AS schema_json, count(*) AS n_rows FROM events")
+def recent_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All payloads by the schema of ten random ones of the last half year."""
+    e = read(spark, sf_dir, "events")
+    last = F.date_add(F.lit(e.agg(F.to_date(F.max("ts"))).first()[0]), 1)
+    ddl = I.infer_recent(e, last, "ts", payload="props")
+    return S.parsed(e, ddl, "props").filter("json is not null").agg(F.lit(ddl).alias("schema_json"), F.count(F.lit(1)).alias("n_rows"))

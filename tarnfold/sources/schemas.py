@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,9 +26,9 @@ def infer_by(df: DataFrame, *keys: str, payload: str = "payload") -> DataFrame:
     return df.groupBy(*keys).agg(schema_agg(F.col(payload)).alias("schema_json"))
 
 
-def infer_rows(df: DataFrame, share: float = 0.25, payload: str = "payload") -> str:
-    """From the first ceil(share * rows) rows."""
-    return infer(df.limit(math.ceil(df.count() * share)), payload)
+def infer_rows(df: DataFrame, share: float = 0.25, seed: int = 17, payload: str = "payload") -> str:
+    """From about that share of the rows, drawn where they lie: one pass, and no task gathers them."""
+    return infer_fraction(df, share, seed, payload)
 
 
 def infer_random(df: DataFrame, n: int = 10, seed: int = 17, payload: str = "payload") -> str:
@@ -38,6 +36,12 @@ def infer_random(df: DataFrame, n: int = 10, seed: int = 17, payload: str = "pay
     return infer(df.orderBy(F.rand(seed)).limit(n), payload)
 
 
+def infer_recent(df: DataFrame, run: Column, at: str = "ingest_ts_utc", months: int = 6, n: int = 10, seed: int = 17, payload: str = "payload") -> str:
+    """From n random rows with a payload of the last months, but not of the run's own day."""
+    day = F.to_date(at)
+    return infer_random(df.filter((day >= F.add_months(run, -months)) & (day != run) & F.col(payload).isNotNull()), n, seed, payload)
+
+
 def infer_fraction(df: DataFrame, fraction: float = 0.07, seed: int = 17, payload: str = "payload") -> str:
     """From a Bernoulli sample, from all rows if that is empty."""
     some = df.sample(fraction, seed)
