@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarnfold.functions.compare import any_of
@@ -105,18 +105,29 @@ def merge(
 
     scope limits updates and deletes to part of the target: only that part is joined, the rest goes
     through without a shuffle beside the look-up of source keys, and a source row whose key lies in
-    the rest is not inserted again. Two source rows for one key are an error. Nulls in keys match
-    nothing. The result has the target's columns and types.
+    the rest is not inserted again. A source row whose key is null in part, or another row's as
+    well, fails the query; rows of the target with such keys stay as they are. The check is a count
+    in the partitions and order that the join needs anyway, so the source is read once. The result
+    has the target's columns and types.
     """
+    whole = F.lit(True)
+    for k in keys:
+        whole = whole & F.col(k).isNotNull()
+    given_columns = source.columns
+    given_row = F.struct(*given_columns)
     if check_source:
-        assert_keys(source, keys)
+        at = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
+        checked = F.when((F.col("_n") == 1) & whole, given_row).otherwise(F.raise_error(F.concat(F.lit("merge source: null or repeated key "), at)))
+        source = source.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys))).select(*keys, checked.alias("_src"))
+    else:
+        source = source.select(*keys, given_row.alias("_src"))
     columns, untouched = target.columns, None
     inside = target
     if scope is not None:
         hit = F.coalesce(scope(F.col), F.lit(False))
         inside, untouched = target.filter(hit), target.filter(~hit)
         source = source.join(untouched.select(*keys), list(keys), "left_anti")
-    joined = inside.select(*keys, F.struct(*columns).alias("_old")).join(source.select(*keys, F.struct(*source.columns).alias("_src")), list(keys), "full_outer")
+    joined = inside.select(*keys, F.struct(*columns).alias("_old")).join(source, list(keys), "full_outer")
 
     t, s = (lambda c: F.col(f"_old.{c}")), (lambda c: F.col(f"_src.{c}"))
     types = {f.name: f.dataType for f in target.schema}
@@ -129,7 +140,7 @@ def merge(
         if isinstance(clause, Delete):
             state = F.lit(None).cast(joined.schema["_old"].dataType)
         elif isinstance(clause, Insert):
-            own = {c: clause.values[c](t, s) if c in clause.values else s(c) if c in source.columns else F.lit(None) for c in columns}
+            own = {c: clause.values[c](t, s) if c in clause.values else s(c) if c in given_columns else F.lit(None) for c in columns}
             state = F.struct(*[own[c].cast(types[c]).alias(c) for c in columns])
         else:
             state = F.struct(*[(clause.set[c](t, s) if c in clause.set else t(c)).cast(types[c]).alias(c) for c in columns])

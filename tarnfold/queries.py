@@ -1226,7 +1226,7 @@ def job_shift_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""WITH {GAMES}, r AS (SELECT DISTINCT game_id, game_date, l_suppkey AS player_id FROM games JOIN lineitem ON l_orderkey = order_id),
 k AS (SELECT *, player_id % 5 AS m, game_date BETWEEN DATE '{RUN}' - 1 AND DATE '{RUN}' OR player_id % 3 = 0 AS late FROM r)
-SELECT game_id, player_id, CASE WHEN m = 4 THEN 'New ' WHEN m = 1 AND late THEN 'New ' ELSE 'old' END AS player_name, CAST(CASE WHEN m = 2 AND late THEN NULL ELSE 1 END AS INT) AS team_id, m IN (1, 2) AND late AS updated FROM k WHERE m <> 4 OR late"""
+SELECT game_id, player_id, CASE WHEN m = 4 OR (m = 1 AND late) THEN 'New ' WHEN m = 2 AND late THEN ' OLD' ELSE 'old' END AS player_name, CAST(CASE WHEN m = 2 AND late THEN NULL ELSE 1 END AS INT) AS team_id, m IN (1, 2) AND late AS updated FROM k WHERE m <> 4 OR late"""
 )
 def job_roster_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold of rosters that lie, were made or changed of late; case and blanks of names are no change."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,7 +27,12 @@ class Table:
 
 @dataclass
 class Registry:
-    """Tables under one root folder. Each write is a new snapshot; readers take the latest whole one."""
+    """Tables under one root folder. Each whole write is a new snapshot; readers take the latest whole one.
+
+    A merge into a partitioned table rewrites, in the latest snapshot, the partitions that it
+    touches and no others. Spark moves them in place when all are written; if it dies in between,
+    the change feed, which is written before, has both images of each row.
+    """
 
     spark: SparkSession
     root: str
@@ -37,7 +42,7 @@ class Registry:
         """Registers a table, and writes an empty first snapshot if there is none."""
         self.tables[table.name] = table
         if not self.exists(table.name):
-            self._write(table, self.spark.createDataFrame([], table.schema), 0)
+            self._write(table, self.spark.createDataFrame([], table.schema), "v0")
 
     def _fs(self, path: str):
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -47,13 +52,17 @@ class Registry:
         t = self.tables[name]
         return f"{self.root}/{t.layer}/{t.name}"
 
-    def versions(self, name: str) -> list[int]:
+    def _snapshots(self, name: str) -> dict[int, str]:
+        """Version to folder of the whole snapshots. A folder is named v3, or v3-batch if a batch wrote it."""
         fs, p = self._fs(self.path(name))
         if not fs.exists(p):
-            return []
+            return {}
         found = [s.getPath() for s in fs.listStatus(p)]
-        done = [q for q in found if fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(q, "_SUCCESS"))]
-        return sorted(int(q.getName()[1:]) for q in done if q.getName()[1:].isdigit())
+        done = [q.getName() for q in found if fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(q, "_SUCCESS"))]
+        return {int(n[1:].partition("-")[0]): n for n in done if n.startswith("v")}
+
+    def versions(self, name: str) -> list[int]:
+        return sorted(self._snapshots(name))
 
     def exists(self, name: str) -> bool:
         return name in self.tables and bool(self.versions(name))
@@ -61,46 +70,116 @@ class Registry:
     def having_column(self, column: str, *layers: str) -> list[str]:
         return sorted(t.name for t in self.tables.values() if t.layer in layers and column in t.schema.fieldNames())
 
+    def _latest(self, name: str) -> str:
+        snapshots = self._snapshots(name)
+        return f"{self.path(name)}/{snapshots[max(snapshots)]}"
+
     def read(self, name: str) -> DataFrame:
         schema = self.tables[name].schema
         # partition columns come last from the files
-        return self.spark.read.schema(schema).parquet(f"{self.path(name)}/v{self.versions(name)[-1]}").select(schema.fieldNames())
+        return self.spark.read.schema(schema).parquet(self._latest(name)).select(schema.fieldNames())
 
-    def overwrite(self, name: str, df: DataFrame) -> None:
+    def overwrite(self, name: str, df: DataFrame, batch: str | None = None) -> None:
         """A new snapshot with the declared types and order. Null checks are made here: parquet makes none."""
-        table = self.tables[name]
-        df = df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema])
-        must = [f.name for f in table.schema if not f.nullable]
-        if must:
-            whole = F.lit(True)
-            for c in must:
-                whole = whole & F.col(c).isNotNull()
-            check = F.when(~whole, F.raise_error(F.lit(f"null in a required column of {name}: {must}"))).otherwise(F.col(must[0]))
-            df = df.withColumn(must[0], check.cast(table.schema[must[0]].dataType))
-        self._write(table, df, (self.versions(name) or [-1])[-1] + 1)
-
-    def commit(self, name: str, merged: Merged) -> dict[tuple[str, str], int]:
-        """A merge's result as the next snapshot, its change feed beside it, and its counts by change and clause.
-
-        The feed is written first: a snapshot without its feed never shows.
+        version = max(self.versions(name), default=-1) + 1
+        self._write(self.tables[name], _declared(self.tables[name], df), f"v{version}" + (f"-{batch}" if batch else ""))
+
+    def committed(self, name: str, batch: str) -> bool:
+        """Whether a batch has been written, by the snapshots' names or, of a partitioned table, its mark."""
+        fs, mark = self._fs(f"{self.path(name)}_batches/{batch}")
+        return any(n.endswith(f"-{batch}") for n in self._snapshots(name).values()) or fs.exists(mark)
+
+    def commit(self, name: str, merged: Merged, batch: str | None = None) -> dict[tuple[str, str], int]:
+        """A merge's result into the table, its change feed beside it, and its counts by change and clause.
+
+        The feed is written first: rows without their feed never show. A batch that is committed
+        already changes nothing. A snapshot carries its batch in its name, so it is exactly once; a
+        partitioned table is marked after its partitions are in place, so a crash right between the
+        two merges the batch again.
         """
-        merged = merged.stored()
-        version = (self.versions(name) or [-1])[-1] + 1
+        if batch is not None and self.committed(name, batch):
+            return {}
+        table, merged = self.tables[name], merged.stored()
         try:
-            merged.changes.write.mode("overwrite").parquet(f"{self.path(name)}_changes/v{version}")
+            merged.changes.write.mode("overwrite").parquet(f"{self.path(name)}_changes/v{self._next_feed(name)}")
             counts = {(r["change"], r["logic_block"]): r["n_rows"] for r in merged.metrics.collect()}  # a row a clause
-            self.overwrite(name, merged.table)
+            if table.partition_by:
+                self._rewrite(table, merged)
+                if batch is not None:
+                    fs, mark = self._fs(f"{self.path(name)}_batches/{batch}")
+                    fs.mkdirs(mark)
+            else:
+                self.overwrite(name, merged.table, batch)
         finally:
             merged.rows.unpersist()
         return counts
 
+    def _next_feed(self, name: str) -> int:
+        return max([*self.versions(name), *self.feeds(name)], default=-1) + 1
+
+    def feeds(self, name: str) -> list[int]:
+        fs, p = self._fs(f"{self.path(name)}_changes")
+        return sorted(int(s.getPath().getName()[1:]) for s in fs.listStatus(p)) if fs.exists(p) else []
+
     def changes(self, name: str, version: int) -> DataFrame:
-        """The change feed that led to a snapshot."""
+        """The change feed of a commit, by its number."""
         return self.spark.read.parquet(f"{self.path(name)}_changes/v{version}")
 
-    def _write(self, table: Table, df: DataFrame, version: int) -> None:
-        df = laid_out(df, table.cluster_by)
-        df.write.mode("overwrite").partitionBy(*table.partition_by).parquet(f"{self.path(table.name)}/v{version}")
+    def clear(self, name: str, keep: int = 2) -> list[int]:
+        """Removes all but the last snapshots. Keep more than may be written between a batch and its repeat."""
+        snapshots = self._snapshots(name)
+        gone = sorted(snapshots)[: -max(keep, 1)]
+        for v in gone:
+            fs, p = self._fs(f"{self.path(name)}/{snapshots[v]}")
+            fs.delete(p, True)
+        return gone
+
+    def _rewrite(self, table: Table, merged: Merged) -> None:
+        """Replaces the partitions that changed rows come from or go to; those left without rows are removed."""
+        by, path = list(table.partition_by), self._latest(table.name)
+        sides = F.explode(F.array_compact(F.array(*[F.when(F.col(side).isNotNull(), F.struct(*[F.col(f"{side}.{c}").alias(c) for c in by])) for side in ("_old", "_new")])))
+        touched = [r.asDict() for r in merged.rows.filter("_tag is not null").select(sides.alias("_p")).select("_p.*").distinct().collect()]  # partitions, not rows
+        if not touched:
+            return
+        here = F.lit(False)
+        for p in touched:
+            here = here | _same(p, by)
+        rows = _declared(table, merged.table).filter(here)
+        left = {tuple(r) for r in rows.select(*by).distinct().collect()}
+        laid_out(rows, table.cluster_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+        empty = [p for p in touched if tuple(p[c] for c in by) not in left]
+        if not empty:
+            return
+        gone = F.lit(False)
+        for p in empty:
+            gone = gone | _same(p, by)
+        stored = self.spark.read.schema(table.schema).parquet(path).filter(gone)
+        for r in stored.select("_metadata.file_path").distinct().collect():  # files of partitions without rows
+            file = self.spark._jvm.org.apache.hadoop.fs.Path(self.spark._jvm.java.net.URI(r[0]))
+            file.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(file, False)
+
+    def _write(self, table: Table, df: DataFrame, folder: str) -> None:
+        laid_out(df, table.cluster_by).write.mode("overwrite").partitionBy(*table.partition_by).parquet(f"{self.path(table.name)}/{folder}")
+
+
+def _same(partition: dict, by: list[str]) -> Column:
+    out = F.lit(True)
+    for c in by:
+        out = out & F.col(c).eqNullSafe(F.lit(partition[c]))
+    return out
+
+
+def _declared(table: Table, df: DataFrame) -> DataFrame:
+    """The declared columns, types and order; a null in a required one fails the write."""
+    df = df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema])
+    must = [f.name for f in table.schema if not f.nullable]
+    if not must:
+        return df
+    whole = F.lit(True)
+    for c in must:
+        whole = whole & F.col(c).isNotNull()
+    check = F.when(~whole, F.raise_error(F.lit(f"null in a required column of {table.name}: {must}"))).otherwise(F.col(must[0]))
+    return df.withColumn(must[0], check.cast(table.schema[must[0]].dataType))
 
 
 def laid_out(df: DataFrame, cluster_by: tuple[str, ...]) -> DataFrame:

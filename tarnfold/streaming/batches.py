@@ -1,7 +1,8 @@
-"""The batch merge over a stream: each micro-batch is merged into the latest snapshot."""
+"""The batch merge over a stream: each micro-batch is merged into the table, once."""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
@@ -13,13 +14,17 @@ from tarnfold.sources.tables import Registry
 
 
 def merge_stream(stream: DataFrame, registry: Registry, name: str, keys: Sequence[str], by: str, job: Callable[[DataFrame, DataFrame], Merged], checkpoint: str, once: bool = True) -> StreamingQuery:
-    """Merges the latest row of each key of every micro-batch. A batch that comes again changes nothing more.
+    """Merges the latest row of each key of every micro-batch, with its change feed.
 
-    The merge sets rows to what the source says, so replaying a batch after a failure is harmless.
+    A commit is keyed by the checkpoint's name and the batch's number, so a batch that comes again
+    after a failure changes nothing, be its merge one that sets rows or one that counts.
     """
+    stream_id = hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
 
-    def one(batch: DataFrame, _: int) -> None:
-        registry.overwrite(name, job(registry.read(name), latest(batch, keys, by)).table)
+    def one(batch: DataFrame, n: int) -> None:
+        key = f"{stream_id}-{n}"
+        if not registry.committed(name, key):
+            registry.commit(name, job(registry.read(name), latest(batch, keys, by)), key)
 
     writer = stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()

@@ -71,8 +71,8 @@ def test_merge_key_outside_scope_is_not_inserted_again(spark):
 def test_merge_refuses_repeated_and_null_source_keys(spark):
     target = table(spark, "k int, v int", (1, 1))
     for bad in (((1, 1), (1, 2)), ((None, 1),)):
-        with pytest.raises(ValueError):
-            M.merge(target, table(spark, "k int, v int", *bad), ["k"])
+        with pytest.raises(Exception, match="null or repeated key"):
+            M.merge(target, table(spark, "k int, v int", *bad), ["k"], not_matched=[M.Insert()]).table.collect()
 
 
 def test_merge_with_empty_sides(spark):
@@ -182,7 +182,7 @@ def test_commit_writes_snapshot_feed_and_counts(spark, tmp_path):
     merged = M.merge(registry.read("g"), table(spark, "k int, v string", (1, "x"), (3, "c")), ["k"], [M.Update({"v": lambda t, s: s("v")})], [M.Insert()], [M.Delete()])
     assert registry.commit("g", merged) == {("updated", "update"): 1, ("inserted", "insert"): 1, ("deleted", "delete"): 1}
     assert as_set(registry.read("g")) == {(1, "x"), (3, "c")}
-    feed = {(r._change_type, r.k, r.v) for r in registry.changes("g", registry.versions("g")[-1]).collect()}
+    feed = {(r._change_type, r.k, r.v) for r in registry.changes("g", registry.feeds("g")[-1]).collect()}
     assert feed == {("update_preimage", 1, "a"), ("update_postimage", 1, "x"), ("insert", 3, "c"), ("delete", 2, "b")}
 
 
@@ -196,3 +196,65 @@ def test_stream_merges_and_replays_change_nothing(spark, tmp_path):
         spark.createDataFrame(part, schema).write.mode("append").parquet(landing)
         merge_stream(spark.readStream.schema(schema).parquet(landing), registry, "s", ["k"], "at", job, str(tmp_path / checkpoint)).awaitTermination()
     assert as_set(registry.read("s")) == {(1, "b", 2), (2, "x", 1), (3, "z", 1)}
+
+
+def test_merge_rewrites_touched_partitions_only(spark, tmp_path):
+    schema = T.StructType([T.StructField("d", T.IntegerType()), T.StructField("k", T.IntegerType(), False), T.StructField("v", T.StringType())])
+    registry = Registry(spark, str(tmp_path))
+    registry.declare(Table("gold", "days", schema, ("k",), ("k",), ("d",)))
+    registry.overwrite("days", table(spark, "d int, k int, v string", (1, 1, "a"), (2, 2, "b"), (2, 5, "e"), (3, 3, "c"), (None, 4, "d"), (None, 6, "f")))
+    files = lambda: {f.rpartition("/days/")[2] for f in registry.read("days").inputFiles()}
+    before = files()
+    source = table(spark, "d int, k int, v string", (2, 2, "x"), (4, 9, "new"), (None, 4, "y"))
+    gone = M.Delete(lambda t, s: t("k") == 3)
+    merged = M.merge(registry.read("days"), source, ["k"], [M.Update({"v": lambda t, s: s("v")})], [M.Insert()], [gone], scope=lambda t: t("k") < 5)
+    assert registry.commit("days", merged, "b1") == {("updated", "update"): 2, ("inserted", "insert"): 1, ("deleted", "delete"): 1}
+    expected = {(1, 1, "a"), (2, 2, "x"), (2, 5, "e"), (None, 4, "y"), (None, 6, "f"), (4, 9, "new")}
+    assert as_set(registry.read("days")) == expected
+    after = files()
+    assert {f for f in before if "/d=1/" in f} == {f for f in after if "/d=1/" in f} and not any("/d=3/" in f for f in after)
+    assert not {f for f in before if "/d=2/" in f} & after
+    assert registry.commit("days", merged, "b1") == {} and as_set(registry.read("days")) == expected
+
+
+def test_a_batch_is_counted_once_and_old_snapshots_are_cleared(spark, tmp_path):
+    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("n", T.IntegerType())])
+    registry = Registry(spark, str(tmp_path))
+    registry.declare(Table("ops", "ledger", schema, ("k",)))
+    count = lambda: M.merge(registry.read("ledger"), table(spark, "k int", (1,)), ["k"], [M.Update({"n": lambda t, s: t("n") + 1})], [M.Insert({"n": lambda t, s: F.lit(1)})])
+    for batch in ("s-0", "s-1", "s-1", "s-11", "s-1"):
+        registry.commit("ledger", count(), batch)
+    assert as_set(registry.read("ledger")) == {(1, 3)} and registry.versions("ledger") == [0, 1, 2, 3]
+    assert registry.clear("ledger", 2) == [0, 1] and as_set(registry.read("ledger")) == {(1, 3)}
+    assert registry.changes("ledger", 3).count() == 2
+
+
+def test_merge_reads_its_source_once(spark):
+    target, source = table(spark, "k int, v int", (1, 1)), table(spark, "k int, v int", (1, 2), (2, 2))
+    with_join = M.merge(target, source.hint("merge"), ["k"], [M.Update({"v": lambda t, s: s("v")})], [M.Insert()]).table
+    plan = with_join._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2  # one a side: the check of keys has none of its own
+    assert as_set(with_join) == {(1, 2), (2, 2)}
+
+
+@pytest.mark.parametrize("block", [5, 7, 1000])
+def test_request_health_in_blocks(spark, block):
+    import random
+
+    rnd = random.Random(block)
+    rows = [(rnd.choice("ab"), str(i), rnd.choice([200, 200, 429, 500, None]), dt.datetime(2024, 1, 1) + dt.timedelta(minutes=rnd.randrange(400)) if i else None) for i in range(120)]
+    df = table(spark, "endpoint string, request_key string, http_status int, ingest_ts_utc timestamp", *rows)
+    got = {r.request_key: (r.seen, round(r.rate_429, 6)) for r in E.request_health(df, last=5, block=block).collect()}
+    expected = {}
+    for endpoint in "ab":
+        mine = sorted((r for r in rows if r[0] == endpoint), key=lambda r: (r[3] or dt.datetime.min, r[1]))
+        for i, r in enumerate(mine):
+            window = mine[max(0, i - 4) : i + 1]
+            expected[r[1]] = (len(window), round(sum(x[2] == 429 for x in window) / len(window), 6))
+    assert got == expected
+
+
+def test_schema_of_recent_random_rows(spark):
+    day = lambda d: dt.datetime.fromisoformat(d)
+    df = table(spark, "payload string, ingest_ts_utc timestamp", ('{"a":1}', day("2024-05-01")), ('{"b":1}', day("2024-06-30")), ('{"c":1}', day("2023-01-01")), (None, day("2024-06-01")))
+    assert I.infer_recent(df, F.lit("2024-06-30").cast("date")) == "STRUCT<a: BIGINT>"
