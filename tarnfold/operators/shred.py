@@ -88,6 +88,15 @@ def joined_lists(df: DataFrame, keep: Sequence[str], *lists: str) -> DataFrame:
     return df.select(*keep, F.explode(whole).alias("_e")).select(*keep, "_e.*")
 
 
+def targets(rules: Mapping[str, Rule]) -> dict[str, str]:
+    """Name and type of each column that the rules make."""
+    out = {}
+    for source, rule in rules.items():
+        rule = {"type": rule} if isinstance(rule, str) else rule
+        out[str(rule.get("target", snake_case(source.rpartition(".")[2])))] = str(rule["type"])
+    return out
+
+
 def build_fields(df: DataFrame, rules: Mapping[str, Rule]) -> list[Column]:
     """Typed target columns. A source field that is missing is a typed null.
 
@@ -95,9 +104,8 @@ def build_fields(df: DataFrame, rules: Mapping[str, Rule]) -> list[Column]:
     lower, upper, trim, then the cast, which gives null for what doesn't fit.
     """
     out = []
-    for source, rule in rules.items():
-        rule = {"type": rule} if isinstance(rule, str) else rule
-        kind, target = str(rule["type"]), str(rule.get("target", snake_case(source.rpartition(".")[2])))
+    for (source, rule), (target, kind) in zip(rules.items(), targets(rules).items(), strict=True):
+        rule = {} if isinstance(rule, str) else rule
         if not _there(df.schema, source):
             out.append(F.lit(None).cast(kind).alias(target))
             continue

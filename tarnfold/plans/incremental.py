@@ -51,6 +51,11 @@ def next_batch(work: DataFrame, n: int) -> DataFrame:
     return top(work.groupBy("game_id", "game_date").agg(F.min("bucket").alias("bucket")), n, F.col("game_date"), F.col("game_id"))
 
 
+def payloads_of(work: DataFrame, responses: DataFrame, key: str = "game_id") -> DataFrame:
+    """The responses of a work list's keys, each once however many reasons the list has for it."""
+    return responses.join(work.select(key).distinct(), key)
+
+
 def is_final(batch: DataFrame, n: int) -> DataFrame:
     """One row: whether the batch is short and nothing of it is a cold start."""
     return batch.agg(((F.count(F.lit(1)) < n) & ~F.coalesce(F.bool_or(F.col("bucket") == "cold start"), F.lit(False))).alias("final"))

@@ -522,6 +522,14 @@ def plan_next_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.next_batch(P.work_list(*_planning(spark, sf_dir), run_day(), now(), 15, 19961997), 500)
 
 
+@query(_PLAN + " SELECT game_id, CAST(game_id % 100 AS BIGINT) AS body FROM (SELECT DISTINCT game_id FROM w) WHERE game_id % 3 <> 0")
+def plan_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1: responses to the games of the work list."""
+    responses = games(spark, sf_dir).filter("game_id % 3 <> 0").select("game_id", F.to_json(F.struct((F.col("game_id") % 100).alias("body"))).alias("payload"))
+    found = P.payloads_of(P.work_list(*_planning(spark, sf_dir), run_day(), now(), 15, 19961997), responses)
+    return found.select("game_id", F.get_json_object("payload", "$.body").cast("long").alias("body"))
+
+
 @query(_PLAN + ", b AS (SELECT game_id, min(bucket) AS bucket FROM w GROUP BY ALL) SELECT count(*) < 500 AND NOT coalesce(bool_or(bucket = 'cold start'), false) AS final FROM b")
 def plan_finality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether this batch is the last."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarnfold.operators.merge import Merged
+from tarnfold.operators.shred import Rule, targets
 
 AUDIT = [T.StructField("insert_dte", T.TimestampType()), T.StructField("update_dte", T.TimestampType()), T.StructField("py_source", T.StringType())]
 
@@ -25,6 +27,16 @@ class Table:
     partition_by: tuple[str, ...] = ()
 
 
+def table_of(layer: str, name: str, rules: Mapping[str, Rule], key: Sequence[str], more: str = "", cluster_by: Sequence[str] = (), partition_by: Sequence[str] = ()) -> Table:
+    """A table declared by the rules that shred its payloads: their columns, `more` as DDL, and the audit columns. Its key is required."""
+    fields = [T.StructField(n, T.DataType.fromDDL(kind)) for n, kind in targets(rules).items()]
+    fields += [f for f in (T.StructType.fromDDL(more) if more else T.StructType()) if f.name not in {g.name for g in fields}]
+    lacking = [k for k in (*key, *cluster_by, *partition_by) if k not in {f.name for f in fields}]
+    if lacking:
+        raise ValueError(f"{name}: no column {lacking}")
+    return Table(layer, name, T.StructType([T.StructField(f.name, f.dataType, f.name not in key) for f in fields] + AUDIT), tuple(key), tuple(cluster_by), tuple(partition_by))
+
+
 @dataclass
 class Registry:
     """Tables under one root folder. Each whole write is a new snapshot; readers take the latest whole one.

@@ -16,7 +16,7 @@ from tarnfold.operators import shred as S
 from tarnfold.plans import jobs as J
 from tarnfold.sources import envelope as E
 from tarnfold.sources import schemas as I
-from tarnfold.sources.tables import Registry, Table
+from tarnfold.sources.tables import Registry, Table, table_of
 from tarnfold.streaming.batches import merge_stream
 
 
@@ -101,6 +101,29 @@ def test_found_and_empty_are_complements(spark):
     assert found.count() == 1 and empty.count() == len(bodies) - 1
 
 
+def test_landed_responses_are_read_and_streamed(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text('{"endpoint":"e","request_key":"1","http_status":200,"payload":"[{\\"a\\":1}]"}\n{"endpoint":"e","request_key":"2","http_status":404,"payload":"{}"}\n')
+    expected = {("1", '{"data":[{"a":1}]}'), ("2", None)}
+    assert as_set(E.read_landed(spark, str(tmp_path / "in")).select("request_key", "payload")) == expected
+    stream = E.stream_landed(spark, str(tmp_path / "in")).select("request_key", "payload")
+    stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    assert as_set(spark.read.parquet(str(tmp_path / "out"))) == expected
+
+
+def test_table_declared_by_its_rules(spark, tmp_path):
+    shifts = table_of("silver", "shifts", J.SHIFT_RULES, ("game_id", "shift_id"), "season int, start_seconds int, end_seconds int", ("game_id",), ("season",))
+    assert shifts.schema["shift_number"].dataType == T.IntegerType() and not shifts.schema["shift_id"].nullable and shifts.schema["py_source"].nullable
+    payload = '{"data":[{"id":7,"gameId":2023020001,"teamId":1,"teamAbbrev":" abc","playerId":9,"period":1,"startTime":"00:10","endTime":"00:40","shiftNumber":2}]}'
+    rows = J.shift_rows(table(spark, "payload string", (payload,)), "struct<data: array<struct<id: bigint, gameId: bigint, teamId: bigint, teamAbbrev: string, playerId: bigint, period: int, startTime: string, endTime: string, shiftNumber: int>>>")
+    registry = Registry(spark, str(tmp_path))
+    registry.declare(shifts)
+    registry.overwrite("shifts", M.stamped(rows, F.current_timestamp(), "test"))
+    assert [(r.shift_id, r.team_abbrev, r.season, r.start_seconds, r.py_source) for r in registry.read("shifts").collect()] == [(7, "ABC", 20232024, 10, "test")]
+    with pytest.raises(ValueError, match="no column"):
+        table_of("silver", "events", J.EVENT_RULES, ("game_id", "event_idx"))
+
+
 def test_list_payload_is_wrapped(spark):
     df = E.as_envelope(table(spark, "http_status int, payload string", (200, " [1]"), (500, "[1]"), (200, '{"a":1}')))
     assert [r.payload for r in df.collect()] == ['{"data": [1]}', None, '{"a":1}']
