@@ -51,7 +51,9 @@ class Registry:
     tables: dict[str, Table] = field(default_factory=dict)
 
     def declare(self, table: Table) -> None:
-        """Registers a table, and writes an empty first snapshot if there is none."""
+        """Registers a table, and writes an empty first snapshot if there is none. Names are unique over all layers."""
+        if self.tables.get(table.name, table).layer != table.layer:
+            raise ValueError(f"{table.name} is a table of {self.tables[table.name].layer}")
         self.tables[table.name] = table
         if not self.exists(table.name):
             self._write(table, self.spark.createDataFrame([], table.schema), "v0")

@@ -14,6 +14,7 @@ from tarnfold.operators import merge as M
 from tarnfold.operators import rows as R
 from tarnfold.operators import shred as S
 from tarnfold.plans import jobs as J
+from tarnfold.plans.catalog import declare_all, tables
 from tarnfold.sources import envelope as E
 from tarnfold.sources import schemas as I
 from tarnfold.sources.tables import Registry, Table, table_of
@@ -281,3 +282,34 @@ def test_schema_of_recent_random_rows(spark):
     day = lambda d: dt.datetime.fromisoformat(d)
     df = table(spark, "payload string, ingest_ts_utc timestamp", ('{"a":1}', day("2024-05-01")), ('{"b":1}', day("2024-06-30")), ('{"c":1}', day("2023-01-01")), (None, day("2024-06-01")))
     assert I.infer_recent(df, F.lit("2024-06-30").cast("date")) == "STRUCT<a: BIGINT>"
+
+
+def test_two_day_merge_rewrites_two_days(spark, tmp_path):
+    events = next(t for t in tables() if t.name == "events")
+    registry = Registry(spark, str(tmp_path))
+    registry.declare(events)
+    payload = lambda *ids: '{"plays":[' + ",".join(f'{{"eventId":{i},"sortOrder":{i},"typeDescKey":"Goal","timeInPeriod":"00:0{i}","periodDescriptor":{{"number":1}}}}' for i in ids) + "]}"
+    ddl = "struct<plays: array<struct<eventId: bigint, sortOrder: int, typeDescKey: string, timeInPeriod: string, periodDescriptor: struct<number: int>>>>"
+    run = F.lit("2024-01-10").cast("date")
+
+    def source(*days):
+        rows = [(20232024, 2023020000 + d, dt.date(2024, 1, d), payload(*ids)) for d, ids in days]
+        return J.timed_events(J.event_rows(table(spark, "season int, game_id bigint, game_date date, payload string", *rows), ddl))
+
+    first = source((1, (1, 2)), (9, (1, 2)), (10, (1,))).withColumns({"active_row": F.lit(True), "logic_block": F.lit("insert"), "failed_condition": F.lit(None).cast("string")})
+    registry.overwrite("events", M.stamped(first, F.current_timestamp(), "test"))
+    before = set(registry.read("events").inputFiles())
+    merged = J.event_merge(registry.read("events"), source((9, (1,)), (10, (1, 3))), run, F.current_timestamp(), ["event_type", "event_id"])
+    assert registry.commit("events", merged) == {("inserted", "insert"): 1, ("updated", "no match update two"): 1}
+    after = set(registry.read("events").inputFiles())
+    day = lambda files, d: {f for f in files if f"game_date=2024-01-{d}/" in f}
+    assert day(before, "01") == day(after, "01") and not day(before, "09") & day(after, "09") and not day(before, "10") & day(after, "10")
+    assert {(r.game_date.day, r.event_id, r.active_row) for r in registry.read("events").collect()} == {(1, 1, True), (1, 2, True), (9, 1, True), (9, 2, False), (10, 1, True), (10, 3, True)}
+
+
+def test_all_tables_are_declared(spark, tmp_path):
+    registry = Registry(spark, str(tmp_path))
+    declare_all(registry)
+    assert all(registry.exists(t.name) for t in tables()) and "gold_shifts" in registry.having_column("shift_id", "gold")
+    with pytest.raises(ValueError, match="is a table of"):
+        registry.declare(Table("gold", "events", tables()[0].schema, ()))
