@@ -23,6 +23,9 @@ COLUMNS = {
     "op8_": ["doc_id:bigint", "held_out:boolean", "n_tokens:bigint", "n_known:bigint", "train_tokens:bigint", "base_score:double", "score:double"],
     "op9_": ["doc_id:bigint", "n_shingles:bigint", "component_id:bigint", "kept:boolean"],
     "op10_": ["doc_id:bigint", "start:bigint", "length:bigint", "ids_crc32:bigint", "doc_tokens:bigint", "sequence_id:bigint", "offset:bigint"],
+    "op11_": ["vec_id:bigint", "component:int", "n:bigint", "deviation:bigint", "whitened:double", "explained:double", "identity_error:double"],
+    "op12_": ["doc_id:bigint", "size:bigint", "source_size:bigint", "target:double", "taken:bigint"],
+    "op13_": ["doc_id:bigint", "leaf:string", "subroot:string", "root:string", "proof_sha256:string", "folded_root:string", "verified:boolean"],
 }
 
 
