@@ -27,6 +27,11 @@ UNLIKELY = frozenset(
     breadcrumb breadcrumbs header masthead footer comment comments disqus replies cookie cookies consent notice popup modal overlay newsletter subscribe
     signup login share sharing social related recommended widget toolbar pagination pager skip""".split()
 )
+#: Those of them that an article may use for parts of its own: within one they only lower the score.
+LOWERING = frozenset("header masthead menu sharing share social related recommended widget skip".split())
+#: What such a name costs; a plain paragraph has a point, one for each comma, and up to three for its length.
+COST = 3
+FOREIGN = frozenset(["svg", "math"])
 BESIDE_UNLIKELY = frozenset(
     """bar box list item items wrap wrapper container block section area panel slot unit left right top bottom main site page global primary secondary
     inner outer link links post posts article articles story stories button buttons icon icons row col column content contents text title group form
@@ -45,17 +50,27 @@ SPACE = re.compile(r"\s+")
 
 
 @lru_cache(4096)
-def _unlikely(name: str) -> bool:
-    """Whether all words of a name are about layout, and one of them about what is no article: cookie-notice, but not notice-period."""
+def _unlikely(name: str) -> int:
+    """0, unless all words of a name are about layout, and one of them about what is no article: cookie-notice, but not notice-period.
+
+    1 if an article may use such a name for a part of its own, else 2.
+    """
     words = [w.lower() for w in WORD_IN_NAME.findall(name)]
-    return any(w in UNLIKELY for w in words) and all(w in UNLIKELY or w in BESIDE_UNLIKELY for w in words)
+    bad = [w for w in words if w in UNLIKELY]
+    if not bad or any(w not in UNLIKELY and w not in BESIDE_UNLIKELY for w in words):
+        return 0
+    return 1 if all(w in LOWERING for w in bad) else 2
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "skip", "score", "text", "links")
+    __slots__ = ("tag", "parent", "parts", "skip", "lowered", "inside", "foreign", "score", "text", "links")
 
     def __init__(self, tag: str, parent: Node | None, skip: bool = False):
         self.tag, self.parent, self.skip = tag, parent, skip
+        self.lowered = False
+        #: within an article or main; within drawings or formulas, where a tag may close itself
+        self.inside = tag in ("article", "main") or (parent is not None and parent.inside)
+        self.foreign = tag in FOREIGN or (parent is not None and parent.foreign)
         self.parts: list[Node | str] = []
         self.score = 0.0
         self.text = self.links = 0
@@ -105,18 +120,16 @@ def parse(source: str) -> Node:
             close(("tr",), ("table",))
         attributes = {g[1].lower(): g[2] or g[3] or g[4] or "" for g in ATTRIBUTE.finditer(m[3]) if g[1]} if m[3] else {}
         named = " ".join(attributes[x] for x in ("class", "id", "role") if attributes.get(x))
-        skip = node.skip or tag in NEVER or (bool(named) and tag not in ("html", "body", "article", "main") and any(map(_unlikely, named.split()))) or "hidden" in attributes or bool(UNSEEN.search(attributes.get("style", "")))
-        if tag == "header" and not skip:
-            up = node
-            while up is not None and up.tag not in ("article", "main"):
-                up = up.parent
-            skip = up is None
-        child = Node(tag, node, skip)
+        child = Node(tag, node)
+        named_so = max(map(_unlikely, named.split()), default=0) if named and tag not in ("html", "body", "article", "main") else 0
+        child.lowered = named_so == 1 and child.inside
+        skip = node.skip or tag in NEVER or (named_so > 0 and not child.lowered) or "hidden" in attributes or bool(UNSEEN.search(attributes.get("style", "")))
+        child.skip = skip or (tag == "header" and not child.inside)
         node.parts.append(child)
-        if tag in VOID or m[3].endswith("/"):
+        if tag in VOID or (child.foreign and m[3].endswith("/")):
             continue
-        if tag in RAW:
-            stop = re.compile(rf"</{tag}\s*>", re.I).search(source, at)
+        if tag in RAW and not child.foreign:
+            stop = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(source, at)
             at = stop.end() if stop else end
             continue
         node = child
@@ -159,6 +172,23 @@ def _skip_forms(root: Node) -> None:
         form.skip = not inside and 2 * form.text <= root.text
 
 
+def _points(n: Node) -> float:
+    """What a paragraph counts by its own text: nothing if that is mostly links."""
+    text = _flow(n).strip() if n.tag in PARAGRAPH else ""
+    return 1 + text.count(",") + min(len(text) / 100, 3) if text and _density(n) <= 0.5 else 0.0
+
+
+def _skip_lowered(root: Node) -> None:
+    """Leaves out boxes inside an article whose names lower them below nothing: buttons to share, but not a section on social policy."""
+    for box in [n for n in _measure(root) if n.lowered]:
+        points, stack = 0.0, [box]
+        while stack:
+            x = stack.pop()
+            points += _points(x)
+            stack.extend(y for y in x.parts if isinstance(y, Node) and not y.skip)
+        box.skip = points < COST
+
+
 def _menu(n: Node) -> bool:
     """A list or box of two links or more, mostly links and without a heading."""
     if n.tag not in LISTS or _density(n) <= 0.5:
@@ -185,7 +215,7 @@ def _flow(n: Node) -> str:
     return "".join(out)
 
 
-def _blocks(nodes: list[Node]) -> list[str]:
+def _blocks(nodes: list[Node | str]) -> list[str]:
     """Texts of the blocks in page order, references decoded and white space made plain."""
     found, run = [], []
 
@@ -195,9 +225,7 @@ def _blocks(nodes: list[Node]) -> list[str]:
         if text:
             found.append(text)
 
-    stack: list[Node | str | None] = []
-    for n in reversed(nodes):
-        stack += [None, n, None]
+    stack: list[Node | str | None] = [*reversed(nodes)]
     while stack:
         x = stack.pop()
         if x is None:
@@ -220,23 +248,22 @@ def extract(source: str | None) -> str:
     element, or its class, id or role) gives a point, one for each comma, and up to three for its
     length to its parent, half of them to the grandparent, and a third of that further up. Points
     shrink with the share of a container's text in links. The best container is kept whole, and with
-    it all else of the outermost article or main around it but lists of links, and the siblings of
-    that which hold an article, have a fifth of the best score or are paragraphs with few links.
-    Without an article or main around the best container, the whole page is kept in this way. A page
-    of links and little else has no main text.
+    it all else of the outermost article or main around it and that one's siblings, their parent's
+    own text included, but lists of links. Without an article or main around the best container, the
+    whole page is kept in this way. Within an article a name that an article may use for its own
+    parts (social, related, header, ...) costs a box three points: it goes if it had fewer. A page of
+    links and little else has no main text.
     """
     if not source:
         return ""
     root = parse(source)
     _skip_forms(root)
+    _skip_lowered(root)
     order = _measure(root)
     for n in order:
-        if n.tag not in PARAGRAPH or n.tag == "#root":
-            continue
-        text = _flow(n).strip()
-        if not text or _density(n) > 0.5:
+        points = _points(n)
+        if not points:
             continue
-        points = 1 + text.count(",") + min(len(text) / 100, 3)
         up, level = n.parent, 0
         while up is not None and level < 5:
             up.score += points / (1, 2, 6, 9, 12)[level]
@@ -256,12 +283,6 @@ def extract(source: str | None) -> str:
         x = stack.pop()
         inside.add(x)
         stack.extend(y for y in x.parts if isinstance(y, Node) and not y.skip)
-    holders = set()
-    for n in order:
-        if n.tag in ("article", "main"):
-            while n is not None and n not in holders:
-                holders.add(n)
-                n = n.parent
     up = best
     above = set()
     while up is not None:
@@ -270,15 +291,7 @@ def extract(source: str | None) -> str:
     for n in order:
         if n not in inside and n not in above and _menu(n):
             n.skip = True
-    if around is None:
-        kept = [root]
-    else:
-        kept = [
-            x
-            for x in around.parent.parts
-            if isinstance(x, Node) and not x.skip and (x is around or x in holders or x.score >= max(10.0, 0.2 * best.score) or (x.tag == "p" and x.text > 80 and _density(x) < 0.25))
-        ]
-    return "\n\n".join(_blocks(kept))
+    return "\n\n".join(_blocks([root] if around is None else around.parent.parts))
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
