@@ -14,11 +14,8 @@ from tarnfold.operators import merge as M
 from tarnfold.operators import rows as R
 from tarnfold.operators import shred as S
 from tarnfold.plans import jobs as J
-from tarnfold.plans.catalog import declare_all, tables
 from tarnfold.sources import envelope as E
 from tarnfold.sources import schemas as I
-from tarnfold.sources.tables import Registry, Table, table_of
-from tarnfold.streaming.batches import merge_stream
 
 
 def table(spark, schema, *rows):
@@ -112,19 +109,6 @@ def test_landed_responses_are_read_and_streamed(spark, tmp_path):
     assert as_set(spark.read.parquet(str(tmp_path / "out"))) == expected
 
 
-def test_table_declared_by_its_rules(spark, tmp_path):
-    shifts = table_of("silver", "shifts", J.SHIFT_RULES, ("game_id", "shift_id"), "season int, start_seconds int, end_seconds int", ("game_id",), ("season",))
-    assert shifts.schema["shift_number"].dataType == T.IntegerType() and not shifts.schema["shift_id"].nullable and shifts.schema["py_source"].nullable
-    payload = '{"data":[{"id":7,"gameId":2023020001,"teamId":1,"teamAbbrev":" abc","playerId":9,"period":1,"startTime":"00:10","endTime":"00:40","shiftNumber":2}]}'
-    rows = J.shift_rows(table(spark, "payload string", (payload,)), "struct<data: array<struct<id: bigint, gameId: bigint, teamId: bigint, teamAbbrev: string, playerId: bigint, period: int, startTime: string, endTime: string, shiftNumber: int>>>")
-    registry = Registry(spark, str(tmp_path))
-    registry.declare(shifts)
-    registry.overwrite("shifts", M.stamped(rows, F.current_timestamp(), "test"))
-    assert [(r.shift_id, r.team_abbrev, r.season, r.start_seconds, r.py_source) for r in registry.read("shifts").collect()] == [(7, "ABC", 20232024, 10, "test")]
-    with pytest.raises(ValueError, match="no column"):
-        table_of("silver", "events", J.EVENT_RULES, ("game_id", "event_idx"))
-
-
 def test_list_payload_is_wrapped(spark):
     df = E.as_envelope(table(spark, "http_status int, payload string", (200, " [1]"), (500, "[1]"), (200, '{"a":1}')))
     assert [r.payload for r in df.collect()] == ['{"data": [1]}', None, '{"a":1}']
@@ -184,75 +168,6 @@ def test_drift_clears_when_the_schema_stays(spark):
     assert [x.first()["schema_drift_ind"] for x in (one, two, three)] == [False, True, False]
 
 
-def test_registry_snapshots_and_null_checks(spark, tmp_path):
-    schema = T.StructType([T.StructField("k", T.IntegerType(), False), T.StructField("endpoint", T.StringType())])
-    registry = Registry(spark, str(tmp_path))
-    registry.declare(Table("silver", "things", schema, ("k",), ("k",)))
-    assert registry.exists("things") and registry.read("things").count() == 0
-    registry.overwrite("things", table(spark, "endpoint string, k int", ("a", 1)))
-    registry.overwrite("things", registry.read("things").union(table(spark, "k int, endpoint string", (2, "b"))))
-    assert as_set(registry.read("things")) == {(1, "a"), (2, "b")}
-    assert registry.having_column("endpoint", "silver") == ["things"] and registry.having_column("endpoint", "gold") == []
-    with pytest.raises(Exception, match="required"):
-        registry.overwrite("things", table(spark, "k int, endpoint string", (None, "x")))
-    assert registry.read("things").count() == 2
-
-
-def test_commit_writes_snapshot_feed_and_counts(spark, tmp_path):
-    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("v", T.StringType())])
-    registry = Registry(spark, str(tmp_path))
-    registry.declare(Table("gold", "g", schema, ("k",), partition_by=("k",)))
-    registry.overwrite("g", table(spark, "k int, v string", (1, "a"), (2, "b")))
-    merged = M.merge(registry.read("g"), table(spark, "k int, v string", (1, "x"), (3, "c")), ["k"], [M.Update({"v": lambda t, s: s("v")})], [M.Insert()], [M.Delete()])
-    assert registry.commit("g", merged) == {("updated", "update"): 1, ("inserted", "insert"): 1, ("deleted", "delete"): 1}
-    assert as_set(registry.read("g")) == {(1, "x"), (3, "c")}
-    feed = {(r._change_type, r.k, r.v) for r in registry.changes("g", registry.feeds("g")[-1]).collect()}
-    assert feed == {("update_preimage", 1, "a"), ("update_postimage", 1, "x"), ("insert", 3, "c"), ("delete", 2, "b")}
-
-
-def test_stream_merges_and_replays_change_nothing(spark, tmp_path):
-    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("v", T.StringType()), T.StructField("at", T.IntegerType())])
-    registry = Registry(spark, str(tmp_path / "tables"))
-    registry.declare(Table("silver", "s", schema, ("k",)))
-    job = lambda t, s: M.merge(t, s, ["k"], [M.Update({"v": lambda t, s: s("v"), "at": lambda t, s: s("at")}, lambda t, s: s("at") > t("at"))], [M.Insert()])
-    landing = str(tmp_path / "in")
-    for part, checkpoint in (([(1, "a", 1), (1, "b", 2)], "c"), ([(2, "x", 1), (1, "old", 1)], "c"), ([(3, "z", 1)], "other")):
-        spark.createDataFrame(part, schema).write.mode("append").parquet(landing)
-        merge_stream(spark.readStream.schema(schema).parquet(landing), registry, "s", ["k"], "at", job, str(tmp_path / checkpoint)).awaitTermination()
-    assert as_set(registry.read("s")) == {(1, "b", 2), (2, "x", 1), (3, "z", 1)}
-
-
-def test_merge_rewrites_touched_partitions_only(spark, tmp_path):
-    schema = T.StructType([T.StructField("d", T.IntegerType()), T.StructField("k", T.IntegerType(), False), T.StructField("v", T.StringType())])
-    registry = Registry(spark, str(tmp_path))
-    registry.declare(Table("gold", "days", schema, ("k",), ("k",), ("d",)))
-    registry.overwrite("days", table(spark, "d int, k int, v string", (1, 1, "a"), (2, 2, "b"), (2, 5, "e"), (3, 3, "c"), (None, 4, "d"), (None, 6, "f")))
-    files = lambda: {f.rpartition("/days/")[2] for f in registry.read("days").inputFiles()}
-    before = files()
-    source = table(spark, "d int, k int, v string", (2, 2, "x"), (4, 9, "new"), (None, 4, "y"))
-    gone = M.Delete(lambda t, s: t("k") == 3)
-    merged = M.merge(registry.read("days"), source, ["k"], [M.Update({"v": lambda t, s: s("v")})], [M.Insert()], [gone], scope=lambda t: t("k") < 5)
-    assert registry.commit("days", merged, "b1") == {("updated", "update"): 2, ("inserted", "insert"): 1, ("deleted", "delete"): 1}
-    expected = {(1, 1, "a"), (2, 2, "x"), (2, 5, "e"), (None, 4, "y"), (None, 6, "f"), (4, 9, "new")}
-    assert as_set(registry.read("days")) == expected
-    after = files()
-    assert {f for f in before if "/d=1/" in f} == {f for f in after if "/d=1/" in f} and not any("/d=3/" in f for f in after)
-    assert not {f for f in before if "/d=2/" in f} & after
-    assert registry.commit("days", merged, "b1") == {} and as_set(registry.read("days")) == expected
-
-
-def test_a_batch_is_counted_once_and_old_snapshots_are_cleared(spark, tmp_path):
-    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("n", T.IntegerType())])
-    registry = Registry(spark, str(tmp_path))
-    registry.declare(Table("ops", "ledger", schema, ("k",)))
-    count = lambda: M.merge(registry.read("ledger"), table(spark, "k int", (1,)), ["k"], [M.Update({"n": lambda t, s: t("n") + 1})], [M.Insert({"n": lambda t, s: F.lit(1)})])
-    for batch in ("s-0", "s-1", "s-1", "s-11", "s-1"):
-        registry.commit("ledger", count(), batch)
-    assert as_set(registry.read("ledger")) == {(1, 3)} and registry.versions("ledger") == [0, 1, 2, 3]
-    assert registry.clear("ledger", 2) == [0, 1] and as_set(registry.read("ledger")) == {(1, 3)}
-    assert registry.changes("ledger", 3).count() == 2
-
-
 def test_merge_reads_its_source_once(spark):
     target, source = table(spark, "k int, v int", (1, 1)), table(spark, "k int, v int", (1, 2), (2, 2))
     with_join = M.merge(target, source.hint("merge"), ["k"], [M.Update({"v": lambda t, s: s("v")})], [M.Insert()]).table
@@ -282,34 +197,3 @@ def test_schema_of_recent_random_rows(spark):
     day = lambda d: dt.datetime.fromisoformat(d)
     df = table(spark, "payload string, ingest_ts_utc timestamp", ('{"a":1}', day("2024-05-01")), ('{"b":1}', day("2024-06-30")), ('{"c":1}', day("2023-01-01")), (None, day("2024-06-01")))
     assert I.infer_recent(df, F.lit("2024-06-30").cast("date")) == "STRUCT<a: BIGINT>"
-
-
-def test_two_day_merge_rewrites_two_days(spark, tmp_path):
-    events = next(t for t in tables() if t.name == "events")
-    registry = Registry(spark, str(tmp_path))
-    registry.declare(events)
-    payload = lambda *ids: '{"plays":[' + ",".join(f'{{"eventId":{i},"sortOrder":{i},"typeDescKey":"Goal","timeInPeriod":"00:0{i}","periodDescriptor":{{"number":1}}}}' for i in ids) + "]}"
-    ddl = "struct<plays: array<struct<eventId: bigint, sortOrder: int, typeDescKey: string, timeInPeriod: string, periodDescriptor: struct<number: int>>>>"
-    run = F.lit("2024-01-10").cast("date")
-
-    def source(*days):
-        rows = [(20232024, 2023020000 + d, dt.date(2024, 1, d), payload(*ids)) for d, ids in days]
-        return J.timed_events(J.event_rows(table(spark, "season int, game_id bigint, game_date date, payload string", *rows), ddl))
-
-    first = source((1, (1, 2)), (9, (1, 2)), (10, (1,))).withColumns({"active_row": F.lit(True), "logic_block": F.lit("insert"), "failed_condition": F.lit(None).cast("string")})
-    registry.overwrite("events", M.stamped(first, F.current_timestamp(), "test"))
-    before = set(registry.read("events").inputFiles())
-    merged = J.event_merge(registry.read("events"), source((9, (1,)), (10, (1, 3))), run, F.current_timestamp(), ["event_type", "event_id"])
-    assert registry.commit("events", merged) == {("inserted", "insert"): 1, ("updated", "no match update two"): 1}
-    after = set(registry.read("events").inputFiles())
-    day = lambda files, d: {f for f in files if f"game_date=2024-01-{d}/" in f}
-    assert day(before, "01") == day(after, "01") and not day(before, "09") & day(after, "09") and not day(before, "10") & day(after, "10")
-    assert {(r.game_date.day, r.event_id, r.active_row) for r in registry.read("events").collect()} == {(1, 1, True), (1, 2, True), (9, 1, True), (9, 2, False), (10, 1, True), (10, 3, True)}
-
-
-def test_all_tables_are_declared(spark, tmp_path):
-    registry = Registry(spark, str(tmp_path))
-    declare_all(registry)
-    assert all(registry.exists(t.name) for t in tables()) and "gold_shifts" in registry.having_column("shift_id", "gold")
-    with pytest.raises(ValueError, match="is a table of"):
-        registry.declare(Table("gold", "events", tables()[0].schema, ()))
