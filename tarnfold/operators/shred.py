@@ -57,10 +57,57 @@ def flatten(df: DataFrame, prefix: bool = True) -> DataFrame:
             return df
 
 
-def map_to_wide(df: DataFrame, maps: str, keep: Sequence[str] = ()) -> DataFrame:
-    """A column for each key that occurs in a column of array<map<string,string>>, in the keys' order."""
+def child_tables(df: DataFrame, keys: Sequence[str], name: str = "rows", prefix: bool = True) -> dict[str, DataFrame]:
+    """A table for the rows and one for each array in them, however deep, by the schema alone.
+
+    Each table has the keys, the positions of the arrays on the way to it (`plays_pos`, from 0), and
+    its element's values with structs as columns (`details_zone`; without prefix `zone`). A child is
+    made by exploding its own way only, so arrays side by side never multiply, and keys and positions
+    join it to its parent. Elements that are no structs have the column `value`. Null and empty
+    arrays give no rows. Tables are named by the way to them: rows, plays, plays_officials. Columns
+    that fall together are an error.
+    """
+    out: dict[str, DataFrame] = {}
+
+    def visit(table: str, rows: DataFrame, ids: list[str]) -> None:
+        values: list[Column] = []
+        arrays: list[tuple[str, Column, T.ArrayType]] = []
+
+        def walk(at: Column, kind: T.StructType, way: str) -> None:
+            for f in kind:
+                c, full = at.getField(f.name), f"{way}_{f.name}" if way else f.name
+                if isinstance(f.dataType, T.StructType):
+                    walk(c, f.dataType, full)
+                elif isinstance(f.dataType, T.ArrayType):
+                    arrays.append((full, c, f.dataType))
+                else:
+                    values.append(c.alias(full if prefix else f.name))
+
+        walk(F.col("_e"), rows.schema["_e"].dataType, "")
+        made = rows.select(*ids, *values)
+        twice = sorted({c for c in made.columns if made.columns.count(c) > 1})
+        if twice:
+            raise ValueError(f"columns fall together in {table}: {twice}")
+        out[table] = made
+        for way, c, kind in arrays:
+            child = way if table == name else f"{table}_{way}"
+            if child in out:
+                raise ValueError(f"two tables are named {child}")
+            inner = rows.select(*ids, F.posexplode(c).alias(f"{way}_pos", "_e"))
+            if not isinstance(kind.elementType, T.StructType):
+                inner = inner.withColumn("_e", F.struct(F.col("_e").alias("value")))
+            visit(child, inner, [*ids, f"{way}_pos"])
+
+    visit(name, df.select(*keys, F.struct(*[c for c in df.columns if c not in keys]).alias("_e")), list(keys))
+    return out
+
+
+def map_to_wide(df: DataFrame, maps: str, keep: Sequence[str] = (), most: int = 2000) -> DataFrame:
+    """A column for each key that occurs in a column of array<map<string,string>>, in the keys' order; more than `most` are an error."""
     rows = df.select(*keep, F.explode(maps).alias("_m"))
-    keys = [r[0] for r in rows.select(F.explode(F.map_keys("_m")).alias("k")).distinct().orderBy("k").collect()]  # as many as the result has columns
+    keys = [r[0] for r in rows.select(F.explode(F.map_keys("_m")).alias("k")).distinct().orderBy("k").limit(most + 1).collect()]
+    if len(keys) > most:
+        raise ValueError(f"more than {most} keys of {maps}: they are data, no columns")
     return rows.select(*keep, *[F.try_element_at("_m", F.lit(k)).alias(k) for k in keys])
 
 

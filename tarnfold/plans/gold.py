@@ -12,7 +12,7 @@ from tarnfold.functions import values as V
 from tarnfold.functions.compare import null_as, null_safe, plain, unless_source_null
 from tarnfold.operators.merge import Merged, upsert
 from tarnfold.operators.rows import lookup
-from tarnfold.operators.shred import harvest_ids, unpack_list
+from tarnfold.operators.shred import harvest_ids, unpack_list, valid_payloads
 from tarnfold.plans.incremental import high_water_scope
 from tarnfold.plans.jobs import participants
 
@@ -49,15 +49,23 @@ def of_topic(endpoint: Column, topic: Topic) -> Column:
     return out
 
 
-def special_rows(payloads: DataFrame, loaded: DataFrame, schema: str, topic: Topic) -> DataFrame:
-    """One topic's team rows of games that aren't loaded: game ids are read from the raw text before parsing."""
+def special_rows(payloads: DataFrame, loaded: DataFrame, schema: str, topic: Topic, run: Column, days: int = 2) -> DataFrame:
+    """One topic's team rows of games that are not loaded, or were played in the last days before the run.
+
+    loaded: game_id, game_date. Corrections of late games come with later payloads, so those are read
+    again; older ones that are loaded are not. Only payloads of status 200 with rows and no total of
+    zero are looked at, and game ids are read from their raw text before anything is parsed.
+    """
     mine = payloads.filter(of_topic(F.col("endpoint"), topic))
-    fresh = mine.withColumn("_g", F.explode(harvest_ids(F.col("payload"), "gameId"))).join(loaded.select(F.col("game_id").alias("_g")), "_g", "left_anti")
+    mine = valid_payloads(mine).filter(F.coalesce(F.get_json_object("payload", "$.total").try_cast("int"), F.lit(1)) > 0)
+    old = F.col("_loaded_date") < F.date_sub(run, days)
+    known = loaded.select(F.col("game_id").alias("_loaded"), F.col("game_date").alias("_loaded_date"))
+    fresh = mine.withColumn("_g", F.explode(harvest_ids(F.col("payload"), "gameId"))).join(known, (F.col("_g") == F.col("_loaded")) & old, "left_anti")
     keys = fresh.select("request_key").distinct()
     rows = V.snake_columns(unpack_list(mine.join(keys, "request_key", "left_semi"), "data", schema)).withColumnsRenamed(SPECIAL_NAMES)
     tidy = {"team_name": F.trim, "opp_team_abbrev": lambda c: F.trim(F.upper(c)), "home_road": lambda c: F.trim(F.upper(c))}
     rows = rows.withColumns({c: f(F.col(c)) for c, f in tidy.items() if c in rows.columns})
-    return rows.withColumn("season", V.season_of_game(F.col("game_id"))).join(loaded.select("game_id"), "game_id", "left_anti").distinct()
+    return rows.withColumn("season", V.season_of_game(F.col("game_id"))).join(known, (F.col("game_id") == F.col("_loaded")) & old, "left_anti").distinct()
 
 
 def _special(topic: Topic) -> Callable:

@@ -277,6 +277,19 @@ def roster_gaps(roles: DataFrame, roster: DataFrame, skipped_types: Sequence[str
     return named.join(roster.select("season", "game_id", "player_id"), ["season", "game_id", "player_id"], "left_anti")
 
 
+def unlisted_players(events: DataFrame, roles: Sequence[str], listed: str, skipped_types: Sequence[str]) -> DataFrame:
+    """Players whom events name in a role but none has in `listed`, of the same game: roster_gaps of events that hold their roster.
+
+    One pass: each name says whether it is a role or a listing, and a player is a gap if only the
+    first ever holds, so events are neither read nor shuffled twice.
+    """
+    skipped = F.coalesce(F.col("event_type").isin(*skipped_types), F.lit(False))
+    item = lambda c, is_listed: F.struct(F.when(F.lit(is_listed) | ~skipped, F.col(c)).alias("player_id"), F.lit(is_listed).alias("listed"))
+    names = events.select("season", "game_id", F.explode(F.array(*[item(c, False) for c in roles], item(listed, True))).alias("_n")).select("season", "game_id", "_n.*")
+    by = names.filter("player_id is not null").groupBy("season", "game_id", "player_id").agg(F.max("listed").alias("listed"))
+    return by.filter("not listed").drop("listed")
+
+
 def roster_union(payload_rows: DataFrame, gap_rows: DataFrame, bios: DataFrame) -> DataFrame:
     """Roster rows of payloads, and of the gaps with what is known of their players; payload rows come first."""
     filled = lookup(gap_rows, bios, {"player_id": "player_id"}, {"full_name": "full_name", "team_id": "team_id"})

@@ -7,6 +7,7 @@ table are on which side, changed, or gone. They thin nothing out; every row of a
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from tarnfold.functions import values as V
 from tarnfold.operators import merge as M
 from tarnfold.operators import rows as R
 from tarnfold.operators import shred as S
+from tarnfold.operators.stages import checkpoint_folder
 from tarnfold.plans import gold as G
 from tarnfold.plans import incremental as P
 from tarnfold.plans import jobs as J
@@ -51,6 +53,23 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def written(make: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Payloads are what jobs find in the landing table: they are made once for a session and folder, and read from there."""
+
+    def read_it(spark: SparkSession, sf_dir: str) -> DataFrame:
+        at = (spark.sparkContext.applicationId, sf_dir, make.__name__)
+        if at not in _WRITTEN:
+            path = f"{checkpoint_folder(spark)}/payloads-{uuid.uuid4().hex}"
+            make(spark, sf_dir).write.parquet(path)
+            _WRITTEN[at] = path
+        return spark.read.parquet(_WRITTEN[at])
+
+    return read_it
+
+
 def run_day():
     return F.lit(RUN).cast("date")
 
@@ -93,7 +112,7 @@ def _stored(g: DataFrame) -> DataFrame:
 
 
 def _incoming(g: DataFrame) -> DataFrame:
-    return g.filter("order_id % 13 <> 0").select(
+    return g.filter("order_id % 13 <> 0 or order_id % 10 = 0").select(
         "game_id",
         "game_date",
         F.when(F.col("order_id") % 11 == 0, F.lit("X")).when(F.col("order_id") % 17 == 0, F.lit(None)).otherwise(F.col("status")).alias("status"),
@@ -124,7 +143,7 @@ _MERGE_CTE = f"""
 WITH {GAMES},
 t AS (SELECT game_id, game_date, status, price FROM games WHERE order_id % 10 <> 0),
 s AS (SELECT game_id, game_date, CASE WHEN order_id % 11 = 0 THEN 'X' WHEN order_id % 17 = 0 THEN NULL ELSE status END AS status,
-  CASE WHEN order_id % 7 = 0 THEN price + 1 ELSE price END AS price FROM games WHERE order_id % 13 <> 0),
+  CASE WHEN order_id % 7 = 0 THEN price + 1 ELSE price END AS price FROM games WHERE order_id % 13 <> 0 OR order_id % 10 = 0),
 j AS (SELECT coalesce(t.game_id, s.game_id) AS game_id, t.game_id IS NOT NULL AS there, s.game_id IS NOT NULL AS given, t.game_date AS td, t.status AS ts, t.price AS tp,
   s.game_date AS sd, s.status AS ss, s.price AS sp, t.status IS DISTINCT FROM s.status AS c1, coalesce(t.price <> coalesce(s.price, t.price), false) AS c2
   FROM t FULL JOIN s ON t.game_id = s.game_id),
@@ -329,6 +348,7 @@ def envelope(df: DataFrame, key: str, payload, endpoint: str = "games") -> DataF
     return df.select(F.lit(endpoint).alias("endpoint"), F.col(key).cast("string").alias("request_key"), F.lit(200).alias("http_status"), payload.alias("payload"))
 
 
+@written
 def event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event-type rows of a user as plays of a game."""
     e = read(spark, sf_dir, "events")
@@ -381,13 +401,19 @@ def found_or_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.lit("found").alias("route")).unionByName(empty.select(F.lit("empty").alias("route"))).groupBy("route").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-@query("SELECT event_type, 'STRUCT<k: BIGINT>' AS schema_json FROM events GROUP BY event_type")
+#: The fields that a document has, with the types of their values, by DuckDB's own reading of it.
+_FIELDS = """(SELECT DISTINCT event_type, k, CASE json_type(props, '$.' || k) WHEN 'VARCHAR' THEN 'STRING' WHEN 'DOUBLE' THEN 'DOUBLE' WHEN 'BOOLEAN' THEN 'BOOLEAN' ELSE 'BIGINT' END AS kind
+  FROM (SELECT event_type, props, unnest(json_keys(props)) AS k FROM events))"""
+_DDL = "'STRUCT<' || string_agg(DISTINCT k || ': ' || kind, ', ' ORDER BY k || ': ' || kind) || '>'"
+
+
+@query(f"SELECT event_type, {_DDL} AS schema_json FROM {_FIELDS} GROUP BY event_type")
 def inferred_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The merged schema of each group's payloads, over all rows."""
     return I.infer_by(read(spark, sf_dir, "events"), "event_type", payload="props")
 
 
-@query("SELECT t.endpoint, CASE t.endpoint WHEN 'click' THEN true WHEN 'view' THEN false ELSE false END AS drift FROM (SELECT DISTINCT event_type AS endpoint FROM events) t")
+@query(f"SELECT event_type AS endpoint, coalesce(CASE event_type WHEN 'click' THEN 'STRUCT<old: STRING>' WHEN 'view' THEN {_DDL} END <> {_DDL}, false) AS drift FROM {_FIELDS} GROUP BY event_type")
 def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Schemas against those noted before; for one endpoint another schema had been noted."""
     e = read(spark, sf_dir, "events")
@@ -397,7 +423,11 @@ def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return I.drift(audit, now_, now()).select("endpoint", F.col("schema_drift_ind").alias("drift"))
 
 
-@query("SELECT 'details.amount | rawProps | total' AS unused_fields, 3 AS unused_count, count(DISTINCT (user_id, CAST(ts AS DATE))) AS n_rows FROM events")
+@query(
+    """WITH d AS (SELECT user_id, CAST(ts AS DATE) AS d, to_json({'details.amount': value, 'details.ownerId': user_id, 'eventId': event_id, 'rawProps': props, 'typeDescKey': event_type, 'total': 1}) AS j FROM events),
+f AS (SELECT DISTINCT unnest(json_keys(j)) AS path FROM d EXCEPT SELECT unnest(['eventId', 'typeDescKey', 'details.ownerId']))
+SELECT string_agg(path, ' | ' ORDER BY path = 'total', path) AS unused_fields, CAST(count(*) AS INT) AS unused_count, (SELECT count(DISTINCT (user_id, d)) FROM d) AS n_rows FROM f"""
+)
 def unused_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fields of the payloads that no mapping reads."""
     p = event_payloads(spark, sf_dir)
@@ -666,6 +696,7 @@ def touched_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- domain jobs
 
 
+@written
 def _schedule_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = games(spark, sf_dir)
     team = lambda side: F.struct(F.col("team_id").alias("id"), F.when(F.col("order_id") % 50 == 0, "TBD").otherwise(F.concat(F.lit(side), F.col("team_id").cast("string"))).alias("abbrev"), F.struct(F.lit("Utah Stars").alias("default")).alias("commonName"), F.struct(F.lit("Utah").alias("default")).alias("placeName"))
@@ -708,6 +739,7 @@ def job_schedule_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("game_id", "team_name", F.col("update_dte").isNotNull().alias("updated"))
 
 
+@written
 def _play_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct lines of an order as plays of a game."""
     li = read(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("part"), F.min("l_suppkey").alias("supp"), F.max("l_returnflag").alias("flag"))
@@ -729,6 +761,12 @@ def _play_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select("season", "game_id", "game_date", F.to_json(F.struct(F.coalesce("plays", F.array().cast(plays.schema["plays"].dataType)).alias("plays"))).alias("payload"))
 
 
+@written
+def _stored_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the shred has stored of the plays."""
+    return J.event_rows(_play_payloads(spark, sf_dir), PLAYS_DDL).filter("event_id is not null")
+
+
 PLAYS_DDL = "struct<plays: array<struct<eventId: bigint, sortOrder: int, typeDescKey: string, situationCode: string, timeInPeriod: string, timeRemaining: string, periodDescriptor: struct<number: int, periodType: string, maxRegulationPeriods: int>, homeTeamDefendingSide: string, typeCode: int, details: struct<scoringPlayerId: bigint, playerId: bigint, assist1PlayerId: bigint, assist2PlayerId: bigint, goalieInNetId: bigint, zoneCode: string, shotType: string, homeScore: int, homeSOG: int, awaySOG: string, typeCode: string, descKey: string, duration: int, secondaryReason: string>>>>"
 
 _PLAYS = f"""
@@ -764,10 +802,18 @@ def job_event_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("home_score", F.col("home_score").cast("int")).select(*names)
 
 
-@query(_PLAYS + " SELECT CASE WHEN event_type IS NULL THEN 'x' ELSE 'time_remaining is null' END AS quarantine_reason, count(*) AS n_rows FROM c GROUP BY ALL")
+@query(
+    _PLAYS
+    + """, q AS (SELECT concat_ws('; ', CASE WHEN part % 5 = 0 THEN 'event_type is null' END, CASE WHEN part % 7 = 0 THEN 'time_in_period is null' END, CASE WHEN part % 3 = 0 THEN 'time_remaining is null' END,
+  CASE WHEN part % 2 = 0 AND flag = 'A' AND part % 5 <> 0 THEN 'situation_code is null' END) AS quarantine_reason FROM c)
+SELECT quarantine_reason, count(*) AS n_rows FROM q WHERE quarantine_reason <> '' GROUP BY ALL"""
+)
 def job_event_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q2: events that the rules send to quarantine."""
+    """Q2: events that the rules send to quarantine; each of the four rules is broken, alone and with others."""
     rows = J.event_rows(_play_payloads(spark, sf_dir), PLAYS_DDL).filter("event_id is not null")
+    part = F.col("assist2_player_id") - 1
+    lost = {"event_type": part % 5 == 0, "time_in_period": part % 7 == 0, "situation_code": part % 2 == 0}
+    rows = rows.withColumns({c: F.when(~gone, F.col(c)) for c, gone in lost.items()} | {"time_remaining": F.when(part % 3 != 0, "01:00")})
     return R.quarantine(rows, R.event_rules(["goal"]))[1].groupBy("quarantine_reason").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -791,10 +837,9 @@ n AS (SELECT DISTINCT season, game_id, player_id FROM r WHERE event_type <> 'gam
 SELECT n.* FROM n WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.game_id = n.game_id AND c.supp = n.player_id AND c.flag <> 'A')"""
 )
 def job_roster_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Players that events name and the roster lacks."""
+    """Players that events name and the roster, here the column player_id, lacks: one pass over the payloads."""
     rows = J.event_rows(_play_payloads(spark, sf_dir), PLAYS_DDL).filter("event_id is not null")
-    roles = R.unpivot_roles(rows, ["season", "game_id", "event_type"], ["scoring_player_id", "player_id", "assist1_player_id", "assist2_player_id", "faceoff_losing_player_id"], dropped=["faceoff_losing_player_id"])
-    return J.roster_gaps(roles, rows.select("season", "game_id", "player_id"), ["game-end"])
+    return J.unlisted_players(rows, ["scoring_player_id", "player_id", "assist1_player_id", "assist2_player_id"], "player_id", ["game-end"])
 
 
 @query(
@@ -821,6 +866,7 @@ def job_roster_shred(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("n_nationkey", *S.build_fields(rows, {"id": {"target": "player_id", "type": "bigint"}, "lastName": {"type": "string", "trim": True}}))
 
 
+@written
 def _shift_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("part"), F.min("l_suppkey").alias("supp"))
     g = games(spark, sf_dir).join(li, F.col("order_id") == F.col("l_orderkey"))
@@ -831,6 +877,12 @@ def _shift_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per.select("game_id", F.to_json(F.struct(F.size("data").alias("total"), "data")).alias("payload"), F.lit(200).alias("http_status"))
 
 
+@written
+def _stored_shifts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the shred has stored of the shifts."""
+    return J.shift_rows(S.valid_payloads(_shift_payloads(spark, sf_dir)), SHIFT_DDL)
+
+
 SHIFT_DDL = "struct<total: int, data: array<struct<id: bigint, gameId: bigint, teamId: bigint, teamAbbrev: string, playerId: bigint, period: int, startTime: string, endTime: string, duration: string>>>"
 _SHIFTS = f"""
 WITH {GAMES}, li AS (SELECT l_orderkey, l_linenumber, min(l_partkey) AS part, min(l_suppkey) AS supp FROM lineitem GROUP BY ALL),
@@ -857,20 +909,24 @@ def job_shift_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_PLAYS + ", " + _SHIFTS.partition("li AS")[2].partition("sh AS")[1] + _SHIFTS.partition("sh AS")[2] + " SELECT c.game_id, CAST(c.event_id AS BIGINT) AS event_id, sh.shift_id FROM c JOIN sh ON c.game_id = sh.game_id AND c.game_seconds BETWEEN start_seconds AND end_seconds")
 def job_plays_on_shifts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plays with the shifts they fall into: an interval join by minute."""
-    events = J.timed_events(J.event_rows(_play_payloads(spark, sf_dir), PLAYS_DDL).filter("event_id is not null"))
-    shifts = J.shift_rows(_shift_payloads(spark, sf_dir), SHIFT_DDL).filter("end_seconds is not null")
+    events = J.timed_events(_stored_plays(spark, sf_dir))
+    shifts = _stored_shifts(spark, sf_dir).filter("end_seconds is not null")
     return J.plays_on_shifts(events.select("game_id", "event_id", "game_seconds"), shifts.select("game_id", "shift_id", "start_seconds", "end_seconds")).select("game_id", "event_id", "shift_id")
 
 
-@query(f"WITH {GAMES} SELECT game_id, team_id, season, CAST(order_id % 7 AS BIGINT) AS pp_goals, price AS pp_toi FROM games WHERE order_id % 4 <> 0")
+@query(f"WITH {GAMES} SELECT game_id, team_id, season, CAST(order_id % 7 AS BIGINT) AS pp_goals, price AS pp_toi FROM games WHERE order_id % 4 <> 0 OR game_date >= DATE '{RUN}' - 2")
 def job_special_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One topic's team rows of games that aren't loaded."""
+    """One topic's team rows of games that aren't loaded, or were played of late; failed and empty responses have no part in it."""
     g = games(spark, sf_dir)
     row = F.struct(F.col("game_id").alias("gameId"), F.col("team_id").alias("teamId"), (F.col("order_id") % 7).alias("ppGoals"), F.col("price").alias("ppTimeOnIce"))
-    p = g.groupBy("game_date").agg(F.collect_list(row).alias("data")).select("game_date", F.to_json(F.struct("data")).alias("payload"))
-    other = envelope(p, "game_date", F.regexp_replace("payload", '"ppGoals":[0-9]+', '"ppGoals":99'), "PowerPlayTime-stats")
-    p = envelope(p, "game_date", F.col("payload"), "PowerPlay-stats").unionByName(other)
-    rows = G.special_rows(p, g.filter("order_id % 4 = 0").select("game_id"), "struct<data: array<struct<gameId: bigint, teamId: bigint, ppGoals: bigint, ppTimeOnIce: double>>>", G.TOPICS["pp_stats"])
+    p = g.groupBy("game_date").agg(F.collect_list(row).alias("data")).select("game_date", F.to_json(F.struct("data", F.size("data").alias("total"))).alias("payload"))
+    wrong = lambda n, total="payload": F.regexp_replace(total, '"ppGoals":[0-9]+', f'"ppGoals":{n}')
+    keyed = lambda tag: p.withColumn("game_date", F.concat(F.lit(tag), F.col("game_date").cast("string")))
+    payloads = envelope(keyed("right "), "game_date", F.col("payload"), "PowerPlay-stats").unionByName(envelope(keyed("other "), "game_date", wrong(99), "PowerPlayTime-stats"))
+    payloads = payloads.unionByName(envelope(keyed("failed "), "game_date", wrong(98), "PowerPlay-stats").withColumn("http_status", F.lit(500)))
+    payloads = payloads.unionByName(envelope(keyed("none "), "game_date", F.regexp_replace(wrong(97), '"total":[0-9]+', '"total":0'), "PowerPlay-stats"))
+    loaded = g.filter("order_id % 4 = 0").select("game_id", "game_date")
+    rows = G.special_rows(payloads, loaded, "struct<data: array<struct<gameId: bigint, teamId: bigint, ppGoals: bigint, ppTimeOnIce: double>>>", G.TOPICS["pp_stats"], run_day())
     return rows.select("game_id", "team_id", F.col("season").cast("int").alias("season"), "pp_goals", F.col("pp_time_on_ice").alias("pp_toi"))
 
 
@@ -886,11 +942,11 @@ _ENDPOINTS = {"pp_stats": "powerplay", "pk_stats": "penaltykill", "pp_toi": "pow
 _TOPICS = "(VALUES ('pp_stats', 0), ('pk_stats', 1), ('pp_toi', 2), ('pk_toi', 3)) topics(topic, nr)"
 
 
-@query(f"WITH {GAMES} SELECT topic, game_id, team_id, CAST(order_id % 7 + nr AS BIGINT) AS pp_goals, 'Stars' AS team_name, 'T' || team_id AS opp_team_abbrev, 'HOME' AS home_road FROM games, {_TOPICS} WHERE order_id % 4 <> 0")
+@query(f"WITH {GAMES} SELECT topic, game_id, team_id, CAST(order_id % 7 + nr AS BIGINT) AS pp_goals, 'Stars' AS team_name, 'T' || team_id AS opp_team_abbrev, 'HOME' AS home_road FROM games, {_TOPICS} WHERE order_id % 4 <> 0 OR game_date >= DATE '{RUN}' - 2")
 def job_special_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The four topics' team rows, each of its own endpoint, with tidy texts."""
     g = games(spark, sf_dir)
-    loaded = g.filter("order_id % 4 = 0").select("game_id")
+    loaded = g.filter("order_id % 4 = 0").select("game_id", "game_date")
     text = lambda c: F.concat(F.lit(" "), c, F.lit(" "))
     payloads = None
     for nr, endpoint in enumerate(_ENDPOINTS.values()):
@@ -898,7 +954,7 @@ def job_special_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
         part = envelope(g.groupBy("game_date").agg(F.to_json(F.struct(F.collect_list(row).alias("data"))).alias("payload")), "game_date", F.col("payload"), endpoint)
         payloads = part if payloads is None else payloads.unionByName(part)
     schema = "struct<data: array<struct<gameId: bigint, teamId: bigint, ppGoals: bigint, teamFullName: string, opponentTeamAbbrev: string, homeRoad: string>>>"
-    return _each_topic(lambda _, topic: G.special_rows(payloads, loaded, schema, topic)).select("topic", "game_id", "team_id", "pp_goals", "team_name", "opp_team_abbrev", "home_road")
+    return _each_topic(lambda _, topic: G.special_rows(payloads, loaded, schema, topic, run_day())).select("topic", "game_id", "team_id", "pp_goals", "team_name", "opp_team_abbrev", "home_road")
 
 
 def _special_sides(g: DataFrame, topic: G.Topic) -> tuple[DataFrame, DataFrame]:
@@ -987,7 +1043,7 @@ def job_player_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SELECT player_id, CASE WHEN given AND (m <> 2 OR NOT there) THEN 'new' ELSE 'old' END AS full_name, CASE WHEN NOT there THEN CAST(nk AS INT) WHEN given AND m = 1 THEN 77 WHEN m = 3 AND NOT given THEN NULL WHEN m = 3 THEN 88 ELSE CAST(nk AS INT) END AS team_id,
   CASE WHEN NOT there THEN CASE WHEN m = 4 THEN CAST(nk AS INT) END WHEN NOT given THEN 5 WHEN m = 1 THEN CAST(nk AS INT) WHEN m = 5 THEN CASE WHEN nk <> 5 THEN 5 END WHEN m = 3 THEN 5 ELSE CASE WHEN nk <> 5 THEN 5 END END AS team_id_prev_team,
   CASE WHEN there AND given THEN nullif(concat_ws(', ', CASE WHEN m <> 2 THEN 'full_name' END, CASE WHEN m IN (1, 3) THEN 'team_id' END, CASE WHEN m = 5 THEN 'jersey_num' END, CASE WHEN m = 2 THEN 'position_code' END, CASE WHEN m = 4 THEN 'is_active' END), '') END AS failed_condition
-FROM (SELECT c_custkey AS player_id, c_nationkey AS nk, c_custkey % 6 AS m, c_custkey % 5 > 0 AS there, c_custkey % 7 > 0 AS given FROM customer) WHERE (there OR given) AND NOT (there AND given AND m = 2)
+FROM (SELECT c_custkey AS player_id, c_nationkey AS nk, c_custkey % 6 AS m, c_custkey % 5 > 0 AS there, c_custkey % 7 > 0 OR c_custkey % 5 = 0 AS given FROM customer) WHERE (there OR given) AND NOT (there AND given AND m = 2)
 UNION ALL SELECT c_custkey, 'old', CAST(c_nationkey AS INT), 5, NULL FROM customer WHERE c_custkey % 6 = 2 AND c_custkey % 5 > 0 AND c_custkey % 7 > 0"""
 )
 def job_player_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -999,7 +1055,7 @@ def job_player_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_custkey").alias("player_id"), F.lit("old").alias("full_name"), F.lit("C").alias("position_code"), F.when(m != 3, nation).alias("team_id"), F.lit("AAA").alias("team_abbrev"), F.lit(5).alias("team_id_prev_team"), F.lit("EEE").alias("team_abbrev_prev_team"),
         F.lit(20002001).alias("last_active_season"), F.lit(9).alias("jersey_num"), F.lit("L").alias("shoots_catches"), F.lit(True).alias("is_active"), F.lit(0.0).alias("empty_rate"), none("string").alias("failed_condition"), now().alias("insert_dte"), none("timestamp").alias("update_dte"),
     )
-    source = c.filter("c_custkey % 7 > 0").select(
+    source = c.filter("c_custkey % 7 > 0 or c_custkey % 5 = 0").select(
         F.col("c_custkey").alias("player_id"), F.when((m != 2) | (F.col("c_custkey") % 5 == 0), "new").otherwise(none("string")).alias("full_name"), F.when(m != 2, "C").alias("position_code"),
         F.when(m == 1, F.when(F.col("c_custkey") % 5 > 0, 77).otherwise(nation)).when(m == 3, F.when(F.col("c_custkey") % 5 > 0, 88).otherwise(nation)).otherwise(nation).alias("team_id"),
         F.lit("BBB").alias("team_abbrev"), none("int").alias("team_id_prev_team"), none("string").alias("team_abbrev_prev_team"), F.lit(20012002).alias("last_active_season"), F.when(m != 5, 9).alias("jersey_num"), F.lit("L").alias("shoots_catches"), (m != 4).alias("is_active"), F.lit(0.0).alias("empty_rate"),
@@ -1017,13 +1073,13 @@ def job_team_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     return H.team_rows(rows, "struct<data: array<struct<total: int, data: array<struct<id: bigint, fullName: string, franchiseId: int, rawTricode: string>>>>>")
 
 
-@query("SELECT c_custkey AS team_id, CASE WHEN c_custkey % 4 = 0 OR c_custkey % 5 IN (1, 2) THEN 'new' ELSE 'old' END AS team_name, c_custkey % 4 > 0 AND c_custkey % 5 IN (1, 2) AS updated FROM customer WHERE c_custkey % 4 > 0 OR c_custkey % 7 > 0")
+@query("SELECT c_custkey AS team_id, CASE WHEN c_custkey % 4 = 0 OR c_custkey % 5 IN (1, 2) THEN 'new' ELSE 'old' END AS team_name, c_custkey % 4 > 0 AND c_custkey % 5 IN (1, 2) AS updated FROM customer")
 def job_team_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Teams into their master; a franchise that is null is one of its own, other nulls are no change."""
     c, m = read(spark, sf_dir, "customer"), F.col("c_custkey") % 5
     target = c.filter("c_custkey % 4 > 0").select(F.lit(20002001).alias("season"), F.when(m != 2, 7).alias("franchise_id"), F.lit("old").alias("team_name"), F.col("c_custkey").alias("team_id"), F.when(m != 3, 133).alias("league_id"), F.lit("AAA").alias("team_abbrev"), now().alias("insert_dte"), F.lit(None).cast("timestamp").alias("update_dte"))
     name = F.when(m.isin(1, 2) | (F.col("c_custkey") % 4 == 0), "new").otherwise("old")
-    source = c.filter("c_custkey % 4 > 0 or c_custkey % 7 > 0").select(F.lit(20002001).alias("season"), F.lit(7).alias("franchise_id"), name.alias("team_name"), F.col("c_custkey").alias("team_id"), F.lit(133).alias("league_id"), F.when((m != 4) | (F.col("c_custkey") % 4 == 0), "AAA").alias("team_abbrev"))
+    source = c.select(F.lit(20002001).alias("season"), F.lit(7).alias("franchise_id"), name.alias("team_name"), F.col("c_custkey").alias("team_id"), F.lit(133).alias("league_id"), F.when((m != 4) | (F.col("c_custkey") % 4 == 0), "AAA").alias("team_abbrev"))
     return H.team_merge(target, source, now()).table.select("team_id", "team_name", F.col("update_dte").isNotNull().alias("updated"))
 
 
@@ -1080,9 +1136,9 @@ SELECT game_id, CAST(event_id AS BIGINT) AS event_id, CASE WHEN m = 0 AND inside
 )
 def job_event_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M2, M6, M10, M11 for events: two update clauses and two soft deletes over two days; what is inactive stays as it is."""
-    rows = J.event_rows(_play_payloads(spark, sf_dir), PLAYS_DDL).filter("event_id is not null")
-    rows = rows.select("season", "game_id", "game_date", "event_id", "event_type", F.col("event_id").alias("event_idx"), ((F.col("game_id") % 100000000 + F.col("event_id")) % 7).alias("m"))
-    target = rows.filter("m <> 4").select("season", "game_id", "game_date", "event_idx", "event_id", "event_type", F.lit(1).alias("x_coord"), F.lit(True).alias("game_in_play"), (F.col("m") != 5).alias("active_row"), F.lit("insert").alias("logic_block"), F.lit(None).cast("string").alias("failed_condition"), now().alias("insert_dte"), F.lit(None).cast("timestamp").alias("update_dte"))
+    keyed = lambda df: df.select("season", "game_id", "game_date", "event_id", "event_type", F.col("event_id").alias("event_idx"), ((F.col("game_id") % 100000000 + F.col("event_id")) % 7).alias("m"))
+    rows = keyed(J.event_rows(_play_payloads(spark, sf_dir), PLAYS_DDL).filter("event_id is not null"))
+    target = keyed(_stored_plays(spark, sf_dir)).filter("m <> 4").select("season", "game_id", "game_date", "event_idx", "event_id", "event_type", F.lit(1).alias("x_coord"), F.lit(True).alias("game_in_play"), (F.col("m") != 5).alias("active_row"), F.lit("insert").alias("logic_block"), F.lit(None).cast("string").alias("failed_condition"), now().alias("insert_dte"), F.lit(None).cast("timestamp").alias("update_dte"))
     source = rows.filter("m <> 3").select("season", "game_id", "game_date", "event_idx", "event_id", F.when(F.col("m").isin(0, 5), "changed").otherwise(F.col("event_type")).alias("event_type"), F.when(F.col("m") == 0, 2).alias("x_coord"), (F.col("m") != 1).alias("game_in_play"))
     return J.event_merge(target, source, run_day(), now(), ["event_type", "event_id"], kept=["x_coord"]).table.select("game_id", "event_id", "event_type", "logic_block", "active_row", "failed_condition")
 
@@ -1105,8 +1161,8 @@ def job_bronze_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {GAMES}, s AS (SELECT DISTINCT season, game_id, l_suppkey AS player_id, CAST(l_suppkey % 30 AS BIGINT) AS team_id, game_date = DATE '{RUN}' AS cur FROM games JOIN lineitem ON l_orderkey = order_id WHERE l_linenumber <= 3),
-c AS (SELECT DISTINCT season, game_id, l_suppkey AS player_id, CAST(99 AS BIGINT) AS team_id FROM games JOIN lineitem ON l_orderkey = order_id WHERE l_linenumber = 5),
+    f"""WITH {GAMES}, s AS (SELECT DISTINCT season, game_id, l_suppkey AS player_id, CAST(l_suppkey % 30 AS BIGINT) AS team_id, game_date = DATE '{RUN}' AS cur FROM games JOIN lineitem ON l_orderkey = order_id WHERE l_linenumber % 3 > 0),
+c AS (SELECT DISTINCT season, game_id, l_suppkey AS player_id, CAST(99 AS BIGINT) AS team_id FROM games JOIN lineitem ON l_orderkey = order_id WHERE l_linenumber % 3 = 0),
 u AS (SELECT season, game_id, player_id, team_id FROM s UNION ALL SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.game_id = c.game_id AND s.player_id = c.player_id))
 SELECT u.game_id, u.player_id, u.team_id, s_name AS full_name, CASE WHEN u.team_id <> s_nationkey THEN CAST(s_nationkey AS BIGINT) END AS team_id_prev_team, g.game_date = DATE '{RUN}' AS game_in_play
 FROM u JOIN games g ON g.game_id = u.game_id LEFT JOIN supplier ON s_suppkey = u.player_id"""
@@ -1116,8 +1172,8 @@ def job_payload_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = games(spark, sf_dir)
     li = read(spark, sf_dir, "lineitem").join(g.select("season", "game_id", "game_date", F.col("order_id").alias("l_orderkey")), "l_orderkey")
     spot = F.struct(F.col("l_suppkey").alias("playerId"), (F.col("l_suppkey") % 30).alias("teamId"), F.lit(9).alias("sweaterNumber"))
-    p = li.filter("l_linenumber <= 3").groupBy("season", "game_id", "game_date").agg(F.to_json(F.struct(F.collect_list(spot).alias("rosterSpots"))).alias("payload"))
-    current = li.filter("l_linenumber = 5").select("season", "game_id", "game_date", F.col("l_suppkey").alias("player_id"), F.lit(99).cast("bigint").alias("team_id"))
+    p = li.filter("l_linenumber % 3 > 0").groupBy("season", "game_id", "game_date").agg(F.to_json(F.struct(F.collect_list(spot).alias("rosterSpots"))).alias("payload"))
+    current = li.filter("l_linenumber % 3 = 0").select("season", "game_id", "game_date", F.col("l_suppkey").alias("player_id"), F.lit(99).cast("bigint").alias("team_id"))
     players = read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("player_id"), F.col("s_name").alias("full_name"), F.col("s_nationkey").cast("bigint").alias("team_id"))
     status = g.select("game_id", (F.col("game_date") == run_day()).alias("in_play"))
     out = J.payload_roster(p, "struct<rosterSpots: array<struct<playerId: bigint, teamId: bigint, sweaterNumber: int>>>", current, players, status)
@@ -1202,7 +1258,7 @@ FROM k LEFT JOIN part ON p_partkey = one WHERE there OR given"""
 )
 def job_event_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold of active events over two days, with their players' names."""
-    rows = J.event_rows(_play_payloads(spark, sf_dir), PLAYS_DDL).filter("event_id is not null").withColumn("event_idx", F.col("event_id"))
+    rows = _stored_plays(spark, sf_dir).withColumn("event_idx", F.col("event_id"))
     m = (F.col("game_id") % 100000000 + F.col("event_id")) % 7
     players = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("player_id"), F.col("p_name").alias("full_name"))
     ids = ["season", "game_id", "game_date", "event_idx", "event_id"]
@@ -1261,7 +1317,7 @@ def job_event_players(spark: SparkSession, sf_dir: str) -> DataFrame:
     return J.event_players(rows, run_day()).select("game_id", "team_id", "player_id")
 
 
-@query("SELECT 'STRUCT<k: BIGINT>' AS schema_json, count(*) AS n_rows FROM events")
+@query(f"SELECT {_DDL} AS schema_json, (SELECT count(*) FROM events WHERE json_valid(props)) AS n_rows FROM {_FIELDS}")
 def recent_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All payloads by the schema of ten random ones of the last half year."""
     e = read(spark, sf_dir, "events")
