@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -111,6 +113,12 @@ def completeness(*required: str) -> Column:
     return F.round(nulls / len(required), 2)
 
 
+def emptiness(fields: Mapping[str, object], of: int, absent: int = 0) -> Column:
+    """Nulls and placeholders among some fields, and fields that are absent altogether, as a share of `of` fields, decimal(4,2). fields: column to placeholder, or None if it has none."""
+    lacks = lambda c, holder: (F.col(c) if holder is None else F.nullif(F.col(c), F.lit(holder))).isNull().cast("int")
+    return (sum((lacks(c, h) for c, h in fields.items()), F.lit(absent)) / of).cast("decimal(4,2)")
+
+
 def previous_on_change(t_value: Column, s_value: Column, t_previous: Column) -> Column:
     """SCD-3: the old value when it changes, else what was there; null where it equals the new one."""
     moved = F.when(t_value.isNotNull() & s_value.isNotNull() & (t_value != s_value), t_value).otherwise(t_previous)

@@ -114,8 +114,8 @@ def scrape_plan(seasons: DataFrame, run: Column, *keep: str) -> DataFrame:
 
 
 def game_status(events: DataFrame, games: DataFrame, run: Column, current_season: Column) -> DataFrame:
-    """game_id, ended, in_play. A game has ended by an end event, or by its season or date."""
-    ends = events.groupBy("game_id").agg(F.max(F.when(F.col("event_type") == "game-end", 1)).alias("e"))
+    """game_id, ended, in_play. A game has ended by an end event in its third period or later, or by its season."""
+    ends = events.filter("period >= 3").groupBy("game_id").agg(F.max(F.when(F.lower("event_type") == "game-end", 1)).alias("e"))
     g = games.join(ends, "game_id", "left").select("game_id", "game_date", F.coalesce(F.col("e"), F.when(F.col("season") < current_season, 1), F.lit(0)).cast("boolean").alias("ended"))
     return g.withColumn("in_play", ~F.col("ended") & (F.col("game_date") == run)).drop("game_date")
 

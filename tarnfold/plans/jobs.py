@@ -6,12 +6,14 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarnfold.functions import values as V
 from tarnfold.functions.compare import any_of, as_text, failed_conditions, null_safe, plain, skip_null, unless_source_null
 from tarnfold.operators.merge import Delete, Insert, Merged, Update, merge
 from tarnfold.operators.rows import best_row, lookup, one_each, unpivot_roles
-from tarnfold.operators.shred import build_fields, sides, unpack_list
+from tarnfold.operators.shred import build_fields, joined_lists, parsed, sides, targets, unpack_list, with_unused
+from tarnfold.sources.schemas import infer
 
 
 def schedule_rows(payloads: DataFrame, schema: str) -> DataFrame:
@@ -241,6 +243,12 @@ def shift_rows(payloads: DataFrame, schema: str) -> DataFrame:
     return rows.withColumns({"season": V.season_of_game(F.col("game_id")), "duration": F.coalesce(V.blank_to_null(F.col("duration")), F.lit("00:00")), "start_seconds": clock("start_time"), "end_seconds": clock("end_time")})
 
 
+def named_shifts(shifts: DataFrame, players: DataFrame) -> DataFrame:
+    """Shifts with their players' name, position and side. players: player_id, player_name, player_pos, shoots_catches."""
+    values = {c: c for c in ("player_name", "player_pos", "shoots_catches")}
+    return lookup(shifts.drop(*values), players, {"player_id": "player_id"}, values)
+
+
 def shift_roster(shifts: DataFrame) -> DataFrame:
     return one_each(shifts.filter("player_id is not null").select("season", "player_id", "game_id"), ["season", "player_id", "game_id"])
 
@@ -344,6 +352,42 @@ def payload_roster(payloads: DataFrame, schema: str, current: DataFrame, players
     return named.withColumns({"team_id_prev_team": moved, "game_in_play": F.coalesce("game_in_play", F.lit(False))}).drop("_team")
 
 
+ROSTER_LISTS = ("forwards", "defensemen", "goalies")
+ROSTER_RULES: dict[str, object] = {
+    # Source field of a roster's player, name and type of its column.
+    "id": {"target": "player_id", "type": "bigint"},
+    "firstName.default": _text("first_name"),
+    "lastName.default": _text("last_name"),
+    "positionCode": _text("player_pos", upper=True),
+    "sweaterNumber": {"target": "jersey_num", "type": "int"},
+    "shootsCatches": _text("shoots_catches", upper=True),
+    "birthDate": {"target": "birth_dte", "type": "date", "trim": True},
+    "birthCountry": _text("birth_country"),
+    "heightInInches": {"target": "height_inches", "type": "int"},
+    "weightInPounds": {"target": "weight_lbs", "type": "int"},
+    "headshot": _text("headshot"),
+}
+
+
+def current_rosters(payloads: DataFrame, schema: str | None = None) -> DataFrame:
+    """Rosters of the day, one row for each game and player: three lists in one pass, texts trimmed, dates and numbers cast.
+
+    payloads: game_id, team_id, request_key (the team's abbreviation), payload. A text that is no date or
+    number is null. unused_fields names what the lists have beside the fields that are read.
+    """
+    keep = ["game_id", "team_id", "request_key"]
+    read_in = parsed(payloads, schema or infer(payloads))
+    found = [c for c in ROSTER_LISTS if c in read_in.schema["json"].dataType.fieldNames()]
+    players = joined_lists(read_in.select(*keep, *[F.col(f"json.{c}").alias(c) for c in found]), keep, *found)
+    rows = players.select(*keep, *build_fields(players, ROSTER_RULES)).filter("player_id is not null")
+    rows = with_unused(rows, T.StructType([f for f in players.schema if f.name not in keep]), list(ROSTER_RULES))
+    return one_each(rows, ["game_id", "player_id"]).select(
+        V.season_of_game(F.col("game_id")).cast("int").alias("season"), "game_id", "team_id", F.upper(F.trim("request_key")).alias("team_abbrev"), "player_id",
+        F.nullif(F.concat_ws(" ", "first_name", "last_name"), F.lit("")).alias("player_name"),
+        *[c for c in targets(ROSTER_RULES) if c not in ("player_id", "first_name", "last_name")], F.lit(True).alias("is_active"), "unused_fields", "unused_count",
+    )
+
+
 def gold_merge(target: DataFrame, silver: DataFrame, keys: Sequence[str], texts: Sequence[str], now: Column) -> Merged:
     """A narrow projection of silver: texts that differ by more than case and blanks; a null source is no news."""
     changed = lambda t, s: any_of({c: as_text(t(c), F.coalesce(s(c), t(c))) for c in texts})

@@ -10,14 +10,50 @@ from pyspark.sql import functions as F
 from tarnfold.functions import values as V
 from tarnfold.functions.compare import any_of, failed_conditions, null_as, null_safe, plain, unless_sentinel, unless_source_null
 from tarnfold.operators.merge import Insert, Merged, Update, merge, upsert
-from tarnfold.operators.rows import best_row, lookup
-from tarnfold.operators.shred import build_fields, unpack_list
+from tarnfold.operators.rows import best_row, latest, lookup
+from tarnfold.operators.shred import build_fields, unpack_list, valid_payloads
 
 NO_DATE = dt.date(1900, 1, 1)
 
 # ---------------------------------------------------------------- players
 
 
+PLAYER_RULES: dict[str, object] = {
+    # Source field of a player, name and type of its column.
+    "playerId": "bigint",
+    "name": {"target": "full_name", "type": "string", "trim": True},
+    "positionCode": {"type": "string", "trim": True},
+    "teamId": "bigint",
+    "teamAbbrev": {"type": "string", "trim": True, "upper": True},
+    "lastTeamId": {"target": "team_id_prev_team", "type": "bigint"},
+    "lastTeamAbbrev": {"target": "team_abbrev_prev_team", "type": "string", "trim": True, "upper": True},
+    "lastSeasonId": {"target": "last_active_season", "type": "int"},
+    "sweaterNumber": {"target": "jersey_num", "type": "int"},
+    "active": {"target": "is_active", "type": "boolean"},
+}
+
+
+def player_rows(payloads: DataFrame, schema: str | None = None) -> DataFrame:
+    """Players of search responses by the field map; of several responses to a request the latest counts. A field that no response has is a typed null."""
+    rows = unpack_list(_latest_valid(payloads), "data", schema)
+    return rows.select(*build_fields(rows, PLAYER_RULES))
+
+
+def summary_sides(payloads: DataFrame, schema: str | None = None) -> DataFrame:
+    """player_id and shoots_catches of a kind of summary."""
+    rows = unpack_list(_latest_valid(payloads), "data", schema)
+    return rows.select(*build_fields(rows, {"playerId": "bigint", "shootsCatches": {"type": "string", "trim": True}}))
+
+
+def _latest_valid(payloads: DataFrame) -> DataFrame:
+    return latest(valid_payloads(payloads), ["endpoint", "request_key"], "ingest_ts_utc", "payload")
+
+
+def master_of_payloads(search: DataFrame, skaters: DataFrame, goalies: DataFrame) -> DataFrame:
+    """The player master from landed responses: search results, and the summaries that know a player's side."""
+    return player_master(player_rows(search), catching_sides(summary_sides(skaters), summary_sides(goalies)))
+
+
 def catching_sides(skaters: DataFrame, goalies: DataFrame) -> DataFrame:
     """player_id and shoots_catches of both kinds of summaries; of several sides the least."""
     both = skaters.select("player_id", "shoots_catches").unionByName(goalies.select("player_id", "shoots_catches"))
@@ -29,7 +65,7 @@ def player_master(players: DataFrame, sides: DataFrame) -> DataFrame:
     required = ("player_id", "full_name", "team_id", "team_abbrev", "last_active_season", "is_active")
     rows = lookup(players, sides, {"player_id": "player_id"}, {"shoots_catches": "shoots_catches"})
     rows = rows.withColumns({"position_category": V.position_category(F.col("position_code")), "empty_rate": V.completeness(*required)})
-    return best_row(rows.filter("player_id is not null"), ["player_id"], F.col("is_active").desc_nulls_last(), F.col("empty_rate"), F.col("team_id").asc_nulls_last())
+    return best_row(rows.filter("player_id is not null"), ["player_id"], F.col("is_active").desc_nulls_last(), F.col("empty_rate"), F.col("team_id").asc_nulls_last(), F.col("position_category"), F.col("full_name"), F.col("team_abbrev"))
 
 
 def player_merge(target: DataFrame, source: DataFrame, now: Column) -> Merged:
@@ -71,12 +107,21 @@ def player_merge(target: DataFrame, source: DataFrame, now: Column) -> Merged:
     return upsert(target, source, ["player_id"], differs, now, made={f"team_{p}_prev_team": given(p) for p in ("id", "abbrev")}, changed=changed)
 
 
+# What a refresh looks for in a roster row, with the placeholder that stands for nothing.
+REFRESHED: dict[str, object] = {"position_code": "u", "team_id_prev_team": None, "team_abbrev_prev_team": None, "jersey_num": 999, "shoots_catches": "u"}
+
+
 def player_refresh(target: DataFrame, rosters: DataFrame, now: Column) -> Merged:
     """Players from their latest roster rows: placeholders are no news, null is no news, and a team moves to the previous one.
 
     Placeholders are 999 for teams and jerseys and u for positions and sides. Columns that the
-    rosters or the target lack have no part in it.
+    rosters or the target lack have no part in it. A target's empty_rate becomes the roster row's
+    share of nulls and placeholders: REFRESHED of sixteen fields.
     """
+    rated = "empty_rate" in target.columns
+    if rated:
+        given = {c: h for c, h in REFRESHED.items() if c in rosters.columns}
+        rosters = rosters.withColumn("empty_rate", V.emptiness(given, 16, len(REFRESHED) - len(given)))
     placeholders = {"team_id": 999, "jersey_num": 999, "shoots_catches": "u", "position_code": "u"}
     holders = {c: p for c, p in placeholders.items() if c in target.columns and c in rosters.columns}
     said = lambda c, t, s: F.coalesce(F.nullif(s(c), F.lit(holders[c])), t(c))
@@ -88,6 +133,8 @@ def player_refresh(target: DataFrame, rosters: DataFrame, now: Column) -> Merged
     }
     if "failed_condition" in target.columns:
         new["failed_condition"] = lambda t, s: failed_conditions(news(t, s))
+    if rated:
+        new["empty_rate"] = lambda t, s: s("empty_rate")
     made = {c: (lambda t, s, c=c: F.nullif(s(c), F.lit(holders[c]))) for c in holders} | {"insert_dte": lambda t, s: now}
     return merge(target, rosters, ["player_id"], [Update(new, lambda t, s: any_of(news(t, s)))], [Insert(made)])
 

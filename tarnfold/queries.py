@@ -631,14 +631,14 @@ def plan_every_15th(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {GAMES}, e AS (SELECT l_orderkey AS order_id, max(CASE WHEN l_returnflag = 'R' THEN 1 END) AS e FROM lineitem GROUP BY 1)
+    f"""WITH {GAMES}, e AS (SELECT l_orderkey AS order_id, max(CASE WHEN l_returnflag = 'R' AND l_linenumber % 5 + 1 >= 3 THEN 1 END) AS e FROM lineitem GROUP BY 1)
 SELECT game_id, CAST(coalesce(e, CASE WHEN season < 20012002 THEN 1 END, 0) AS BOOLEAN) AS ended, NOT CAST(coalesce(e, CASE WHEN season < 20012002 THEN 1 END, 0) AS BOOLEAN) AND game_date = DATE '{RUN}' AS in_play FROM games LEFT JOIN e USING (order_id)"""
 )
 def plan_game_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Games that have ended, and those in play."""
     g = games(spark, sf_dir)
     ids = g.select("game_id", F.col("order_id").alias("l_orderkey"))
-    events = read(spark, sf_dir, "lineitem").join(ids, "l_orderkey").select("game_id", F.when(F.col("l_returnflag") == "R", "game-end").otherwise("play").alias("event_type"))
+    events = read(spark, sf_dir, "lineitem").join(ids, "l_orderkey").select("game_id", (F.col("l_linenumber") % 5 + 1).alias("period"), F.when(F.col("l_returnflag") == "R", "game-end").otherwise("play").alias("event_type"))
     return P.game_status(events, g, run_day(), F.lit(20012002))
 
 
@@ -854,16 +854,22 @@ def job_roster_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return J.roster_union(first, li.select("season", "game_id", "player_id"), bios).select("game_id", "player_id", "full_name")
 
 
-@query("SELECT n_nationkey, s_suppkey AS player_id, s_name AS last_name FROM supplier JOIN nation ON s_nationkey = n_nationkey")
+@query(
+    f"""WITH {GAMES} SELECT season, game_id, team_id, 'T' || team_id AS team_abbrev, s_suppkey AS player_id, trim(s_name) || ' Jr' AS player_name, 'C' AS player_pos, CAST(s_suppkey % 99 AS INT) AS jersey_num,
+  CASE WHEN s_suppkey % 4 > 0 THEN DATE '1990-01-01' + CAST(s_suppkey % 3000 AS INT) END AS birth_dte, true AS is_active, 'nick' AS unused_fields FROM supplier JOIN games ON order_id % 1000 = s_suppkey % 1000""", "birth_dte")
 def job_roster_shred(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Players of three lists as rows."""
-    s = read(spark, sf_dir, "supplier")
-    one = lambda m: F.collect_list(F.when(F.col("s_suppkey") % 3 == m, F.struct(F.col("s_suppkey").alias("id"), F.concat(F.lit(" "), "s_name").alias("lastName"))))
-    p = s.groupBy("s_nationkey").agg(one(0).alias("forwards"), one(1).alias("defensemen"), one(2).alias("goalies")).join(read(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-    p = p.select("n_nationkey", F.to_json(F.struct("forwards", "defensemen", "goalies")).alias("payload"))
-    item = "array<struct<id: bigint, lastName: string>>"
-    rows = S.joined_lists(S.parsed(p, f"struct<forwards: {item}, defensemen: {item}, goalies: {item}>").select("n_nationkey", "json.*"), ["n_nationkey"], "forwards", "defensemen", "goalies")
-    return rows.select("n_nationkey", *S.build_fields(rows, {"id": {"target": "player_id", "type": "bigint"}, "lastName": {"type": "string", "trim": True}}))
+    """Rosters of the day, players of three lists as rows with trimmed texts, dates and numbers; a text that is no date is null."""
+    i = F.col("s_suppkey")
+    born = F.when(i % 4 == 0, "soon").otherwise(F.concat(F.lit(" "), F.date_add(F.lit("1990-01-01").cast("date"), (i % 3000).cast("int")).cast("string")))
+    player = F.struct(
+        i.alias("id"), F.struct(F.concat(F.lit(" "), "s_name").alias("default")).alias("firstName"), F.struct(F.lit("Jr ").alias("default")).alias("lastName"), F.lit(" c").alias("positionCode"),
+        (i % 99).cast("string").alias("sweaterNumber"), born.alias("birthDate"), F.lit("x").alias("nick"),
+    )
+    one = lambda m: F.collect_list(F.when(i % 3 == m, player))
+    lists = read(spark, sf_dir, "supplier").groupBy((i % 1000).alias("part")).agg(one(0).alias("forwards"), one(1).alias("defensemen"), one(2).alias("goalies"))
+    p = games(spark, sf_dir).join(lists, F.col("order_id") % 1000 == F.col("part"))
+    p = p.select("game_id", "team_id", F.concat(F.lit(" t"), F.col("team_id").cast("string")).alias("request_key"), F.to_json(F.struct("forwards", "defensemen", "goalies")).alias("payload"))
+    return J.current_rosters(p).select("season", "game_id", "team_id", "team_abbrev", "player_id", "player_name", "player_pos", "jersey_num", "birth_dte", "is_active", "unused_fields")
 
 
 @written
@@ -897,6 +903,14 @@ def job_shifts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("season").cast("int").alias("season"), "game_id", "team_id", "shift_id", "player_id", "team_abbrev", "duration", "start_seconds", "end_seconds")
 
 
+@query(_SHIFTS + " SELECT game_id, shift_id, player_id, s_name AS player_name, CASE WHEN s_suppkey % 2 = 0 THEN 'D' END AS player_pos, CASE WHEN s_suppkey IS NOT NULL THEN 'L' END AS shoots_catches FROM sh LEFT JOIN supplier ON s_suppkey = player_id AND s_suppkey % 10 > 0")
+def job_shift_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shifts with what the master knows of their players; those it lacks have nulls."""
+    i = F.col("s_suppkey")
+    players = read(spark, sf_dir, "supplier").filter(i % 10 > 0).select(i.alias("player_id"), F.col("s_name").alias("player_name"), F.when(i % 2 == 0, "D").alias("player_pos"), F.lit("L").alias("shoots_catches"))
+    return J.named_shifts(_stored_shifts(spark, sf_dir), players).select("game_id", "shift_id", "player_id", "player_name", "player_pos", "shoots_catches")
+
+
 @query(_SHIFTS + " SELECT count(*) AS n_rows, count(*) FILTER (end_seconds IS NULL) AS n_bad, (SELECT count(*) FROM (SELECT DISTINCT game_id, player_id FROM sh)) AS n_roster FROM sh")
 def job_shift_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shifts with missing parts, and the roster that shifts show."""
@@ -1009,34 +1023,45 @@ def job_special_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """WITH p AS (SELECT o_custkey AS player_id, o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_clerk END AS full_name, CASE o_orderstatus WHEN 'F' THEN 'C' WHEN 'O' THEN 'D' ELSE 'G' END AS position_code, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderkey END AS team_id, o_orderkey % 2 = 0 AS is_active FROM (SELECT *, o_orderpriority AS o_clerk FROM orders)),
-r AS (SELECT *, round(((full_name IS NULL)::INT + (team_id IS NULL)::INT + (o_orderkey % 5 = 0)::INT) / 6.0, 2) AS empty_rate FROM p), n AS (SELECT *, row_number() OVER (PARTITION BY player_id ORDER BY is_active DESC, empty_rate, team_id NULLS LAST) AS rn FROM r)
-SELECT player_id, is_active, CAST(empty_rate AS DOUBLE) AS empty_rate, team_id, CASE position_code WHEN 'C' THEN 'F' ELSE position_code END AS position_category, c_mktsegment AS shoots_catches FROM n LEFT JOIN customer ON c_custkey = player_id WHERE rn = 1 AND team_id IS NOT NULL"""
+r AS (SELECT *, round(((full_name IS NULL)::INT + (team_id IS NULL)::INT + (o_orderkey % 5 = 0)::INT) / 6.0, 2) AS empty_rate FROM p), n AS (SELECT *, row_number() OVER (PARTITION BY player_id ORDER BY is_active DESC, empty_rate, team_id NULLS LAST, replace(position_code, 'C', 'F') NULLS FIRST, full_name NULLS FIRST) AS rn FROM r)
+SELECT player_id, is_active, CAST(empty_rate AS DOUBLE) AS empty_rate, team_id, CASE position_code WHEN 'C' THEN 'F' ELSE position_code END AS position_category, c_mktsegment AS shoots_catches FROM n LEFT JOIN customer ON c_custkey = player_id WHERE rn = 1"""
 )
 def job_player_master(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The best row of each player."""
+    """Landed search results and summaries to the best row of each player; an older response to a request counts no more."""
     o = read(spark, sf_dir, "orders")
     k, st = F.col("o_orderkey"), F.col("o_orderstatus")
-    p = o.select(F.col("o_custkey").alias("player_id"), F.when(k % 4 != 0, F.col("o_orderpriority")).alias("full_name"), F.when(st == "F", "c").when(st == "O", "D").otherwise("g").alias("position_code"), F.when(k % 5 != 0, "ABC").alias("team_abbrev"), F.lit(19992000).alias("last_active_season"), F.when(k % 3 != 0, k).alias("team_id"), (k % 2 == 0).alias("is_active"))
-    c = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("player_id"), F.col("c_mktsegment").alias("shoots_catches"))
-    return H.player_master(p, H.catching_sides(c.filter("player_id % 2 = 0"), c.filter("player_id % 2 = 1"))).filter("team_id is not null").select("player_id", "is_active", "empty_rate", "team_id", "position_category", "shoots_catches")
+    text = lambda c: F.concat(F.lit(" "), c, F.lit(" "))
+    player = F.struct(
+        F.col("o_custkey").cast("string").alias("playerId"), F.when(k % 4 != 0, text(F.col("o_orderpriority"))).alias("name"), F.when(st == "F", "c").when(st == "O", "D").otherwise("g").alias("positionCode"),
+        F.when(k % 5 != 0, " abc").alias("teamAbbrev"), F.lit("19992000").alias("lastSeasonId"), F.when(k % 3 != 0, k.cast("string")).alias("teamId"), (k % 2 == 0).alias("active"), F.lit(72).alias("heightInInches"),
+    )
+    landed = lambda df, name, payload, at: envelope(df, "key", payload, name).withColumn("ingest_ts_utc", F.lit(at).cast("timestamp"))
+    listed = F.to_json(F.struct(F.collect_list(player).alias("data")))
+    per = o.groupBy((k % 97).alias("key")).agg(listed.alias("payload"))
+    search = landed(per, "search", F.col("payload"), NOW).unionByName(landed(per, "search", F.regexp_replace("payload", '"name":', '"was":'), "2001-07-29 18:00:00"))
+    c = read(spark, sf_dir, "customer")
+    side = F.struct(F.col("c_custkey").alias("playerId"), F.col("c_mktsegment").alias("shootsCatches"))
+    summary = lambda odd: landed(c.filter(F.col("c_custkey") % 2 == odd).groupBy((F.col("c_custkey") % 31).alias("key")).agg(F.to_json(F.struct(F.collect_list(side).alias("data"))).alias("payload")), f"summary {odd}", F.col("payload"), NOW)
+    return H.master_of_payloads(search, summary(0), summary(1)).select("player_id", "is_active", "empty_rate", "team_id", "position_category", "shoots_catches")
 
 
 @query(
     """WITH s AS (SELECT o_custkey AS player_id, arg_max(CASE WHEN o_orderkey % 5 = 0 THEN 999 ELSE o_orderkey % 30 END, o_orderkey) AS team, max(CAST(year(o_orderdate) AS INT)) AS season FROM orders GROUP BY 1),
 j AS (SELECT c_custkey, CAST(c_nationkey AS BIGINT) AS old, s.*, CASE WHEN team = 999 OR team IS NULL THEN c_nationkey ELSE team END AS new FROM customer LEFT JOIN s ON player_id = c_custkey)
 SELECT c_custkey AS player_id, CAST(new AS BIGINT) AS team_id, CASE WHEN new <> old THEN old END AS team_id_prev_team, CAST(CASE WHEN new <> old OR shirt THEN greatest(season, 1990) ELSE 1990 END AS INT) AS last_season,
-  CASE WHEN shirt OR c_custkey % 3 = 0 THEN 8 ELSE 7 END AS jersey_num, nullif(concat_ws(', ', CASE WHEN new <> old THEN 'team_id' END, CASE WHEN shirt THEN 'jersey_num' END), '') AS failed_condition
+  CASE WHEN shirt OR c_custkey % 3 = 0 THEN 8 ELSE 7 END AS jersey_num, nullif(concat_ws(', ', CASE WHEN new <> old THEN 'team_id' END, CASE WHEN shirt THEN 'jersey_num' END), '') AS failed_condition,
+  CAST(CASE WHEN new <> old OR shirt THEN round((4 + CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END) / 16.0 + 1e-9, 2) ELSE 0.5 END AS DOUBLE) AS empty_rate
 FROM (SELECT *, player_id IS NOT NULL AND c_custkey % 2 = 1 AND c_custkey % 3 > 0 AS shirt FROM j)"""
 )
 def job_player_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Players from their latest roster rows; a team that changes moves to the previous one."""
     c = read(spark, sf_dir, "customer")
-    target = c.select(F.col("c_custkey").alias("player_id"), F.col("c_nationkey").cast("bigint").alias("team_id"), F.lit(None).cast("bigint").alias("team_id_prev_team"), F.lit("C").alias("position_code"), F.when(F.col("c_custkey") % 3 == 0, 8).otherwise(7).alias("jersey_num"), F.lit(None).cast("string").alias("failed_condition"), F.lit(1990).alias("last_season"), now().alias("insert_dte"), F.lit(None).cast("timestamp").alias("update_dte"))
+    target = c.select(F.col("c_custkey").alias("player_id"), F.col("c_nationkey").cast("bigint").alias("team_id"), F.lit(None).cast("bigint").alias("team_id_prev_team"), F.lit("C").alias("position_code"), F.when(F.col("c_custkey") % 3 == 0, 8).otherwise(7).alias("jersey_num"), F.lit(None).cast("string").alias("failed_condition"), F.lit(0.5).cast("decimal(4,2)").alias("empty_rate"), F.lit(1990).alias("last_season"), now().alias("insert_dte"), F.lit(None).cast("timestamp").alias("update_dte"))
     o = read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("player_id"), "o_orderkey", F.when(F.col("o_orderkey") % 5 == 0, 999).otherwise(F.col("o_orderkey") % 30).alias("team_id"), F.year("o_orderdate").alias("y"))
     seasons = o.groupBy("player_id").agg(F.max("y").alias("last_season"))
     source = R.latest(o, ["player_id"], "o_orderkey").join(seasons, "player_id").select("player_id", "team_id", F.lit("u").alias("position_code"), F.when(F.col("player_id") % 2 == 0, 999).otherwise(8).alias("jersey_num"), "last_season")
     known = source.join(target.select("player_id"), "player_id", "left_semi")
-    return H.player_refresh(target, known, now()).table.select("player_id", "team_id", "team_id_prev_team", "last_season", "jersey_num", "failed_condition")
+    return H.player_refresh(target, known, now()).table.select("player_id", "team_id", "team_id_prev_team", "last_season", "jersey_num", "failed_condition", F.col("empty_rate").cast("double").alias("empty_rate"))
 
 
 @query(

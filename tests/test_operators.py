@@ -135,7 +135,8 @@ def test_inference_over_all_rows_and_samples(spark):
     df = table(spark, "endpoint string, payload string", ("a", '{"x":1}'), ("a", '{"x":2,"y":{"z":null}}'), ("a", "broken"), ("a", None))
     assert I.infer(df) == "STRUCT<x: BIGINT, y: STRUCT<z: STRING>>"
     assert I.infer_fraction(df, 0.000001) == I.infer(df)
-    assert I.infer_random(df, 10) == I.infer(df) == I.infer_rows(df, 1.0)
+    assert I.infer_random(df, 10) == I.infer(df)
+    assert as_set(I.infer_rows(df, 10, "endpoint")) == {("a", I.infer(df))}
     assert S.parsed(df, I.infer(df)).filter("json.y is not null").count() == 1
 
 
@@ -197,3 +198,121 @@ def test_schema_of_recent_random_rows(spark):
     day = lambda d: dt.datetime.fromisoformat(d)
     df = table(spark, "payload string, ingest_ts_utc timestamp", ('{"a":1}', day("2024-05-01")), ('{"b":1}', day("2024-06-30")), ('{"c":1}', day("2023-01-01")), (None, day("2024-06-01")))
     assert I.infer_recent(df, F.lit("2024-06-30").cast("date")) == "STRUCT<a: BIGINT>"
+
+
+# ---------------------------------------------------------------- trees and samples
+
+
+def test_child_tables_of_arrays_side_by_side_and_within(spark):
+    ddl = "id int, game struct<name: string, marks: array<int>>, plays array<struct<n: int, info: struct<who: array<struct<name: string>>>>>, spots array<struct<p: int>>"
+    df = table(spark, ddl, (1, ("a", [5, None]), [(1, ([("x",), ("y",)],)), None, (2, (None,))], [(7,), (8,), (9,)]), (2, None, [], None))
+    made = S.child_tables(df, ["id"])
+    assert sorted(made) == ["game_marks", "plays", "plays_info_who", "rows", "spots"]
+    assert as_set(made["rows"]) == {(1, "a"), (2, None)} and made["rows"].columns == ["id", "game_name"]
+    assert as_set(made["game_marks"]) == {(1, 0, 5), (1, 1, None)} and made["game_marks"].columns == ["id", "game_marks_pos", "value"]
+    assert as_set(made["plays"]) == {(1, 0, 1), (1, 1, None), (1, 2, 2)}
+    assert as_set(made["plays_info_who"]) == {(1, 0, 0, "x"), (1, 0, 1, "y")} and made["plays_info_who"].columns == ["id", "plays_pos", "info_who_pos", "name"]
+    assert as_set(made["spots"]) == {(1, 0, 7), (1, 1, 8), (1, 2, 9)}
+    assert S.child_tables(table(spark, "id int, m array<array<int>>", (1, [[1, 2], []])), ["id"])["m_value"].count() == 2
+    with pytest.raises(ValueError, match="fall together"):
+        S.child_tables(table(spark, "id int, a struct<x: int>, b struct<x: int>"), ["id"], prefix=False)
+    with pytest.raises(ValueError, match="fall together"):
+        S.child_tables(table(spark, "id int, a array<struct<id: int>>"), ["id"])
+
+
+def test_widened_types_hold_both_sides():
+    of = T.DataType.fromDDL
+    cases = [
+        ("a int, b struct<x: date>", "b struct<x: timestamp, y: string>, c array<int>", "a int, b struct<x: timestamp, y: string>, c array<int>"),
+        ("a bigint", "a int", "a bigint"), ("a int", "a double", "a double"), ("a boolean", "a int", "a string"), ("a struct<x: int>", "a array<int>", "a string"),
+        ("a decimal(5,2)", "a decimal(9,4)", "a decimal(9,4)"), ("a decimal(9,0)", "a decimal(5,4)", "a double"), ("a array<struct<n: int>>", "a array<struct<n: string, m: int>>", "a array<struct<n: string, m: int>>"),
+        ("a string", "a struct<x: int>", "a string"),
+    ]
+    for stored, current, wide in cases:
+        assert I.widened(of(stored), of(current)).simpleString() == of(wide).simpleString(), (stored, current)
+        assert I.widened(of(wide), of(current)).simpleString() == of(wide).simpleString()  # a second check finds nothing
+
+
+def test_drift_paths_and_what_the_stored_schema_takes_up(spark):
+    audit = lambda *rows: table(spark, "table_name string, endpoint string, schema_json string", *rows)
+    stored, current = audit(("t", "e", "a INT, b STRING, c STRUCT<x: BIGINT, y: INT>, d BOOLEAN"), ("t", "gone", "a INT")), audit(("t", "e", "a BIGINT, b INT, c STRUCT<x: BIGINT, z: ARRAY<DOUBLE>>, d INT"), ("t", "new", "a INT"))
+    assert as_set(I.drift_paths(stored, current)) == {
+        ("t", "e", "a", "widened", "int", "bigint"), ("t", "e", "b", "narrowed", "string", "int"), ("t", "e", "c.y", "removed", "int", None),
+        ("t", "e", "c.z[]", "added", None, "double"), ("t", "e", "d", "retyped", "boolean", "int"),
+    }
+    assert I.drift_paths(stored, stored).count() == 0 and I.drift_paths(stored.limit(0), current).count() == 0
+    noted = stored.withColumns({"schema_hash": F.sha2("schema_json", 256), "schema_drift_ind": F.lit(False), "last_check_dte": F.lit(None).cast("timestamp")})
+    at = F.lit("2024-01-01").cast("timestamp")
+    one = I.widen_stored(noted, current, at)
+    assert as_set(one.select("endpoint", "schema_json", "schema_drift_ind")) == {("e", "struct<a:bigint,b:string,c:struct<x:bigint,y:int,z:array<double>>,d:string>", True), ("gone", "struct<a:int>", False), ("new", "struct<a:int>", False)}
+    again = I.widen_stored(one, current, at)
+    assert as_set(again.select("endpoint", "schema_drift_ind")) == {("e", False), ("gone", False), ("new", False)}
+
+
+@pytest.mark.parametrize("n", [3, 1500])
+def test_samples_have_exactly_n_rows_of_each_group_and_are_repeatable(spark, n):
+    df = spark.range(8000).select(F.when(F.col("id") % 4 > 0, "hot").when(F.col("id") % 8 == 0, "cold").alias("endpoint"), F.col("id").cast("string").alias("payload")).union(table(spark, "e string, p string", ("rare", "1")))
+    one, two = (I.sample_rows(df.repartition(k), ["endpoint"], n) for k in (3, 7))
+    assert as_set(one) == as_set(two) and {r.endpoint: r["count"] for r in one.groupBy("endpoint").count().collect()} == {"hot": n, "cold": min(n, 1000), None: min(n, 1000), "rare": 1}
+    assert as_set(one) != as_set(I.sample_rows(df, ["endpoint"], n, seed=5))
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan if n < 1000 else plan.count("hashpartitioning(endpoint") >= 2
+    assert as_set(I.infer_rows(table(spark, "endpoint string, payload string", ("a", '{"x":1}'), ("a", None), ("b", '{"y":"t"}')), 1, "endpoint")) == {("a", "STRUCT<x: BIGINT>"), ("b", "STRUCT<y: STRING>")}
+
+
+def test_maps_with_more_keys_than_columns_may_be_are_refused(spark):
+    df = table(spark, "m array<map<string,string>>", ([{"a": "1"}, {"b": "2"}],))
+    assert S.map_to_wide(df, "m", most=2).columns == ["a", "b"]
+    with pytest.raises(ValueError, match="more than 1 keys"):
+        S.map_to_wide(df, "m", most=1)
+
+
+# ---------------------------------------------------------------- jobs
+
+
+def test_late_games_are_read_again_and_older_ones_are_not(spark):
+    from tarnfold.plans import gold as G
+
+    day = dt.date
+    loaded = table(spark, "game_id bigint, game_date date", (2023020001, day(2024, 1, 1)), (2023020002, day(2024, 1, 8)), (2023020003, day(2024, 1, 9)), (2023020004, None))
+    one = lambda n, status=200, total=1, endpoint="powerplay": (endpoint, f"{n} {status} {total}", status, f'{{"data":[{{"gameId":202302000{n},"ppGoals":{n}}}],"total":{total}}}')
+    payloads = table(spark, "endpoint string, request_key string, http_status int, payload string", one(1), one(2), one(3), one(4), one(5), one(6, 500), one(7, 200, 0), one(8, endpoint="powerplaytime"))
+    got = G.special_rows(payloads, loaded, "struct<data: array<struct<gameId: bigint, ppGoals: bigint>>>", G.TOPICS["pp_stats"], F.lit("2024-01-10").cast("date"))
+    assert {r.game_id % 10 for r in got.collect()} == {2, 3, 4, 5}  # a loaded game without a date is no old one
+
+
+def test_unlisted_players_are_roster_gaps(spark):
+    rows = [(1, 1, "goal", 5, 6, 7), (1, 1, "goal", 7, None, 5), (1, 1, "game-end", 9, 9, 7), (1, 2, None, 5, 6, None)]
+    events = table(spark, "season int, game_id int, event_type string, a bigint, b bigint, listed bigint", *rows)
+    roles = R.unpivot_roles(events, ["season", "game_id", "event_type"], ["a", "b"])
+    roster = events.select("season", "game_id", F.col("listed").alias("player_id")).filter("player_id is not null")
+    assert as_set(J.unlisted_players(events, ["a", "b"], "listed", ["game-end"])) == as_set(J.roster_gaps(roles, roster, ["game-end"])) == {(1, 1, 6), (1, 2, 5), (1, 2, 6)}
+
+
+def test_emptiness_counts_nulls_placeholders_and_absent_fields(spark):
+    df = table(spark, "a string, b int", ("u", 1), (None, 999), ("x", None), ("x", 1))
+    assert [str(r[0]) for r in df.select(V.emptiness({"a": "u", "b": 999}, 16, 1)).collect()] == ["0.13", "0.19", "0.13", "0.06"]
+
+
+# ---------------------------------------------------------------- health
+
+
+def test_health_as_state_is_that_of_the_batch_after_restarts(spark, tmp_path):
+    import random
+
+    from tarnfold.streaming import health as H
+
+    rnd = random.Random(3)
+    rows = [(rnd.choice("aab"), str(i), rnd.choice([200, 200, 429, 500, None]), dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i)) for i in range(200)]
+    ddl = "endpoint string, request_key string, http_status int, ingest_ts_utc timestamp"
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", H.PROVIDER)
+    try:
+        for part in (rows[:3], rows[3:90], rows[90:]):
+            table(spark, ddl, *part).write.mode("append").parquet(f"{tmp_path}/in")
+            rated = H.request_health_stream(spark.readStream.schema(ddl).parquet(f"{tmp_path}/in"), last=7)
+            rated.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    tidy = lambda df: {(r.request_key, r.seen, round(r.rate_429, 6), round(r.rate_retryable, 6), round(r.rate_error, 6), r.advice) for r in df.collect()}
+    got, expected = spark.read.parquet(f"{tmp_path}/out"), E.request_health(table(spark, ddl, *rows), last=7)
+    assert tidy(got) == tidy(expected) and got.count() == len(rows)
