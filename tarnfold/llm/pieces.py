@@ -124,7 +124,7 @@ class Merges:
         self.pieces, self.remember, self.known = pieces, remember, {}
         names, n = list(pieces.id_of), len(pieces.id_of)
         at = {name: i for i, name in enumerate(names)}
-        self.of = at
+        self.of, self.names = at, names
         #: By number of a piece, the last number standing for any character without one: id, length, rank of the merge that makes it (-1: none), its two parts.
         self.ids = np.array([*pieces.id_of.values(), -1], np.int32)
         self.length = np.array([*map(len, names), 1], np.int16)
@@ -208,20 +208,56 @@ class Merges:
             a, b = np.where(first, self.right[a], a), np.where(first, b, self.left[b])
         return ok
 
-    def encode(self, words: list[str]) -> list[bytes]:
-        """Ids of words, all at once: merged_stream's steps, each for all words that reach its position.
+    #: Positions that a round goes on before ways are followed back, and stretches below which each is streamed by itself.
+    ROUND, FEW = 64, 16
 
-        The boundaries of a word lie in one row; its end is where all ways that are left meet.
+    def encode(self, stretches: list[str]) -> list[bytes]:
+        """Ids of many stretches of text, streamed abreast: merged_stream's steps, each for all stretches that reach its position.
+
+        Every ROUND positions the ways to the boundaries that are still alive are followed back; what
+        lies before the boundary where they meet is given out, and the stretch goes on from there
+        with the piece in front of it, so no more than a round and the longest piece is held of any.
+        The last few stretches that go on are streamed one by one, by the same steps.
         """
-        sizes = np.array([len(w) for w in words])
-        order = np.argsort(-sizes, kind="stable")
-        sizes = sizes[order]
-        chars = np.frombuffer("".join([words[k] for k in order]).encode("utf-32-le"), np.int32)
+        out: list[list[bytes]] = [[] for _ in stretches]
+        at, before = np.zeros(len(stretches), np.int64), np.full(len(stretches), -1, np.int32)
+        live = np.flatnonzero([len(w) > 0 for w in stretches])
+        while len(live):
+            if len(live) < self.FEW and at[live].any():
+                for k in live.tolist():
+                    left = before[k]
+                    front = self.names[left] if 0 <= left < len(self.names) else ""
+                    rest = (i for part in merged_stream(self.pieces, self, stretches[k][at[k] :], before=front) for i in part)
+                    out[k].append(np.fromiter(rest, "<i4").tobytes())
+                break
+            window = self.ROUND + self.pieces.longest - 1
+            parts = [stretches[k][at[k] : at[k] + window] for k in live.tolist()]
+            whole = np.array([len(stretches[k]) - at[k] <= window for k in live.tolist()])
+            ids, met, last = self._round(parts, whole, before[live])
+            for k, some in zip(live.tolist(), ids, strict=True):
+                out[k].append(some)
+            stuck = live[~whole & (met == 0)]  # the ways do not meet within a round
+            for k in stuck.tolist():
+                front = self.names[before[k]] if 0 <= before[k] < len(self.names) else ""
+                rest = (i for part in merged_stream(self.pieces, self, stretches[k][at[k] :], before=front) for i in part)
+                out[k].append(np.fromiter(rest, "<i4").tobytes())
+            at[live] += met
+            before[live] = last
+            live = live[~whole & (met > 0)]
+        return [b"".join(parts) for parts in out]
+
+    def _round(self, parts: list[str], whole: np.ndarray, before: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """(ids, boundary up to which they go, piece in front of it) of each part; of a whole one all, of others what is certain."""
+        sizes = np.array([len(w) for w in parts])
+        order = np.lexsort((whole, -sizes))  # those that go on are the longest and come first
+        sizes, going = sizes[order], int((~whole).sum())
+        chars = np.frombuffer("".join([parts[k] for k in order]).encode("utf-32-le", "surrogatepass"), np.int32)
         starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         none = len(self.rank) - 1
-        last = np.full((len(words), int(sizes[0]) + 1), -1, np.int32)
+        last = np.full((len(parts), int(sizes[0]) + 1), -1, np.int32)
+        last[:, 0] = before[order]
         for at in range(int(sizes[0])):
-            rows = np.arange(np.searchsorted(-sizes, -at, side="left"))
+            rows = np.arange(going if at >= self.ROUND else 0, np.searchsorted(-sizes, -at, side="left"))
             node = np.zeros(len(rows), np.int64)
             for k in range(1, self.pieces.longest + 1):
                 fits = np.searchsorted(-sizes[rows], -(at + k), side="right")
@@ -237,20 +273,42 @@ class Merges:
                 some = np.flatnonzero(piece >= 0)
                 some = some[self.stands[piece[some]]]
                 r, p = rows[some], piece[some]
-                if at:
-                    left = last[r, at]
-                    ok = left >= 0
-                    ok[ok] = self.all_beside(left[ok], p[ok])
-                    r, p = r[ok], p[ok]
+                left = last[r, at]
+                ok = (left >= 0) | (at == 0)
+                asked = left >= 0
+                ok[asked] = self.all_beside(left[asked], p[asked])
+                r, p = r[ok], p[ok]
                 last[r, at + k] = p
                 on = node >= 0
                 rows, node = rows[on], node[on]
-        return self._followed(words, order, sizes, last)
+        front = last[:, 0].copy()
+        last[:, 0] = -1
+        met = sizes.copy()
+        met[:going] = self._meeting(last[:going])
+        ids = self._followed(parts, order, met, last)
+        ends = np.where(met > 0, last[np.arange(len(parts)), met], front)
+        back = np.empty(len(parts), np.int64)
+        back[order] = np.arange(len(parts))
+        return ids, met[back], ends[back]
+
+    def _meeting(self, last: np.ndarray) -> np.ndarray:
+        """Of each row the boundary in which all ways to the boundaries from ROUND on meet; 0 if that is the start."""
+        alive = last >= 0
+        alive[:, : self.ROUND] = False
+        rows = np.arange(len(last))
+        while True:
+            many = rows[alive[rows].sum(axis=1) > 1]
+            if not len(many):
+                return np.where(alive.any(axis=1), alive.argmax(axis=1), 0)
+            top = alive.shape[1] - 1 - alive[many, ::-1].argmax(axis=1)
+            alive[many, top] = False
+            alive[many, top - self.length[last[many, top]]] = True
+            rows = many
 
     def _followed(self, words: list[str], order: np.ndarray, sizes: np.ndarray, last: np.ndarray) -> list[bytes]:
-        """Ids along the backpointers from each word's end."""
+        """Ids along the backpointers from the boundary `sizes` of each word."""
         none = len(self.rank) - 1
-        at, rows = sizes.copy(), np.arange(len(words))
+        at, rows = sizes.copy(), np.flatnonzero(sizes > 0)
         found = np.full(last.shape, -1, np.int32)  # filled from the right
         column = last.shape[1] - 1
         while len(rows):
@@ -276,15 +334,15 @@ class Merges:
         return out
 
 
-def merged_stream(pieces: Pieces, merges: Merges, chars: str, keep: int = 64) -> Iterator[list[int]]:
-    """Ids that merging by rank gives chars, in parts, as soon as they are certain.
+def merged_stream(pieces: Pieces, merges: Merges, chars: str, keep: int = 64, before: str = "") -> Iterator[list[int]]:
+    """Ids that merging by rank gives chars, in parts, as soon as they are certain. `before` is the piece in front of them.
 
     viterbi_stream with a cost of 0 for a piece that may follow the last one of the text before it,
     and none that is finite for others: one last piece at each boundary remains, as each beginning
     of a text has one encoding. The window and the early ends are those of viterbi_stream.
     """
     n, prefix, beside = len(chars), pieces.prefix.get, merges.beside
-    last: dict[int, str] = {0: ""}  # boundary: the last piece before it
+    last: dict[int, str] = {0: before}  # boundary: the last piece before it
     back: dict[int, tuple[int, int]] = {}  # boundary: where its last piece starts, its id (-1: bytes)
     done = 0
 
@@ -329,49 +387,44 @@ def merged_stream(pieces: Pieces, merges: Merges, chars: str, keep: int = 64) ->
 
 
 class Encoder:
-    """Ids of whole texts. A blank opens each text; a literal blank mark goes as bytes.
+    """Ids of whole texts. A blank opens each text that is not empty; a blank mark in it reads as a blank, as in the model itself.
 
     Where no piece runs across the end of a word, all ways through a text meet in front of each run
-    of blanks, so what lies before is final there: the text is cut at them, and words that come
-    again are looked up. Words of a BPE model are encoded many at a time (Merges.encode); those
-    longer than LONG_WORD go through the stream by themselves.
+    of blanks, so what lies before is final there. The stretches between are streamed many abreast
+    (Merges.encode), whatever their length, and equal ones once: short ones are remembered.
     """
 
-    LONG_WORD, AT_ONCE = 64, 20_000
+    AT_ONCE, SHORT = 20_000, 128
 
     def __init__(self, pieces: Pieces, remember: int = 400_000):
         self.pieces, self.remember, self.known = pieces, remember, {}
         self.merges = Merges(pieces) if pieces.by_rank else None
 
-    def _word(self, word: str) -> bytes:
-        stream = viterbi_stream(self.pieces, word) if self.merges is None else merged_stream(self.pieces, self.merges, word)
-        return np.array([i for part in stream for i in part], "<i4").tobytes()
+    def _streamed(self, stretches: list[str]) -> list[bytes]:
+        marked = [w.replace(" ", BLANK) for w in stretches]
+        if self.merges:
+            return self.merges.encode(marked)
+        return [np.fromiter((i for part in viterbi_stream(self.pieces, w) for i in part), "<i4").tobytes() for w in marked]
 
-    def _learn(self, words: set[str]) -> None:
-        """Adds words to those known; all of them are known after it."""
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > self.remember:
+    def _learn(self, stretches: set[str]) -> dict[str, bytes]:
+        """Ids of all stretches."""
+        if len(self.known) + len(stretches) > self.remember:
             self.known.clear()
-            new = list(words)
-        short = [w for w in new if len(w) <= self.LONG_WORD] if self.merges else []
-        for at in range(0, len(short), self.AT_ONCE):
-            part = short[at : at + self.AT_ONCE]
-            self.known.update(zip(part, self.merges.encode([w.replace(" ", BLANK) for w in part]), strict=True))
-        for w in new:
-            if w not in self.known:
-                self.known[w] = self._word(w.replace(" ", BLANK))
+        new = [w for w in stretches if w not in self.known]
+        found: dict[str, bytes] = {}
+        for at in range(0, len(new), self.AT_ONCE):
+            part = new[at : at + self.AT_ONCE]
+            found.update(zip(part, self._streamed(part), strict=True))
+        self.known.update((w, ids) for w, ids in found.items() if len(w) <= self.SHORT)
+        return found
 
     def many(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
-        # the blank mark itself must not read as a space
-        parts = [(" " + text).split(BLANK) for text in texts]
         cut = _words if self.pieces.cuts_at_blanks else lambda part: [part] if part else []
-        words = [[cut(part) for part in of] for of in parts]
-        self._learn({w for of in words for part in of for w in part})
-        known, mark, out = self.known, np.array(self.pieces.fallback(BLANK), "<i4").tobytes(), []
-        for of in words:
-            out.append(np.frombuffer(mark.join([b"".join([known[w] for w in part]) for part in of]), "<i4"))
-        return out
+        stretches = [cut(" " + text.replace(BLANK, " ")) if text else [] for text in texts]
+        found = self._learn({w for of in stretches for w in of})
+        of = lambda w: self.known[w] if w in self.known else found[w]
+        return [np.frombuffer(b"".join([of(w) for w in some]), "<i4") for some in stretches]
 
     def __call__(self, text: str) -> np.ndarray:
         return self.many([text])[0]
@@ -399,11 +452,11 @@ def _encoder(path: str) -> Encoder:
 def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and ids of every whole text, one narrow pass.
 
-    A BPE model's merges are followed by merged_stream; of other models the best-scoring
-    segmentation under the pieces' scores is found by viterbi_stream. Where no piece runs across the end of a word the stream is cut there, and words that come again are
-    looked up. Defined cases: a null text has null ids; an empty one has the blank's id alone;
-    characters without a piece go as bytes; repeated rows give repeated rows; an empty table gives
-    an empty result; further columns are dropped.
+    A BPE model's merges are followed by the steps of merged_stream; of other models the best-scoring
+    segmentation under the pieces' scores is found by viterbi_stream. The ids are those of the model
+    itself. Defined cases: a null text has null ids; an empty one has none; a blank mark in a text is
+    a blank, and decodes to one; characters without a piece go as bytes; repeated rows give repeated
+    rows; an empty table gives an empty result; further columns are dropped.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -434,6 +487,7 @@ def digest(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
     """doc_id, n_ids, ids_crc32 (little-endian unsigned 32-bit ids), decoded_sha256, round_trip.
 
     Encodes and decodes in one pass, without keeping the ids. A null text counts as an empty one.
+    round_trip is false for texts that hold a blank mark, which comes back as a blank.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -366,6 +366,8 @@ def test_ids_are_the_models(piece_set, spark, sf_dir):
 
     model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     encode, rng = pieces.Encoder(piece_set), random.Random(4)
+    for text in ("", "▁", "x▁y", " ▁", "▁ ", "▁▁▁▁", " ", "x ▁ y", "▁x" * 300, "=▁" * 100, "no_blank_" * 500):
+        assert encode(text).tolist() == model.encode(text), text[:20]
     odd = ["a des des", "the" * 200, "".join(rng.choice("abcdefghei") for _ in range(3000)), "e" * 1000, "中文🙂 ü", "x  y   z", "can't\n\nstop"]
     for text in odd + [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").limit(150).collect() if r.text]:
         assert encode(text).tolist() == model.encode(text), text[:80]
@@ -374,9 +376,25 @@ def test_ids_are_the_models(piece_set, spark, sf_dir):
     parts = list(pieces.merged_stream(piece_set, merges, text))
     assert len(parts) > 10 and [i for p in parts for i in p] == [i for p in pieces.merged_stream(piece_set, merges, text, keep=5) for i in p]
     words = ["".join(rng.choice("abcdefgh▁ei中t") for _ in range(rng.randint(1, 40))) for _ in range(3000)]
+    words += ["".join(rng.choice("abcdefgh▁ei中t") for _ in range(rng.randint(60, 2000))) for _ in range(40)] + ["a" * 5000, "the" * 900, "中" * 700, "", "▁" * 300, "=" * 400]
     assert merges.encode(words) == [np.array([i for p in pieces.merged_stream(piece_set, merges, w) for i in p], "<i4").tobytes() for w in words]
 
 
+def test_few_stretches_go_on_by_themselves_and_many_abreast(piece_set):
+    merges, rng = pieces.Merges(piece_set), random.Random(9)
+    texts_of = ["".join(rng.choice("thequickbrown▁fox") for _ in range(900)) for _ in range(40)]
+    one_by_one = [merges.encode([t])[0] for t in texts_of]
+    assert merges.encode(texts_of) == one_by_one
+    few = merges.FEW
+    try:
+        merges.FEW = 0
+        assert merges.encode(texts_of[:3]) == one_by_one[:3]
+        merges.FEW = 10_000
+        assert merges.encode(texts_of[:3]) == one_by_one[:3]
+    finally:
+        merges.FEW = few
+
+
 def test_whole_documents_stream_with_early_ends(piece_set, spark, sf_dir):
     import sentencepiece
 
