@@ -13,6 +13,9 @@ from pyspark.sql import types as T
 
 from tarnfold.llm.common import cut
 
+#: Memory for distances to centroids at a time.
+BLOCK_BYTES = 4 << 20
+
 
 @dataclass
 class Index:
@@ -24,10 +27,24 @@ class Index:
     probes: int = 1
 
     def distances(self, x: np.ndarray) -> np.ndarray:
-        """Squared distances of rows to centroids."""
+        """Squared distances of rows to centroids: as large as rows x lists, so of a few rows at a time."""
         d = (x**2).sum(axis=1)[:, None] + (self.centroids**2).sum(axis=1) - 2 * x @ self.centroids.T
         return np.maximum(d, 0)
 
+    def some_rows(self, x: np.ndarray) -> Iterator[slice]:
+        """Slices of x whose distances take about BLOCK_BYTES."""
+        rows = max(1, BLOCK_BYTES // (8 * len(self.centroids)))
+        yield from (slice(at, at + rows) for at in range(0, len(x), rows))
+
+    def nearest(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each row's nearest list, and the distance of its centroid."""
+        at, away = np.zeros(len(x), np.int64), np.zeros(len(x))
+        for rows in self.some_rows(x):
+            d = self.distances(x[rows])
+            at[rows] = d.argmin(axis=1)
+            away[rows] = np.sqrt(d.min(axis=1))
+        return at, away
+
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """vec_id, v (floats as they are, other numbers as doubles), key (a number for each row).
@@ -52,7 +69,7 @@ def probes_for(index: Index, x: np.ndarray, k: int, recall: float, asked: int =
     Neighbours in a sample lie farther away than those in the whole table, so the number is rather
     too large than too small.
     """
-    lists, at = len(index.centroids), index.distances(x).argmin(axis=1)
+    lists, at = len(index.centroids), index.nearest(x)[0]
     ranks = []
     for own, q in enumerate(x[:asked]):
         d = ((x - q) ** 2).sum(axis=1)
@@ -65,12 +82,14 @@ def probes_for(index: Index, x: np.ndarray, k: int, recall: float, asked: int =
 
 
 def fit(vectors: DataFrame, rows: int, dim: int, k: int = 10, recall: float = 0.98, sample_rows: int = 20_000, per_list: int = 512, most_lists: int = 4096, seed: int = 5) -> Index:
-    """Lists by k-means (Lloyd) on at most `sample_rows` rows, drawn by a hash of the row's key.
+    """Lists by k-means (Lloyd) on at most `sample_rows` rows, those whose keys have the least hashes: no part of the table is left out.
 
     One list for each `per_list` rows, at most `most_lists`. The sample and the centroids are all
-    that the driver holds.
+    that the driver holds; distances are made in blocks of BLOCK_BYTES. The filter keeps back rows
+    that cannot be among the least, so no task sorts more than it needs.
     """
-    sample = vectors.filter(F.pmod(F.xxhash64("key", F.lit(seed)), F.lit(1 << 20)) < int(min(1.0, 1.2 * sample_rows / max(1, rows)) * (1 << 20))).limit(sample_rows)
+    draw = F.pmod(F.xxhash64("key", F.lit(seed)), F.lit(1 << 40))
+    sample = vectors.withColumn("_draw", draw).filter(F.col("_draw") < int(min(1.0, 1.2 * sample_rows / max(1, rows)) * (1 << 40))).orderBy("_draw", "key").limit(sample_rows)
     x = np.array([r[0] for r in sample.select("v").collect()], float).reshape(-1, dim)
     rng = np.random.default_rng(seed)
     rotation = np.linalg.qr(rng.normal(size=(dim, dim)))[0]
@@ -79,7 +98,7 @@ def fit(vectors: DataFrame, rows: int, dim: int, k: int = 10, recall: float = 0.
         return Index(dim, rotation, np.zeros((1, dim)))
     centroids = x[rng.choice(len(x), n, replace=False)]
     for _ in range(10):
-        at = Index(dim, rotation, centroids).distances(x).argmin(axis=1)
+        at = Index(dim, rotation, centroids).nearest(x)[0]
         sums = np.zeros_like(centroids)
         np.add.at(sums, at, x)
         count = np.bincount(at, minlength=n)
@@ -181,8 +200,8 @@ def search(vectors: DataFrame, is_query: Callable[[Column], Column], k: int = 10
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            d = index.distances(stacked(pdf["v"], dim))
-            yield pdf.assign(list=d.argmin(axis=1), away=np.sqrt(d.min(axis=1)))
+            at, away = index.nearest(stacked(pdf["v"], dim))
+            yield pdf.assign(list=at, away=away)
 
     placed = cut(good.mapInPandas(assign, f"vec_id long, v array<{element}>, key long, list int, away double"))
     held = cut(placed.groupBy("list").agg(F.count(F.lit(1)).alias("n"), F.max("away").alias("radius")))
@@ -203,10 +222,10 @@ def search(vectors: DataFrame, is_query: Callable[[Column], Column], k: int = 10
 
         def lists_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
-                for at in range(0, len(pdf), 500):
-                    some = pdf.iloc[at : at + 500]
-                    d = index.distances(stacked(some["v"], dim))
-                    yield some.assign(lists=[chosen(*row) for row in zip(d, some["bound"], strict=True)])
+                x = stacked(pdf["v"], dim)
+                for rows in index.some_rows(x):
+                    some = pdf.iloc[rows]
+                    yield some.assign(lists=[chosen(*row) for row in zip(index.distances(x[rows]), some["bound"], strict=True)])
 
         return lists_of
 

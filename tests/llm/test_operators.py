@@ -270,6 +270,33 @@ def test_a_carried_bound_leaves_only_what_may_be_nearer():
     assert len(found) >= 14
 
 
+def test_index_of_most_lists_takes_little_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(20_000, 64))
+    index = ann_search.Index(64, np.eye(64), rng.normal(size=(4096, 64)))
+    tracemalloc.start()
+    at, away = index.nearest(x)
+    for rows in index.some_rows(x):
+        assert index.distances(x[rows]).nbytes <= ann_search.BLOCK_BYTES
+    index.probes = ann_search.probes_for(index, x, 10, 0.98, asked=20)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6, peak
+    some = rng.choice(20_000, 50)
+    d = index.distances(x[some])
+    assert (d.argmin(axis=1) == at[some]).all() and np.allclose(np.sqrt(d.min(axis=1)), away[some])
+
+
+def test_sample_of_the_index_comes_from_the_whole_table(spark):
+    rows = 30_000
+    df = spark.range(rows).select(F.array(F.col("id").cast("double"), F.lit(1.0)).alias("v"), F.col("id").alias("key"))
+    index = ann_search.fit(df, rows, 2, sample_rows=2000, per_list=100)
+    share = [(index.centroids[:, 0] >= rows * k / 6).mean() for k in range(6)]
+    assert abs(share[5] - 1 / 6) < 0.05 and abs(share[3] - 1 / 2) < 0.07
+
+
 # ---------------------------------------------------------------- 4
 
 
