@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from collections.abc import Iterable, Iterator
+from collections import ChainMap
+from collections.abc import Iterable, Iterator, Mapping
 from functools import cache
 
 import numpy as np
@@ -221,7 +222,8 @@ class Merges:
         """
         out: list[list[bytes]] = [[] for _ in stretches]
         at, before = np.zeros(len(stretches), np.int64), np.full(len(stretches), -1, np.int32)
-        live = np.flatnonzero([len(w) > 0 for w in stretches])
+        lengths = np.fromiter(map(len, stretches), np.int64, len(stretches))
+        live = np.flatnonzero(lengths)
         while len(live):
             if len(live) < self.FEW and at[live].any():
                 for k in live.tolist():
@@ -231,8 +233,8 @@ class Merges:
                     out[k].append(np.fromiter(rest, "<i4").tobytes())
                 break
             window = self.ROUND + self.pieces.longest - 1
-            parts = [stretches[k][at[k] : at[k] + window] for k in live.tolist()]
-            whole = np.array([len(stretches[k]) - at[k] <= window for k in live.tolist()])
+            parts = [stretches[k][a : a + window] for k, a in zip(live.tolist(), at[live].tolist(), strict=True)]
+            whole = lengths[live] - at[live] <= window
             ids, met, last = self._round(parts, whole, before[live])
             for k, some in zip(live.tolist(), ids, strict=True):
                 out[k].append(some)
@@ -406,25 +408,26 @@ class Encoder:
             return self.merges.encode(marked)
         return [np.fromiter((i for part in viterbi_stream(self.pieces, w) for i in part), "<i4").tobytes() for w in marked]
 
-    def _learn(self, stretches: set[str]) -> dict[str, bytes]:
+    def _learn(self, stretches: set[str]) -> Mapping[str, bytes]:
         """Ids of all stretches."""
-        if len(self.known) + len(stretches) > self.remember:
-            self.known.clear()
         new = [w for w in stretches if w not in self.known]
+        if len(self.known) + len(new) > self.remember:
+            self.known.clear()
+            new = list(stretches)
         found: dict[str, bytes] = {}
         for at in range(0, len(new), self.AT_ONCE):
             part = new[at : at + self.AT_ONCE]
             found.update(zip(part, self._streamed(part), strict=True))
-        self.known.update((w, ids) for w, ids in found.items() if len(w) <= self.SHORT)
-        return found
+        long = {w: found.pop(w) for w in [w for w in found if len(w) > self.SHORT]}
+        self.known.update(found)
+        return ChainMap(self.known, long) if long else self.known
 
     def many(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
         cut = _words if self.pieces.cuts_at_blanks else lambda part: [part] if part else []
         stretches = [cut(" " + text.replace(BLANK, " ")) if text else [] for text in texts]
-        found = self._learn({w for of in stretches for w in of})
-        of = lambda w: self.known[w] if w in self.known else found[w]
-        return [np.frombuffer(b"".join([of(w) for w in some]), "<i4") for some in stretches]
+        known = self._learn({w for of in stretches for w in of})
+        return [np.frombuffer(b"".join([known[w] for w in some]), "<i4") for some in stretches]
 
     def __call__(self, text: str) -> np.ndarray:
         return self.many([text])[0]
