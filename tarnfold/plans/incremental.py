@@ -95,6 +95,7 @@ def scrape_plan(seasons: DataFrame, run: Column, *keep: str) -> DataFrame:
     ended = c("playoff_end_date")
     first, early = F.lit(FIRST_DAY).cast("date"), F.month(run) <= 6
     branches = [
+        # The plans' names.
         ("init_scrape_within_season", c("rs_end_date").isNull() & early, first, day(F.year(run), 6, 30)),
         ("init_scrape_outside_season", c("rs_end_date").isNull(), first, day(F.year(run) + 1, 6, 30)),
         ("sec_scrape_rs_last_game", started & (run <= c("rs_last_game_date")), c("rs_end_date"), ended),

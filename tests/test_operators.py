@@ -316,3 +316,21 @@ def test_health_as_state_is_that_of_the_batch_after_restarts(spark, tmp_path):
     tidy = lambda df: {(r.request_key, r.seen, round(r.rate_429, 6), round(r.rate_retryable, 6), round(r.rate_error, 6), r.advice) for r in df.collect()}
     got, expected = spark.read.parquet(f"{tmp_path}/out"), E.request_health(table(spark, ddl, *rows), last=7)
     assert tidy(got) == tidy(expected) and got.count() == len(rows)
+
+
+@pytest.mark.parametrize(("run", "plan", "start", "end"), [("2024-03-01", "init_scrape_within_season", None, "2024-06-30"), ("2024-08-01", "init_scrape_outside_season", None, "2025-06-30")])
+def test_first_scrape_before_and_after_june(spark, run, plan, start, end):
+    from tarnfold.plans import incremental as P
+
+    seasons = table(spark, "team int, ps_start_date date, rs_start_date date, rs_end_date date, rs_last_game_date date, playoff_end_date date, sched_fully_loaded boolean", (1, None, None, None, None, None, None))
+    (r,) = P.scrape_plan(seasons, F.lit(run).cast("date"), "team").collect()
+    assert (r.scrape_plan, str(r.end_date)) == (plan, end) and str(r.start_date) == P.FIRST_DAY
+
+
+def test_ends_in_early_periods_are_no_end_of_the_game(spark):
+    from tarnfold.plans import incremental as P
+
+    games = table(spark, "game_id int, game_date date, season int", (1, dt.date(2024, 1, 1), 20232024), (2, dt.date(2024, 1, 1), 20232024), (3, dt.date(2010, 1, 1), 20092010))
+    events = table(spark, "game_id int, period int, event_type string", (1, 3, "Game-End"), (2, 1, "game-end"), (2, 3, "goal"))
+    got = P.game_status(events, games, F.lit("2024-01-01").cast("date"), F.lit(20232024))
+    assert as_set(got) == {(1, True, False), (2, False, True), (3, True, False)}
