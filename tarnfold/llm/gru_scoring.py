@@ -342,35 +342,41 @@ class Places(dict):
 
 
 def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = 2, task_tokens: int = 4_000_000, fan_in: int = 8) -> Gru:
-    """The model after `rounds` rounds of local training and averaging.
+    """The model after `rounds` rounds of local training and averaging, each over all documents of docs.
 
-    Gradient steps use all documents of docs, as the vocabulary does, each document in one of the
-    rounds (a hash deals them out). In a round each task trains a copy on its own documents, in
-    pieces of `task_tokens`, from where the last round's average stands; copies are averaged by
-    their tokens, `fan_in` at a time, so neither a task nor the driver ever holds more than one copy
-    beside its sum, or the driver more than `fan_in`.
+    The documents' symbols are made once, two bytes each, and read in every round. In a round each
+    task trains a copy on its own documents, in pieces of `task_tokens`, from where the last round's
+    average stands; copies are averaged by their tokens, `fan_in` at a time, so neither a task nor
+    the driver ever holds more than one copy beside its sum, or the driver more than `fan_in`.
     """
     model = Gru(vocabulary)
-    turn = F.pmod(F.xxhash64("text", "doc_id"), F.lit(rounds))
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(vocabulary)  # bounded by HEAD_WORDS and HEAD_BYTES
-    for k in range(rounds):
-        part, weights = docs.filter(turn == k).select("text"), model.flat()
+
+    def symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        end, places = np.int16(shared.value.end), Places(shared.value)
+        for batch in batches:
+            rows = [np.append(places.of(tokens(text.as_py()))[1].astype(np.int16), end).tobytes() for text in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["symbols"])
+
+    read_in = cut(docs.select("text").mapInArrow(symbols, "symbols binary"))
+    for _ in range(rounds):
+        weights = model.flat()
 
         def run(batches: Iterator[pa.RecordBatch], weights: np.ndarray = weights) -> Iterator[pa.RecordBatch]:
             own = Gru(shared.value)
             own.load(weights)
-            held, n, seen, end, places = [], 0, 0, shared.value.end, Places(shared.value)
+            held, n, seen, end = [], 0, 0, shared.value.end
 
             for batch in batches:
                 for text in batch.column(0):
-                    held += [np.append(places.of(tokens(text.as_py()))[1], np.int32(end))]
+                    held.append(np.frombuffer(text.as_buffer(), np.int16))
                     n += len(held[-1])
                     if n > task_tokens:
-                        seen += own.train(np.concatenate(held), end)
+                        seen += own.train(np.concatenate(held).astype(np.int32), end)
                         held, n = [], 0
             if held:
-                seen += own.train(np.concatenate(held), end)
+                seen += own.train(np.concatenate(held).astype(np.int32), end)
             if seen:
                 yield pa.RecordBatch.from_arrays([pa.array([float(seen)]), pa.array([own.flat().tobytes()], pa.binary())], names=["w", "p"])
 
@@ -382,7 +388,7 @@ def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = 2, task_tokens:
             if total is not None:
                 yield pd.DataFrame({"w": [w], "p": [(total / w).astype(np.float32).tobytes()]})
 
-        copies = cut(part.mapInArrow(run, "w double, p binary"))
+        copies = cut(read_in.mapInArrow(run, "w double, p binary"))
         n = copies.count()
         while n > fan_in:
             n = -(-n // fan_in)
