@@ -68,6 +68,11 @@ def infer_fraction(df: DataFrame, fraction: float = 0.07, seed: int = 17, payloa
     return infer(df if some.isEmpty() else some, payload)
 
 
+def infer_one(df: DataFrame, payload: str = "payload") -> str:
+    """From one payload, whichever comes first: no more is read than that."""
+    return infer(df.filter(F.col(payload).isNotNull()).limit(1), payload)
+
+
 def drift(audit: DataFrame, current: DataFrame, as_of: Column) -> DataFrame:
     """The audit (table_name, endpoint, schema_json, schema_hash, schema_drift_ind, last_check_dte) after a check.
 

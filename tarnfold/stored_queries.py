@@ -6,12 +6,13 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarnfold.operators import merge as M
 from tarnfold.operators import shred as S
 from tarnfold.operators.stages import checkpoint_folder
 from tarnfold.plans import incremental as P
-from tarnfold.queries import GAMES, games, now, query, read, run_day
+from tarnfold.queries import _DDL, _FIELDS, GAMES, games, now, query, read, run_day
 from tarnfold.sources import envelope as E
 from tarnfold.sources import schemas as I
 from tarnfold.sources import tables as TB
@@ -254,6 +255,28 @@ def sampled_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return I.sample_rows(read(spark, sf_dir, "events").select("event_type", "event_id"), ["event_type"], 25, by="event_id")
 
 
+@query(f"SELECT how, {_DDL} AS schema_json FROM {_FIELDS}, (VALUES ('a share'), ('one row'), ('declared')) h(how) GROUP BY how")
+def sample_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Schemas of all payloads by a share of the rows and by one, as rows of a declared type."""
+    e = read(spark, sf_dir, "events")
+    kind = T.StructType.fromDDL("how string not null, schema_json string")
+    found = [("a share", I.infer_fraction(e, payload="props")), ("one row", I.infer_one(e, "props")), ("declared", I.infer(e, "props"))]
+    return E.typed_rows(spark, found, kind)
+
+
+@query("SELECT count(*) AS n_rows, count(DISTINCT o_custkey) > 0 AS has_bytes FROM orders")
+def table_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table's rows and bytes as the optimizer knows them, after it was laid out by its key and analyzed."""
+    layer, _ = scratch(spark)
+    table = TB.table_of(layer, "orders", {}, ("o_orderkey",), "o_orderkey bigint, o_custkey bigint", ("o_orderkey",))
+    TB.declare(spark, table)
+    TB.replace(spark, table, M.stamped(read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), now(), "orders"))
+    TB.analyze(spark, table, "o_orderkey")
+    stats = spark.sql(f"DESCRIBE TABLE EXTENDED {table.full}").filter("col_name = 'Statistics'")
+    number = lambda unit: F.regexp_extract("data_type", rf"([0-9]+) {unit}", 1).cast("bigint")
+    return stats.select(number("rows").alias("n_rows"), (number("bytes") > 0).alias("has_bytes"))
+
+
 # ---------------------------------------------------------------- gates at a first run
 
 

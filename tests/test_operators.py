@@ -109,6 +109,18 @@ def test_landed_responses_are_read_and_streamed(spark, tmp_path):
     assert as_set(spark.read.parquet(str(tmp_path / "out"))) == expected
 
 
+def test_typed_rows_refuse_nulls_in_required_columns(spark):
+    row = ("e", "1", 200, "{}", "u", None)
+    assert E.typed_rows(spark, [row]).schema == E.ENVELOPE and E.typed_rows(spark, []).count() == 0
+    with pytest.raises(Exception, match="(?i)null"):
+        E.typed_rows(spark, [(None, *row[1:])])
+
+
+def test_schema_of_one_row(spark):
+    df = table(spark, "payload string", (None,), ('{"x":1}',), ('{"x":2}',))
+    assert I.infer_one(df) == "STRUCT<x: BIGINT>"
+
+
 def test_list_payload_is_wrapped(spark):
     df = E.as_envelope(table(spark, "http_status int, payload string", (200, " [1]"), (500, "[1]"), (200, '{"a":1}')))
     assert [r.payload for r in df.collect()] == ['{"data": [1]}', None, '{"a":1}']

@@ -314,3 +314,21 @@ def test_merge_shuffles_no_row_outside_its_scope_but_those_a_key_filter_passes(s
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_event_merge_shuffles_its_window_and_its_source_alone(spark, sf_dir):
+    from tarnfold import queries as Q
+
+    Q.job_event_merge(spark, sf_dir).count()  # its payloads and stored events are written
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = plan_of(Q.job_event_merge(spark, sf_dir))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    # target in scope; source by game (its distinct plays) and by key, once for the merge; the filter's bits, from the source outside the scope; what passes it
+    assert plan.count("Exchange hashpartitioning") == 6 and plan.count("from_json") == 2
+    looked_up = plan[plan.index("LeftAnti") :]
+    history = looked_up[: looked_up.index("LeftSemi")].rindex("Exchange hashpartitioning")
+    assert "FileScan" not in looked_up[history : looked_up.index("LeftSemi")]
