@@ -111,3 +111,13 @@ def test_many_sources_reach_their_caps_one_after_the_other(spark):
     got = targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long"), (5, 2, 1), 1.5, 2)
     want = plain_targets(sizes)
     assert {r.source: pytest.approx(r.target) for r in got.collect()} == want
+
+
+def test_many_sources_are_joined_without_broadcasting_them_all(spark, monkeypatch):
+    from tarnfold.llm import common
+
+    rows = some(3)
+    want = Counter((r.doc_id, r.source, r["size"], r.taken, r.target) for r in mix(docs_of(spark, rows)).collect())
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 2)
+    monkeypatch.setattr(common, "HOT_GROUPS", 5)
+    assert Counter((r.doc_id, r.source, r["size"], r.taken, r.target) for r in mix(docs_of(spark, rows)).collect()) == want
