@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 import tempfile
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -36,6 +38,28 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Gives a function that writes a table to checkpoint_folder() and reads it back; its tables go at the end.
+
+    They lie in a database of their own, so Spark itself removes them. What is made from them has
+    to be materialised before, by cut() for one.
+    """
+    name = f"scratch_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{checkpoint_folder(spark)}/{name}'")
+    count = iter(range(1 << 30))
+
+    def store(df: DataFrame) -> DataFrame:
+        at = f"{name}.t{next(count)}"
+        df.write.format("parquet").saveAsTable(at)
+        return spark.table(at)
+
+    try:
+        yield store
+    finally:
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
 #: Documents that go to a Python worker at a time. At Spark's default of 10,000 a batch of whole
 #: documents takes some hundred MB in the JVM and the worker.
 BATCH_ROWS = 1000

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarnfold.llm.common import cut, first_row_key, in_small_batches
+from tarnfold.llm.common import cut, first_row_key, in_small_batches, scratch
 
 #: Naming buckets. A name is a bucket's number and a rank in it, so names need no global sort.
 BUCKETS = 1 << 20
@@ -26,25 +25,23 @@ def normalised(text: bytes | None) -> bytes:
     return (b" " if text[0] in SPACE else b"") + b" ".join(text.split()) + (b" " if text[-1] in SPACE and text.strip() else b"")
 
 
-PLACES = "id long, hash long, row array<long>, doc_id array<long>, pos array<int>, n array<int>, sha array<string>"
+BLOCKS = "id long, block binary, row array<long>, doc_id array<long>, pos array<int>, n array<int>, sha array<binary>"
+#: Blocks of more rows than so many, and than one in HOT_BLOCKS of all, are merged in SALTS groups before they are ranked.
+OFTEN, HOT_BLOCKS, SALTS = 64, 1_000_000, 256
 
 
-def _blocks(block_bytes: int, contents: bool, flush_bytes: int = 32 << 20):
-    """A task's equal blocks leave it as one row: its own id with the block, or with a hash of it and its places.
-
-    Both come from the same steps over the same rows, so the ids agree.
-    """
-    kinds = [pa.int64(), pa.binary()] if contents else [pa.int64(), pa.int64(), *[pa.list_(k) for k in (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string())]]
-    names = ["id", "block"] if contents else [c.split()[0] for c in PLACES.split(", ")]
+def _blocks(block_bytes: int, flush_bytes: int = 32 << 20):
+    """A task's equal blocks leave it as one row: its id, the block, and the places that hold it."""
+    kinds = [pa.int64(), pa.binary(), *[pa.list_(k) for k in (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())]]
+    names = [c.split()[0] for c in BLOCKS.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, held, size = first_row_key(), {}, 0
         row = given = first
 
         def out() -> pa.RecordBatch:
-            ids = range(given, given + len(held))
-            rest = [list(held)] if contents else [[zlib.crc32(b) for b in held], *[[v[k] for v in held.values()] for k in range(5)]]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip([list(ids), *rest], kinds, strict=True)], names=names)
+            columns = [range(given, given + len(held)), held, *[[v[k] for v in held.values()] for k in range(5)]]
+            return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -56,9 +53,8 @@ def _blocks(block_bytes: int, contents: bool, flush_bytes: int = 32 << 20):
                     if places is None:
                         places = held[block] = ([], [], [], [], [])
                         size += len(block) + 64
-                    if not contents:
-                        for at, value in enumerate((row, doc_id, k, n, hashlib.sha256(whole).hexdigest() if k == 0 else None)):
-                            places[at].append(value)
+                    for at, value in enumerate((row, doc_id, k, n, hashlib.sha256(whole).digest() if k == 0 else None)):
+                        places[at].append(value)
                     size += 32
                 row += 1
                 if size > flush_bytes:
@@ -78,6 +74,24 @@ def _named(df: DataFrame, *by: str) -> DataFrame:
     return buckets.withColumn("name", F.shiftleft(F.col("bucket"), 40) + rank).drop("bucket")
 
 
+def _ranked(stored: DataFrame) -> DataFrame:
+    """id, name of each stored row, by its block.
+
+    A block that very many tasks hold would bring one ranking partition a row for each of them.
+    Such blocks are told by counts of their hashes, of which fewer than HOT_BLOCKS can be so
+    frequent, and their rows are first merged in SALTS groups each, by content, so that the ranking
+    reads at most SALTS rows of any block but those of few tasks. A hash that different blocks
+    share only sends them the same way.
+    """
+    often = max(OFTEN, stored.count() // HOT_BLOCKS)
+    hot = F.broadcast(stored.groupBy("hash").agg(F.count(F.lit(1)).alias("held")).filter(F.col("held") > often).select("hash"))
+    rows = stored.select("id", "hash", "block")
+    plain = rows.join(hot, "hash", "left_anti").select("block", F.array("id").alias("ids"))
+    salt = F.pmod(F.xxhash64("id"), F.lit(SALTS))
+    merged = rows.join(hot, "hash", "left_semi").groupBy("block", salt.alias("salt")).agg(F.collect_list("id").alias("ids")).select("block", "ids")
+    return _named(plain.unionByName(merged), "block").select("name", F.explode("ids").alias("id"))
+
+
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 4096) -> DataFrame:
     r"""Groups of texts that are equal after each run of [\x20\x09-\x0D] becomes one space.
 
@@ -85,14 +99,15 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     adjacent pairs of names get names, level by level, until a document has one. Names come from
     comparing contents, never from a hash alone (a hash only deals out the work), so the pair
     (number of blocks, last name) identifies a text without collisions. Blocks that repeat within
-    a task are merged before the shuffle and reach the ranking as one row without their places, so
-    a block of a third of all texts brings a row a task; places are joined back by the ids of
-    those rows, which are unique. Pairs are made distinct with map-side combining. Groups of more
-    than a thousandth of all rows are joined back by broadcast (there are fewer than a thousand).
-    Rows shuffled: the text once, then 8-byte names that halve with each level.
+    a task are merged before anything is shuffled and reach the ranking as one row without their
+    places; rows of blocks that very many tasks hold are merged again on the way (see _ranked).
+    Places are joined back by the ids of those rows, which are unique. Pairs are made distinct with
+    map-side combining. Groups of more than a thousandth of all rows are joined back by broadcast
+    (there are fewer than a thousand). Rows shuffled: the text once, then 8-byte names that halve
+    with each level.
 
-    The documents are gone over twice, so rows must come in one order, as files do; a text that
-    comes at another place the second time ends the job.
+    The documents are read once: blocks and places are written to the shared folder, as a table
+    that goes when the names are known, so the order in which rows come is of no account.
 
     Defined cases: null is empty, and all empty texts are one group; repeated rows are rows of their
     own, of which one is kept; of equal texts the smallest doc_id stays (null ids last); an empty
@@ -100,11 +115,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Returns doc_id, keep_id, group_size, kept, text_sha256, and row, a key of the input row.
     """
     source = in_small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    ranked = _named(source.mapInArrow(_blocks(block_bytes, True), "id long, block binary"), "block").select("id", "name", F.crc32("block").alias("ranked_hash"))
-    places = source.mapInArrow(_blocks(block_bytes, False), PLACES).join(ranked, "id", "left")
-    same = F.coalesce(F.col("hash") == F.col("ranked_hash"), F.lit(False))
-    name = F.when(same, F.col("name")).otherwise(F.raise_error(F.lit("the documents came in another order")).cast("long"))
-    blocks = cut(places.select(name.alias("name"), F.inline(F.arrays_zip("row", "doc_id", "pos", "n", "sha"))))
+    with scratch(docs.sparkSession) as store:
+        stored = store(source.mapInArrow(_blocks(block_bytes), BLOCKS).withColumn("hash", F.xxhash64("block")))
+        places = stored.select("id", "row", "doc_id", "pos", "n", "sha").join(_ranked(stored), "id")
+        blocks = cut(places.select("name", F.inline(F.arrays_zip("row", "doc_id", "pos", "n", "sha"))))
 
     widest = blocks.agg(F.max("n")).first()[0] or 1
     active, done, level = blocks.select("row", "pos", "n", "name"), [], 0
@@ -133,7 +147,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.col("best.doc_id").alias("keep_id"),
         "group_size",
         (F.col("row") == F.col("best.row")).alias("kept"),
-        F.col("sha").alias("text_sha256"),
+        F.lower(F.hex("sha")).alias("text_sha256"),
         "row",
     )
 

@@ -346,6 +346,21 @@ def test_exact_groups_match_brute_force(docs, block):
     assert sum(r.kept for r in got) == len(groups) and all(r.doc_id == r.keep_id for r in got if r.kept)
 
 
+def test_blocks_that_many_tasks_hold_are_merged_before_the_ranking(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "OFTEN", 4)
+    monkeypatch.setattr(exact_dedup, "SALTS", 3)
+    parts, most = 40, []
+    named = exact_dedup._named
+    monkeypatch.setattr(exact_dedup, "_named", lambda df, *by: (most.append(df.groupBy(*by).count().agg(F.max("count")).first()[0]) if by == ("block",) else None) or named(df, *by))
+    # the middle block of every text is the same, as is a third of the texts; each read deals the rows anew
+    text = F.concat(F.repeat(F.lit("a"), 8), F.repeat(F.lit("b"), 8), F.when(F.col("id") % 3 == 0, "c").otherwise(F.col("id").cast("string")))
+    rows = spark.range(600).select(F.col("id").alias("doc_id"), text.alias("text")).repartition(parts, F.rand())
+    got = {r.doc_id: r for r in exact_dedup.exact_groups(rows, block_bytes=8).collect()}
+    assert len(got) == 600 and all((r.keep_id, r.group_size) == ((0, 200) if i % 3 == 0 else (i, 1)) for i, r in got.items())
+    assert most == [3]  # 40 tasks hold the block
+    assert not [d for d in spark.catalog.listDatabases() if d.name.startswith("scratch_")]
+
+
 def test_keep_first_keeps_one_of_each(docs, empty):
     kept = exact_dedup.keep_first(docs)
     assert kept.columns == docs.columns
