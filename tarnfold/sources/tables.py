@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -104,8 +105,12 @@ def changes(spark: SparkSession, table: Table) -> DataFrame:
 
 
 def commits(spark: SparkSession, table: Table) -> dict[str, int]:
-    """Key to order of the commits that wrote a feed; from the catalog, no data are read."""
-    parts = (dict(p.split("=", 1) for p in r[0].split("/")) for r in spark.sql(f"SHOW PARTITIONS {table.feed}").collect())  # a row for each commit
+    """Key to order of the commits that wrote a feed; from the catalog, no data are read.
+
+    Keys may hold any characters; the catalog names partitions as paths, in which some are escaped.
+    """
+    named = [r[0] for r in spark.sql(f"SHOW PARTITIONS {table.feed}").collect()]  # a row for each commit
+    parts = ({k: unquote(v) for k, v in (p.split("=", 1) for p in name.split("/"))} for name in named)
     return {p["_commit"]: int(p["_order"]) for p in parts}
 
 
@@ -188,7 +193,7 @@ def _apply(spark: SparkSession, table: Table, order: int) -> None:
     _into_partitions(laid_out(table, _declared(table, rows)).select(*_stored_order(table)), table.full)
     emptied = touched.join(rows.select(*[F.col(c).alias(f"_{c}") for c in by]).distinct(), _equal(by), "left_anti")
     for r in emptied.collect():  # partitions that have lost their last row
-        spec = ", ".join(f"{c} = {'NULL' if r[c] is None else repr(str(r[c]))}" for c in by)
+        spec = ", ".join(f"{c} = {'NULL' if r[c] is None else _literal(str(r[c]))}" for c in by)
         spark.sql(f"ALTER TABLE {table.full} DROP IF EXISTS PARTITION ({spec})")
 
 
@@ -227,7 +232,7 @@ def compact(spark: SparkSession, table: Table, part: Column | None = None) -> No
 def forget(spark: SparkSession, table: Table, keep: int) -> None:
     """Drops the feeds of all but the last commits. Keep more than may be written between a commit and its repeat."""
     for key, order in sorted(commits(spark, table).items(), key=lambda x: x[1])[: -max(keep, 1)]:
-        spark.sql(f"ALTER TABLE {table.feed} DROP IF EXISTS PARTITION (_order = {order}, _commit = '{key}')")
+        spark.sql(f"ALTER TABLE {table.feed} DROP IF EXISTS PARTITION (_order = {order}, _commit = {_literal(key)})")
 
 
 def analyze(spark: SparkSession, table: Table, *columns: str) -> None:
@@ -236,6 +241,11 @@ def analyze(spark: SparkSession, table: Table, *columns: str) -> None:
     spark.sql(f"ANALYZE TABLE {table.full} COMPUTE STATISTICS {of}")
 
 
+def _literal(text: str) -> str:
+    """A text in SQL."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _stored_order(table: Table) -> list[str]:
     names = table.schema.fieldNames()
     return [c for c in names if c not in table.partition_by] + list(table.partition_by)

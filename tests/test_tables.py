@@ -98,6 +98,19 @@ def test_a_key_is_committed_once_even_if_it_counts(spark):
     assert as_set(S.read(spark, table)) == {(1, 3)}
 
 
+@pytest.mark.parametrize("key", ["shifts 2024-01-01T10:00:00+00:00", "a/b=c", "100%", "%3A", "it's", "Größe#?*[x]{y}^\\\"z"])
+def test_keys_of_any_characters_are_known_again(spark, key):
+    table = new(spark, "k int, n int", ("k",))
+    add = M.Update({"n": lambda t, s: t("n") + s("n")})
+    for _ in range(2):
+        S.commit(spark, table, M.merge(S.read(spark, table), rows(spark, "k int, n int", (1, 1)), ["k"], [add], [M.Insert()]), key="first")
+        S.commit(spark, table, M.merge(S.read(spark, table), rows(spark, "k int, n int", (1, 5)), ["k"], [add], [M.Insert()]), key=key)
+    assert as_set(S.read(spark, table)) == {(1, 6)} and S.commits(spark, table) == {"first": 1, key: 2}
+    S.commit(spark, table, M.merge(S.read(spark, table), rows(spark, "k int, n int", (2, 0)), ["k"], [add], [M.Insert()]))
+    S.forget(spark, table, 1)
+    assert S.commits(spark, table) == {"commit-3": 3} and as_set(S.changes(spark, table).select("k")) == {(2,)}
+
+
 def test_touched_partitions_only_are_rewritten_and_emptied_ones_go(spark):
     table = new(spark, "d int, k int, v string", ("k",), cluster_by=("k",), partition_by=("d",))
     S.replace(spark, table, rows(spark, "d int, k int, v string", (1, 1, "a"), (2, 2, "b"), (2, 5, "e"), (3, 3, "c"), (None, 4, "d"), (None, 6, "f")))
