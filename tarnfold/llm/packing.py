@@ -151,7 +151,8 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     own documents in blocks of about `block_tokens` ids: no shuffle, memory bounded by a block (or
     by one longer document), and one short window a block at most, so padding falls with the
     block's size and not with the table's. Windows of one tier go to steps of `step_tokens` ids, so
-    all windows of a step are of one length and all steps of a task cost the same.
+    all windows of a step are of one length and all steps of a task hold equal numbers of ids, but
+    for the last one of each tier, which holds what is left.
 
     Defined cases: a null text is an empty one and gives the single id 0; equal and repeated rows
     are packed each for itself; a null doc_id is carried along; an empty table gives an empty
