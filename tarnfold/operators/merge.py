@@ -221,16 +221,18 @@ def upsert(
     scope: Callable[[Callable[[str], Column]], Column] | None = None,
     made: Mapping[str, Expr] | None = None,
     changed: Mapping[str, Expr] | None = None,
+    new_when: Expr | None = None,
 ) -> Merged:
     """Stored rows of which one of the `differs` conditions holds take the source's columns; other source rows are new.
 
     `made` and `changed` set further columns, or the same in another way, of new and of changed rows.
+    Only source rows of which `new_when` holds are inserted.
     """
     attrs = [c for c in target.columns if c in source.columns and c not in (*keys, *AUDIT)]
     new: dict[str, Expr] = {c: (lambda t, s, c=c: s(c)) for c in attrs}
     new |= {"update_dte": lambda t, s: now, **(changed or {})}
     update = Update(new, lambda t, s: any_of(differs(t, s)))
-    return merge(target, source.select(*keys, *attrs), keys, [update], [Insert({"insert_dte": lambda t, s: now, **(made or {})})], scope=scope)
+    return merge(target, source.select(*keys, *attrs), keys, [update], [Insert({"insert_dte": lambda t, s: now, **(made or {})}, new_when)], scope=scope)
 
 
 def insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
