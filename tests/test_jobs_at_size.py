@@ -6,6 +6,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 from tarnfold import queries as Q
+from tarnfold.plans import jobs as J
 from tests.compare import same
 
 
@@ -18,3 +19,20 @@ def test_schedule_gold_keeps_a_stored_side_of_team_zero_up_to_date(spark, sf_dir
     c.execute(f"create view orders as select * from '{tmp_path}/orders.parquet/*.parquet'")
     same(found, c.execute(Q.ORACLE_SQL["job_schedule_gold_merge"]).df())
     assert len(found.query("start_time == 'later' and updated")) > 0
+
+
+def _exchanges(df) -> list[str]:
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.split("\n") if "Exchange hashpartitioning" in line]
+
+
+def test_rosters_lose_repeats_within_and_across_payloads_and_are_not_shuffled_without(spark):
+    player = lambda i: f'{{"id": {i}, "firstName": {{"default": "a"}}}}'
+    body = lambda *ids: '{"forwards": [' + ", ".join(map(player, ids)) + '], "goalies": [' + player(ids[0]) + "]}"
+    columns = "game_id bigint, team_id bigint, request_key string, payload string"
+    alone = spark.createDataFrame([(2001020001, 1, "t1", body(5, 6)), (2001020002, 1, "t1", body(5))], columns)
+    made = J.current_rosters(alone)
+    assert sorted((r.game_id, r.player_id) for r in made.collect()) == [(2001020001, 5), (2001020001, 6), (2001020002, 5)]
+    assert _exchanges(made) == []
+    again = alone.union(spark.createDataFrame([(2001020001, 2, "t2", body(6, 8))], columns))
+    assert sorted((r.game_id, r.player_id) for r in J.current_rosters(again).collect()) == [(2001020001, 5), (2001020001, 6), (2001020001, 8), (2001020002, 5)]
