@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tarnfold.functions import values as V
 from tarnfold.functions.compare import any_of, as_text, failed_conditions, null_safe, plain, skip_null, unless_source_null
 from tarnfold.operators.merge import Delete, Insert, Merged, Update, merge
-from tarnfold.operators.rows import best_row, lookup, one_each, unpivot_roles
+from tarnfold.operators.rows import best_row, lookup, one_each
 from tarnfold.operators.shred import build_fields, element_fields, field_of, once_each, parsed, sides, targets, unpack_list, whole_list, with_unused
 from tarnfold.operators.stages import cut, few
 from tarnfold.sources.schemas import infer
@@ -291,7 +291,11 @@ TEAMLESS_EVENTS = ("period-start", "period-end", "stoppage", "game-start", "game
 def event_players(events: DataFrame, run: Column, keep: Sequence[str] = ("season", "game_id", "game_date")) -> DataFrame:
     """Players of the event's team in any of its roles, up to the run's day, each once a game and team: player_id, team_id."""
     named = events.filter(F.col("event_team_id").isNotNull() & ~F.col("event_type").isin(*TEAMLESS_EVENTS) & (F.col("game_date") <= run))
-    return unpivot_roles(named.withColumnRenamed("event_team_id", "team_id"), [*keep, "team_id"], EVENT_ROLES, OTHER_TEAM_ROLES).drop("role").distinct()
+    own = [F.col(c).cast("bigint") for c in EVENT_ROLES if c not in OTHER_TEAM_ROLES]
+    # events are shuffled, not their roles: a game's names are told apart where they are gathered
+    listed = named.select(*keep, F.col("event_team_id").alias("team_id"), F.array_compact(F.array_distinct(F.array(*own))).alias("_ids")).repartition("game_id")
+    by = listed.groupBy(*keep, "team_id").agg(F.array_distinct(F.flatten(F.collect_list("_ids"))).alias("_ids"))
+    return by.select(*keep, "team_id", F.explode("_ids").alias("player_id"))
 
 
 def roster_gaps(roles: DataFrame, roster: DataFrame, skipped_types: Sequence[str]) -> DataFrame:

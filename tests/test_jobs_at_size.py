@@ -36,3 +36,8 @@ def test_rosters_lose_repeats_within_and_across_payloads_and_are_not_shuffled_wi
     assert _exchanges(made) == []
     again = alone.union(spark.createDataFrame([(2001020001, 2, "t2", body(6, 8))], columns))
     assert sorted((r.game_id, r.player_id) for r in J.current_rosters(again).collect()) == [(2001020001, 5), (2001020001, 6), (2001020001, 8), (2001020002, 5)]
+
+
+def test_event_players_shuffle_events_and_not_their_roles(spark, sf_dir):
+    plan = Q.job_event_players(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.index("RepartitionByExpression")
