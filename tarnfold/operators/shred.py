@@ -153,6 +153,16 @@ def once_each(df: DataFrame, array: str, key: Callable[[Column], Column]) -> Dat
     return df.withColumn(array, F.when(F.col("_keys").isNull(), F.col(array)).otherwise(chosen)).drop("_keys")
 
 
+def each_element(df: DataFrame, array: Column, keep: Sequence[str] = ()) -> DataFrame:
+    """A row `_e` for each element of an array that is dear to make.
+
+    For a plain explode Spark adds a filter of the array's size, in which the array is made again,
+    and once more for each use within it; for an outer one it adds none, and the rows of arrays
+    without elements go by their place.
+    """
+    return df.select(*keep, F.posexplode_outer(array).alias("_pos", "_e")).filter("_pos is not null").drop("_pos")
+
+
 def targets(rules: Mapping[str, Rule]) -> dict[str, str]:
     """Name and type of each column that the rules make."""
     out = {}

@@ -12,7 +12,7 @@ from tarnfold.functions import values as V
 from tarnfold.functions.compare import any_of, as_text, failed_conditions, null_safe, plain, skip_null, unless_source_null
 from tarnfold.operators.merge import Delete, Insert, Merged, Update, merge
 from tarnfold.operators.rows import best_row, lookup, one_each
-from tarnfold.operators.shred import build_fields, element_fields, field_of, once_each, parsed, sides, targets, unpack_list, whole_list, with_unused
+from tarnfold.operators.shred import build_fields, each_element, element_fields, field_of, once_each, parsed, sides, targets, unpack_list, whole_list, with_unused
 from tarnfold.operators.stages import cut, few
 from tarnfold.sources.schemas import infer
 
@@ -128,13 +128,17 @@ def across_payloads(rows: DataFrame, games: DataFrame, once: Callable[[DataFrame
 def event_rows(payloads: DataFrame, schema: str, keep: Sequence[str] = ("season", "game_id", "game_date")) -> DataFrame:
     """One row for each distinct play with a period, with typed columns; blank texts are null.
 
-    Plays are dealt out by game before repeats go, so that what orders a game's events afterwards
-    needs no other shuffle.
+    A payload's repeats go within its row; only plays of games that several payloads have are shuffled.
     """
     parsed = payloads.select(*keep, F.from_json("payload", schema).alias("_j"))
-    clock = [F.col("_j.clock").alias("_c")] if "clock" in parsed.schema["_j"].dataType.fieldNames() else []
-    plays = parsed.select(*keep, *clock, F.explode_outer("_j.plays").alias("_p")).select(*keep, *[F.col("_c").alias("clock")] * len(clock), "_p.*")
-    rows = plays.select(*keep, *build_fields(plays, EVENT_RULES)).filter("period is not null").repartition("game_id").distinct()
+    fields = parsed.schema["_j"].dataType
+    clock = [f for f in fields if f.name == "clock"]
+    either = T.StructType([*clock, *fields["plays"].dataType.elementType])
+    at = lambda x: lambda path: field_of(F.col("_j") if clock and path.startswith("clock.") else x)(path)
+    typed = F.transform("_j.plays", lambda x: F.struct(*element_fields(at(x), either, EVENT_RULES)))
+    plays = once_each(parsed.select(*keep, F.filter(typed, lambda x: x["period"].isNotNull()).alias("_plays")), "_plays", lambda x: x)
+    rows = each_element(plays, F.col("_plays"), keep).select(*keep, "_e.*")
+    rows = across_payloads(rows, payloads.select("game_id"), lambda df: df.distinct())
     return rows.withColumns({str(r["target"]): V.blank_to_null(F.col(str(r["target"]))) for r in EVENT_RULES.values() if isinstance(r, dict) and r["type"] == "string"})
 
 
@@ -257,11 +261,11 @@ def shift_rows(payloads: DataFrame, schema: str) -> DataFrame:
     lists = parsed(payloads, schema or infer(payloads)).select(F.col("json.data").alias("_shifts"))
     element = lists.schema["_shifts"].dataType.elementType
     keys = lambda x: element_fields(field_of(x), element, {c: SHIFT_RULES[c] for c in ("gameId", "teamId", "id")})
-    raw = once_each(lists, "_shifts", lambda x: F.struct(*keys(x))).select(F.explode("_shifts").alias("_e")).select("_e.*")
+    raw = each_element(once_each(lists, "_shifts", lambda x: F.struct(*keys(x))), F.col("_shifts")).select("_e.*")
     # games are told from the payload's own list, of which no other field is read
     only = T.StructType([T.StructField("data", T.ArrayType(T.StructType([f for f in element if f.name == "gameId"])))])
     ids = F.transform(F.from_json("payload", only).getField("data"), lambda x: keys(x)[0]) if "gameId" in element.names else F.array(F.lit(None).cast("bigint"))
-    games = payloads.select(F.explode(F.array_distinct(ids)).alias("game_id"))
+    games = each_element(payloads, F.array_distinct(ids)).select(F.col("_e").alias("game_id"))
     rows = across_payloads(raw.select(*build_fields(raw, SHIFT_RULES)), games, lambda df: one_each(df, ["game_id", "team_id", "shift_id"]))
     playoff = V.game_type(F.col("game_id")) == 3
     clock = lambda c: V.game_clock(F.col("period"), V.mmss_seconds(V.blank_to_null(F.col(c))), playoff)
@@ -318,10 +322,12 @@ def unlisted_players(events: DataFrame, roles: Sequence[str], listed: str, skipp
     """Players whom events name in a role but none has in `listed`, of the same game: roster_gaps of events that hold their roster.
 
     One pass: each name says whether it is a role or a listing, and a player is a gap if only the
-    first ever holds, so events are neither read nor shuffled twice.
+    first ever holds, so events are neither read nor shuffled twice. They are dealt out by game before
+    their names are rows.
     """
     skipped = F.coalesce(F.col("event_type").isin(*skipped_types), F.lit(False))
     item = lambda c, is_listed: F.struct(F.when(F.lit(is_listed) | ~skipped, F.col(c)).alias("player_id"), F.lit(is_listed).alias("listed"))
+    events = events.select("season", "game_id", "event_type", *roles, *([] if listed in roles else [listed])).repartition("game_id")
     names = events.select("season", "game_id", F.explode(F.array(*[item(c, False) for c in roles], item(listed, True))).alias("_n")).select("season", "game_id", "_n.*")
     by = names.filter("player_id is not null").groupBy("season", "game_id", "player_id").agg(F.max("listed").alias("listed"))
     return by.filter("not listed").drop("listed")

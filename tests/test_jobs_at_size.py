@@ -45,11 +45,24 @@ def test_event_players_shuffle_events_and_not_their_roles(spark, sf_dir):
 
 def test_shifts_lose_repeats_within_and_across_payloads_and_are_not_shuffled_without(spark):
     shift = lambda game, i: f'{{"id": {i}, "gameId": {game}, "teamId": 1}}'
-    body = lambda *shifts: '{"total": 1, "data": [' + ", ".join(shift(g, i) for g, i in shifts) + "]}"
-    found = lambda df: sorted((r.game_id, r.shift_id) for r in J.shift_rows(df, Q.SHIFT_DDL).collect())
+    body = lambda *shifts: '{"total": 1, "data": [' + ", ".join(shift(2001020000 + g, i) for g, i in shifts) + "]}"
+    found = lambda df: sorted((r.game_id - 2001020000, r.shift_id) for r in J.shift_rows(df, Q.SHIFT_DDL).collect())
     alone = spark.createDataFrame([(body((1, 5), (1, 5), (1, 6)),), (body((2, 5)),), (None,)], "payload string")
     assert found(alone) == [(1, 5), (1, 6), (2, 5)]
     assert _exchanges(J.shift_rows(alone, Q.SHIFT_DDL)) == []
     # the second payload has shifts of two games
     again = alone.union(spark.createDataFrame([(body((1, 6), (1, 7), (3, 1)),)], "payload string"))
     assert found(again) == [(1, 5), (1, 6), (1, 7), (2, 5), (3, 1)]
+
+
+def test_plays_lose_repeats_within_and_across_payloads_and_are_not_shuffled_without(spark):
+    play = lambda i, kind: f'{{"eventId": {i}, "typeDescKey": "{kind}", "periodDescriptor": {{"number": 1}}}}'
+    body = lambda *plays: '{"plays": [' + ", ".join(play(i, kind) for i, kind in plays) + "]}"
+    columns = "season int, game_id bigint, game_date date, payload string"
+    found = lambda df: sorted((r.game_id, r.event_id, r.event_type) for r in J.event_rows(df, Q.PLAYS_DDL).collect())
+    # alike only once their case and blanks are
+    alone = spark.createDataFrame([(1, 1, None, body((5, "goal"), (5, " GOAL"), (5, "hit"))), (1, 2, None, body((5, "goal"))), (1, 3, None, None)], columns)
+    assert found(alone) == [(1, 5, "goal"), (1, 5, "hit"), (2, 5, "goal")]
+    assert _exchanges(J.event_rows(alone, Q.PLAYS_DDL)) == []
+    again = alone.union(spark.createDataFrame([(1, 1, None, body((5, "hit"), (6, "hit")))], columns))
+    assert found(again) == [(1, 5, "goal"), (1, 5, "hit"), (1, 6, "hit"), (2, 5, "goal")]
