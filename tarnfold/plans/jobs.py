@@ -130,14 +130,15 @@ def event_rows(payloads: DataFrame, schema: str, keep: Sequence[str] = ("season"
 
     A payload's repeats go within its row; only plays of games that several payloads have are shuffled.
     """
-    parsed = payloads.select(*keep, F.from_json("payload", schema).alias("_j"))
-    fields = parsed.schema["_j"].dataType
+    read_in = payloads.select(*keep, F.from_json("payload", schema).alias("_j"))
+    fields = read_in.schema["_j"].dataType
     clock = [f for f in fields if f.name == "clock"]
     either = T.StructType([*clock, *fields["plays"].dataType.elementType])
-    at = lambda x: lambda path: field_of(F.col("_j") if clock and path.startswith("clock.") else x)(path)
-    typed = F.transform("_j.plays", lambda x: F.struct(*element_fields(at(x), either, EVENT_RULES)))
-    plays = once_each(parsed.select(*keep, F.filter(typed, lambda x: x["period"].isNotNull()).alias("_plays")), "_plays", lambda x: x)
-    rows = each_element(plays, F.col("_plays"), keep).select(*keep, "_e.*")
+    typed = lambda x, rules=EVENT_RULES: element_fields(lambda path: field_of(F.struct(F.col("clock")) if clock and path.startswith("clock.") else x)(path), either, rules)
+    some = {c: EVENT_RULES[c] for c in ("eventId", "sortOrder")}
+    plays = read_in.select(*keep, *[F.col("_j.clock").alias("clock") for _ in clock], F.col("_j.plays").alias("_plays"))
+    plays = once_each(plays, "_plays", lambda x: F.struct(*typed(x)), lambda x: F.struct(*typed(x, some)))
+    rows = each_element(plays, F.col("_plays"), [*keep, *[f.name for f in clock]]).select(*keep, *typed(F.col("_e"))).filter("period is not null")
     rows = across_payloads(rows, payloads.select("game_id"), lambda df: df.distinct())
     return rows.withColumns({str(r["target"]): V.blank_to_null(F.col(str(r["target"]))) for r in EVENT_RULES.values() if isinstance(r, dict) and r["type"] == "string"})
 

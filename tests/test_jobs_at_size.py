@@ -6,6 +6,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 from tarnfold import queries as Q
+from tarnfold.operators.shred import build_fields, once_each
 from tarnfold.plans import jobs as J
 from tests.compare import same
 
@@ -66,3 +67,25 @@ def test_plays_lose_repeats_within_and_across_payloads_and_are_not_shuffled_with
     assert _exchanges(J.event_rows(alone, Q.PLAYS_DDL)) == []
     again = alone.union(spark.createDataFrame([(1, 1, None, body((5, "hit"), (6, "hit")))], columns))
     assert found(again) == [(1, 5, "goal"), (1, 5, "hit"), (1, 6, "hit"), (2, 5, "goal")]
+
+
+def test_texts_that_are_no_numbers_are_not_cast(spark):
+    texts = ["12", " 12 ", "+5", "-7", "\t8\n", "\x007\x7f", "12.5", ".5", "1e3", "300", "99999999999", "x", "", " ", "-", "1 2", "٣", None]
+    df = spark.createDataFrame([(t,) for t in texts], "n string")
+    for kind in ("tinyint", "int", "bigint"):
+        made = df.select("n", *build_fields(df, {"n": {"target": "made", "type": kind}}), F.col("n").try_cast(kind).alias("plain"))
+        assert [r.n for r in made.collect() if r.made != r.plain] == []
+        assert "RLIKE" in made._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_repeats_are_told_by_the_key_among_elements_that_share_a_part_of_it(spark):
+    df = spark.createDataFrame([([(1, "a"), (2, "a"), (1, "A"), (1, "b"), (None, None), (None, None)],), ([(1, "a"), (2, "a")],), ([],), (None,)], "l array<struct<i: int, t: string>>")
+    made = once_each(df, "l", lambda x: F.struct(x["i"], F.lower(x["t"])), lambda x: x["i"])
+    found = [None if r.l is None else [tuple(x) for x in r.l] for r in made.collect()]
+    assert [x and sorted(x, key=str) for x in found] == [[(1, "a"), (1, "b"), (2, "a"), (None, None)], [(1, "a"), (2, "a")], [], None]
+
+
+def test_plays_are_typed_as_rows_and_not_within_their_list(spark):
+    payloads = spark.createDataFrame([], "season int, game_id bigint, game_date date, payload string")
+    plan = J.event_rows(payloads, Q.PLAYS_DDL).select("game_id", "event_id")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("try_cast(_e") < plan.index("Generate posexplode")
