@@ -12,7 +12,7 @@ from tarnfold.operators import merge as M
 from tarnfold.operators import shred as S
 from tarnfold.operators.stages import checkpoint_folder
 from tarnfold.plans import incremental as P
-from tarnfold.queries import _DDL, _FIELDS, GAMES, games, now, query, read, run_day
+from tarnfold.queries import _DDL, _FIELDS, GAMES, games, now, query, read, run_day, written
 from tarnfold.sources import envelope as E
 from tarnfold.sources import schemas as I
 from tarnfold.sources import tables as TB
@@ -169,6 +169,25 @@ def request_health_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- trees
 
 
+@written
+def _nested_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with their lines as plays, which have officials, and as roster spots; lines are shuffled once, by order, before they are either."""
+    li = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").repartition("l_orderkey")
+    li = li.groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("part"), F.min("l_suppkey").alias("supp"))
+    per = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "part", "supp"))).alias("lines"))
+    ref = lambda c: F.concat(F.lit("ref"), c.cast("string"))
+
+    def play(x):
+        n = x["l_linenumber"]
+        officials = F.when(n % 3 > 0, F.array(ref(x["supp"]), ref(x["part"]))).when(n % 2 == 0, F.array().cast("array<string>"))
+        return F.struct(n.alias("eventId"), F.struct(x["part"].alias("part")).alias("details"), officials.alias("officials"))
+
+    spot = lambda x: F.struct(x["supp"].alias("playerId"), F.struct(F.concat(F.lit("n"), x["l_linenumber"].cast("string")).alias("default")).alias("name"))
+    o = read(spark, sf_dir, "orders").join(per.hint("merge"), F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    status = F.struct(F.col("o_orderstatus").alias("status"), F.col("o_custkey").alias("team"))
+    return o.select(F.col("o_orderkey").alias("game_id"), F.to_json(F.struct(status.alias("game"), F.transform("lines", play).alias("plays"), F.transform("lines", spot).alias("rosterSpots"))).alias("payload"))
+
+
 @query(
     """
 WITH l AS (SELECT l_orderkey AS game_id, l_linenumber AS n, min(l_partkey) AS part, min(l_suppkey) AS supp FROM lineitem GROUP BY ALL),
@@ -180,17 +199,7 @@ UNION ALL SELECT 'rosterSpots', game_id, pos, NULL, CAST(supp AS VARCHAR), 'n' |
 )
 def child_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payloads with arrays side by side and within each other, as tables with keys and positions, by the schema of all payloads."""
-    li = read(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("part"), F.min("l_suppkey").alias("supp"))
-    n = F.col("l_linenumber")
-    ref = lambda c: F.concat(F.lit("ref"), F.col(c).cast("string"))
-    officials = F.when(n % 3 > 0, F.array(ref("supp"), ref("part"))).when(n % 2 == 0, F.array().cast("array<string>"))
-    play = F.struct(n.alias("eventId"), F.struct(F.col("part").alias("part")).alias("details"), officials.alias("officials"))
-    spot = F.struct(n.alias("_n"), F.col("supp").alias("playerId"), F.struct(F.concat(F.lit("n"), n.cast("string")).alias("default")).alias("name"))
-    per = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(play)).alias("plays"), F.sort_array(F.collect_list(spot)).alias("spots"))
-    o = read(spark, sf_dir, "orders").join(per, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    status = F.struct(F.col("o_orderstatus").alias("status"), F.col("o_custkey").alias("team"))
-    spots = F.transform("spots", lambda s: F.struct(s.playerId.alias("playerId"), s["name"].alias("name")))
-    payloads = o.select(F.col("o_orderkey").alias("game_id"), F.to_json(F.struct(status.alias("game"), "plays", spots.alias("rosterSpots"))).alias("payload"))
+    payloads = _nested_payloads(spark, sf_dir)
     made = S.child_tables(S.parsed(payloads, I.infer(payloads)).select("game_id", "json.*"), ["game_id"])
     text = {"rows": ("game_status", "game_team"), "plays": ("eventId", "details_part"), "plays_officials": ("value", None), "rosterSpots": ("playerId", "name_default")}
     out = None

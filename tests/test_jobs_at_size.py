@@ -6,6 +6,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 from tarnfold import queries as Q
+from tarnfold import stored_queries as SQ
 from tarnfold.operators.shred import build_fields, once_each
 from tarnfold.plans import jobs as J
 from tests.compare import same
@@ -89,3 +90,7 @@ def test_plays_are_typed_as_rows_and_not_within_their_list(spark):
     payloads = spark.createDataFrame([], "season int, game_id bigint, game_date date, payload string")
     plan = J.event_rows(payloads, Q.PLAYS_DDL).select("game_id", "event_id")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("try_cast(_e") < plan.index("Generate posexplode")
+
+
+def test_child_tables_read_stored_payloads_and_shuffle_nothing(spark, sf_dir):
+    assert _exchanges(SQ.child_tables(spark, sf_dir)) == []
