@@ -254,20 +254,20 @@ SHIFT_RULES: dict[str, object] = {
 }
 
 
-def shift_rows(payloads: DataFrame, schema: str) -> DataFrame:
-    """One row for each shift, its season, and its times as seconds of the game.
+def shift_rows(payloads: DataFrame, schema: str, keep: Sequence[str] = ()) -> DataFrame:
+    """One row for each shift, its season, and its times as seconds of the game, after the payload's columns to keep.
 
     A payload's repeats go within its row; only shifts of games that several payloads have are shuffled.
     """
-    lists = parsed(payloads, schema or infer(payloads)).select(F.col("json.data").alias("_shifts"))
+    lists = parsed(payloads, schema or infer(payloads)).select(*keep, F.col("json.data").alias("_shifts"))
     element = lists.schema["_shifts"].dataType.elementType
     keys = lambda x: element_fields(field_of(x), element, {c: SHIFT_RULES[c] for c in ("gameId", "teamId", "id")})
-    raw = each_element(once_each(lists, "_shifts", lambda x: F.struct(*keys(x))), F.col("_shifts")).select("_e.*")
+    raw = each_element(once_each(lists, "_shifts", lambda x: F.struct(*keys(x))), F.col("_shifts"), keep).select(*keep, "_e.*")
     # games are told from the payload's own list, of which no other field is read
     only = T.StructType([T.StructField("data", T.ArrayType(T.StructType([f for f in element if f.name == "gameId"])))])
     ids = F.transform(F.from_json("payload", only).getField("data"), lambda x: keys(x)[0]) if "gameId" in element.names else F.array(F.lit(None).cast("bigint"))
     games = each_element(payloads, F.array_distinct(ids)).select(F.col("_e").alias("game_id"))
-    rows = across_payloads(raw.select(*build_fields(raw, SHIFT_RULES)), games, lambda df: one_each(df, ["game_id", "team_id", "shift_id"]))
+    rows = across_payloads(raw.select(*keep, *build_fields(raw, SHIFT_RULES)), games, lambda df: one_each(df, ["game_id", "team_id", "shift_id"]))
     playoff = V.game_type(F.col("game_id")) == 3
     clock = lambda c: V.game_clock(F.col("period"), V.mmss_seconds(V.blank_to_null(F.col(c))), playoff)
     return rows.withColumns({"season": V.season_of_game(F.col("game_id")), "duration": F.coalesce(V.blank_to_null(F.col("duration")), F.lit("00:00")), "start_seconds": clock("start_time"), "end_seconds": clock("end_time")})

@@ -111,3 +111,15 @@ def test_special_rows_lose_repeats_within_and_across_payloads_and_are_not_shuffl
     assert "Aggregate" not in made(alone)._jdf.queryExecution().optimizedPlan().toString()
     again = alone.union(spark.createDataFrame([("powerplay", "c", 200, body((1, 1, "S"), (3, 1, "S")))], columns))
     assert found(again) == [(1, 1, "S"), (1, 2, "T"), (2, 1, "S"), (3, 1, "S")]
+
+
+def test_shift_merges_read_stored_shifts_with_their_dates(spark, sf_dir):
+    for made in (Q.job_shift_gold(spark, sf_dir), Q.job_shift_merge(spark, sf_dir)):
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+        assert "from_json" not in plan and "o_orderdate" not in plan
+
+
+def test_shifts_keep_their_payloads_columns(spark):
+    body = lambda *ids: '{"data": [' + ", ".join(f'{{"id": {i}, "gameId": 2001020001, "teamId": 1}}' for i in ids) + "]}"
+    df = spark.createDataFrame([("a", body(5, 5, 6)), ("a", body(6, 7))], "day string, payload string")
+    assert sorted((r.day, r.shift_id) for r in J.shift_rows(df, Q.SHIFT_DDL, ["day"]).collect()) == [("a", 5), ("a", 6), ("a", 7)]
