@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tarnfold import queries as Q
 from tarnfold import stored_queries as SQ
+from tarnfold.operators import stages
 from tarnfold.operators.shred import build_fields, once_each
 from tarnfold.plans import gold as G
 from tarnfold.plans import jobs as J
@@ -133,3 +134,29 @@ def test_readers_take_few_special_payloads_at_once(spark, sf_dir):
     files = [pq.ParquetFile(urlparse(f).path).metadata for f in Q._special_payloads(spark, sf_dir).inputFiles()]
     assert sum(f.num_rows for f in files) > 300
     assert max(f.row_group(i).num_rows for f in files for i in range(f.num_row_groups)) <= 64
+
+
+def test_shared_rosters_go_to_all_their_games_once(spark, monkeypatch):
+    player = lambda i: f'{{"id": {i}, "firstName": {{"default": " a"}}, "sweaterNumber": "{i}"}}'
+    body = lambda *ids: '{"forwards": [' + ", ".join(map(player, ids)) + '], "goalies": [' + player(ids[0]) + "]}"
+    # two responses of team 1 have player 6; nothing refers to team 4, and null refers to nothing
+    responses = spark.createDataFrame([(1, body(5, 6)), (1, body(6, 7)), (2, body(8, 5)), (4, body(9)), (None, body(9)), (3, "broken")], "team int, payload string")
+    games = [(2001020001, 11, " t1", 1), (2001020002, 12, "t2", 2), (2001020003, 13, "t1", 1), (2001020003, 14, "t2", 2), (2001020004, 15, "t3", 3), (2001020005, 16, "t5", 5), (2001020006, 17, "t", None)]
+    games = spark.createDataFrame(games, "game_id bigint, team_id bigint, request_key string, team int")
+    expected = [(2001020001, i, 11, "T1") for i in (5, 6, 7)] + [(2001020002, i, 12, "T2") for i in (5, 8)] + [(2001020003, i) for i in (5, 6, 7, 8)]
+    for most in (100_000, 0):  # the lists are broadcast, and are not
+        monkeypatch.setattr(stages, "BROADCAST_ROWS", most)
+        found = J.game_rosters(J.roster_players(responses, keep=["team"]), games)
+        plain = responses.join(games, "team").select("game_id", "team_id", "request_key", "payload")
+        assert found.columns == J.current_rosters(plain).columns
+        found = found.orderBy("game_id", "player_id").collect()
+        # of a game with two teams a player of both is of either
+        assert [(r.game_id, r.player_id, r.team_id, r.team_abbrev) if r.game_id != 2001020003 else (r.game_id, r.player_id) for r in found] == expected
+        assert all((r.season, r.player_name, r.jersey_num, r.is_active) == (20012002, "a", r.player_id, True) for r in found)
+
+
+def test_roster_shred_reads_no_payload_for_each_game(spark, sf_dir):
+    plan = Q.QUERIES["job_roster_shred"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode" in plan and "from_json" not in plan
+    # dates are texts before players' rows multiply
+    assert "date_format" not in plan
